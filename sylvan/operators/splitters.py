@@ -1,0 +1,192 @@
+"""Split search for one level of many trees at once.
+
+Input is the *long* frame of one level: one row per (tree, node,
+feature, row) with the bag weight ``w``, the centred target ``yc``, the
+feature value ``v`` and -- for the exact search -- a global value
+bucket ``b`` (monotone in ``v``).  Output is one row per (tree, node):
+the chosen feature, threshold and left-child sums.
+
+Exact search (T3) in Spark terms
+--------------------------------
+1. ``groupBy(tree, node, feature, b, v)`` -> sums of w, w*yc, w*yc^2.
+   Partial aggregation runs map-side, so a hot value costs one row.
+2. Running sums inside a bucket: window ``partitionBy(tree, node,
+   feature, b).orderBy(v)``.  Buckets are global quantile ranges of the
+   feature, so a window partition never holds more than one bucket of
+   one node -- no task receives a whole feature of the root node.
+3. Bucket offsets: the same running sums over the bucket totals table
+   (at most nodes x features x buckets rows; partitions of <= buckets
+   rows), joined back on (tree, node, feature, b).
+4. Every midpoint between consecutive distinct values is a candidate;
+   ``min_samples_leaf`` is checked on both sides with weighted counts.
+5. ``min(struct(rounded score, feature, threshold, ...))`` per node: a
+   partial aggregation whose output is the best split.  Scores are
+   normalised by the node's SSE and rounded to 10 decimals so that
+   summation order cannot flip a choice; ties go to the smaller feature,
+   then the smaller threshold.
+
+Random (T4) and extra-random (T5) search draw candidate (feature,
+threshold) pairs from hashes of (seed, tree, node, candidate), then
+evaluate them with one conditional-sum aggregation.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from sylvan.functions.hashing import hash8, uniform
+
+SCORE_DECIMALS = 10
+SPLIT_COLS = ["tree_id", "node_id", "feature", "threshold", "lw", "ls", "lq", "score"]
+
+
+def node_sums(long_rows: DataFrame, keys=("tree_id", "node_id")) -> DataFrame:
+    """Weighted n, sum and sum of squares per node (no feature key)."""
+    return long_rows.groupBy(*keys).agg(
+        F.sum("w").cast("double").alias("n"),
+        F.sum(F.col("w") * F.col("yc")).alias("s"),
+        F.sum(F.col("w") * F.col("yc") * F.col("yc")).alias("q"))
+
+
+def sse(n, s, q):
+    """Sum of squared deviations from weighted sums, clamped at 0."""
+    return F.greatest(q - s * s / n, F.lit(0.0))
+
+
+def _score_columns(df: DataFrame) -> DataFrame:
+    """Weighted mean of the child MSEs = (SSE_left + SSE_right) / n."""
+    rw, rs, rq = (F.col("tw") - F.col("lw"), F.col("ts") - F.col("ls"), F.col("tq") - F.col("lq"))
+    child = sse(F.col("lw"), F.col("ls"), F.col("lq")) + sse(rw, rs, rq)
+    parent = sse(F.col("tw"), F.col("ts"), F.col("tq"))
+    return (df.withColumn("score", child / F.col("tw"))
+              .withColumn("_rank", F.round(F.when(parent > 0, child / parent).otherwise(F.lit(0.0)),
+                                           SCORE_DECIMALS)))
+
+
+def _argmin(cands: DataFrame, order_cols) -> DataFrame:
+    best = cands.groupBy("tree_id", "node_id").agg(
+        F.min(F.struct(*[F.col(c) for c in order_cols], "lw", "ls", "lq", "score")).alias("_b"))
+    return best.select("tree_id", "node_id", "_b.feature", "_b.threshold",
+                       "_b.lw", "_b.ls", "_b.lq", "_b.score")
+
+
+def best_splits_exact(long_rows: DataFrame, min_samples_leaf: float = 1.0,
+                      broadcast_offsets: bool = False, bucketed: bool = True) -> DataFrame:
+    """T3 over (tree_id, node_id, feature, b, v, w, yc) rows.
+
+    ``bucketed=False`` (all rows in bucket 0, small inputs) computes the
+    running sums with one window per (tree, node, feature) and skips the
+    offset table and its join.
+    """
+    keys = ["tree_id", "node_id", "feature"]
+    if not bucketed:
+        agg1 = long_rows.groupBy(*keys, "v").agg(
+            F.sum("w").cast("double").alias("cw"),
+            F.sum(F.col("w") * F.col("yc")).alias("cs"),
+            F.sum(F.col("w") * F.col("yc") * F.col("yc")).alias("cq"))
+        w_in = Window.partitionBy(*keys).orderBy("v")
+        run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.partitionBy(*keys)
+        c = agg1.select(
+            *keys, F.lead("v").over(w_in).alias("_nxt"), "v",
+            F.sum("cw").over(run).alias("lw"), F.sum("cs").over(run).alias("ls"),
+            F.sum("cq").over(run).alias("lq"), F.sum("cw").over(whole).alias("tw"),
+            F.sum("cs").over(whole).alias("ts"), F.sum("cq").over(whole).alias("tq"))
+        c = c.withColumn("threshold", (F.col("v") + F.col("_nxt")) / 2)
+        msl = F.lit(float(min_samples_leaf))
+        c = c.where(F.col("_nxt").isNotNull() & (F.col("lw") >= msl)
+                    & ((F.col("tw") - F.col("lw")) >= msl))
+        return _argmin(_score_columns(c), ["_rank", "feature", "threshold"])
+    agg1 = long_rows.groupBy(*keys, "b", "v").agg(
+        F.sum("w").cast("double").alias("cw"),
+        F.sum(F.col("w") * F.col("yc")).alias("cs"),
+        F.sum(F.col("w") * F.col("yc") * F.col("yc")).alias("cq"))
+    w_in = Window.partitionBy(*keys, "b").orderBy("v")
+    run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inb = agg1.select(*keys, "b", "v",
+                      F.sum("cw").over(run).alias("rw"), F.sum("cs").over(run).alias("rs"),
+                      F.sum("cq").over(run).alias("rq"), F.lead("v").over(w_in).alias("nv"))
+    btot = agg1.groupBy(*keys, "b").agg(
+        F.sum("cw").alias("bw"), F.sum("cs").alias("bs"), F.sum("cq").alias("bq"),
+        F.min("v").alias("bmin"))
+    w_b = Window.partitionBy(*keys).orderBy("b")
+    prev = w_b.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    boff = btot.select(
+        *keys, "b",
+        F.coalesce(F.sum("bw").over(prev), F.lit(0.0)).alias("ow"),
+        F.coalesce(F.sum("bs").over(prev), F.lit(0.0)).alias("os"),
+        F.coalesce(F.sum("bq").over(prev), F.lit(0.0)).alias("oq"),
+        F.lead("bmin").over(w_b).alias("nb"),
+        F.sum("bw").over(whole).alias("tw"), F.sum("bs").over(whole).alias("ts"),
+        F.sum("bq").over(whole).alias("tq"))
+    if broadcast_offsets:
+        boff = F.broadcast(boff)
+    c = inb.join(boff, [*keys, "b"], "inner")
+    nxt = F.coalesce(F.col("nv"), F.col("nb"))
+    c = c.select(
+        *keys, ((F.col("v") + nxt) / 2).alias("threshold"), nxt.alias("_nxt"),
+        (F.col("ow") + F.col("rw")).alias("lw"), (F.col("os") + F.col("rs")).alias("ls"),
+        (F.col("oq") + F.col("rq")).alias("lq"), "tw", "ts", "tq")
+    msl = F.lit(float(min_samples_leaf))
+    c = c.where(F.col("_nxt").isNotNull() & (F.col("lw") >= msl) & ((F.col("tw") - F.col("lw")) >= msl))
+    return _argmin(_score_columns(c), ["_rank", "feature", "threshold"])
+
+
+def random_candidates(ranges: DataFrame, subsets: DataFrame, seed, n_draws: int,
+                      salt: str, cap_by_subset: bool) -> DataFrame:
+    """Hash-drawn (feature, threshold) candidates per node.
+
+    ``ranges``: (tree_id, node_id, feature, vmin, vmax) of the node's
+    rows.  ``subsets``: (tree_id, node_id, features).  Draw c picks a
+    feature with replacement from the node's subset and a threshold
+    uniform in [min, max] of that feature in the node; single-valued
+    features give no candidate.  ``cap_by_subset`` limits the draws to
+    min(n_draws, subset size) (random splitter).
+    """
+    s = F.lit(str(seed))
+    cand = subsets.select("tree_id", "node_id", "features",
+                          F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))).alias("cand"))
+    if cap_by_subset:
+        cand = cand.where(F.col("cand") < F.size("features"))
+    uf = uniform(hash8(s, F.lit(salt + "f"), "tree_id", "node_id", "cand"))
+    ut = uniform(hash8(s, F.lit(salt + "t"), "tree_id", "node_id", "cand"))
+    cand = cand.select("tree_id", "node_id", "cand",
+                       F.element_at("features", (F.floor(uf * F.size("features")) + 1).cast("int"))
+                        .alias("feature"), ut.alias("_u"))
+    cand = cand.join(ranges, ["tree_id", "node_id", "feature"], "inner")
+    return (cand.where(F.col("vmax") > F.col("vmin"))
+                .select("tree_id", "node_id", "cand", "feature",
+                        (F.col("vmin") + F.col("_u") * (F.col("vmax") - F.col("vmin"))).alias("threshold")))
+
+
+def evaluate_candidates(node_rows: DataFrame, cands: DataFrame, totals: DataFrame,
+                        min_samples_leaf: float, broadcast_cands: bool = True) -> DataFrame:
+    """Left-side sums of each candidate over the node's rows (one
+    conditional aggregation), then the split score."""
+    cj = F.broadcast(cands) if broadcast_cands else cands
+    j = node_rows.join(cj, ["tree_id", "node_id"], "inner")
+    left = F.col("x")[F.col("feature")] <= F.col("threshold")
+    sums = j.groupBy("tree_id", "node_id", "cand", "feature", "threshold").agg(
+        F.sum(F.when(left, F.col("w")).otherwise(0)).cast("double").alias("lw"),
+        F.sum(F.when(left, F.col("w") * F.col("yc")).otherwise(0.0)).alias("ls"),
+        F.sum(F.when(left, F.col("w") * F.col("yc") * F.col("yc")).otherwise(0.0)).alias("lq"))
+    c = sums.join(totals.select("tree_id", "node_id", F.col("n").alias("tw"),
+                                F.col("s").alias("ts"), F.col("q").alias("tq")),
+                  ["tree_id", "node_id"], "inner")
+    msl = F.lit(float(min_samples_leaf))
+    c = c.where((F.col("lw") >= msl) & ((F.col("tw") - F.col("lw")) >= msl))
+    return _score_columns(c)
+
+
+def best_splits_random(node_rows, cands, totals, min_samples_leaf, broadcast_cands=True):
+    """T4: best of the random candidates (score, then feature, threshold)."""
+    c = evaluate_candidates(node_rows, cands, totals, min_samples_leaf, broadcast_cands)
+    return _argmin(c, ["_rank", "feature", "threshold"])
+
+
+def first_valid_split(node_rows, cands, totals, min_samples_leaf, broadcast_cands=True):
+    """T5: the first valid random candidate in draw order."""
+    c = evaluate_candidates(node_rows, cands, totals, min_samples_leaf, broadcast_cands)
+    return _argmin(c, ["cand", "feature", "threshold"])
