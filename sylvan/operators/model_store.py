@@ -133,7 +133,7 @@ def tree_rules(nodes: DataFrame, feature_names=None, max_depth: int | None = Non
     depth = max_depth if max_depth is not None else nodes.agg(F.max("depth")).first()[0] or 0
     inner = nodes.where(~F.col("is_leaf")).select(
         "tree_id", "node_id", "left_id", "right_id", fname("feature").alias("fn"),
-        F.format_string("%.6f", F.col("threshold")).alias("ts"))
+        F.format_string("%.9f", F.col("threshold")).alias("ts"))
     for _ in range(depth):
         j = cur.join(inner, ["tree_id", "node_id"], "inner")
         sep = F.when(F.col("path") == "", F.lit("")).otherwise(F.lit(" AND "))

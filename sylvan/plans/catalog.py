@@ -527,8 +527,13 @@ def _forest_sql(cfg: dict) -> list:
 NODE_ROUND = {"threshold": 6, "value": 4, "mse": 1}
 
 
+def _leaf_codes(df: DataFrame) -> DataFrame:
+    """Leaves carry -1 for feature and child ids (NULL in the node table)."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(-1)) for c in ("feature", "left_id", "right_id")})
+
+
 def q_forest_fit(spark, sf):
-    return rnd(fitted(spark, sf).nodes_df(spark), NODE_ROUND)
+    return _leaf_codes(rnd(fitted(spark, sf).nodes_df(spark), NODE_ROUND))
 
 
 def _fsql(body: str, cfg=FOREST, more: list = ()) -> str:
@@ -536,7 +541,8 @@ def _fsql(body: str, cfg=FOREST, more: list = ()) -> str:
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
-SQL_NODES = ("select tree_id, node_id, depth, feature, round(threshold, 6) as threshold, left_id, right_id, "
+SQL_NODES = ("select tree_id, node_id, depth, coalesce(feature, -1) as feature, round(threshold, 6) as threshold, "
+             "coalesce(left_id, -1) as left_id, coalesce(right_id, -1) as right_id, "
              "round(value, 4) as value, n, round(mse, 1) as mse, is_leaf from nodes")
 
 SQL_FOREST_FIT = _fsql(SQL_NODES)
@@ -672,15 +678,15 @@ def q_tree_rules(spark, sf):
 def _sql_rules():
     names = "[" + ", ".join(f"'{c}'" for c in TOT) + "]"
     body = f"""rl0 as (select tree_id, node_id, '' as path from nodes where node_id = 0),
-rl1 as (select n.tree_id, n.left_id as node_id, {names}[n.feature + 1] || ' <= ' || printf('%.6f', n.threshold) as path
+rl1 as (select n.tree_id, n.left_id as node_id, {names}[n.feature + 1] || ' <= ' || printf('%.9f', n.threshold) as path
         from rl0 r join nodes n using (tree_id, node_id) where not n.is_leaf
         union all
-        select n.tree_id, n.right_id, {names}[n.feature + 1] || ' > ' || printf('%.6f', n.threshold)
+        select n.tree_id, n.right_id, {names}[n.feature + 1] || ' > ' || printf('%.9f', n.threshold)
         from rl0 r join nodes n using (tree_id, node_id) where not n.is_leaf),
-rl2 as (select n.tree_id, n.left_id as node_id, r.path || ' AND ' || {names}[n.feature + 1] || ' <= ' || printf('%.6f', n.threshold)
+rl2 as (select n.tree_id, n.left_id as node_id, r.path || ' AND ' || {names}[n.feature + 1] || ' <= ' || printf('%.9f', n.threshold)
         from rl1 r join nodes n using (tree_id, node_id) where not n.is_leaf
         union all
-        select n.tree_id, n.right_id, r.path || ' AND ' || {names}[n.feature + 1] || ' > ' || printf('%.6f', n.threshold)
+        select n.tree_id, n.right_id, r.path || ' AND ' || {names}[n.feature + 1] || ' > ' || printf('%.9f', n.threshold)
         from rl1 r join nodes n using (tree_id, node_id) where not n.is_leaf),
 rl as (select * from rl0 union all select * from rl1 union all select * from rl2)"""
     return _fsql("select n.tree_id, n.node_id, n.depth, case when r.path = '' then 'TRUE' else r.path end as rule, "
@@ -865,13 +871,13 @@ def q_model_roundtrip(spark, sf):
 def q_random_split(spark, sf):
     m = fit_forest(H.housing_totals(spark, sf), TOT, Y,
                    ForestParams(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="random", seed=42))
-    return rnd(m.nodes_df(spark), NODE_ROUND)
+    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
 def q_extra_random_split(spark, sf):
     m = fit_forest(H.housing_totals(spark, sf), TOT, Y,
                    ForestParams(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="extra", seed=42))
-    return rnd(m.nodes_df(spark), NODE_ROUND)
+    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
 def q_cross_validate(spark, sf):
