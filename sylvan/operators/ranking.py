@@ -57,10 +57,11 @@ def exact_percentiles(df: DataFrame, value: str, probs, group_cols=(),
                       names=None, partitions: int | None = None,
                       broadcast_offsets: bool = True) -> DataFrame:
     """Exact percentiles with linear interpolation (numpy's default,
-    DuckDB ``quantile_cont``), NULLs ignored.  One row per group."""
+    DuckDB ``quantile_cont``); NULL and NaN are missing.  One row per group."""
     g = list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    base = df.select(*g, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    base = df.select(*g, F.col(value).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
     ranked = with_global_position(base, ["_v"], g, partitions, broadcast_offsets)
     pos = [F.lit(float(p)) * (F.col("_gn") - 1) for p in probs]
     los = [F.floor(x) for x in pos]

@@ -71,13 +71,21 @@ def _argmin(cands: DataFrame, order_cols) -> DataFrame:
                        "_b.lw", "_b.ls", "_b.lq", "_b.score")
 
 
-def best_splits_exact(long_rows: DataFrame, min_samples_leaf: float = 1.0,
-                      broadcast_offsets: bool = False, bucketed: bool = True) -> DataFrame:
+def _totals(totals: DataFrame, broadcast: bool) -> DataFrame:
+    t = totals.select("tree_id", "node_id", F.col("n").alias("tw"), F.col("s").alias("ts"),
+                      F.col("q").alias("tq"))
+    return F.broadcast(t) if broadcast else t
+
+
+def best_splits_exact(long_rows: DataFrame, totals: DataFrame, min_samples_leaf: float = 1.0,
+                      bucketed: bool = True, broadcast_totals: bool = True) -> DataFrame:
     """T3 over (tree_id, node_id, feature, b, v, w, yc) rows.
 
-    ``bucketed=False`` (all rows in bucket 0, small inputs) computes the
-    running sums with one window per (tree, node, feature) and skips the
-    offset table and its join.
+    ``totals``: (tree_id, node_id, n, s, q) node sums, known from the
+    previous level.  Rows whose value is missing are part of the node
+    totals and therefore land on the right side, as in routing.
+    ``bucketed=False`` (one bucket, small inputs) uses a single running
+    window per (tree, node, feature) and no offset table.
     """
     keys = ["tree_id", "node_id", "feature"]
     if not bucketed:
@@ -87,48 +95,65 @@ def best_splits_exact(long_rows: DataFrame, min_samples_leaf: float = 1.0,
             F.sum(F.col("w") * F.col("yc") * F.col("yc")).alias("cq"))
         w_in = Window.partitionBy(*keys).orderBy("v")
         run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = Window.partitionBy(*keys)
         c = agg1.select(
-            *keys, F.lead("v").over(w_in).alias("_nxt"), "v",
+            *keys, "v", F.lead("v").over(w_in).alias("_nxt"),
             F.sum("cw").over(run).alias("lw"), F.sum("cs").over(run).alias("ls"),
-            F.sum("cq").over(run).alias("lq"), F.sum("cw").over(whole).alias("tw"),
-            F.sum("cs").over(whole).alias("ts"), F.sum("cq").over(whole).alias("tq"))
-        c = c.withColumn("threshold", (F.col("v") + F.col("_nxt")) / 2)
-        msl = F.lit(float(min_samples_leaf))
-        c = c.where(F.col("_nxt").isNotNull() & (F.col("lw") >= msl)
-                    & ((F.col("tw") - F.col("lw")) >= msl))
-        return _argmin(_score_columns(c), ["_rank", "feature", "threshold"])
-    agg1 = long_rows.groupBy(*keys, "b", "v").agg(
+            F.sum("cq").over(run).alias("lq"))
+    else:
+        agg1 = long_rows.groupBy(*keys, "b", "v").agg(
+            F.sum("w").cast("double").alias("cw"),
+            F.sum(F.col("w") * F.col("yc")).alias("cs"),
+            F.sum(F.col("w") * F.col("yc") * F.col("yc")).alias("cq"))
+        w_in = Window.partitionBy(*keys, "b").orderBy("v")
+        run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        inb = agg1.select(*keys, "b", "v",
+                          F.sum("cw").over(run).alias("rw"), F.sum("cs").over(run).alias("rs"),
+                          F.sum("cq").over(run).alias("rq"), F.lead("v").over(w_in).alias("nv"))
+        btot = agg1.groupBy(*keys, "b").agg(
+            F.sum("cw").alias("bw"), F.sum("cs").alias("bs"), F.sum("cq").alias("bq"),
+            F.min("v").alias("bmin"))
+        w_b = Window.partitionBy(*keys).orderBy("b")
+        prev = w_b.rowsBetween(Window.unboundedPreceding, -1)
+        boff = btot.select(
+            *keys, "b",
+            F.coalesce(F.sum("bw").over(prev), F.lit(0.0)).alias("ow"),
+            F.coalesce(F.sum("bs").over(prev), F.lit(0.0)).alias("os"),
+            F.coalesce(F.sum("bq").over(prev), F.lit(0.0)).alias("oq"),
+            F.lead("bmin").over(w_b).alias("nb"))
+        c = inb.join(boff, [*keys, "b"], "inner")
+        c = c.select(
+            *keys, "v", F.coalesce(F.col("nv"), F.col("nb")).alias("_nxt"),
+            (F.col("ow") + F.col("rw")).alias("lw"), (F.col("os") + F.col("rs")).alias("ls"),
+            (F.col("oq") + F.col("rq")).alias("lq"))
+    c = c.join(_totals(totals, broadcast_totals), ["tree_id", "node_id"], "inner")
+    c = c.withColumn("threshold", (F.col("v") + F.col("_nxt")) / 2)
+    msl = F.lit(float(min_samples_leaf))
+    c = c.where(F.col("_nxt").isNotNull() & (F.col("lw") >= msl) & ((F.col("tw") - F.col("lw")) >= msl))
+    return _argmin(_score_columns(c), ["_rank", "feature", "threshold"])
+
+
+def best_splits_binned(long_rows: DataFrame, totals: DataFrame, min_samples_leaf: float = 1.0,
+                       broadcast_totals: bool = True) -> DataFrame:
+    """Histogram variant of T3 for very large inputs (``max_bins``).
+
+    Rows carry a global quantile bin ``b`` per feature; candidates are
+    the bin upper edges, so the per-level aggregation collapses to
+    nodes x features x bins rows right in the map-side partial
+    aggregation.  Returns the chosen bin in ``threshold``; the caller maps
+    it to the edge value.
+    """
+    keys = ["tree_id", "node_id", "feature"]
+    agg1 = long_rows.groupBy(*keys, "b").agg(
         F.sum("w").cast("double").alias("cw"),
         F.sum(F.col("w") * F.col("yc")).alias("cs"),
         F.sum(F.col("w") * F.col("yc") * F.col("yc")).alias("cq"))
-    w_in = Window.partitionBy(*keys, "b").orderBy("v")
+    w_in = Window.partitionBy(*keys).orderBy("b")
     run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inb = agg1.select(*keys, "b", "v",
-                      F.sum("cw").over(run).alias("rw"), F.sum("cs").over(run).alias("rs"),
-                      F.sum("cq").over(run).alias("rq"), F.lead("v").over(w_in).alias("nv"))
-    btot = agg1.groupBy(*keys, "b").agg(
-        F.sum("cw").alias("bw"), F.sum("cs").alias("bs"), F.sum("cq").alias("bq"),
-        F.min("v").alias("bmin"))
-    w_b = Window.partitionBy(*keys).orderBy("b")
-    prev = w_b.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    boff = btot.select(
-        *keys, "b",
-        F.coalesce(F.sum("bw").over(prev), F.lit(0.0)).alias("ow"),
-        F.coalesce(F.sum("bs").over(prev), F.lit(0.0)).alias("os"),
-        F.coalesce(F.sum("bq").over(prev), F.lit(0.0)).alias("oq"),
-        F.lead("bmin").over(w_b).alias("nb"),
-        F.sum("bw").over(whole).alias("tw"), F.sum("bs").over(whole).alias("ts"),
-        F.sum("bq").over(whole).alias("tq"))
-    if broadcast_offsets:
-        boff = F.broadcast(boff)
-    c = inb.join(boff, [*keys, "b"], "inner")
-    nxt = F.coalesce(F.col("nv"), F.col("nb"))
-    c = c.select(
-        *keys, ((F.col("v") + nxt) / 2).alias("threshold"), nxt.alias("_nxt"),
-        (F.col("ow") + F.col("rw")).alias("lw"), (F.col("os") + F.col("rs")).alias("ls"),
-        (F.col("oq") + F.col("rq")).alias("lq"), "tw", "ts", "tq")
+    c = agg1.select(*keys, F.col("b").cast("double").alias("threshold"),
+                    F.lead("b").over(w_in).alias("_nxt"),
+                    F.sum("cw").over(run).alias("lw"), F.sum("cs").over(run).alias("ls"),
+                    F.sum("cq").over(run).alias("lq"))
+    c = c.join(_totals(totals, broadcast_totals), ["tree_id", "node_id"], "inner")
     msl = F.lit(float(min_samples_leaf))
     c = c.where(F.col("_nxt").isNotNull() & (F.col("lw") >= msl) & ((F.col("tw") - F.col("lw")) >= msl))
     return _argmin(_score_columns(c), ["_rank", "feature", "threshold"])

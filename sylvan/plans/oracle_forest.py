@@ -3,7 +3,8 @@
 The oracle grows the same forest as :func:`sylvan.operators.forest.fit_forest`
 for a few levels, straight from the definition: weighted node sums, the
 hash-chosen feature subset, every midpoint candidate with weighted
-``min_samples_leaf`` checks, the SSE-ratio score rounded to 10 decimals,
+``min_samples_leaf`` checks (node totals include rows whose value is
+missing: they go right), the SSE-ratio score rounded to 10 decimals,
 ties by (feature, threshold), breadth-first dense node ids.  Scoring,
 importances, tree statistics, rules and out-of-bag scores are then
 written over that node table.  It is a test oracle only.
@@ -34,7 +35,6 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
         "r0 as (select tree_id, 0 as node_id, * exclude (tree_id) from bag)",
     ]
     node_parts = []
-    xcase = _xcase(nf)
     for d in range(depth + 1):
         ctes.append(
             f"st{d} as (select tree_id, node_id, cast(sum(w) as double) as n, sum(w * yc) as s, "
@@ -66,8 +66,7 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
             f"lead(v) over ({part} order by v) as nv, "
             f"sum(cw) over ({part} order by v rows between unbounded preceding and current row) as lw, "
             f"sum(cs) over ({part} order by v rows between unbounded preceding and current row) as ls, "
-            f"sum(cq) over ({part} order by v rows between unbounded preceding and current row) as lq, "
-            f"sum(cw) over ({part}) as tw, sum(cs) over ({part}) as ts, sum(cq) over ({part}) as tq "
+            f"sum(cq) over ({part} order by v rows between unbounded preceding and current row) as lq "
             f"from ag{d})")
         child = ("(greatest(lq - ls * ls / lw, 0.0) + "
                  "greatest((tq - lq) - (ts - ls) * (ts - ls) / (tw - lw), 0.0))")
@@ -75,7 +74,9 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
         ctes.append(
             f"ca{d} as (select tree_id, node_id, feature, (v + nv) / 2 as threshold, lw, "
             f"round(case when {parent} > 0 then {child} / {parent} else 0.0 end, 10) as rk "
-            f"from cu{d} where nv is not null and lw >= {min_leaf} and tw - lw >= {min_leaf})")
+            f"from (select cu.*, st.n as tw, st.s as ts, st.q as tq from cu{d} cu join st{d} st "
+            f"on cu.tree_id = st.tree_id and cu.node_id = st.node_id) "
+            f"where nv is not null and lw >= {min_leaf} and tw - lw >= {min_leaf})")
         ctes.append(
             f"bs{d} as (select tree_id, node_id, feature, threshold from (select *, row_number() over "
             f"(partition by tree_id, node_id order by rk, feature, threshold) as rn from ca{d}) "
@@ -99,7 +100,6 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
             f"r.* exclude (tree_id, node_id) from r{d} r join sp{d} p "
             f"on r.tree_id = p.tree_id and r.node_id = p.node_id)")
     ctes.append("nodes as (" + " union all ".join(f"select * from {p}" for p in node_parts) + ")")
-    _ = xcase
     return ctes
 
 
