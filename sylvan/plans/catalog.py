@@ -397,13 +397,13 @@ SQL_COMPLETE = "hc as (select row_key, " + ", ".join(TOT) + f", {Y} from h where
 
 def q_standard_scale(spark, sf):
     d = _complete_totals(spark, sf)
-    return rnd(C.StandardScaler(TOT).fit_transform(d).drop(Y), {c: 9 for c in TOT})
+    return rnd(C.StandardScaler(TOT).fit_transform(d).drop(Y), {c: 7 for c in TOT})
 
 
 def _sql_std():
     stats = ", ".join(f"avg({c}) as m_{c}, case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end as s_{c}"
                       for c in TOT)
-    return with_frames("select row_key, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 9) as {c}" for c in TOT)
+    return with_frames("select row_key, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 7) as {c}" for c in TOT)
                        + f" from hc cross join (select {stats} from hc)", extra=SQL_COMPLETE)
 
 
@@ -419,14 +419,14 @@ SQL_STD_INV = with_frames("select row_key, " + ", ".join(f"round({c}, 9) as {c}"
 
 def q_minmax_scale(spark, sf):
     d = _complete_totals(spark, sf)
-    return rnd(C.MinMaxScaler(TOT).fit_transform(d).drop(Y), {c: 9 for c in TOT})
+    return rnd(C.MinMaxScaler(TOT).fit_transform(d).drop(Y), {c: 7 for c in TOT})
 
 
 def _sql_minmax():
     stats = ", ".join(f"min({c}) as lo_{c}, case when max({c}) - min({c}) = 0 then 1.0 "
                       f"else max({c}) - min({c}) end as r_{c}" for c in TOT)
     return with_frames("select row_key, " + ", ".join(
-        f"round({c} * (1.0 / r_{c}) + (0.0 - lo_{c} * (1.0 / r_{c})), 9) as {c}" for c in TOT)
+        f"round({c} * (1.0 / r_{c}) + (0.0 - lo_{c} * (1.0 / r_{c})), 7) as {c}" for c in TOT)
         + f" from hc cross join (select {stats} from hc)", extra=SQL_COMPLETE)
 
 
@@ -439,7 +439,7 @@ def q_minmax_inverse(spark, sf):
 def q_preprocess_pipeline(spark, sf):
     h = H.housing_totals(spark, sf).select("row_key", *TOT, Y)
     pp = C.Preprocessor(TOT, scaler_type="standard", handle_missing="mean", remove_outliers=True)
-    return rnd(pp.fit_transform(h).drop(Y), {c: 9 for c in TOT})
+    return rnd(pp.fit_transform(h).drop(Y), {c: 7 for c in TOT})
 
 
 def _sql_pipeline():
@@ -448,7 +448,7 @@ def _sql_pipeline():
     cond = " or ".join(f"abs(({c} - m_{c}) / (s_{c} + 1e-8)) > 3.0" for c in TOT)
     stats = ", ".join(f"avg({c}) as a_{c}, case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end as d_{c}"
                       for c in TOT)
-    body = ("select row_key, " + ", ".join(f"round(({c} - a_{c}) / d_{c}, 9) as {c}" for c in TOT)
+    body = ("select row_key, " + ", ".join(f"round(({c} - a_{c}) / d_{c}, 7) as {c}" for c in TOT)
             + f" from kept cross join (select {stats} from kept)")
     extra = (f"fl as (select row_key, {fill} from h),\n"
              f"kept as (select fl.* from fl cross join (select {zs} from fl) z where not ({cond}))")
@@ -519,9 +519,12 @@ def fitted(spark, sf, which: str = "forest"):
 
 
 def _forest_sql(cfg: dict) -> list:
-    m = SP.resolve_max_features(cfg["max_features"], len(TOT))
-    return OF.forest_ctes(TOT, Y, "h", cfg["n_trees"], cfg["max_depth"], cfg["min_samples_split"],
-                          cfg["min_samples_leaf"], m, cfg["seed"], cfg.get("bootstrap", True))
+    m = SP.resolve_max_features(cfg.get("max_features", "sqrt"), len(TOT))
+    splitter = cfg.get("splitter", "best")
+    draws = cfg.get("max_candidates", 10) if splitter == "random" else cfg.get("max_attempts", 100)
+    return OF.forest_ctes(TOT, Y, "h", cfg["n_trees"], cfg["max_depth"], cfg.get("min_samples_split", 2),
+                          cfg.get("min_samples_leaf", 1), m, cfg["seed"], cfg.get("bootstrap", True),
+                          splitter, draws)
 
 
 NODE_ROUND = {"threshold": 6, "value": 4, "mse": 1}
@@ -868,15 +871,19 @@ def q_model_roundtrip(spark, sf):
 
 # ---- rows-only (iterative or stochastic fits) ---------------------------------------------
 
+RANDOM = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="random", seed=42)
+EXTRA = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="extra", seed=42)
+
+
 def q_random_split(spark, sf):
-    m = fit_forest(H.housing_totals(spark, sf), TOT, Y,
-                   ForestParams(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="random", seed=42))
+    """T4: forest grown with the random splitter (best of <= 10 hash draws)."""
+    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**RANDOM))
     return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
 def q_extra_random_split(spark, sf):
-    m = fit_forest(H.housing_totals(spark, sf), TOT, Y,
-                   ForestParams(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="extra", seed=42))
+    """T5: forest grown with the extra-random splitter (first valid draw)."""
+    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**EXTRA))
     return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
@@ -908,9 +915,167 @@ SQL_STREAM = _fsql("select row_key, round(avg(p), 4) as prediction, round(stddev
 
 
 def q_training_pipeline(spark, sf):
-    """G4 'quick' preset end to end: metrics of the held-out split."""
+    """G4 'quick' preset end to end (20 trees, depth 12, split 5, leaf 2):
+    metrics of the held-out split."""
     from sylvan.plans.presets import run_preset
-    return rnd(run_preset(spark, sf, "quick", n_trees=5, max_depth=4), {"value": 6})
+    return rnd(run_preset(spark, sf, "quick"), {"value": 6})
+
+
+# ---- more sources, projections and reports ---------------------------------------------
+
+def q_prediction_sink(spark, sf):
+    """Predictions with uncertainty written as CSV and read back."""
+    from sylvan.session import scratch_path
+    from sylvan.sources.io import read_csv, write_predictions
+    p = SC.predict(H.housing_totals(spark, sf).select("row_key", *TOT), fitted(spark, sf), uncertainty=True)
+    out = p.select("row_key", "prediction", "uncertainty")
+    path = scratch_path(spark, "pred-sink")
+    write_predictions(out, path, "csv")
+    back = read_csv(spark, path, schema=out.schema)
+    return rnd(back, {"prediction": 4, "uncertainty": 4})
+
+
+def q_split_sink(spark, sf):
+    """train/test rows (target included) written partitioned by split."""
+    from sylvan.session import scratch_path
+    from sylvan.sources.io import write_splits
+    s = SP.train_test_split(H.housing_totals(spark, sf).select("row_key", *TOT, Y), seed=42)
+    path = scratch_path(spark, "split-sink")
+    write_splits(s, path)
+    return spark.read.parquet(path).select("row_key", Y, "split")
+
+
+def q_features_target_join(spark, sf):
+    """Features and target kept apart are aligned by key (never by position)."""
+    h = H.housing_totals(spark, sf)
+    feats = P.ratio_features_totals(h).select("row_key", "rooms_per_household", "income_per_person")
+    tgt = h.select("row_key", Y)
+    return feats.join(tgt, "row_key", "inner")
+
+
+SQL_S11 = with_frames(f"select row_key, {P3_SQL['rooms_per_household']} as rooms_per_household, "
+                      f"{P3_SQL['income_per_person']} as income_per_person, {Y} from h")
+
+
+def q_select_features(spark, sf):
+    """P1 + P2: feature/target selection with a cast to double."""
+    return P.select_features(H.housing_totals(spark, sf), Y, ["housing_median_age", "households", "population"])
+
+
+SQL_P1 = with_frames(f"select row_key, cast(housing_median_age as double) as housing_median_age, "
+                     f"cast(households as double) as households, cast(population as double) as population, "
+                     f"cast({Y} as double) as {Y} from h")
+
+
+def q_target_scaling(spark, sf):
+    """Target held in units of 100,000 scaled back to dollars."""
+    a = H.housing_averages(spark, sf).select("row_key", (F.col("target") / 100000).alias("target"))
+    return P.scale_target(a, "target", 100000.0)
+
+
+SQL_P14 = with_frames("select row_key, target / 100000 * 100000.0 as target from a", averages=True)
+
+
+def q_residuals(spark, sf):
+    """Residual column y - p."""
+    return M.with_residual(H.prediction_pairs(spark, sf)).select("row_key", "residual")
+
+
+SQL_P18 = with_frames("select row_key, y - p as residual from pf", pred=True)
+
+
+def q_outlier_summary(spark, sf):
+    """F2 report: number and share of z-score outliers."""
+    return rnd(clean.outlier_summary(H.event_values(spark, sf), ["value"], 3.0), {"pct_outliers": 9})
+
+
+SQL_F2_SUMMARY = """select count(*) filter (where abs((value - st.m) / (st.s + 1e-8)) > 3.0) as n_outliers,
+  count(*) as n_rows,
+  round(count(*) filter (where abs((value - st.m) / (st.s + 1e-8)) > 3.0) * 100.0 / count(*), 9) as pct_outliers
+from events, (select avg(value) as m, stddev_pop(value) as s from events) st"""
+
+
+def q_median_fill(spark, sf):
+    """Ratio features (NULL on zero divisors) then exact-median fill of
+    every numeric column, as in the balanced pipeline."""
+    a = P.avg_features(H.housing_averages(spark, sf))
+    cols = AVG + P.AVG_ENGINEERED
+    return clean.median_fill(a, cols).select("row_key", *cols)
+
+
+def _sql_median_fill():
+    cols = AVG + P.AVG_ENGINEERED
+    inner = "select row_key, " + ", ".join(AVG) + ", " + ", ".join(f"{e} as {c}" for c, e in P6_SQL.items()) + " from a"
+    return with_frames("select row_key, " + ", ".join(
+        f"coalesce({c}, (select median({c}) from e6)) as {c}" for c in cols) + " from e6",
+        averages=True, extra=f"e6 as ({inner})")
+
+
+def q_scale_except_codes(spark, sf):
+    """Scale every feature except the categorical code."""
+    h = H.housing_totals(spark, sf).select("row_key", *TOT, "ocean_proximity")
+    h = clean.drop_missing(P.apply_label_encoder(h, P.fit_label_encoder(h, "ocean_proximity"), "ocean_proximity"))
+    out = C.StandardScaler(TOT).fit_transform(h).drop("ocean_proximity")
+    return rnd(out, {c: 7 for c in TOT})
+
+
+def _sql_scale_codes():
+    stats = ", ".join(f"avg({c}) as m_{c}, case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end as s_{c}"
+                      for c in TOT)
+    return with_frames("select row_key, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 7) as {c}" for c in TOT)
+                       + ", cast(dense_rank() over (order by ocean_proximity) - 1 as integer) as ocean_proximity_code"
+                       + f" from hc2 cross join (select {stats} from hc2)",
+                       extra="hc2 as (select * from h where total_bedrooms is not null)")
+
+
+def q_model_score(spark, sf):
+    """R^2 of the fitted forest on the rows of the held-out split."""
+    te = SP.train_test_split(H.housing_totals(spark, sf), seed=42).where(F.col("split") == "test")
+    p = SC.predict(te.select("row_key", Y, *TOT), fitted(spark, sf))
+    return rnd(M.regression_metrics(p, Y, "prediction").select("n", "r2_score"), {"r2_score": 6})
+
+
+_TEST_ROWS = ("select row_key, " + ", ".join(f"cast({c} as double) as x{i}" for i, c in enumerate(TOT))
+              + f" from h where {h8('row_key', repr('42'))} < {hexcut(0.2)}")
+SQL_MODEL_SCORE = _fsql(
+    "select count(*) as n, round(case when var_pop(y) > 0 then 1 - avg((y - pr) * (y - pr)) / var_pop(y) "
+    "else 0 end, 6) as r2_score from (select pt.row_key, avg(p) as pr, any_value(fx.y) as y from pt "
+    "join fx using (row_key) group by pt.row_key)", FOREST,
+    OF.predict_ctes(_TEST_ROWS, len(TOT), FOREST["n_trees"], FOREST["max_depth"]))
+
+
+def q_forest_stats(spark, sf):
+    """T18 forest level: average depth and leaves, total nodes."""
+    return rnd(MS.forest_stats(fitted(spark, sf).nodes_df(spark)), {"avg_depth": 6, "avg_leaves": 6})
+
+
+SQL_FOREST_STATS = _fsql("select count(*) as n_trees, round(avg(depth), 6) as avg_depth, "
+                         "round(avg(n_leaves), 6) as avg_leaves, max(depth) as max_depth, "
+                         "sum(2 * n_leaves - 1) as total_nodes from (select tree_id, max(depth) as depth, "
+                         "count(*) filter (where is_leaf) as n_leaves from nodes group by tree_id)")
+
+
+def q_evaluate_holdout(spark, sf):
+    """All metrics of the forest on the held-out split."""
+    te = SP.train_test_split(H.housing_totals(spark, sf), seed=42).where(F.col("split") == "test")
+    p = SC.predict(te.select("row_key", Y, *TOT), fitted(spark, sf)).select(
+        F.col(Y).alias("y"), F.col("prediction").alias("p"))
+    return rnd(M.regression_metrics(p), MET_COLS)
+
+
+SQL_EVALUATE = _fsql(
+    "select n, " + ", ".join(f"round({c}, {d}) as {c}" for c, d in MET_COLS.items()) + " from met", FOREST,
+    OF.predict_ctes(_TEST_ROWS, len(TOT), FOREST["n_trees"], FOREST["max_depth"])
+    + ["ev as (select pt.row_key, avg(p) as p, any_value(fx.y) as y from pt join fx using (row_key) "
+       "group by pt.row_key)", _sql_metrics_body("ev", "")])
+
+
+def _preset(name):
+    def q(spark, sf):
+        from sylvan.plans.presets import run_preset
+        return rnd(run_preset(spark, sf, name), {"value": 6})
+    q.__doc__ = f"G4: the '{name}' pipeline end to end (metrics of the held-out split)."
+    return q
 
 
 QUERIES = {
@@ -953,8 +1118,8 @@ QUERIES = {
     "node_stats": (q_node_stats, SQL_NODE_STATS),
     "best_split": (q_best_split, SQL_BEST_SPLIT),
     "best_split_bootstrap": (q_best_split_bootstrap, SQL_BEST_SPLIT_BOOT),
-    "random_split": (q_random_split, None),
-    "extra_random_split": (q_extra_random_split, None),
+    "random_split": (q_random_split, _fsql(SQL_NODES, RANDOM)),
+    "extra_random_split": (q_extra_random_split, _fsql(SQL_NODES, EXTRA)),
     "stump_predict": (q_stump_predict, SQL_STUMP_PREDICT),
     "tree_predict": (q_tree_predict, SQL_TREE_PREDICT),
     "forest_predict": (q_forest_predict, SQL_FOREST_PREDICT),
@@ -982,4 +1147,17 @@ QUERIES = {
     "grid_search": (q_grid_search, None),
     "training_pipeline": (q_training_pipeline, None),
     "stream_score": (q_stream_score, SQL_STREAM),
+    "prediction_sink": (q_prediction_sink, SQL_PREDICT_UNC),
+    "split_sink": (q_split_sink, SQL_UNION),
+    "features_target_join": (q_features_target_join, SQL_S11),
+    "select_features": (q_select_features, SQL_P1),
+    "target_scaling": (q_target_scaling, SQL_P14),
+    "residuals": (q_residuals, SQL_P18),
+    "outlier_summary": (q_outlier_summary, SQL_F2_SUMMARY),
+    "median_fill": (q_median_fill, _sql_median_fill()),
+    "scale_except_codes": (q_scale_except_codes, _sql_scale_codes()),
+    "model_score": (q_model_score, SQL_MODEL_SCORE),
+    "forest_stats": (q_forest_stats, SQL_FOREST_STATS),
+    "evaluate_holdout": (q_evaluate_holdout, SQL_EVALUATE),
+    "preset_balanced": (_preset("balanced"), None),
 }

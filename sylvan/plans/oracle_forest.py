@@ -12,7 +12,7 @@ written over that node table.  It is a test oracle only.
 
 from __future__ import annotations
 
-from sylvan.plans.sqlkit import h8, poisson, subset_sql
+from sylvan.plans.sqlkit import h8, poisson, subset_sql, uni
 
 
 def _xcase(n_features: int, fcol: str = "feature") -> str:
@@ -20,8 +20,74 @@ def _xcase(n_features: int, fcol: str = "feature") -> str:
     return f"(case {fcol} {whens} end)"
 
 
+def _best_search(d: int, nf: int, min_leaf: int) -> list:
+    """Exact search CTEs: every midpoint between consecutive distinct
+    values, running sums per (tree, node, feature), node totals."""
+    part = "partition by tree_id, node_id, feature"
+    run = f"over ({part} order by v rows between unbounded preceding and current row)"
+    return [
+        f"lg{d} as (select * from (select r.tree_id, r.node_id, sb.feature, "
+        f"{_xcase(nf, 'sb.feature')} as v, r.w, r.yc from r{d} r join sb{d} sb "
+        f"on r.tree_id = sb.tree_id and r.node_id = sb.node_id) where v is not null)",
+        f"ag{d} as (select tree_id, node_id, feature, v, cast(sum(w) as double) as cw, "
+        f"sum(w * yc) as cs, sum(w * yc * yc) as cq from lg{d} group by all)",
+        f"cu{d} as (select tree_id, node_id, feature, v, lead(v) over ({part} order by v) as nv, "
+        f"sum(cw) {run} as lw, sum(cs) {run} as ls, sum(cq) {run} as lq from ag{d})",
+        f"ca{d} as (select tree_id, node_id, feature, (v + nv) / 2 as threshold, lw, "
+        f"round(case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end, 10) as rk "
+        f"from (select cu.*, st.n as tw, st.s as ts, st.q as tq from cu{d} cu join st{d} st "
+        f"on cu.tree_id = st.tree_id and cu.node_id = st.node_id) "
+        f"where nv is not null and lw >= {min_leaf} and tw - lw >= {min_leaf})",
+        f"bs{d} as (select tree_id, node_id, feature, threshold from (select *, row_number() over "
+        f"(partition by tree_id, node_id order by rk, feature, threshold) as rn from ca{d}) "
+        f"where rn = 1)",
+    ]
+
+
+def _random_search(d: int, nf: int, min_leaf: int, seed, splitter: str, n_draws: int) -> list:
+    """Candidate CTEs of the random / extra-random splitters: hash-drawn
+    feature (with replacement from the node's sorted subset) and uniform
+    threshold in the node's [min, max] of that feature."""
+    salt = "r" if splitter == "random" else "x"
+    uf = uni(h8(f"'{seed}'", f"'{salt}f'", "s.tree_id", "s.node_id", "c.range"))
+    ut = uni(h8(f"'{seed}'", f"'{salt}t'", "s.tree_id", "s.node_id", "c.range"))
+    cap = "where c.range < len(s.fs)" if splitter == "random" else ""
+    order = "rk, feature, threshold" if splitter == "random" else "cand, feature, threshold"
+    xv = _xcase(nf, "c.feature")
+    return [
+        f"sl{d} as (select tree_id, node_id, list(feature order by feature) as fs from sb{d} group by all)",
+        f"cd{d} as (select s.tree_id, s.node_id, cast(c.range as integer) as cand, "
+        f"s.fs[cast(floor({uf} * len(s.fs)) as integer) + 1] as feature, {ut} as u "
+        f"from sl{d} s cross join range({n_draws}) c {cap})",
+        f"rg{d} as (select r.tree_id, r.node_id, sb.feature, min({_xcase(nf, 'sb.feature')}) as vmin, "
+        f"max({_xcase(nf, 'sb.feature')}) as vmax from r{d} r join sb{d} sb "
+        f"on r.tree_id = sb.tree_id and r.node_id = sb.node_id group by all)",
+        f"ce{d} as (select cd.tree_id, cd.node_id, cd.cand, cd.feature, "
+        f"rg.vmin + cd.u * (rg.vmax - rg.vmin) as threshold from cd{d} cd join rg{d} rg "
+        f"on cd.tree_id = rg.tree_id and cd.node_id = rg.node_id and cd.feature = rg.feature "
+        f"where rg.vmax > rg.vmin)",
+        f"ev{d} as (select c.tree_id, c.node_id, c.cand, c.feature, c.threshold, "
+        f"cast(sum(case when {xv} <= c.threshold then r.w else 0 end) as double) as lw, "
+        f"sum(case when {xv} <= c.threshold then r.w * r.yc else 0.0 end) as ls, "
+        f"sum(case when {xv} <= c.threshold then r.w * r.yc * r.yc else 0.0 end) as lq "
+        f"from r{d} r join ce{d} c on r.tree_id = c.tree_id and r.node_id = c.node_id group by all)",
+        f"ca{d} as (select *, round(case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end, 10) as rk "
+        f"from (select e.*, st.n as tw, st.s as ts, st.q as tq from ev{d} e join st{d} st "
+        f"on e.tree_id = st.tree_id and e.node_id = st.node_id) "
+        f"where lw >= {min_leaf} and tw - lw >= {min_leaf})",
+        f"bs{d} as (select tree_id, node_id, feature, threshold from (select *, row_number() over "
+        f"(partition by tree_id, node_id order by {order}) as rn from ca{d}) where rn = 1)",
+    ]
+
+
+CHILD = ("(greatest(lq - ls * ls / lw, 0.0) + "
+         "greatest((tq - lq) - (ts - ls) * (ts - ls) / (tw - lw), 0.0))")
+PARENT = "greatest(tq - ts * ts / tw, 0.0)"
+
+
 def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int, depth: int,
-                min_split: int, min_leaf: int, m: int, seed, bootstrap: bool = True) -> list:
+                min_split: int, min_leaf: int, m: int, seed, bootstrap: bool = True,
+                splitter: str = "best", n_draws: int = 10) -> list:
     """CTE list ending in ``nodes`` (the node table) and ``fx`` (rows)."""
     nf = len(feature_exprs)
     xs = ", ".join(f"cast({e} as double) as x{i}" for i, e in enumerate(feature_exprs))
@@ -53,34 +119,10 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
             f"ac{d} as (select st{d}.* from st{d} cross join g where n >= {min_split} "
             f"and n >= {2 * min_leaf} and {mse} > 1e-10 * g.vr)")
         ctes.append(f"sb{d} as ({subset_sql(f'select tree_id, node_id from ac{d}', nf, m, seed)})")
-        ctes.append(
-            f"lg{d} as (select * from (select r.tree_id, r.node_id, sb.feature, "
-            f"{_xcase(nf, 'sb.feature')} as v, r.w, r.yc from r{d} r join sb{d} sb "
-            f"on r.tree_id = sb.tree_id and r.node_id = sb.node_id) where v is not null)")
-        ctes.append(
-            f"ag{d} as (select tree_id, node_id, feature, v, cast(sum(w) as double) as cw, "
-            f"sum(w * yc) as cs, sum(w * yc * yc) as cq from lg{d} group by all)")
-        part = "partition by tree_id, node_id, feature"
-        ctes.append(
-            f"cu{d} as (select tree_id, node_id, feature, v, "
-            f"lead(v) over ({part} order by v) as nv, "
-            f"sum(cw) over ({part} order by v rows between unbounded preceding and current row) as lw, "
-            f"sum(cs) over ({part} order by v rows between unbounded preceding and current row) as ls, "
-            f"sum(cq) over ({part} order by v rows between unbounded preceding and current row) as lq "
-            f"from ag{d})")
-        child = ("(greatest(lq - ls * ls / lw, 0.0) + "
-                 "greatest((tq - lq) - (ts - ls) * (ts - ls) / (tw - lw), 0.0))")
-        parent = "greatest(tq - ts * ts / tw, 0.0)"
-        ctes.append(
-            f"ca{d} as (select tree_id, node_id, feature, (v + nv) / 2 as threshold, lw, "
-            f"round(case when {parent} > 0 then {child} / {parent} else 0.0 end, 10) as rk "
-            f"from (select cu.*, st.n as tw, st.s as ts, st.q as tq from cu{d} cu join st{d} st "
-            f"on cu.tree_id = st.tree_id and cu.node_id = st.node_id) "
-            f"where nv is not null and lw >= {min_leaf} and tw - lw >= {min_leaf})")
-        ctes.append(
-            f"bs{d} as (select tree_id, node_id, feature, threshold from (select *, row_number() over "
-            f"(partition by tree_id, node_id order by rk, feature, threshold) as rn from ca{d}) "
-            f"where rn = 1)")
+        if splitter != "best":
+            ctes.extend(_random_search(d, nf, min_leaf, seed, splitter, n_draws))
+        else:
+            ctes.extend(_best_search(d, nf, min_leaf))
         ctes.append(
             f"sp{d} as (select b.*, (select max(node_id) from st{d} s where s.tree_id = b.tree_id) + 1 "
             f"+ 2 * (row_number() over (partition by b.tree_id order by b.node_id) - 1) as left_id "
