@@ -7,6 +7,7 @@ metrics in long form with the target flag.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +60,8 @@ def run_preset(spark: SparkSession, sf_dir: str, name: str, target_r2: float = 0
     cfg = {**PRESETS[name], **overrides}
     frame, feats, target = preset_frame(spark, sf_dir, cfg.pop("features"))
     frame = clean.median_fill(frame, feats)
-    frame = SP.train_test_split(frame, test_size=0.2, seed=42)
+    # the prepared frame feeds several jobs (scaler fit, forest, scoring): keep it
+    frame = SP.train_test_split(frame, test_size=0.2, seed=42).persist(StorageLevel.MEMORY_AND_DISK)
     train = frame.where(F.col("split") == "train")
     test = frame.where(F.col("split") == "test")
     scaler = C.StandardScaler(feats).fit(train)
