@@ -126,7 +126,10 @@ def best_splits_exact(long_rows: DataFrame, totals: DataFrame, min_samples_leaf:
             (F.col("ow") + F.col("rw")).alias("lw"), (F.col("os") + F.col("rs")).alias("ls"),
             (F.col("oq") + F.col("rq")).alias("lq"))
     c = c.join(_totals(totals, broadcast_totals), ["tree_id", "node_id"], "inner")
-    c = c.withColumn("threshold", (F.col("v") + F.col("_nxt")) / 2)
+    # midpoint; when v and the next value are adjacent doubles the midpoint
+    # rounds onto the next value, so fall back to v to keep left = {x <= t}
+    mid = (F.col("v") + F.col("_nxt")) / 2
+    c = c.withColumn("threshold", F.when(mid < F.col("_nxt"), mid).otherwise(F.col("v")))
     msl = F.lit(float(min_samples_leaf))
     c = c.where(F.col("_nxt").isNotNull() & (F.col("lw") >= msl) & ((F.col("tw") - F.col("lw")) >= msl))
     return _argmin(_score_columns(c), ["_rank", "feature", "threshold"])

@@ -887,22 +887,69 @@ def q_extra_random_split(spark, sf):
     return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
+CV_K, CV_T, CV_DEPTH = 3, 5, 4
+
+
 def q_cross_validate(spark, sf):
+    """3-fold CV of a 5-tree forest (all folds grown in one fit)."""
     from sylvan.operators.cv import cross_validate
     res = cross_validate(H.housing_totals(spark, sf), TOT, Y,
-                         ForestParams(n_trees=5, max_depth=4, min_samples_leaf=5, seed=42), k=3)
+                         ForestParams(n_trees=CV_T, max_depth=CV_DEPTH, min_samples_leaf=5, seed=42), k=CV_K)
     return rnd(res, {"value": 6})
 
 
+def _sql_cv():
+    fold = f"cast(least(floor({uni(h8('row_key', repr('42')))} * {CV_K}), {CV_K - 1}) as integer)"
+    src = f"(select *, {fold} as fold from h)"
+    ctes = [f"h as ({HOUSING_SQL})"] + OF.forest_ctes(
+        TOT, Y, src, CV_K * CV_T, CV_DEPTH, 2, 5, 2, 42, True,
+        mask=f"case when {fold.replace('row_key', 'fx.row_key')} = t.range // {CV_T} then 0 else 1 end")
+    rows = ("select row_key, " + ", ".join(f"cast({c} as double) as x{i}" for i, c in enumerate(TOT))
+            + " from h")
+    ctes += OF.predict_ctes(rows, len(TOT), CV_K * CV_T, CV_DEPTH)
+    ctes += [f"cvp as (select pt.row_key, any_value(fx.y) as y, avg(pt.p) as p, "
+             f"any_value({fold.replace('row_key', 'pt.row_key')}) as fold from pt join fx using (row_key) "
+             f"where pt.tree_id // {CV_T} = {fold.replace('row_key', 'pt.row_key')} group by pt.row_key)",
+             _sql_metrics_body("cvp", "fold")]
+    return ("with " + ",\n".join(ctes) + "\nselect fold, metric, round(value, 6) as value from met "
+            "unpivot (value for metric in (r2_score, rmse, mae))")
+
+
+GRID_SMALL = {"n_trees": [3, 6], "max_depth": [2, 4], "min_samples_split": [10], "min_samples_leaf": [5]}
+
+
 def q_grid_search(spark, sf):
+    """G1: validation R^2 of a 2 x 2 x 1 x 1 grid; one fit per
+    (min_split, min_leaf), smaller settings scored as prefixes / cuts."""
     from sylvan.operators.cv import grid_search
     h = SP.three_way_split(H.housing_totals(spark, sf), seed=42)
     res = grid_search(h.where(F.col("split") == "train"), h.where(F.col("split") == "val"), TOT, Y,
-                      {"n_trees": [3, 6], "max_depth": [2, 4], "min_samples_split": [10],
-                       "min_samples_leaf": [5]}, seed=42)
+                      GRID_SMALL, seed=42)
     return rnd(res, {"r2_score": 6})
 
 
+def _sql_grid():
+    hh = h8("row_key", repr("42"))
+    split = (f"case when {hh} < {hexcut(0.15)} then 'test' when {hh} < {hexcut(0.15 + 0.85 * 0.176)} "
+             f"then 'val' else 'train' end")
+    src = f"(select * from (select *, {split} as split from h) where split = 'train')"
+    ntr, dep = max(GRID_SMALL["n_trees"]), max(GRID_SMALL["max_depth"])
+    ctes = [f"h as ({HOUSING_SQL})"] + OF.forest_ctes(TOT, Y, src, ntr, dep, 10, 5, 2, 42, True)
+    val = ("select row_key, " + ", ".join(f"cast({c} as double) as x{i}" for i, c in enumerate(TOT))
+           + f", cast({Y} as double) as y from (select *, {split} as split from h) where split = 'val'")
+    parts = []
+    for n in GRID_SMALL["n_trees"]:
+        for d in GRID_SMALL["max_depth"]:
+            pre = f"g{n}_{d}_"
+            ctes += OF.predict_ctes(val, len(TOT), n, d, prefix=pre)
+            parts.append(
+                f"select {n} as n_trees, {d} as max_depth, 10 as min_samples_split, 5 as min_samples_leaf, "
+                f"round(case when var_pop(y) > 0 then 1 - avg((y - pr) * (y - pr)) / var_pop(y) else 0 end, 6) "
+                f"as r2_score from (select v.row_key, any_value(v.y) as y, avg(t.p) as pr from {pre}pt t "
+                f"join ({val}) v using (row_key) group by v.row_key)")
+    return "with " + ",\n".join(ctes) + "\n" + " union all ".join(parts)
+
+
 def q_stream_score(spark, sf):
     from sylvan.streaming.score_stream import stream_score_available_now
     return rnd(stream_score_available_now(spark, H.housing_totals(spark, sf).select("row_key", *TOT),
@@ -1143,8 +1190,8 @@ QUERIES = {
     "grid": (q_grid, SQL_GRID),
     "forest_fit": (q_forest_fit, SQL_FOREST_FIT),
     "oob_score": (q_oob_score, SQL_OOB),
-    "cross_validate": (q_cross_validate, None),
-    "grid_search": (q_grid_search, None),
+    "cross_validate": (q_cross_validate, _sql_cv()),
+    "grid_search": (q_grid_search, _sql_grid()),
     "training_pipeline": (q_training_pipeline, None),
     "stream_score": (q_stream_score, SQL_STREAM),
     "prediction_sink": (q_prediction_sink, SQL_PREDICT_UNC),

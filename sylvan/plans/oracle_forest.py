@@ -33,7 +33,8 @@ def _best_search(d: int, nf: int, min_leaf: int) -> list:
         f"sum(w * yc) as cs, sum(w * yc * yc) as cq from lg{d} group by all)",
         f"cu{d} as (select tree_id, node_id, feature, v, lead(v) over ({part} order by v) as nv, "
         f"sum(cw) {run} as lw, sum(cs) {run} as ls, sum(cq) {run} as lq from ag{d})",
-        f"ca{d} as (select tree_id, node_id, feature, (v + nv) / 2 as threshold, lw, "
+        f"ca{d} as (select tree_id, node_id, feature, "
+        f"case when (v + nv) / 2 < nv then (v + nv) / 2 else v end as threshold, lw, "
         f"round(case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end, 10) as rk "
         f"from (select cu.*, st.n as tw, st.s as ts, st.q as tq from cu{d} cu join st{d} st "
         f"on cu.tree_id = st.tree_id and cu.node_id = st.node_id) "
@@ -87,11 +88,16 @@ PARENT = "greatest(tq - ts * ts / tw, 0.0)"
 
 def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int, depth: int,
                 min_split: int, min_leaf: int, m: int, seed, bootstrap: bool = True,
-                splitter: str = "best", n_draws: int = 10) -> list:
-    """CTE list ending in ``nodes`` (the node table) and ``fx`` (rows)."""
+                splitter: str = "best", n_draws: int = 10, mask: str | None = None) -> list:
+    """CTE list ending in ``nodes`` (the node table) and ``fx`` (rows).
+
+    ``mask``: optional SQL factor on the bag weight, over ``fx`` columns
+    and the tree index ``t.range`` (cross-validation folds)."""
     nf = len(feature_exprs)
     xs = ", ".join(f"cast({e} as double) as x{i}" for i, e in enumerate(feature_exprs))
     w = poisson(h8("fx.row_key", f"'{seed}'", "t.range")) if bootstrap else "1"
+    if mask:
+        w = f"cast(({w}) * ({mask}) as integer)"
     ctes = [
         f"fx as (select row_key, {xs}, cast({target_expr} as double) as y from {source} "
         f"where {target_expr} is not null)",
@@ -145,18 +151,22 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
     return ctes
 
 
-def predict_ctes(source_rows: str, n_features: int, n_trees: int, depth: int) -> list:
-    """CTEs ending in ``pt`` = (row_key, tree_id, p): per-tree predictions
-    of every row of ``source_rows`` (columns row_key, x0..)."""
-    ctes = [f"q0 as (select s.*, cast(t.range as integer) as tree_id, 0 as node_id "
+def predict_ctes(source_rows: str, n_features: int, n_trees: int, depth: int,
+                 prefix: str = "") -> list:
+    """CTEs ending in ``{prefix}pt`` = (row_key, tree_id, p): per-tree
+    predictions of every row of ``source_rows`` (columns row_key, x0..)
+    for the first ``n_trees`` trees, walking at most ``depth`` levels (a
+    node reached at that depth answers with its stored mean)."""
+    q = f"{prefix}q"
+    ctes = [f"{q}0 as (select s.*, cast(t.range as integer) as tree_id, 0 as node_id "
             f"from ({source_rows}) s cross join range({n_trees}) t)"]
     for d in range(depth):
         ctes.append(
-            f"q{d + 1} as (select q.* exclude (node_id), case when n.is_leaf then q.node_id "
+            f"{q}{d + 1} as (select q.* exclude (node_id), case when n.is_leaf then q.node_id "
             f"when {_xcase(n_features, 'n.feature')} <= n.threshold then n.left_id "
-            f"else n.right_id end as node_id from q{d} q join nodes n "
+            f"else n.right_id end as node_id from {q}{d} q join nodes n "
             f"on q.tree_id = n.tree_id and q.node_id = n.node_id)")
-    ctes.append(f"pt as (select q.row_key, q.tree_id, n.value as p from q{depth} q join nodes n "
+    ctes.append(f"{prefix}pt as (select q.row_key, q.tree_id, n.value as p from {q}{depth} q join nodes n "
                 f"on q.tree_id = n.tree_id and q.node_id = n.node_id)")
     return ctes
 
