@@ -37,26 +37,29 @@ def matrix_list(mat: np.ndarray, pa_type) -> pa.Array:
 
 
 def route_level(nid: np.ndarray, x: np.ndarray, lv: dict) -> np.ndarray:
-    """One level of routing for all trees.
+    """One level of routing for all trees (heap node ids).
 
-    ``lv``: per tree ``lo`` (first frontier id), ``cnt`` (frontier size),
-    ``off`` (offset into the flat arrays); flat ``f`` (feature),
-    ``t`` (threshold), ``l`` (left child id, -1 = not split).
-    Left when x[f] <= t; NaN goes right.
+    ``lv``: per tree ``off`` / ``cnt`` into flat arrays of the nodes split
+    at this level -- ``ids`` (ascending per tree), ``f`` (feature), ``t``
+    (threshold), ``l`` (left child id).  Left when x[f] <= t; NaN goes
+    right; rows in nodes not split at this level keep their id.
     """
-    j = nid - lv["lo"][None, :]
-    inside = (j >= 0) & (j < lv["cnt"][None, :])
-    idx = lv["off"][None, :] + np.where(inside, j, 0)
-    if len(lv["l"]) == 0:
-        return nid
-    left = lv["l"][idx]
-    split = inside & (left >= 0)
-    feat = lv["f"][idx]
-    v = np.take_along_axis(x, np.clip(feat, 0, max(x.shape[1] - 1, 0)), axis=1) if x.shape[1] else \
-        np.full(nid.shape, np.nan)
-    go_left = v <= lv["t"][idx]
-    child = np.where(go_left, left, left + 1)
-    return np.where(split, child, nid).astype(np.int32)
+    out = nid.copy()
+    rows = np.arange(nid.shape[0])
+    for tree in range(nid.shape[1]):
+        c = int(lv["cnt"][tree])
+        if c == 0:
+            continue
+        o = int(lv["off"][tree])
+        seg = lv["ids"][o:o + c]
+        k = nid[:, tree]
+        pos = np.clip(np.searchsorted(seg, k), 0, c - 1)
+        found = seg[pos] == k
+        g = o + pos
+        v = x[rows, lv["f"][g]] if x.shape[1] else np.full(len(k), np.nan)
+        child = np.where(v <= lv["t"][g], lv["l"][g], lv["l"][g] + 1)
+        out[:, tree] = np.where(found, child, k)
+    return out
 
 
 def predict_trees(x: np.ndarray, fm: dict) -> np.ndarray:

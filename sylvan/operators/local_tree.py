@@ -1,0 +1,155 @@
+"""In-memory finish of small nodes (the PLANET "InMemoryBuild" phase).
+
+Once a node holds at most ``local_rows`` weighted rows, the level-wise
+Spark jobs are mostly overhead.  Such nodes are finished in ONE grouped
+``applyInPandas`` job: rows are shuffled by (tree, node) -- a group is
+bounded by ``local_rows`` by construction -- and each task grows that
+node's subtree with NumPy using exactly the rules of the distributed
+path: weighted sums, hash-chosen feature subsets keyed by the node's
+path id, midpoint candidates (kept below the next value), scores
+normalised by the node SSE and rounded to 10 decimals, ties by
+(feature, threshold), and the same stop rules.  Node ids are heap ids
+(root 1, children 2k and 2k+1), so a subtree numbers itself.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pandas as pd
+
+TWO32 = 4294967296.0
+MAX_HEAP_DEPTH = 62
+
+
+def _h8(*parts) -> str:
+    return hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:8]
+
+
+def _u(*parts) -> float:
+    return int(_h8(*parts), 16) / TWO32
+
+
+def subset_for(seed, tree: int, node: int, n_features: int, m: int) -> list[int]:
+    """SP7: the m features with the smallest md5(seed|tree|node|f), sorted."""
+    if m >= n_features:
+        return list(range(n_features))
+    hs = sorted((_h8(seed, tree, node, f), f) for f in range(n_features))
+    return sorted(f for _, f in hs[:m])
+
+
+def _sse(n, s, q):
+    return np.maximum(q - s * s / n, 0.0)
+
+
+def _rank(child, parent):
+    if parent > 0:
+        return np.round(child / parent, 10)
+    return np.zeros_like(child)
+
+
+def _best_exact(x, w, yc, feats, tot, msl):
+    n, s, q = tot
+    parent = max(q - s * s / n, 0.0)
+    best = None
+    for f in feats:
+        v = x[:, f]
+        ok = ~np.isnan(v)
+        if ok.sum() < 2:
+            continue
+        vv, ww, yy = v[ok], w[ok], yc[ok]
+        order = np.argsort(vv, kind="stable")
+        vv, ww, yy = vv[order], ww[order], yy[order]
+        cw, cs, cq = np.cumsum(ww), np.cumsum(ww * yy), np.cumsum(ww * yy * yy)
+        last = np.flatnonzero(np.r_[vv[1:] != vv[:-1], True])  # last index of each distinct value
+        if len(last) < 2:
+            continue
+        u = vv[last]
+        lw, ls, lq = cw[last][:-1], cs[last][:-1], cq[last][:-1]
+        mid = (u[:-1] + u[1:]) / 2
+        thr = np.where(mid < u[1:], mid, u[:-1])
+        valid = (lw >= msl) & ((n - lw) >= msl)
+        if not valid.any():
+            continue
+        lw, ls, lq, thr = lw[valid], ls[valid], lq[valid], thr[valid]
+        child = _sse(lw, ls, lq) + _sse(n - lw, s - ls, q - lq)
+        rk = _rank(child, parent)
+        i = np.lexsort((thr, rk))[0]
+        cand = (float(rk[i]), int(f), float(thr[i]))
+        if best is None or cand < best:
+            best = cand
+    return None if best is None else (best[1], best[2])
+
+
+def _best_random(x, w, yc, feats, tot, msl, seed, tree, node, splitter, n_draws):
+    n, s, q = tot
+    parent = max(q - s * s / n, 0.0)
+    salt = "r" if splitter == "random" else "x"
+    draws = min(n_draws, len(feats)) if splitter == "random" else n_draws
+    best = None
+    for c in range(draws):
+        f = feats[int(np.floor(_u(seed, salt + "f", tree, node, c) * len(feats)))]
+        v = x[:, f]
+        ok = ~np.isnan(v)
+        if not ok.any():
+            continue
+        vmin, vmax = v[ok].min(), v[ok].max()
+        if not vmax > vmin:
+            continue
+        t = vmin + _u(seed, salt + "t", tree, node, c) * (vmax - vmin)
+        left = ok & (v <= t)
+        lw = w[left].sum()
+        if lw < msl or (n - lw) < msl:
+            continue
+        ls, lq = (w * yc)[left].sum(), (w * yc * yc)[left].sum()
+        child = float(_sse(lw, ls, lq) + _sse(n - lw, s - ls, q - lq))
+        rk = float(_rank(np.array([child]), parent)[0])
+        key = (rk, f, t) if splitter == "random" else (c, f, t)
+        if best is None or key < best[0]:
+            best = (key, f, t)
+    return None if best is None else (best[1], best[2])
+
+
+def grow_subtree(pdf: pd.DataFrame, cfg: dict) -> pd.DataFrame:
+    """Grow the subtree below one (tree, node); returns its node rows."""
+    tree = int(pdf["tree_id"].iloc[0])
+    root = int(pdf["node_id"].iloc[0])
+    depth0 = int(cfg["depth"])
+    nf, m = cfg["n_features"], cfg["m"]
+    x = np.stack(pdf["x"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, nf))
+    w = pdf["w"].to_numpy().astype(np.float64)
+    yc = pdf["yc"].to_numpy().astype(np.float64)
+    max_depth = cfg["max_depth"]
+    out = []
+    stack = [(root, depth0, np.arange(len(w)))]
+    while stack:
+        node, depth, idx = stack.pop()
+        ww, yy = w[idx], yc[idx]
+        n, s, q = ww.sum(), (ww * yy).sum(), (ww * yy * yy).sum()
+        mean_c = s / n if n > 0 else 0.0
+        mse = max(q / n - mean_c * mean_c, 0.0) if n > 0 else 0.0
+        mse = mse if mse > cfg["tol"] else 0.0
+        row = dict(tree_id=tree, node_id=node, depth=depth, feature=None, threshold=None,
+                   left_id=None, right_id=None, value=cfg["ybar"] + mean_c, n=float(n), mse=mse,
+                   is_leaf=True)
+        stop = ((max_depth is not None and depth >= max_depth) or n < cfg["mss"]
+                or n < 2 * cfg["msl"] or mse <= cfg["tol"])
+        if not stop:
+            feats = subset_for(cfg["seed"], tree, node, nf, m)
+            xs = x[idx]
+            if cfg["splitter"] == "best":
+                sp = _best_exact(xs, ww, yy, feats, (n, s, q), cfg["msl"])
+            else:
+                sp = _best_random(xs, ww, yy, feats, (n, s, q), cfg["msl"], cfg["seed"], tree, node,
+                                  cfg["splitter"], cfg["n_draws"])
+            if sp is not None:
+                f, t = sp
+                go_left = xs[:, f] <= t  # NaN compares False: right
+                row.update(feature=f, threshold=t, left_id=2 * node, right_id=2 * node + 1,
+                           is_leaf=False)
+                stack.append((2 * node + 1, depth + 1, idx[~go_left]))
+                stack.append((2 * node, depth + 1, idx[go_left]))
+        out.append(row)
+    return pd.DataFrame(out, columns=["tree_id", "node_id", "depth", "feature", "threshold", "left_id",
+                                      "right_id", "value", "n", "mse", "is_leaf"])

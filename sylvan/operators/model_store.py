@@ -128,7 +128,7 @@ def tree_rules(nodes: DataFrame, feature_names=None, max_depth: int | None = Non
             return F.concat(F.lit("x"), F.col(c).cast("string"))
         return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(c) + 1)
 
-    cur = nodes.where(F.col("node_id") == 0).select("tree_id", "node_id", F.lit("").alias("path"))
+    cur = nodes.where(F.col("depth") == 0).select("tree_id", "node_id", F.lit("").alias("path"))
     paths = [cur]
     depth = max_depth if max_depth is not None else nodes.agg(F.max("depth")).first()[0] or 0
     inner = nodes.where(~F.col("is_leaf")).select(

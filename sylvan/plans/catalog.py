@@ -503,7 +503,8 @@ SQL_SP5 = f"select row_key, tree_id from ({SQL_SP4}) where w = 0"
 
 FOREST = dict(n_trees=4, max_depth=2, min_samples_split=10, min_samples_leaf=5, max_features="sqrt", seed=42)
 STUMP = dict(n_trees=1, max_depth=1, min_samples_split=2, min_samples_leaf=1, max_features=None,
-             seed=7, bootstrap=False)
+             seed=7, bootstrap=False, local_rows=0)
+FOREST_LEVELWISE = dict(FOREST, local_rows=0)
 _MODELS: dict = {}
 
 
@@ -536,9 +537,16 @@ def _leaf_codes(df: DataFrame) -> DataFrame:
 
 
 def q_forest_fit(spark, sf):
+    """T9 with defaults: small nodes finish in the grouped in-memory phase."""
     return _leaf_codes(rnd(fitted(spark, sf).nodes_df(spark), NODE_ROUND))
 
 
+def q_forest_fit_levelwise(spark, sf):
+    """T9 with every level as distributed Spark jobs (local_rows = 0)."""
+    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_LEVELWISE))
+    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
+
+
 def _fsql(body: str, cfg=FOREST, more: list = ()) -> str:
     ctes = [f"h as ({HOUSING_SQL})"] + _forest_sql(cfg) + list(more)
     return "with " + ",\n".join(ctes) + "\n" + body
@@ -553,22 +561,22 @@ SQL_FOREST_FIT = _fsql(SQL_NODES)
 
 def q_best_split(spark, sf):
     """Root split of a single unbagged tree over all features."""
-    return rnd(fitted(spark, sf, "stump").nodes_df(spark).where(F.col("node_id") == 0)
+    return rnd(fitted(spark, sf, "stump").nodes_df(spark).where(F.col("depth") == 0)
                .select("feature", "threshold", "n", "value", "mse"), NODE_ROUND)
 
 
 SQL_BEST_SPLIT = _fsql("select feature, round(threshold, 6) as threshold, n, round(value, 4) as value, "
-                       "round(mse, 1) as mse from nodes where node_id = 0", STUMP)
+                       "round(mse, 1) as mse from nodes where depth = 0", STUMP)
 
 
 def q_best_split_bootstrap(spark, sf):
     """Root split of every bagged tree (T3 with Poisson weights, SP7 subsets)."""
-    return rnd(fitted(spark, sf).nodes_df(spark).where(F.col("node_id") == 0)
+    return rnd(fitted(spark, sf).nodes_df(spark).where(F.col("depth") == 0)
                .select("tree_id", "feature", "threshold", "n"), {"threshold": 6})
 
 
 SQL_BEST_SPLIT_BOOT = _fsql("select tree_id, feature, round(threshold, 6) as threshold, n from nodes "
-                            "where node_id = 0")
+                            "where depth = 0")
 
 
 def q_node_stats(spark, sf):
@@ -680,7 +688,7 @@ def q_tree_rules(spark, sf):
 
 def _sql_rules():
     names = "[" + ", ".join(f"'{c}'" for c in TOT) + "]"
-    body = f"""rl0 as (select tree_id, node_id, '' as path from nodes where node_id = 0),
+    body = f"""rl0 as (select tree_id, node_id, '' as path from nodes where depth = 0),
 rl1 as (select n.tree_id, n.left_id as node_id, {names}[n.feature + 1] || ' <= ' || printf('%.9f', n.threshold) as path
         from rl0 r join nodes n using (tree_id, node_id) where not n.is_leaf
         union all
@@ -872,7 +880,7 @@ def q_model_roundtrip(spark, sf):
 # ---- rows-only (iterative or stochastic fits) ---------------------------------------------
 
 RANDOM = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="random", seed=42)
-EXTRA = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="extra", seed=42)
+EXTRA = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="extra", seed=42, local_rows=0)
 
 
 def q_random_split(spark, sf):
@@ -1189,6 +1197,7 @@ QUERIES = {
     "first_predictions": (q_first_predictions, SQL_FIRST),
     "grid": (q_grid, SQL_GRID),
     "forest_fit": (q_forest_fit, SQL_FOREST_FIT),
+    "forest_fit_levelwise": (q_forest_fit_levelwise, SQL_FOREST_FIT),
     "oob_score": (q_oob_score, SQL_OOB),
     "cross_validate": (q_cross_validate, _sql_cv()),
     "grid_search": (q_grid_search, _sql_grid()),

@@ -5,7 +5,7 @@ for a few levels, straight from the definition: weighted node sums, the
 hash-chosen feature subset, every midpoint candidate with weighted
 ``min_samples_leaf`` checks (node totals include rows whose value is
 missing: they go right), the SSE-ratio score rounded to 10 decimals,
-ties by (feature, threshold), breadth-first dense node ids.  Scoring,
+ties by (feature, threshold), heap node ids (root 1, children 2k, 2k+1).  Scoring,
 importances, tree statistics, rules and out-of-bag scores are then
 written over that node table.  It is a test oracle only.
 """
@@ -104,7 +104,7 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
         "g as (select avg(y) as mu, var_pop(y) as vr from fx)",
         f"bag as (select * from (select fx.*, cast(t.range as integer) as tree_id, {w} as w, "
         f"fx.y - g.mu as yc from fx cross join range({n_trees}) t cross join g) where w > 0)",
-        "r0 as (select tree_id, 0 as node_id, * exclude (tree_id) from bag)",
+        "r0 as (select tree_id, cast(1 as bigint) as node_id, * exclude (tree_id) from bag)",
     ]
     node_parts = []
     for d in range(depth + 1):
@@ -115,8 +115,8 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
         if d == depth:
             ctes.append(
                 f"nd{d} as (select st{d}.tree_id, node_id, {d} as depth, cast(null as integer) as feature, "
-                f"cast(null as double) as threshold, cast(null as integer) as left_id, "
-                f"cast(null as integer) as right_id, g.mu + s / n as value, n, "
+                f"cast(null as double) as threshold, cast(null as bigint) as left_id, "
+                f"cast(null as bigint) as right_id, g.mu + s / n as value, n, "
                 f"case when {mse} > 1e-10 * g.vr then {mse} else 0.0 end as mse, true as is_leaf "
                 f"from st{d} cross join g)")
             node_parts.append(f"nd{d}")
@@ -129,13 +129,10 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
             ctes.extend(_random_search(d, nf, min_leaf, seed, splitter, n_draws))
         else:
             ctes.extend(_best_search(d, nf, min_leaf))
-        ctes.append(
-            f"sp{d} as (select b.*, (select max(node_id) from st{d} s where s.tree_id = b.tree_id) + 1 "
-            f"+ 2 * (row_number() over (partition by b.tree_id order by b.node_id) - 1) as left_id "
-            f"from bs{d} b)")
+        ctes.append(f"sp{d} as (select b.*, 2 * b.node_id as left_id from bs{d} b)")
         ctes.append(
             f"nd{d} as (select s.tree_id, s.node_id, {d} as depth, cast(p.feature as integer) as feature, "
-            f"p.threshold, cast(p.left_id as integer) as left_id, cast(p.left_id + 1 as integer) as right_id, "
+            f"p.threshold, cast(p.left_id as bigint) as left_id, cast(p.left_id + 1 as bigint) as right_id, "
             f"g.mu + s.s / s.n as value, s.n, "
             f"case when greatest(s.q / s.n - (s.s / s.n) * (s.s / s.n), 0.0) > 1e-10 * g.vr then "
             f"greatest(s.q / s.n - (s.s / s.n) * (s.s / s.n), 0.0) else 0.0 end as mse, "
@@ -144,7 +141,7 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
         node_parts.append(f"nd{d}")
         ctes.append(
             f"r{d + 1} as (select r.tree_id, case when {_xcase(nf, 'p.feature')} <= p.threshold "
-            f"then cast(p.left_id as integer) else cast(p.left_id + 1 as integer) end as node_id, "
+            f"then cast(p.left_id as bigint) else cast(p.left_id + 1 as bigint) end as node_id, "
             f"r.* exclude (tree_id, node_id) from r{d} r join sp{d} p "
             f"on r.tree_id = p.tree_id and r.node_id = p.node_id)")
     ctes.append("nodes as (" + " union all ".join(f"select * from {p}" for p in node_parts) + ")")
@@ -158,7 +155,7 @@ def predict_ctes(source_rows: str, n_features: int, n_trees: int, depth: int,
     for the first ``n_trees`` trees, walking at most ``depth`` levels (a
     node reached at that depth answers with its stored mean)."""
     q = f"{prefix}q"
-    ctes = [f"{q}0 as (select s.*, cast(t.range as integer) as tree_id, 0 as node_id "
+    ctes = [f"{q}0 as (select s.*, cast(t.range as integer) as tree_id, cast(1 as bigint) as node_id "
             f"from ({source_rows}) s cross join range({n_trees}) t)"]
     for d in range(depth):
         ctes.append(
