@@ -117,7 +117,7 @@ def grow_subtree(pdf: pd.DataFrame, cfg: dict) -> pd.DataFrame:
     root = int(pdf["node_id"].iloc[0])
     depth0 = int(cfg["depth"])
     nf, m = cfg["n_features"], cfg["m"]
-    x = np.stack(pdf["x"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, nf))
+    x = pdf[[f"x{i}" for i in range(nf)]].to_numpy(dtype=np.float64, na_value=np.nan)
     w = pdf["w"].to_numpy().astype(np.float64)
     yc = pdf["yc"].to_numpy().astype(np.float64)
     max_depth = cfg["max_depth"]
