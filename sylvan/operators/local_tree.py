@@ -7,7 +7,7 @@ bounded by ``local_rows`` by construction -- and each task grows that
 node's subtree with NumPy using exactly the rules of the distributed
 path: weighted sums, hash-chosen feature subsets keyed by the node's
 path id, midpoint candidates (kept below the next value), scores
-normalised by the node SSE and rounded to 10 decimals, ties by
+normalised by the node SSE and rounded to 8 decimals, ties by
 (feature, threshold), and the same stop rules.  Node ids are heap ids
 (root 1, children 2k and 2k+1), so a subtree numbers itself.
 """
@@ -43,9 +43,12 @@ def _sse(n, s, q):
     return np.maximum(q - s * s / n, 0.0)
 
 
+SCORE_DECIMALS = 8
+
+
 def _rank(child, parent):
     if parent > 0:
-        return np.round(child / parent, 10)
+        return np.round(child / parent, SCORE_DECIMALS)
     return np.zeros_like(child)
 
 

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sylvan.session import ensure_checkpoint_dir
+
 
 def _n_partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
@@ -38,9 +40,15 @@ def with_global_position(df: DataFrame, order_cols, group_cols=(),
     keys = g + order_cols + ["_salt"]
     srt = (df.withColumn("_salt", F.monotonically_increasing_id())
              .repartitionByRange(n, *[F.col(k) for k in keys])
-             .sortWithinPartitions(*keys)
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_mid", F.monotonically_increasing_id()))
+             .sortWithinPartitions(*keys))
+    # The sorted partitions are read twice (counts, then positions).  Rows
+    # arriving from shuffles have no fixed order, so a recomputation could
+    # salt and split them differently: cut lineage with a reliable
+    # checkpoint in the cluster's checkpoint folder so both reads agree.
+    ensure_checkpoint_dir(df.sparkSession)
+    srt = (srt.checkpoint(eager=True)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id()))
     small = srt.groupBy("_pid", *g).agg(F.min("_mid").alias("_first"),
                                         F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -22,17 +22,32 @@ class NotFittedError(ValueError):
     pass
 
 
+def significant(x, digits: int | None):
+    """Round a fitted constant to ``digits`` significant digits.
+
+    Floating sums depend on the order partial aggregates are merged,
+    which varies between runs and partitionings; storing the constants
+    to 10 significant digits makes a refit on the same data give the
+    same model, on any cluster and in any engine.
+    """
+    if x is None or digits is None or x == 0 or x != x:
+        return x
+    return float(f"{x:.{digits}g}")
+
+
 @dataclass
 class StandardScaler:
     cols: list
     mean_: dict = field(default_factory=dict)
     scale_: dict = field(default_factory=dict)
+    sig_digits: int | None = 10
 
     def fit(self, df: DataFrame) -> "StandardScaler":
         row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in self.cols],
                      *[F.stddev_pop(c).alias(f"s_{c}") for c in self.cols]).first()
-        self.mean_ = {c: row[f"m_{c}"] for c in self.cols}
-        self.scale_ = {c: (row[f"s_{c}"] if row[f"s_{c}"] else 1.0) for c in self.cols}
+        self.mean_ = {c: significant(row[f"m_{c}"], self.sig_digits) for c in self.cols}
+        self.scale_ = {c: (significant(row[f"s_{c}"], self.sig_digits) if row[f"s_{c}"] else 1.0)
+                       for c in self.cols}
         return self
 
     def _check(self, df: DataFrame):

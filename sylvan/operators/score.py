@@ -54,10 +54,10 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     d = df.withColumn("_x", x)
     if oob:
         seed = model.params.seed
-        trees = F.sequence(F.lit(0), F.lit(nt - 1))
-        d = d.withColumn("_w", F.transform(
-            trees, lambda t: poisson1_weight(hash8(key, F.lit(str(seed)), t)))
-            if model.params.bootstrap else F.array_repeat(F.lit(1), nt))
+        # the fit's bag weights, one unrolled hash per tree (stays in codegen)
+        d = d.withColumn("_w", F.array(*[poisson1_weight(hash8(key, F.lit(str(seed)), F.lit(t)))
+                                         for t in range(nt)])
+                         if model.params.bootstrap else F.array_repeat(F.lit(1), nt))
     extra = [T.StructField("prediction", T.DoubleType())]
     if uncertainty:
         extra.append(T.StructField("uncertainty", T.DoubleType()))

@@ -28,6 +28,23 @@ AVG = H.AVERAGES
 Y = H.HOUSING_TARGET
 
 
+def sig10(x: str) -> str:
+    """DuckDB twin of scale.significant(x, 10)."""
+    return (f"(case when ({x}) = 0 or ({x}) is null then ({x}) else "
+            f"round(({x}), 9 - cast(floor(log10(abs({x}))) as integer)) end)")
+
+
+def std_stats(cols, src: str, prefix_m: str = "m_", prefix_s: str = "s_", by_index: bool = False) -> str:
+    """avg / population std per column, stored to 10 significant digits
+    (zero std -> 1), as StandardScaler.fit does."""
+    parts = []
+    for i, c in enumerate(cols):
+        k = str(i) if by_index else c
+        parts.append(f"{sig10(f'avg({c})')} as {prefix_m}{k}, case when stddev_pop({c}) = 0 then 1.0 "
+                     f"else {sig10(f'stddev_pop({c})')} end as {prefix_s}{k}")
+    return f"select {', '.join(parts)} from {src}"
+
+
 def rnd(df: DataFrame, digits: dict) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
 
@@ -401,10 +418,8 @@ def q_standard_scale(spark, sf):
 
 
 def _sql_std():
-    stats = ", ".join(f"avg({c}) as m_{c}, case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end as s_{c}"
-                      for c in TOT)
     return with_frames("select row_key, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 7) as {c}" for c in TOT)
-                       + f" from hc cross join (select {stats} from hc)", extra=SQL_COMPLETE)
+                       + f" from hc cross join ({std_stats(TOT, 'hc')})", extra=SQL_COMPLETE)
 
 
 def q_standard_inverse(spark, sf):
@@ -446,10 +461,8 @@ def _sql_pipeline():
     fill = ", ".join(f"coalesce({c}, (select avg({c}) from h)) as {c}" for c in TOT)
     zs = ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in TOT)
     cond = " or ".join(f"abs(({c} - m_{c}) / (s_{c} + 1e-8)) > 3.0" for c in TOT)
-    stats = ", ".join(f"avg({c}) as a_{c}, case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end as d_{c}"
-                      for c in TOT)
     body = ("select row_key, " + ", ".join(f"round(({c} - a_{c}) / d_{c}, 7) as {c}" for c in TOT)
-            + f" from kept cross join (select {stats} from kept)")
+            + f" from kept cross join ({std_stats(TOT, 'kept', 'a_', 'd_')})")
     extra = (f"fl as (select row_key, {fill} from h),\n"
              f"kept as (select fl.* from fl cross join (select {zs} from fl) z where not ({cond}))")
     return with_frames(body, extra=extra)
@@ -1075,11 +1088,9 @@ def q_scale_except_codes(spark, sf):
 
 
 def _sql_scale_codes():
-    stats = ", ".join(f"avg({c}) as m_{c}, case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end as s_{c}"
-                      for c in TOT)
     return with_frames("select row_key, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 7) as {c}" for c in TOT)
                        + ", cast(dense_rank() over (order by ocean_proximity) - 1 as integer) as ocean_proximity_code"
-                       + f" from hc2 cross join (select {stats} from hc2)",
+                       + f" from hc2 cross join ({std_stats(TOT, 'hc2')})",
                        extra="hc2 as (select * from h where total_bedrooms is not null)")
 
 
@@ -1133,6 +1144,45 @@ def _preset(name):
     return q
 
 
+def _sql_preset(name: str) -> str:
+    """The named pipeline in SQL: features, exact-median fill, hash split,
+    train-side standard scaling, the forest, held-out metrics."""
+    from sylvan.plans.presets import PRESETS
+    cfg = PRESETS[name]
+    if cfg["features"] == "totals":
+        feats = TOT + ["ocean_proximity_code"]
+        base = ("select row_key, " + ", ".join(TOT) + ", cast(dense_rank() over (order by ocean_proximity) - 1 "
+                f"as double) as ocean_proximity_code, {Y} as y from h")
+        extra_ctes = []
+    else:
+        feats = AVG + P.AVG_ENGINEERED
+        base = ("select row_key, " + ", ".join(AVG) + ", "
+                + ", ".join(f"{e} as {c}" for c, e in P6_SQL.items()) + ", target as y from a")
+        extra_ctes = [f"a as ({AVERAGES_SQL})"]
+    nf = len(feats)
+    fill = ", ".join(f"coalesce({c}, (select median({c}) from pb)) as {c}" for c in feats)
+    hh = h8("row_key", repr("42"))
+    scaled = ", ".join(f"({c} - m{i}) / s{i} as x{i}" for i, c in enumerate(feats))
+    ctes = [f"h as ({HOUSING_SQL})"] + extra_ctes + [
+        f"pb as ({base})",
+        f"pf2 as (select row_key, {fill}, y, case when {hh} < {hexcut(0.2)} then 'test' else 'train' end as split from pb)",
+        f"sst as ({std_stats(feats, '(select * from pf2 where split = ' + chr(39) + 'train' + chr(39) + ')', 'm', 's', True)})",
+        f"sc as (select row_key, {scaled}, y, split from pf2 cross join sst)",
+        "trn as (select * from sc where split = 'train')",
+    ]
+    m = SP.resolve_max_features("sqrt", nf)
+    ctes += OF.forest_ctes([f"x{i}" for i in range(nf)], "y", "trn", cfg["n_trees"], cfg["max_depth"],
+                           cfg["min_samples_split"], cfg["min_samples_leaf"], m, 42, True)
+    tst = "select row_key, " + ", ".join(f"x{i}" for i in range(nf)) + " from sc where split = 'test'"
+    ctes += OF.predict_ctes(tst, nf, cfg["n_trees"], cfg["max_depth"])
+    ctes += ["ev as (select pt.row_key, avg(pt.p) as p, any_value(sc.y) as y from pt join sc using (row_key) "
+             "group by pt.row_key)", _sql_metrics_body("ev", "")]
+    mets = ", ".join(M.ALL_METRICS)
+    body = (f"select metric, round(value, 6) as value from met unpivot (value for metric in ({mets})) "
+            "union all select 'meets_target' as metric, case when r2_score >= 0.8 then 1.0 else 0.0 end from met")
+    return "with " + ",\n".join(ctes) + "\n" + body
+
+
 QUERIES = {
     "csv_roundtrip": (q_csv_roundtrip, SQL_CSV),
     "array_features": (q_array_features, SQL_ARRAY),
@@ -1201,7 +1251,7 @@ QUERIES = {
     "oob_score": (q_oob_score, SQL_OOB),
     "cross_validate": (q_cross_validate, _sql_cv()),
     "grid_search": (q_grid_search, _sql_grid()),
-    "training_pipeline": (q_training_pipeline, None),
+    "training_pipeline": (q_training_pipeline, _sql_preset("quick")),
     "stream_score": (q_stream_score, SQL_STREAM),
     "prediction_sink": (q_prediction_sink, SQL_PREDICT_UNC),
     "split_sink": (q_split_sink, SQL_UNION),
@@ -1215,5 +1265,5 @@ QUERIES = {
     "model_score": (q_model_score, SQL_MODEL_SCORE),
     "forest_stats": (q_forest_stats, SQL_FOREST_STATS),
     "evaluate_holdout": (q_evaluate_holdout, SQL_EVALUATE),
-    "preset_balanced": (_preset("balanced"), None),
+    "preset_balanced": (_preset("balanced"), _sql_preset("balanced")),
 }

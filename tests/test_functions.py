@@ -58,3 +58,14 @@ def test_column_medians_ignore_nulls(spark):
     pdf = pd.DataFrame({"a": [1.0, None, 3.0, 10.0], "b": [2.0, 2.0, None, None]})
     m = column_medians(spark.createDataFrame(pdf), ["a", "b"])
     assert m == {"a": 3.0, "b": 2.0}
+
+
+def test_exact_percentiles_after_a_shuffle_are_stable(spark):
+    # rows arriving from a shuffle have no fixed order; positions must still agree
+    rng = np.random.RandomState(5)
+    pdf = pd.DataFrame({"v": np.round(rng.randn(4000) * 100)})  # many duplicate values
+    df = spark.createDataFrame(pdf).repartition(9).withColumn("v", F.col("v") * 1.0)
+    for _ in range(2):
+        got = exact_percentiles(df, "v", [0.25, 0.5, 0.9]).first()
+        for p in (0.25, 0.5, 0.9):
+            assert got[f"p{int(p * 100)}"] == _np_pct(pdf.v, p)
