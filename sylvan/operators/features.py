@@ -185,6 +185,8 @@ def scale_target(df: DataFrame, col: str = "target", factor: float = 100000.0) -
     return df.withColumn(col, F.col(col) * F.lit(float(factor)))
 
 
+# Fixed values of the reference's price adjustment: inflation factor 2.2,
+# then market premium 1.5.
 INFLATION_FACTOR = 2.2
 MARKET_PREMIUM = 1.5
 

@@ -16,6 +16,15 @@ from sylvan.operators.ranking import exact_percentiles
 ALL_METRICS = ("mse", "rmse", "mae", "mape", "r2_score", "explained_variance",
                "max_error", "median_ae", "smape")
 
+# Fixed values of the reference's reports, in its order: score tiers
+# (>= 0.85 outstanding, >= 0.80 success, >= 0.75 close, otherwise below;
+# target 0.80) and per-row error bands (< 15 % good, < 25 % ok, else high).
+TIERS = ((0.85, "outstanding"), (0.80, "success"), (0.75, "close"))
+TIER_BELOW = "below"
+TARGET_R2 = 0.80
+ERROR_BANDS = ((15.0, "good"), (25.0, "ok"))
+ERROR_BAND_ELSE = "high"
+
 
 def _grouped(df: DataFrame, group_cols):
     g = list(group_cols)
@@ -117,25 +126,26 @@ def target_statistics(df: DataFrame, y: str, class_col: str | None = None) -> Da
     return df.agg(*aggs)
 
 
-def error_bands(df: DataFrame, y: str = "y", p: str = "p",
-                good: float = 15.0, ok: float = 25.0) -> DataFrame:
+def error_bands(df: DataFrame, y: str = "y", p: str = "p", bands=ERROR_BANDS) -> DataFrame:
     """Per-row absolute percentage error and its band."""
     pct = F.abs(F.try_divide(F.col(y) - F.col(p), F.col(y))) * 100
-    return df.withColumn("error_pct", pct).withColumn(
-        "band", F.when(F.col("error_pct") < good, F.lit("good"))
-                 .when(F.col("error_pct") < ok, F.lit("ok")).otherwise(F.lit("high")))
+    band = F.lit(ERROR_BAND_ELSE)
+    for limit, name in reversed(bands):
+        band = F.when(F.col("error_pct") < limit, F.lit(name)).otherwise(band)
+    return df.withColumn("error_pct", pct).withColumn("band", band)
 
 
-def score_tiers(metrics: DataFrame, score: str = "r2_score", target: float = 0.80) -> DataFrame:
-    """Tier of a score (>= .85 outstanding, >= .80 success, >= .75
-    close, else below), the gap to the target in percentage points and
-    a meets-target flag."""
+def score_tiers(metrics: DataFrame, score: str = "r2_score", target: float = TARGET_R2,
+                tiers=TIERS) -> DataFrame:
+    """Tier of a score, the gap to the target in percentage points
+    and a meets-target flag."""
     s = F.col(score)
-    return metrics.withColumn(
-        "tier", F.when(s >= 0.85, F.lit("outstanding")).when(s >= 0.80, F.lit("success"))
-                 .when(s >= 0.75, F.lit("close")).otherwise(F.lit("below"))
-    ).withColumn("gap_pct", (F.lit(float(target)) - s) * 100
-    ).withColumn("meets_target", s >= F.lit(float(target)))
+    tier = F.lit(TIER_BELOW)
+    for limit, name in reversed(tiers):
+        tier = F.when(s >= limit, F.lit(name)).otherwise(tier)
+    return (metrics.withColumn("tier", tier)
+                   .withColumn("gap_pct", (F.lit(float(target)) - s) * 100)
+                   .withColumn("meets_target", s >= F.lit(float(target))))
 
 
 def compare_models(predictions: DataFrame, model_col: str = "model", y: str = "y",
