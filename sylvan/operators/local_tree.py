@@ -85,6 +85,42 @@ def _best_exact(x, w, yc, feats, tot, msl):
     return None if best is None else (best[1], best[2])
 
 
+def _best_binned(x, w, yc, feats, tot, msl, edges):
+    """Histogram candidates: the upper edge of every bin present in the
+    node below its highest present bin (left = bins <= b), as the
+    distributed histogram search."""
+    n, s, q = tot
+    parent = max(q - s * s / n, 0.0)
+    best = None
+    for f in feats:
+        e = edges[f]
+        v = x[:, f]
+        ok = ~np.isnan(v)
+        if not ok.any():
+            continue
+        b = np.searchsorted(e, v[ok], side="left")
+        nb = len(e) + 1
+        cw = np.cumsum(np.bincount(b, weights=w[ok], minlength=nb))
+        cs = np.cumsum(np.bincount(b, weights=(w * yc)[ok], minlength=nb))
+        cq = np.cumsum(np.bincount(b, weights=(w * yc * yc)[ok], minlength=nb))
+        present = np.flatnonzero(np.bincount(b, minlength=nb) > 0)
+        if len(present) < 2:
+            continue
+        bins = present[:-1]
+        lw, ls, lq = cw[bins], cs[bins], cq[bins]
+        valid = (lw >= msl) & ((n - lw) >= msl)
+        if not valid.any():
+            continue
+        bins, lw, ls, lq = bins[valid], lw[valid], ls[valid], lq[valid]
+        child = _sse(lw, ls, lq) + _sse(n - lw, s - ls, q - lq)
+        rk = _rank(child, parent)
+        i = np.lexsort((bins, rk))[0]
+        cand = (float(rk[i]), int(f), int(bins[i]))
+        if best is None or cand < best:
+            best = cand
+    return None if best is None else (best[1], float(edges[best[1]][best[2]]))
+
+
 def _best_random(x, w, yc, feats, tot, msl, seed, tree, node, splitter, n_draws):
     n, s, q = tot
     parent = max(q - s * s / n, 0.0)
@@ -124,6 +160,8 @@ def grow_subtree(pdf: pd.DataFrame, cfg: dict) -> pd.DataFrame:
     w = pdf["w"].to_numpy().astype(np.float64)
     yc = pdf["yc"].to_numpy().astype(np.float64)
     max_depth = cfg["max_depth"]
+    if cfg.get("edges") is not None:
+        cfg = {**cfg, "edges": [np.asarray(e, dtype=np.float64) for e in cfg["edges"]]}
     out = []
     stack = [(root, depth0, np.arange(len(w)))]
     while stack:
@@ -141,7 +179,9 @@ def grow_subtree(pdf: pd.DataFrame, cfg: dict) -> pd.DataFrame:
         if not stop:
             feats = subset_for(cfg["seed"], tree, node, nf, m)
             xs = x[idx]
-            if cfg["splitter"] == "best":
+            if cfg["splitter"] == "best" and cfg.get("edges") is not None:
+                sp = _best_binned(xs, ww, yy, feats, (n, s, q), cfg["msl"], cfg["edges"])
+            elif cfg["splitter"] == "best":
                 sp = _best_exact(xs, ww, yy, feats, (n, s, q), cfg["msl"])
             else:
                 sp = _best_random(xs, ww, yy, feats, (n, s, q), cfg["msl"], cfg["seed"], tree, node,
