@@ -1183,6 +1183,27 @@ def _sql_preset(name: str) -> str:
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
+def q_named_dataset(spark, sf):
+    """Named dataset (averages form) loaded and split; test rows."""
+    _, test, target = H.load_named(spark, sf, "housing_averages")
+    return test.select("row_key", "MedInc", "AveOccup", target)
+
+
+SQL_NAMED = with_frames(f"select row_key, MedInc, AveOccup, target from a where {h8('row_key', repr('42'))} < "
+                        f"{hexcut(0.2)}", averages=True)
+
+
+def q_array_validation(spark, sf):
+    """Shape and value checks of an array feature column."""
+    return clean.validate(H.embedding_rows(spark, sf), array_col="features", n_features=64)
+
+
+SQL_ARRAY_VALID = """select 'empty_array' as rule, count(*) filter (where coalesce(len(embedding), -1) <= 0) as n_violations from embeddings
+union all select 'wrong_length', count(*) filter (where len(embedding) <> 64) from embeddings
+union all select 'nonfinite_element', count(*) filter (where len(list_filter(embedding,
+    lambda v: v is null or isnan(v) or abs(v) = 'inf'::float)) > 0) from embeddings"""
+
+
 QUERIES = {
     "csv_roundtrip": (q_csv_roundtrip, SQL_CSV),
     "array_features": (q_array_features, SQL_ARRAY),
@@ -1266,4 +1287,6 @@ QUERIES = {
     "forest_stats": (q_forest_stats, SQL_FOREST_STATS),
     "evaluate_holdout": (q_evaluate_holdout, SQL_EVALUATE),
     "preset_balanced": (_preset("balanced"), _sql_preset("balanced")),
+    "named_dataset": (q_named_dataset, SQL_NAMED),
+    "array_validation": (q_array_validation, SQL_ARRAY_VALID),
 }

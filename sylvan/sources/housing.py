@@ -99,3 +99,19 @@ def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("row_key"),
                     F.col("embedding").cast("array<double>").alias("features"),
                     F.col("label").cast("double").alias("label"))
+
+
+NAMED = {"housing_totals": (housing_totals, HOUSING_TARGET),
+         "housing_averages": (housing_averages, AVERAGES_TARGET)}
+
+
+def load_named(spark: SparkSession, sf_dir: str, name: str, test_size: float = 0.2, seed=42):
+    """S5 re-aimed: a named dataset over the given tables, split by the
+    stable hash rule.  Returns (train, test, target column)."""
+    from sylvan.operators.split import train_test_split
+    if name not in NAMED:
+        raise KeyError(f"unknown dataset {name!r}; known: {sorted(NAMED)}")
+    build, target = NAMED[name]
+    d = train_test_split(build(spark, sf_dir), test_size=test_size, seed=seed)
+    return (d.where(F.col("split") == "train").drop("split"),
+            d.where(F.col("split") == "test").drop("split"), target)
