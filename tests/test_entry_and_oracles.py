@@ -63,3 +63,25 @@ def test_stream_equals_batch(spark):
     s = E.queries()["stream_score"](spark, SF001).toPandas().sort_values("row_key").reset_index(drop=True)
     b = E.queries()["predict_uncertainty"](spark, SF001).toPandas().sort_values("row_key").reset_index(drop=True)
     assert s.equals(b[s.columns])
+
+
+def test_stream_in_several_micro_batches_equals_batch(spark):
+    from sylvan.operators import score as SC
+    from sylvan.plans.catalog import TOT, fitted
+    from sylvan.session import scratch_path
+    from sylvan.sources import housing as H
+    from sylvan.streaming.score_stream import scoring_stream
+
+    rows = H.housing_totals(spark, SF001).select("row_key", *TOT)
+    model = fitted(spark, SF001)
+    src = scratch_path(spark, "multi-src")
+    rows.repartition(4).write.parquet(src)
+    sink = scratch_path(spark, "multi-sink")
+    q = (scoring_stream(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src), model)
+         .writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", scratch_path(spark, "multi-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(sink).select("row_key", "prediction")
+    want = SC.predict(rows, model).select("row_key", "prediction")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
