@@ -3,7 +3,8 @@
 Rows stay in their partitions (no shuffle): ``mapInArrow`` walks each
 Arrow batch through every tree with vectorised gathers; the flattened
 model ships once per executor as a broadcast variable whose size is the
-model's node count (checked against ``max_model_nodes``).  Mean and
+model's node count, checked against ``max_model_nodes``; a larger model
+is scored in bounded tree groups chained as separate passes.  Mean and
 population standard deviation over trees come from the same per-tree
 matrix, so uncertainty costs no second prediction pass.
 """
@@ -28,10 +29,83 @@ MAX_MODEL_NODES = 50_000_000
 def _model_broadcast(spark, model: ForestModel, max_model_nodes: int):
     if len(model.nodes) > max_model_nodes:
         raise ValueError(f"model has {len(model.nodes)} nodes, above the broadcast bound "
-                         f"{max_model_nodes}; score with fewer trees per pass")
+                         f"{max_model_nodes}")
     return spark.sparkContext.broadcast(model.flat_arrays())
 
 
+def _tree_chunks(model: ForestModel, limit: int) -> list[list[int]]:
+    """Consecutive tree groups of at most ``limit`` nodes each."""
+    sizes = model.nodes.groupby("tree_id").size().reindex(range(model.n_trees), fill_value=0)
+    chunks, cur, tot = [], [], 0
+    for t, n in enumerate(sizes.to_numpy()):
+        if n > limit:
+            raise ValueError(f"tree {t} has {n} nodes, above the broadcast bound {limit}")
+        if cur and tot + n > limit:
+            chunks.append(cur)
+            cur, tot = [], 0
+        cur.append(t)
+        tot += n
+    if cur:
+        chunks.append(cur)
+    return chunks
+
+
+def _sub_model(model: ForestModel, trees: list[int]) -> ForestModel:
+    nd = model.nodes[model.nodes["tree_id"].isin(trees)].copy()
+    nd["tree_id"] = nd["tree_id"] - trees[0]
+    return ForestModel(params=model.params, feature_names=model.feature_names,
+                       nodes=nd.reset_index(drop=True), n_samples=model.n_samples,
+                       y_mean=model.y_mean, model_id=model.model_id)
+
+
+def _predict_chunked(df: DataFrame, model: ForestModel, uncertainty: bool, per_tree: bool,
+                     oob: bool, key: str, limit: int) -> DataFrame:
+    """Scoring beyond one broadcast: tree groups of bounded size are
+    applied as chained passes that add per-group sums (and arrays), which
+    one projection then combines.  Rows still never move."""
+    chunks = _tree_chunks(model, limit)
+    nt = model.n_trees
+    d = df
+    sums, sqs, arrs, osums, ocnts = [], [], [], [], []
+    for i, trees in enumerate(chunks):
+        part = predict(d, _sub_model(model, trees), uncertainty=False, per_tree=True, oob=False,
+                       key=key, max_model_nodes=limit)
+        tp = F.col("tree_predictions")
+        cols = {f"_s{i}": F.aggregate(tp, F.lit(0.0), lambda a, v: a + v),
+                f"_q{i}": F.aggregate(tp, F.lit(0.0), lambda a, v: a + v * v)}
+        if per_tree:
+            cols[f"_a{i}"] = tp
+        if oob:
+            seed = model.params.seed
+            ws = [poisson1_weight(hash8(key, F.lit(str(seed)), F.lit(t))) if model.params.bootstrap
+                  else F.lit(1) for t in trees]
+            out = [F.when(w == 0, F.element_at(tp, j + 1)) for j, w in enumerate(ws)]
+            cols[f"_os{i}"] = sum((F.coalesce(o, F.lit(0.0)) for o in out), F.lit(0.0))
+            cols[f"_oc{i}"] = sum((F.when(w == 0, 1).otherwise(0) for w in ws), F.lit(0))
+            osums.append(f"_os{i}")
+            ocnts.append(f"_oc{i}")
+        d = part.drop("prediction").withColumns(cols).drop("tree_predictions")
+        sums.append(f"_s{i}")
+        sqs.append(f"_q{i}")
+        arrs.append(f"_a{i}")
+    total = sum((F.col(c) for c in sums), F.lit(0.0))
+    mean = total / nt
+    out = d.withColumn("prediction", mean)
+    if uncertainty:
+        ex2 = sum((F.col(c) for c in sqs), F.lit(0.0)) / nt
+        out = out.withColumn("uncertainty", F.sqrt(F.greatest(ex2 - F.col("prediction") ** 2, F.lit(0.0))))
+    if per_tree:
+        out = out.withColumn("tree_predictions", F.concat(*[F.col(c) for c in arrs]))
+    if oob:
+        cnt = sum((F.col(c) for c in ocnts), F.lit(0))
+        out = (out.withColumn("oob_count", cnt.cast("int"))
+                  .withColumn("oob_prediction", F.when(F.col("oob_count") > 0,
+                              sum((F.col(c) for c in osums), F.lit(0.0)) / F.col("oob_count"))))
+    helper = [c for c in out.columns if c.startswith(("_s", "_q", "_a", "_os", "_oc"))
+              and c[1:].lstrip("soqac").isdigit()]
+    return out.drop(*helper)
+
+
 def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
             per_tree: bool = False, oob: bool = False, key: str = "row_key",
             max_model_nodes: int = MAX_MODEL_NODES, features_col: str | None = None) -> DataFrame:
@@ -46,6 +120,8 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     missing = [c for c in model.feature_names if c not in df.columns] if not features_col else []
     if missing:
         raise ValueError(f"Expected features {model.feature_names}; missing {missing}")
+    if len(model.nodes) > max_model_nodes and not features_col:
+        return _predict_chunked(df, model, uncertainty, per_tree, oob, key, max_model_nodes)
     spark = df.sparkSession
     bc = _model_broadcast(spark, model, max_model_nodes)
     nf, nt = model.n_features, model.n_trees
