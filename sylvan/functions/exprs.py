@@ -27,10 +27,6 @@ def finite_or_null(c) -> Column:
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None)).otherwise(x)
 
 
-def to_double(c) -> Column:
-    return col_of(c).cast("double")
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only after counting the rows below ``max_rows``;
     otherwise leave the join strategy to Spark/AQE."""

@@ -37,11 +37,6 @@ def hash8(*parts) -> Column:
     return F.substring(F.md5(F.concat_ws("|", *cols)), 1, 8)
 
 
-def lit_part(value) -> Column:
-    """Wrap a literal so :func:`hash8` does not read it as a column name."""
-    return F.lit(str(value))
-
-
 def hex_threshold(p: float) -> str:
     """8-digit hex string t such that P(hash8 < t) = p for uniform hashes."""
     p = min(max(p, 0.0), 1.0)

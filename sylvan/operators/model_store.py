@@ -10,10 +10,8 @@ aggregations over that table.
 from __future__ import annotations
 
 import json
-from dataclasses import asdict
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -222,10 +220,3 @@ def list_models(spark: SparkSession, store: str) -> DataFrame:
         "model_id", "created_at", "n_features", "n_samples", "n_trees", "avg_depth",
         "avg_leaves", "total_nodes", "oob_score", "training_score")
 
-
-def params_json(params: ForestParams) -> str:
-    return json.dumps(asdict(params))
-
-
-def nodes_from_pandas(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.astype({"feature": "Int64", "left_id": "Int64", "right_id": "Int64"})

@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 from sylvan.functions.hashing import hash8, uniform
 
 SCORE_DECIMALS = 8
-SPLIT_COLS = ["tree_id", "node_id", "feature", "threshold", "lw", "ls", "lq", "score"]
 
 
 def node_sums(long_rows: DataFrame, keys=("tree_id", "node_id")) -> DataFrame:
