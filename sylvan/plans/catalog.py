@@ -447,13 +447,13 @@ def q_minmax_inverse(spark, sf):
     return rnd(sc.inverse_transform(sc.fit_transform(d)).drop(Y), {c: 9 for c in TOT})
 
 
-def q_preprocess_pipeline(spark, sf):
+def q_preprocess_fit_transform(spark, sf):
     h = H.housing_totals(spark, sf).select("row_key", *TOT, Y)
     pp = C.Preprocessor(TOT, scaler_type="standard", handle_missing="mean", remove_outliers=True)
     return rnd(pp.fit_transform(h).drop(Y), {c: 7 for c in TOT})
 
 
-def _sql_pipeline():
+def _sql_preprocess():
     fill = ", ".join(f"coalesce({c}, (select avg({c}) from h)) as {c}" for c in TOT)
     zs = ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in TOT)
     cond = " or ".join(f"abs(({c} - m_{c}) / (s_{c} + 1e-8)) > 3.0" for c in TOT)
@@ -978,7 +978,7 @@ SQL_STREAM = _fsql("select row_key, round(avg(p), 4) as prediction, round(stddev
                    "from pt group by row_key", FOREST, _PT)
 
 
-def q_training_pipeline(spark, sf):
+def q_preset_quick(spark, sf):
     """G4 'quick' preset end to end (20 trees, depth 12, split 5, leaf 2):
     metrics of the held-out split."""
     from sylvan.plans.presets import run_preset
@@ -1230,7 +1230,7 @@ QUERIES = {
     "standard_inverse": (q_standard_inverse, SQL_STD_INV),
     "minmax_scale": (q_minmax_scale, _sql_minmax()),
     "minmax_inverse": (q_minmax_inverse, SQL_STD_INV),
-    "preprocess_pipeline": (q_preprocess_pipeline, _sql_pipeline()),
+    "preprocess_fit_transform": (q_preprocess_fit_transform, _sql_preprocess()),
     "split_train_test": (q_split_train_test, SQL_SP1),
     "split_three_way": (q_split_three_way, SQL_SP2),
     "kfold": (q_kfold, SQL_SP3),
@@ -1268,7 +1268,7 @@ QUERIES = {
     "oob_score": (q_oob_score, SQL_OOB),
     "cross_validate": (q_cross_validate, _sql_cv()),
     "grid_search": (q_grid_search, _sql_grid()),
-    "training_pipeline": (q_training_pipeline, _sql_preset("quick")),
+    "preset_quick": (q_preset_quick, _sql_preset("quick")),
     "stream_score": (q_stream_score, SQL_STREAM),
     "prediction_sink": (q_prediction_sink, SQL_PREDICT_UNC),
     "split_sink": (q_split_sink, SQL_UNION),

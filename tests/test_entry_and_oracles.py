@@ -12,7 +12,7 @@ from sylvan.sources.tables import TABLES
 from .conftest import SF001
 
 FAST = ["ratio_features_totals", "safe_ratio_scoring", "label_encode", "missing_report",
-        "impute_median_mode", "standard_scale", "preprocess_pipeline", "split_three_way",
+        "impute_median_mode", "standard_scale", "preprocess_fit_transform", "split_three_way",
         "bootstrap_weights", "metrics_all", "residual_stats", "compare_models", "forest_fit",
         "best_split", "forest_predict", "predict_interval", "feature_importance", "tree_rules",
         "oob_score", "grid"]
