@@ -47,9 +47,12 @@ SCORE_DECIMALS = 8
 
 
 def _rank(child, parent):
+    """Score ratio rounded half-up to SCORE_DECIMALS (same steps as the
+    Spark and SQL paths)."""
     if parent > 0:
-        return np.round(child / parent, SCORE_DECIMALS)
-    return np.zeros_like(child)
+        scale = float(10 ** SCORE_DECIMALS)
+        return np.floor(np.asarray(child) / parent * scale + 0.5) / scale
+    return np.zeros_like(np.asarray(child, dtype=float))
 
 
 def _best_exact(x, w, yc, feats, tot, msl):

@@ -58,9 +58,11 @@ def _score_columns(df: DataFrame) -> DataFrame:
     rw, rs, rq = (F.col("tw") - F.col("lw"), F.col("ts") - F.col("ls"), F.col("tq") - F.col("lq"))
     child = sse(F.col("lw"), F.col("ls"), F.col("lq")) + sse(rw, rs, rq)
     parent = sse(F.col("tw"), F.col("ts"), F.col("tq"))
+    ratio = F.when(parent > 0, child / parent).otherwise(F.lit(0.0))
+    # explicit half-up on a non-negative ratio: the same IEEE steps in every engine
+    scale = float(10 ** SCORE_DECIMALS)
     return (df.withColumn("score", child / F.col("tw"))
-              .withColumn("_rank", F.round(F.when(parent > 0, child / parent).otherwise(F.lit(0.0)),
-                                           SCORE_DECIMALS)))
+              .withColumn("_rank", F.floor(ratio * scale + 0.5) / scale))
 
 
 def _argmin(cands: DataFrame, order_cols) -> DataFrame:

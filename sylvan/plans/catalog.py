@@ -978,11 +978,17 @@ SQL_STREAM = _fsql("select row_key, round(avg(p), 4) as prediction, round(stddev
                    "from pt group by row_key", FOREST, _PT)
 
 
+def _preset_round(df: DataFrame) -> DataFrame:
+    """mse is ~1e8: 2 decimals; the other metrics: 6 decimals."""
+    return df.withColumn("value", F.when(F.col("metric") == "mse", F.round("value", 2))
+                                   .otherwise(F.round("value", 6)))
+
+
 def q_preset_quick(spark, sf):
     """G4 'quick' preset end to end (20 trees, depth 12, split 5, leaf 2):
     metrics of the held-out split."""
     from sylvan.plans.presets import run_preset
-    return rnd(run_preset(spark, sf, "quick"), {"value": 6})
+    return _preset_round(run_preset(spark, sf, "quick"))
 
 
 # ---- more sources, projections and reports ---------------------------------------------
@@ -1135,7 +1141,7 @@ SQL_EVALUATE = _fsql(
 def _preset(name):
     def q(spark, sf):
         from sylvan.plans.presets import run_preset
-        return rnd(run_preset(spark, sf, name), {"value": 6})
+        return _preset_round(run_preset(spark, sf, name))
     q.__doc__ = f"G4: the '{name}' pipeline end to end (metrics of the held-out split)."
     return q
 
@@ -1162,8 +1168,8 @@ def _sql_preset(name: str) -> str:
     ctes = [f"h as ({HOUSING_SQL})"] + extra_ctes + [
         f"pb as ({base})",
         f"pf2 as (select row_key, {fill}, y, case when {hh} < {hexcut(0.2)} then 'test' else 'train' end as split from pb)",
-        f"sst as ({std_stats(feats, '(select * from pf2 where split = ' + chr(39) + 'train' + chr(39) + ')', 'm', 's', True)})",
-        f"sc as (select row_key, {scaled}, y, split from pf2 cross join sst)",
+        f"sst as materialized ({std_stats(feats, '(select * from pf2 where split = ' + chr(39) + 'train' + chr(39) + ')', 'm', 's', True)})",
+        f"sc as materialized (select row_key, {scaled}, y, split from pf2 cross join sst)",
         "trn as (select * from sc where split = 'train')",
     ]
     m = SP.resolve_max_features("sqrt", nf)
@@ -1174,7 +1180,8 @@ def _sql_preset(name: str) -> str:
     ctes += ["ev as (select pt.row_key, avg(pt.p) as p, any_value(sc.y) as y from pt join sc using (row_key) "
              "group by pt.row_key)", _sql_metrics_body("ev", "")]
     mets = ", ".join(M.ALL_METRICS)
-    body = (f"select metric, round(value, 6) as value from met unpivot (value for metric in ({mets})) "
+    body = (f"select metric, case when metric = 'mse' then round(value, 2) else round(value, 6) end as value "
+            f"from met unpivot (value for metric in ({mets})) "
             "union all select 'meets_target' as metric, case when r2_score >= 0.8 then 1.0 else 0.0 end from met")
     return "with " + ",\n".join(ctes) + "\n" + body
 

@@ -35,7 +35,7 @@ def _best_search(d: int, nf: int, min_leaf: int) -> list:
         f"sum(cw) {run} as lw, sum(cs) {run} as ls, sum(cq) {run} as lq from ag{d})",
         f"ca{d} as (select tree_id, node_id, feature, "
         f"case when (v + nv) / 2 < nv then (v + nv) / 2 else v end as threshold, lw, "
-        f"round(case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end, 8) as rk "
+        f"floor((case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end) * 100000000.0 + 0.5) / 100000000.0 as rk "
         f"from (select cu.*, st.n as tw, st.s as ts, st.q as tq from cu{d} cu join st{d} st "
         f"on cu.tree_id = st.tree_id and cu.node_id = st.node_id) "
         f"where nv is not null and lw >= {min_leaf} and tw - lw >= {min_leaf})",
@@ -72,7 +72,7 @@ def _random_search(d: int, nf: int, min_leaf: int, seed, splitter: str, n_draws:
         f"sum(case when {xv} <= c.threshold then r.w * r.yc else 0.0 end) as ls, "
         f"sum(case when {xv} <= c.threshold then r.w * r.yc * r.yc else 0.0 end) as lq "
         f"from r{d} r join ce{d} c on r.tree_id = c.tree_id and r.node_id = c.node_id group by all)",
-        f"ca{d} as (select *, round(case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end, 8) as rk "
+        f"ca{d} as (select *, floor((case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end) * 100000000.0 + 0.5) / 100000000.0 as rk "
         f"from (select e.*, st.n as tw, st.s as ts, st.q as tq from ev{d} e join st{d} st "
         f"on e.tree_id = st.tree_id and e.node_id = st.node_id) "
         f"where lw >= {min_leaf} and tw - lw >= {min_leaf})",
@@ -144,7 +144,8 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
             f"then cast(p.left_id as bigint) else cast(p.left_id + 1 as bigint) end as node_id, "
             f"r.* exclude (tree_id, node_id) from r{d} r join sp{d} p "
             f"on r.tree_id = p.tree_id and r.node_id = p.node_id)")
-    ctes.append("nodes as (" + " union all ".join(f"select * from {p}" for p in node_parts) + ")")
+    # materialized: every later reference must see the one node table
+    ctes.append("nodes as materialized (" + " union all ".join(f"select * from {p}" for p in node_parts) + ")")
     return ctes
 
 
