@@ -39,14 +39,15 @@ def with_residual(df: DataFrame, y: str = "y", p: str = "p", name: str = "residu
 
 
 def regression_metrics(df: DataFrame, y: str = "y", p: str = "p", group_cols=(),
-                       n_features: int | None = None) -> DataFrame:
+                       n_features: int | None = None, with_median: bool = True) -> DataFrame:
     """M1-M11 in one aggregation (+ one distributed median for M9).
 
     Constant y: R2 and explained variance are 1 when the fit is exact,
     else 0 (finite convention).  MAPE ignores y = 0 and is +inf when no
     row is left; SMAPE ignores zero denominators and is 0 when none is
     left.  Adjusted R2 is added when ``n_features`` is given (NaN when
-    n <= k + 1).
+    n <= k + 1).  ``with_median=False`` skips the median absolute error
+    (the only metric that needs a sort) when a caller needs R2 only.
     """
     d, g, dropg = _grouped(df.select(*list(group_cols), F.col(y).cast("double").alias("_y"),
                                      F.col(p).cast("double").alias("_p")), group_cols)
@@ -62,8 +63,11 @@ def regression_metrics(df: DataFrame, y: str = "y", p: str = "p", group_cols=(),
         F.max(F.abs(e)).alias("max_error"),
         F.avg(F.when(den != 0, F.abs(e) / den)).alias("_smape"),
     )
-    med = exact_percentiles(d.withColumn("_ae", F.abs(e)), "_ae", [0.5], g, ["median_ae"])
-    m = mom.join(med, g, "left")
+    if with_median:
+        med = exact_percentiles(d.withColumn("_ae", F.abs(e)), "_ae", [0.5], g, ["median_ae"])
+        m = mom.join(med, g, "left")
+    else:
+        m = mom.withColumn("median_ae", F.lit(None).cast("double"))
     r2 = (F.when(F.col("_vy") > 0, F.lit(1.0) - F.col("mse") / F.col("_vy"))
            .when(F.col("mse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
     ev = (F.when(F.col("_vy") > 0, F.lit(1.0) - F.col("_ve") / F.col("_vy"))
