@@ -33,3 +33,19 @@ def test_tree_regressor_and_unfitted_error(spark, sample_regression):
     t = TreeRegressor(max_depth=3).fit(train, FEATS, "y")
     assert t.get_depth(spark).first()["depth"] <= 3
     assert t.tree_rules(spark).count() >= 2
+
+
+def test_cli_round_trip(spark, tmp_path, capsys):
+    import json
+
+    from sylvan.cli import main
+    base = str(tmp_path)
+    assert main(["generate-data", "--rows", "300", "--complexity", "simple", "--output", f"{base}/d"]) == 0
+    assert main(["train", "--data", f"{base}/d", "--target", "target", "--store", f"{base}/m",
+                 "--n-trees", "3", "--max-depth", "3"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["train_r2"] > 0
+    assert main(["predict", "--store", f"{base}/m", "--model-id", out["model_id"], "--data", f"{base}/d",
+                 "--output", f"{base}/p", "--uncertainty"]) == 0
+    back = spark.read.option("header", True).csv(f"{base}/p")
+    assert back.count() == 300 and set(back.columns) == {"row_key", "prediction", "uncertainty"}
