@@ -39,3 +39,20 @@ def test_in_memory_equals_levelwise_on_random_data(spark, n, seed, msl):
     b = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw, local_rows=0)).nodes
     cols = ["tree_id", "node_id", "feature", "threshold", "n", "is_leaf"]
     assert a[cols].astype(str).reset_index(drop=True).equals(b[cols].astype(str).reset_index(drop=True))
+
+
+@settings(**SETTINGS)
+@given(n=st.integers(20, 80), seed=st.integers(0, 1000), buckets=st.integers(2, 9))
+def test_bucketed_exact_search_equals_single_window(spark, n, seed, buckets):
+    rng = np.random.RandomState(seed)
+    x = rng.randn(n, 3)
+    x[: n // 3, 0] = 0.5  # a value holding a third of the rows
+    pdf = pd.DataFrame(np.round(x, 2), columns=["a", "b", "c"])
+    pdf["y"] = np.round(x[:, 1] - x[:, 0] + rng.randn(n) * 0.1, 3)
+    pdf.insert(0, "row_key", np.arange(n, dtype=np.int64))
+    df = spark.createDataFrame(pdf)
+    kw = dict(n_trees=2, max_depth=3, seed=seed, max_features=None, local_rows=0)
+    a = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw)).nodes
+    b = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw, prefix_buckets=buckets)).nodes
+    cols = ["tree_id", "node_id", "feature", "threshold", "n", "is_leaf"]
+    assert a[cols].astype(str).reset_index(drop=True).equals(b[cols].astype(str).reset_index(drop=True))
