@@ -15,9 +15,20 @@ from sylvan.operators.forest import ForestModel
 from sylvan.session import scratch_path
 
 
-def scoring_stream(stream: DataFrame, model: ForestModel, uncertainty: bool = True) -> DataFrame:
-    """The streaming twin of batch scoring (one function for both)."""
-    return SC.predict(stream, model, uncertainty=uncertainty)
+def scoring_stream(stream: DataFrame, model: ForestModel, uncertainty: bool = True,
+                   features=None, scaler=None, confidence_level: float | None = None,
+                   price_adjust: bool = False) -> DataFrame:
+    """The streaming twin of batch scoring (one function for both):
+    optional feature step (e.g. ``features.scoring_features``), fitted
+    scaler, prediction with uncertainty, interval and price adjustment.
+    Every step is a per-row projection, so the query is stateless."""
+    from sylvan.operators.features import price_adjust as _price
+    d = features(stream) if features is not None else stream
+    d = scaler.transform(d) if scaler is not None else d
+    out = SC.predict(d, model, uncertainty=uncertainty or confidence_level is not None)
+    if confidence_level is not None:
+        out = SC.prediction_interval(out, confidence_level=confidence_level)
+    return _price(out) if price_adjust else out
 
 
 def start_scoring(spark: SparkSession, source_dir: str, schema, model: ForestModel, sink_dir: str,

@@ -49,3 +49,40 @@ def test_cli_round_trip(spark, tmp_path, capsys):
                  "--output", f"{base}/p", "--uncertainty"]) == 0
     back = spark.read.option("header", True).csv(f"{base}/p")
     assert back.count() == 300 and set(back.columns) == {"row_key", "prediction", "uncertainty"}
+
+
+def test_load_csv_semantics(spark, tmp_path):
+    import pandas as pd
+
+    from sylvan.sources.io import load_csv
+    pdf = pd.DataFrame({"a": [1.0, None, 3.0, 4.0, 5.0, 6.0], "cat": ["x", "y", "x", None, "z", "y"],
+                        "y": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]})
+    path = str(tmp_path / "in.csv")
+    pdf.to_csv(path, index=False)
+    tr, te, feats = load_csv(spark, path, "y", na_action="fill", test_size=0.5)
+    rows = tr.unionByName(te).toPandas()
+    assert len(rows) == 6 and feats == ["a", "cat"]
+    assert rows.a.notna().all() and set(rows.cat) <= {0.0, 1.0, 2.0}
+    tr2, te2, _ = load_csv(spark, path, "y", na_action="drop")
+    assert tr2.count() + te2.count() == 4
+    with pytest.raises(KeyError):
+        load_csv(spark, path, "nope")
+
+
+def test_streaming_with_features_scaler_interval_price(spark, sample_regression):
+    from sylvan.operators.scale import StandardScaler
+    from sylvan.session import scratch_path
+    from sylvan.streaming.score_stream import scoring_stream
+    train, test, _ = sample_regression
+    sc = StandardScaler(FEATS).fit(train)
+    est = ForestRegressor(n_trees=3, max_depth=3).fit(sc.transform(train), FEATS, "y")
+    src = scratch_path(spark, "s-src")
+    test.write.parquet(src)
+    sink = scratch_path(spark, "s-sink")
+    q = (scoring_stream(spark.readStream.schema(test.schema).parquet(src), est.model_, scaler=sc,
+                        confidence_level=0.9, price_adjust=True)
+         .writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", scratch_path(spark, "s-ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(sink).toPandas()
+    assert len(got) == 20 and {"interval", "adjusted_price"} <= set(got.columns)
