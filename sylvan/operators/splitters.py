@@ -11,12 +11,16 @@ Exact search (T3) in Spark terms
 1. ``groupBy(tree, node, feature, b, v)`` -> sums of w, w*yc, w*yc^2.
    Partial aggregation runs map-side, so a hot value costs one row.
 2. Running sums inside a bucket: window ``partitionBy(tree, node,
-   feature, b).orderBy(v)``.  Buckets are global quantile ranges of the
-   feature, so a window partition never holds more than one bucket of
-   one node -- no task receives a whole feature of the root node.
-3. Bucket offsets: the same running sums over the bucket totals table
-   (at most nodes x features x buckets rows; partitions of <= buckets
-   rows), joined back on (tree, node, feature, b).
+   feature, b).orderBy(v)``.  Above ``bucket_rows`` input rows, buckets
+   are global quantile ranges of the feature, so a window partition
+   never holds more than one bucket of one node -- no task receives a
+   whole feature of the root node.  Smaller inputs use one bucket and a
+   single window per (tree, node, feature).
+3. Bucket offsets (bucketed inputs): the same running sums over the
+   bucket totals table (at most nodes x features x buckets rows;
+   partitions of <= buckets rows), joined back on (tree, node, feature, b).
+   Node totals come from the previous level (rows with a missing value
+   are in them and go right).
 4. Every midpoint between consecutive distinct values is a candidate;
    ``min_samples_leaf`` is checked on both sides with weighted counts.
 5. ``min(struct(rounded score, feature, threshold, ...))`` per node: a
