@@ -7,7 +7,7 @@ bounded by ``local_rows`` by construction -- and each task grows that
 node's subtree with NumPy using exactly the rules of the distributed
 path: weighted sums, hash-chosen feature subsets keyed by the node's
 path id, midpoint candidates (kept below the next value), scores
-normalised by the node SSE and rounded to 8 decimals, ties by
+normalised by the node SSE and rounded on a 7e-8 grid, ties by
 (feature, threshold), and the same stop rules.  Node ids are heap ids
 (root 1, children 2k and 2k+1), so a subtree numbers itself.
 """
@@ -43,15 +43,12 @@ def _sse(n, s, q):
     return np.maximum(q - s * s / n, 0.0)
 
 
-SCORE_DECIMALS = 8
-
-
 def _rank(child, parent):
-    """Score ratio rounded half-up to SCORE_DECIMALS (same steps as the
+    """Score ratio rounded half-up on the rank grid (same steps as the
     Spark and SQL paths)."""
+    from sylvan.operators.splitters import RANK_SCALE
     if parent > 0:
-        scale = float(10 ** SCORE_DECIMALS)
-        return np.floor(np.asarray(child) / parent * scale + 0.5) / scale
+        return np.floor(np.asarray(child) / parent * RANK_SCALE + 0.5) / RANK_SCALE
     return np.zeros_like(np.asarray(child, dtype=float))
 
 

@@ -42,6 +42,11 @@ from pyspark.sql import functions as F
 from sylvan.functions.hashing import hash8, uniform
 
 SCORE_DECIMALS = 8
+# Rank grid: ratios are rounded on a grid of step 7e-8.  The step is not a
+# power of ten, so "nice" ratios (dyadic or short decimals, common in tiny
+# nodes) never sit on a rounding half-point where summation-order noise
+# would decide ties differently between engines.
+RANK_SCALE = 1e8 / 7
 
 
 def node_sums(long_rows: DataFrame, keys=("tree_id", "node_id")) -> DataFrame:
@@ -64,9 +69,8 @@ def _score_columns(df: DataFrame) -> DataFrame:
     parent = sse(F.col("tw"), F.col("ts"), F.col("tq"))
     ratio = F.when(parent > 0, child / parent).otherwise(F.lit(0.0))
     # explicit half-up on a non-negative ratio: the same IEEE steps in every engine
-    scale = float(10 ** SCORE_DECIMALS)
     return (df.withColumn("score", child / F.col("tw"))
-              .withColumn("_rank", F.floor(ratio * scale + 0.5) / scale))
+              .withColumn("_rank", F.floor(ratio * F.lit(RANK_SCALE) + 0.5) / F.lit(RANK_SCALE)))
 
 
 def _argmin(cands: DataFrame, order_cols) -> DataFrame:

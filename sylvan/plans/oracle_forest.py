@@ -4,7 +4,7 @@ The oracle grows the same forest as :func:`sylvan.operators.forest.fit_forest`
 for a few levels, straight from the definition: weighted node sums, the
 hash-chosen feature subset, every midpoint candidate with weighted
 ``min_samples_leaf`` checks (node totals include rows whose value is
-missing: they go right), the SSE-ratio score rounded to 8 decimals,
+missing: they go right), the SSE-ratio score rounded on the 7e-8 rank grid,
 ties by (feature, threshold), heap node ids (root 1, children 2k, 2k+1).  Scoring,
 importances, tree statistics, rules and out-of-bag scores are then
 written over that node table.  It is a test oracle only.
@@ -12,8 +12,11 @@ written over that node table.  It is a test oracle only.
 
 from __future__ import annotations
 
+from sylvan.operators.splitters import RANK_SCALE
 from sylvan.plans.sqlkit import h8, poisson, subset_sql, uni
 
+RS = f"cast({RANK_SCALE!r} as double)"
+
 
 def _xcase(n_features: int, fcol: str = "feature") -> str:
     whens = " ".join(f"when {i} then x{i}" for i in range(n_features))
@@ -35,7 +38,7 @@ def _best_search(d: int, nf: int, min_leaf: int) -> list:
         f"sum(cw) {run} as lw, sum(cs) {run} as ls, sum(cq) {run} as lq from ag{d})",
         f"ca{d} as (select tree_id, node_id, feature, "
         f"case when (v + nv) / 2 < nv then (v + nv) / 2 else v end as threshold, lw, "
-        f"floor((case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end) * 100000000.0 + 0.5) / 100000000.0 as rk "
+        f"floor((case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end) * {RS} + 0.5) / {RS} as rk "
         f"from (select cu.*, st.n as tw, st.s as ts, st.q as tq from cu{d} cu join st{d} st "
         f"on cu.tree_id = st.tree_id and cu.node_id = st.node_id) "
         f"where nv is not null and lw >= {min_leaf} and tw - lw >= {min_leaf})",
@@ -72,7 +75,7 @@ def _random_search(d: int, nf: int, min_leaf: int, seed, splitter: str, n_draws:
         f"sum(case when {xv} <= c.threshold then r.w * r.yc else 0.0 end) as ls, "
         f"sum(case when {xv} <= c.threshold then r.w * r.yc * r.yc else 0.0 end) as lq "
         f"from r{d} r join ce{d} c on r.tree_id = c.tree_id and r.node_id = c.node_id group by all)",
-        f"ca{d} as (select *, floor((case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end) * 100000000.0 + 0.5) / 100000000.0 as rk "
+        f"ca{d} as (select *, floor((case when {PARENT} > 0 then {CHILD} / {PARENT} else 0.0 end) * {RS} + 0.5) / {RS} as rk "
         f"from (select e.*, st.n as tw, st.s as ts, st.q as tq from ev{d} e join st{d} st "
         f"on e.tree_id = st.tree_id and e.node_id = st.node_id) "
         f"where lw >= {min_leaf} and tw - lw >= {min_leaf})",
