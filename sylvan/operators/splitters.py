@@ -25,7 +25,7 @@ Exact search (T3) in Spark terms
    ``min_samples_leaf`` is checked on both sides with weighted counts.
 5. ``min(struct(rounded score, feature, threshold, ...))`` per node: a
    partial aggregation whose output is the best split.  Scores are
-   normalised by the node's SSE and rounded to 8 decimals so that
+   normalised by the node's SSE and rounded on a 7e-8 grid so that
    summation order cannot flip a choice; ties go to the smaller feature,
    then the smaller threshold.
 
