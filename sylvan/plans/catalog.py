@@ -845,17 +845,30 @@ SQL_FIRST = _fsql(f"select row_key, fx.y as y, round(avg(p), 4) as prediction fr
 
 
 def q_grid(spark, sf):
-    """G1 grid: 3 x 3 x 3 x 3 settings (cross product of four small
-    parameter lists) with a stable setting id."""
+    """G1 grid: 3 x 3 x 3 x 3 settings with a stable setting id, each
+    joined with the training split it will be fitted on: training rows
+    and the most leaves the setting can grow there
+    (min(2^max_depth, floor(n_train / min_samples_leaf)))."""
     from sylvan.operators.cv import param_grid
-    return param_grid(spark, {"n_trees": [50, 100, 150], "max_depth": [10, 15, 20],
+    grid = param_grid(spark, {"n_trees": [50, 100, 150], "max_depth": [10, 15, 20],
                               "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]})
-
-
-SQL_GRID = """select cast(row_number() over (order by a, b, c, d) - 1 as integer) as setting_id,
+    n_train = (SP.train_test_split(H.housing_totals(spark, sf).select("row_key"), seed=42)
+               .where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n_train")))
+    # one-row table of the split size attached by a constant key (broadcast, 1 row)
+    g = (grid.withColumn("_k", F.lit(0))
+             .join(F.broadcast(n_train.withColumn("_k", F.lit(0))), "_k").drop("_k"))
+    return g.withColumn("max_leaves", F.least(F.pow(F.lit(2), F.col("max_depth")).cast("bigint"),
+                                              F.floor(F.col("n_train") / F.col("min_samples_leaf"))))
+
+
+SQL_GRID = f"""select s.*, t.n_train, least(cast(pow(2, s.max_depth) as bigint),
+  cast(floor(t.n_train / s.min_samples_leaf) as bigint)) as max_leaves
+from (select cast(row_number() over (order by a, b, c, d) - 1 as integer) as setting_id,
   a as n_trees, b as max_depth, c as min_samples_split, d as min_samples_leaf
 from (select unnest([50, 100, 150]) as a) cross join (select unnest([10, 15, 20]) as b)
-cross join (select unnest([2, 5, 10]) as c) cross join (select unnest([1, 2, 4]) as d)"""
+cross join (select unnest([2, 5, 10]) as c) cross join (select unnest([1, 2, 4]) as d)) s
+cross join (select count(*) as n_train from orders join customer on o_custkey = c_custkey
+            where {h8('o_orderkey', repr('42'))} >= {hexcut(0.2)}) t"""
 
 
 def q_model_list(spark, sf):
