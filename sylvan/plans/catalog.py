@@ -224,7 +224,7 @@ def q_rebuild_totals(spark, sf):
 SQL_P9 = with_frames("""select row_key, Longitude as longitude, Latitude as latitude,
   HouseAge as housing_median_age, AveRooms * hh as total_rooms,
   AveBedrms * hh as total_bedrooms, Population as population,
-  hh as households, MedInc as median_income, 0.0 as ocean_proximity_code
+  hh as households, MedInc as median_income, cast(0.0 as double) as ocean_proximity_code
 from (select *, greatest(1.0, coalesce(Population / nullif(AveOccup, 0), 1.0)) as hh from a)""",
                      averages=True)
 
@@ -884,7 +884,7 @@ def q_model_list(spark, sf):
 
 SQL_MODEL_LIST = _fsql("select 8 as n_features, (select count(*) from fx) as n_samples, count(*) as n_trees, "
                        "round(avg(depth), 6) as avg_depth, round(avg(n_leaves), 6) as avg_leaves, "
-                       "sum(2 * n_leaves - 1) as total_nodes from (select tree_id, max(depth) as depth, "
+                       "cast(sum(2 * n_leaves - 1) as bigint) as total_nodes from (select tree_id, max(depth) as depth, "
                        "count(*) filter (where is_leaf) as n_leaves from nodes group by tree_id)")
 
 
@@ -1132,7 +1132,7 @@ def q_forest_stats(spark, sf):
 
 SQL_FOREST_STATS = _fsql("select count(*) as n_trees, round(avg(depth), 6) as avg_depth, "
                          "round(avg(n_leaves), 6) as avg_leaves, max(depth) as max_depth, "
-                         "sum(2 * n_leaves - 1) as total_nodes from (select tree_id, max(depth) as depth, "
+                         "cast(sum(2 * n_leaves - 1) as bigint) as total_nodes from (select tree_id, max(depth) as depth, "
                          "count(*) filter (where is_leaf) as n_leaves from nodes group by tree_id)")
 
 
