@@ -59,6 +59,9 @@ def run_preset(spark: SparkSession, sf_dir: str, name: str, target_r2: float = 0
     split plus ``meets_target`` (1/0)."""
     cfg = {**PRESETS[name], **overrides}
     frame, feats, target = preset_frame(spark, sf_dir, cfg.pop("features"))
+    # the engineered frame feeds the median pass and the fill: keep it once
+    # (this also keeps generated code of the wide feature projections small)
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     frame = clean.median_fill(frame, feats)
     # the prepared frame feeds several jobs (scaler fit, forest, scoring): keep it
     frame = SP.train_test_split(frame, test_size=0.2, seed=42).persist(StorageLevel.MEMORY_AND_DISK)
