@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from sylvan.functions import traverse
 from sylvan.functions.hashing import hash8, poisson1_weight
 from sylvan.operators.forest import ForestModel
+from sylvan.operators.split import bag_weight_array
 
 MAX_MODEL_NODES = 50_000_000
 
@@ -130,10 +131,8 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     d = df.withColumn("_x", x)
     if oob:
         seed = model.params.seed
-        # the fit's bag weights, one unrolled hash per tree (stays in codegen)
-        d = d.withColumn("_w", F.array(*[poisson1_weight(hash8(key, F.lit(str(seed)), F.lit(t)))
-                                         for t in range(nt)])
-                         if model.params.bootstrap else F.array_repeat(F.lit(1), nt))
+        # the fit's bag weights (same hash rule)
+        d = d.withColumn("_w", bag_weight_array(key, seed, nt, model.params.bootstrap))
     extra = [T.StructField("prediction", T.DoubleType())]
     if uncertainty:
         extra.append(T.StructField("uncertainty", T.DoubleType()))

@@ -55,6 +55,27 @@ def bag_weight(key: str, seed, tree_col: str = "tree_id") -> F.Column:
     return poisson1_weight(hash8(key, F.lit(str(seed)), tree_col))
 
 
+UNROLL_TREES = 24
+
+
+def bag_weight_array(key: str, seed, n_trees: int, bootstrap: bool = True, tree_mask=None) -> F.Column:
+    """ARRAY<TINYINT> of per-tree bag weights for a row (SP4 for all trees).
+
+    Up to ``UNROLL_TREES`` trees the hashes are unrolled (whole-stage
+    codegen); beyond that a ``transform`` over the tree ids builds the same
+    values without growing one generated method past the JVM's 64 KB limit.
+    ``tree_mask(tree Column) -> Column`` multiplies the weight per tree.
+    """
+    def one(t):
+        w = poisson1_weight(hash8(key, F.lit(str(seed)), t)) if bootstrap else F.lit(1)
+        if tree_mask is not None:
+            w = w * tree_mask(t)
+        return w.cast("tinyint")
+    if n_trees <= UNROLL_TREES:
+        return F.array(*[one(F.lit(t)) for t in range(n_trees)])
+    return F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), one)
+
+
 def bootstrap_weights(df: DataFrame, n_trees: int, key: str = "row_key", seed=42,
                       bootstrap: bool = True) -> DataFrame:
     """SP4 / SP6: one row per (row, tree) with weight ``w``; ``bootstrap``
