@@ -6,8 +6,8 @@ it.  In training these probabilities are out of fold: they come from models
 that did not see the row, so a later link learns from errors like those it
 will meet.  Prediction uses models of the whole sample.
 
-Features are whole words and word beginnings (``prefix`` characters),
-present or not; each model picks the ``picked`` that tell its category
+Features are words, runs of marks and word beginnings (``PREFIXES``
+characters), present or not; each model picks the ``picked`` that tell its category
 best, by the chi-squared statistic over its training rows.  Training uses
 a sample of about ``per_group`` labelled rows for each combination of
 labels (a documented bound; all rows of a rarer combination).  Prediction
@@ -23,6 +23,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +33,29 @@ from pyspark.sql import functions as F
 
 from sylvan.llm.common import fresh, quoted
 
-PREFIX = 5
+PREFIXES = (4, 5)
 FOLDS = 5
-_WORDS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]+|[^\w\s.,;:'\"()-]+")
+_BEGINS = [itemgetter(slice(0, n)) for n in PREFIXES]
 
 
-def tokens_of(text: str, prefix: int = PREFIX) -> set[str]:
-    """Distinct words, and distinct word beginnings marked by a dash."""
+def words_of(text: str) -> tuple[set[str], set[str]]:
+    """Distinct words and runs of marks, and the distinct beginnings of ``PREFIXES`` characters."""
     words = set(_WORDS.findall(text.lower()))
-    return words | {w[:prefix] + "-" for w in words if len(w) > prefix}
+    return words, set(chain.from_iterable(map(b, words) for b in _BEGINS))
+
+
+def tokens_of(text: str, among: tuple[set[str], set[str]] | None = None) -> set[str]:
+    """Features of a text: words, and word beginnings marked by a dash; all, or those of a vocabulary."""
+    words, begins = words_of(text)
+    if among is not None:
+        words, begins = words & among[0], begins & among[1]
+    return words | {b + "-" for b in begins}
+
+
+def vocabulary_of(links: Sequence["Link"]) -> tuple[set[str], set[str]]:
+    names = set().union(*(link.features for link in links))
+    return {n for n in names if n[-1] != "-"}, {n[:-1] for n in names if n[-1] == "-"}
 
 
 @dataclass(frozen=True)
@@ -197,22 +213,22 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], per_group
     return train_chain(rows["t"].to_pylist(), y, rows["fold"].to_numpy(), categories, picked)
 
 
-def classify(docs: DataFrame, chain: Chain | None, out: str = "chain") -> DataFrame:
+def classify(docs: DataFrame, model: Chain | None, out: str = "chain") -> DataFrame:
     """``docs`` plus a struct ``out``: for each category its probability ``p_*`` and decision ``is_*``."""
     (out,) = fresh(docs, out)
-    names = chain.categories if chain is not None else []
+    names = model.categories if model is not None else []
     kind = ", ".join(f"`p_{c}`: double, `is_{c}`: boolean" for c in names) or "none: boolean"
 
     @F.arrow_udf(f"struct<{kind}>")
     def run(text: pa.Array) -> pa.Array:
-        if chain is None:
+        if model is None:
             return pa.StructArray.from_arrays([pa.array([False] * len(text))], ["none"])
-        vocabulary = set().union(*(link.features for link in chain.links))
-        found = [tokens_of(t) & vocabulary if t else set() for t in text.to_pylist()]
-        p = chain.predict(found)
+        among = vocabulary_of(model.links)
+        found = [tokens_of(t, among) if t else set() for t in text.to_pylist()]
+        p = model.predict(found)
         cols, titles = [], []
         for j, c in enumerate(names):
-            cols += [pa.array(p[:, j]), pa.array(p[:, j] >= chain.thresholds[j])]
+            cols += [pa.array(p[:, j]), pa.array(p[:, j] >= model.thresholds[j])]
             titles += [f"p_{c}", f"is_{c}"]
         return pa.StructArray.from_arrays(cols, titles)
     return docs.withColumn(out, run(quoted("text").cast("string")))
