@@ -66,11 +66,6 @@ def main():
     levels = DEPTH + 1
     extra["forest_fit_sec_per_level"] = q["forest_fit"] / levels
     extra["forest_nodes"] = int(len(model.nodes))
-    # every level as distributed jobs (no in-memory finish of small nodes)
-    lparams = ForestParams(**{**params.as_dict(), "local_rows": 0})
-    q["forest_fit_levelwise"], _ = timed(
-        lambda: fit_forest(frame, H.HOUSING_TOTALS, H.HOUSING_TARGET, lparams))
-    extra["forest_fit_levelwise_sec_per_level"] = q["forest_fit_levelwise"] / levels
     # histogram mode (global quantile bins): the 100 TB configuration
     bparams = ForestParams(**{**params.as_dict(), "max_bins": 64})
     q["forest_fit_binned64"], bmodel = timed(

@@ -55,7 +55,7 @@ def uniform_open(h: Column) -> Column:
     return (F.conv(h, 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(TWO32)
 
 
-def poisson1_thresholds(max_k: int = 7) -> list[str]:
+def poisson1_thresholds(max_k: int = 12) -> list[str]:
     """Cumulative Poisson(1) probabilities for k = 0..max_k-1 as hex cut points.
 
     Inverse-CDF sampling: a hash below cut[k] (and not below cut[k-1])
@@ -69,7 +69,7 @@ def poisson1_thresholds(max_k: int = 7) -> list[str]:
     return cuts
 
 
-def poisson1_weight(h: Column, max_k: int = 7) -> Column:
+def poisson1_weight(h: Column, max_k: int = 12) -> Column:
     """Bootstrap multiplicity ~ Poisson(1) from a hash (weight column)."""
     expr = F.lit(max_k)
     for k, cut in reversed(list(enumerate(poisson1_thresholds(max_k)))):
@@ -100,7 +100,7 @@ def sql_uniform_open(h: str) -> str:
     return f"((cast(concat('0x', {h}) as bigint) + 0.5) / {TWO32!r})"
 
 
-def sql_poisson1_weight(h: str, max_k: int = 7) -> str:
+def sql_poisson1_weight(h: str, max_k: int = 12) -> str:
     whens = " ".join(f"when {h} < '{cut}' then {k}"
                      for k, cut in enumerate(poisson1_thresholds(max_k)))
     return f"cast(case {whens} else {max_k} end as integer)"

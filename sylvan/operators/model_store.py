@@ -64,15 +64,18 @@ def forest_importances_local(model: ForestModel) -> list:
     nf = model.n_features
     if len(nd) == 0:
         return [0.0] * nf
-    by_id = nd.set_index(["tree_id", "node_id"])
+    nd = nd.sort_values(["tree_id", "node_id"])
+    tree, node = nd["tree_id"].to_numpy(np.int64), nd["node_id"].to_numpy(np.int64)
+    weight = nd["n"].to_numpy(float) * nd["mse"].to_numpy(float)
+    inner = ~nd["is_leaf"].to_numpy(bool)
     total = np.zeros(nf)
-    for t, tn in nd.groupby("tree_id"):
-        imp = np.zeros(nf)
-        for r in tn[~tn["is_leaf"]].itertuples():
-            lrow = by_id.loc[(t, int(r.left_id))]
-            rrow = by_id.loc[(t, int(r.right_id))]
-            if r.n > 0:
-                imp[int(r.feature)] += r.n * r.mse - (lrow["n"] * lrow["mse"] + rrow["n"] * rrow["mse"])
+    for t in np.unique(tree):
+        mine = tree == t
+        own, up = weight[mine], inner[mine]
+        left, right = (own[np.searchsorted(node[mine], nd[c].to_numpy(np.int64, na_value=0)[mine][up])]
+                       for c in ("left_id", "right_id"))
+        imp = np.bincount(nd["feature"].to_numpy(np.int64, na_value=0)[mine][up],
+                          own[up] - (left + right), nf)
         s = imp.sum()
         total += imp / s if s > 0 else imp
     total /= max(model.n_trees, 1)

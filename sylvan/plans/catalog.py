@@ -512,8 +512,13 @@ SQL_SP5 = f"select row_key, tree_id from ({SQL_SP4}) where w = 0"
 
 FOREST = dict(n_trees=4, max_depth=2, min_samples_split=10, min_samples_leaf=5, max_features="sqrt", seed=42)
 STUMP = dict(n_trees=1, max_depth=1, min_samples_split=2, min_samples_leaf=1, max_features=None,
-             seed=7, bootstrap=False, local_rows=0)
-FOREST_LEVELWISE = dict(FOREST, local_rows=0)
+             seed=7, bootstrap=False)
+DEEP_STEPS = {"value": 0.0141421356237, "mse": 141.421356237}
+FOREST_DEEP = dict(n_trees=3, max_depth=8, min_samples_split=4, min_samples_leaf=2, max_features="sqrt", seed=3)
+FOREST_BINNED = dict(n_trees=3, max_depth=4, min_samples_split=10, min_samples_leaf=5, max_features="sqrt",
+                     seed=42, max_bins=64)
+FOREST_BUCKETED = dict(n_trees=3, max_depth=4, min_samples_split=10, min_samples_leaf=5, max_features="sqrt",
+                       seed=11, prefix_buckets=6)
 _MODELS: dict = {}
 
 
@@ -534,7 +539,7 @@ def _forest_sql(cfg: dict) -> list:
     draws = cfg.get("max_candidates", 10) if splitter == "random" else cfg.get("max_attempts", 100)
     return OF.forest_ctes(TOT, Y, "h", cfg["n_trees"], cfg["max_depth"], cfg.get("min_samples_split", 2),
                           cfg.get("min_samples_leaf", 1), m, cfg["seed"], cfg.get("bootstrap", True),
-                          splitter, draws)
+                          splitter, draws, bins=cfg.get("max_bins"))
 
 
 NODE_ROUND = {"threshold": 6, "value": 4, "mse": 1}
@@ -546,16 +551,46 @@ def _leaf_codes(df: DataFrame) -> DataFrame:
 
 
 def q_forest_fit(spark, sf):
-    """T9 with defaults: small nodes finish in the grouped in-memory phase."""
+    """The whole node table of the bagged forest."""
     return _leaf_codes(rnd(fitted(spark, sf).nodes_df(spark), NODE_ROUND))
 
 
 def q_forest_fit_levelwise(spark, sf):
-    """T9 with every level as distributed Spark jobs (local_rows = 0)."""
-    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_LEVELWISE))
+    """T8 / T9 eight levels deep."""
+    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_DEEP))
+    # steps that no mean of a few prices is a half multiple of
+    grid = {c: F.floor(F.col(c) / step + 0.5) for c, step in DEEP_STEPS.items()}
+    return _leaf_codes(rnd(m.nodes_df(spark).withColumns(grid), {"threshold": 6}))
+
+
+def q_forest_fit_bucketed(spark, sf):
+    """T3 with every feature split into value buckets (the search of very large inputs)."""
+    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BUCKETED))
     return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
+def missing_values(spark, sf) -> DataFrame:
+    """The housing frame with NaN, infinities and NULL in two features and
+    in the target of some rows (by key, so that SQL can state the same)."""
+    h = H.housing_totals(spark, sf)
+    a, b = F.col(TOT[0]).cast("double"), F.col(TOT[1]).cast("double")
+    k = F.col("row_key")
+    return h.withColumns({
+        TOT[0]: F.when(k % 7 == 0, F.lit(float("nan"))).when(k % 11 == 0, F.lit(float("inf"))).otherwise(a),
+        TOT[1]: F.when(k % 5 == 0, F.lit(None).cast("double")).when(k % 13 == 0, F.lit(float("-inf"))).otherwise(b),
+        Y: F.when(k % 17 == 0, F.lit(float("nan"))).otherwise(F.col(Y))})
+
+
+def q_forest_fit_missing(spark, sf):
+    """T9 / P11 on rows with missing, NaN and infinite values: features
+    without a value go right, rows without a target are left out."""
+    m = fit_forest(missing_values(spark, sf), TOT, Y, ForestParams(**FOREST_MISSING))
+    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
+
+
+FOREST_MISSING = dict(n_trees=3, max_depth=4, min_samples_split=10, min_samples_leaf=5, max_features="sqrt", seed=5)
+
+
 def _fsql(body: str, cfg=FOREST, more: list = ()) -> str:
     ctes = [f"h as ({HOUSING_SQL})"] + _forest_sql(cfg) + list(more)
     return "with " + ",\n".join(ctes) + "\n" + body
@@ -566,6 +601,22 @@ SQL_NODES = ("select tree_id, node_id, depth, coalesce(feature, -1) as feature,
              "round(value, 4) as value, n, round(mse, 1) as mse, is_leaf from nodes")
 
 SQL_FOREST_FIT = _fsql(SQL_NODES)
+SQL_FOREST_DEEP = _fsql(SQL_NODES.replace("round(value, 4)", f"cast(floor(value / cast({DEEP_STEPS['value']} as double) + 0.5) as bigint)")
+                        .replace("round(mse, 1)", f"cast(floor(mse / cast({DEEP_STEPS['mse']} as double) + 0.5) as bigint)"), FOREST_DEEP)
+SQL_FOREST_BUCKETED = _fsql(SQL_NODES, FOREST_BUCKETED)
+SQL_FOREST_BINNED = _fsql(SQL_NODES, FOREST_BINNED)
+SQL_FOREST_MISSING = _fsql(SQL_NODES, FOREST_MISSING).replace(
+    f"h as ({HOUSING_SQL})",
+    f"h0 as ({HOUSING_SQL}), h as (select * replace ("
+    f"case when row_key % 7 = 0 or row_key % 11 = 0 then null else {TOT[0]} end as {TOT[0]}, "
+    f"case when row_key % 5 = 0 or row_key % 13 = 0 then null else {TOT[1]} end as {TOT[1]}, "
+    f"case when row_key % 17 = 0 then null else {Y} end as {Y}) from h0)")
+
+
+def q_forest_fit_binned(spark, sf):
+    """T3 over global quantile bins (``max_bins``)."""
+    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BINNED))
+    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
 def q_best_split(spark, sf):
@@ -902,7 +953,7 @@ def q_model_roundtrip(spark, sf):
 # ---- rows-only (iterative or stochastic fits) ---------------------------------------------
 
 RANDOM = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="random", seed=42)
-EXTRA = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="extra", seed=42, local_rows=0)
+EXTRA = dict(n_trees=4, max_depth=3, min_samples_leaf=5, splitter="extra", seed=42)
 
 
 def q_random_split(spark, sf):
@@ -1284,7 +1335,10 @@ QUERIES = {
     "first_predictions": (q_first_predictions, SQL_FIRST),
     "grid": (q_grid, SQL_GRID),
     "forest_fit": (q_forest_fit, SQL_FOREST_FIT),
-    "forest_fit_levelwise": (q_forest_fit_levelwise, SQL_FOREST_FIT),
+    "forest_fit_levelwise": (q_forest_fit_levelwise, SQL_FOREST_DEEP),
+    "forest_fit_bucketed": (q_forest_fit_bucketed, SQL_FOREST_BUCKETED),
+    "forest_fit_binned": (q_forest_fit_binned, SQL_FOREST_BINNED),
+    "forest_fit_missing": (q_forest_fit_missing, SQL_FOREST_MISSING),
     "oob_score": (q_oob_score, SQL_OOB),
     "cross_validate": (q_cross_validate, _sql_cv()),
     "grid_search": (q_grid_search, _sql_grid()),

@@ -5,6 +5,7 @@ import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tests import plain_tree
 from sylvan.operators.forest import ForestParams, fit_forest
 from sylvan.operators.ranking import exact_percentiles
 
@@ -27,7 +28,7 @@ def test_quantiles_match_numpy(spark, values, groups, parts):
 
 @settings(**SETTINGS)
 @given(n=st.integers(12, 60), seed=st.integers(0, 1000), msl=st.integers(1, 3))
-def test_in_memory_equals_levelwise_on_random_data(spark, n, seed, msl):
+def test_fit_equals_a_plain_tree_on_random_data(spark, n, seed, msl):
     rng = np.random.RandomState(seed)
     x = np.round(rng.randn(n, 3), 1)  # rounded: many ties and duplicate values
     pdf = pd.DataFrame(x, columns=["a", "b", "c"])
@@ -35,10 +36,11 @@ def test_in_memory_equals_levelwise_on_random_data(spark, n, seed, msl):
     pdf.insert(0, "row_key", np.arange(n, dtype=np.int64))
     df = spark.createDataFrame(pdf)
     kw = dict(n_trees=2, max_depth=4, min_samples_leaf=msl, seed=seed, max_features=2)
-    a = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw)).nodes
-    b = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw, local_rows=0)).nodes
-    cols = ["tree_id", "node_id", "feature", "threshold", "n", "is_leaf"]
-    assert a[cols].astype(str).reset_index(drop=True).equals(b[cols].astype(str).reset_index(drop=True))
+    nodes = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw)).nodes
+    rows = list(zip(pdf[["a", "b", "c"]].to_numpy().tolist(), pdf["y"], pdf["row_key"]))
+    want = {t: plain_tree.grow([(x, plain_tree.poisson(plain_tree.h8(k, seed, t)), y) for x, y, k in rows],
+                               3, 2, t, seed, 4, msl=msl) for t in range(2)}
+    assert plain_tree.same(nodes, want)
 
 
 @settings(**SETTINGS)
@@ -51,7 +53,7 @@ def test_bucketed_exact_search_equals_single_window(spark, n, seed, buckets):
     pdf["y"] = np.round(x[:, 1] - x[:, 0] + rng.randn(n) * 0.1, 3)
     pdf.insert(0, "row_key", np.arange(n, dtype=np.int64))
     df = spark.createDataFrame(pdf)
-    kw = dict(n_trees=2, max_depth=3, seed=seed, max_features=None, local_rows=0)
+    kw = dict(n_trees=2, max_depth=3, seed=seed, max_features=None)
     a = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw)).nodes
     b = fit_forest(df, ["a", "b", "c"], "y", ForestParams(**kw, prefix_buckets=buckets)).nodes
     cols = ["tree_id", "node_id", "feature", "threshold", "n", "is_leaf"]
