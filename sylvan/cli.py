@@ -28,8 +28,8 @@ def _read(spark, path: str):
 def _keyed(df, key: str):
     if key in df.columns:
         return df
-    # a stable key from the file position is only a fallback for keyless inputs
-    return df.withColumn(key, F.monotonically_increasing_id())
+    from sylvan.sources.io import with_content_key
+    return with_content_key(df, key)
 
 
 def main(argv=None) -> int:
@@ -48,6 +48,7 @@ def main(argv=None) -> int:
     t.add_argument("--max-features", default="sqrt")
     t.add_argument("--seed", type=int, default=42)
     t.add_argument("--test-size", type=float, default=0.2)
+    t.add_argument("--na-action", choices=["drop", "fill"], default="drop")
     p = sub.add_parser("predict")
     p.add_argument("--store", required=True)
     p.add_argument("--model-id", required=True)
@@ -79,17 +80,21 @@ def main(argv=None) -> int:
     from sylvan.operators.split import train_test_split
     from sylvan.session import build_session
     from sylvan.sources import synthetic as SY
-    from sylvan.sources.io import write_predictions
+    from sylvan.sources.io import load_csv, write_predictions
 
     spark = build_session()
     if args.cmd == "train":
-        df = _keyed(_read(spark, args.data), args.key)
-        df = select_features(df, args.target, args.features, keep=(args.key,))
-        feats = [c for c in df.columns if c not in (args.key, args.target)]
+        if args.data.endswith("csv"):
+            train, test, feats = load_csv(spark, args.data, args.target, args.features, args.test_size,
+                                          args.seed, args.na_action, args.key)
+        else:
+            df = _keyed(_read(spark, args.data), args.key)
+            df = select_features(df, args.target, args.features, keep=(args.key,))
+            feats = [c for c in df.columns if c not in (args.key, args.target)]
+            s = train_test_split(df, args.key, args.test_size, args.seed)
+            train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
         mf = args.max_features
         mf = None if mf == "none" else (float(mf) if "." in mf else (int(mf) if mf.isdigit() else mf))
-        s = train_test_split(df, args.key, args.test_size, args.seed)
-        train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
         model = fit_forest(train, feats, args.target, ForestParams(
             n_trees=args.n_trees, max_depth=args.max_depth, min_samples_split=args.min_samples_split,
             min_samples_leaf=args.min_samples_leaf, max_features=mf, seed=args.seed), key=args.key)

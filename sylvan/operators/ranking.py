@@ -1,17 +1,21 @@
 """Distributed global positions and exact quantiles.
 
-Spark's exact ``percentile``/``median`` aggregates keep every distinct
-value of a group inside one task.  Here positions are computed the way
-a distributed sort does it: range-partition on (group, value, salt),
-sort inside partitions, count rows per (partition, group) -- a table
-with at most ``partitions x groups`` rows -- and turn those counts into
-offsets.  No task ever holds more than one range partition, a hot value
-is spread by the salt, and only the <= 2 rows per requested quantile
-reach the final aggregation.
+Positions are computed the way a distributed sort does it: range-partition
+on (group, value, salt), sort inside partitions, count rows per
+(partition, group) and turn those counts into offsets.
+
+Exact quantiles need no sort of the data.  A sketch aggregation brackets
+each quantile between two values whose ranks are certain to enclose it; a
+second pass counts what lies below the bracket and, value by value, what
+lies inside it -- about 6 / ``ACCURACY`` of the rows -- and only those few
+values are put in order.  Nothing is written, nothing runs before an
+action, and a hot value costs one row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,53 +65,98 @@ def with_global_position(df: DataFrame, order_cols, group_cols=(),
                .drop("_salt", "_mid", "_first", "_cnt", "_off", "_pid"))
 
 
-def exact_percentiles(df: DataFrame, value: str, probs, group_cols=(),
-                      names=None, partitions: int | None = None,
-                      broadcast_offsets: bool = True) -> DataFrame:
+#: Rank accuracy of the bracketing sketch; groups of at most as many rows are
+#: bracketed by their smallest and largest value.
+ACCURACY = 50_000
+
+
+def _brackets(v, probs) -> list:
+    """Aggregates of one column: its size, extremes and bracket values."""
+    around = [min(max(p + d / ACCURACY, 0.0), 1.0) for p in probs for d in (-3, 3)]
+    return [F.count(v), F.min(v), F.max(v), F.percentile_approx(v, around, ACCURACY)]
+
+
+def _inside(v, n, low, high, marks, i: int):
+    """The row's part in quantile ``i``: null where it lies above the bracket,
+    else a struct of the quantile's number and the value (null: below)."""
+    lo = F.when(n <= ACCURACY, low).otherwise(marks[2 * i])
+    hi = F.when(n <= ACCURACY, high).otherwise(marks[2 * i + 1])
+    return F.when(v <= hi, F.struct(F.lit(i).alias("_i"), F.when(v >= lo, v).alias("_x")))
+
+
+def _picked(counted: DataFrame, keys: list, probs) -> DataFrame:
+    """Values at the two ranks around each quantile, and the weight of the upper one.
+
+    ``counted``: (keys, _n, _i, _x, _c), how often each bracket value occurs.
+    """
+    by = Window.partitionBy(*keys, "_i").orderBy(F.col("_x").asc_nulls_first())
+    upto = F.sum("_c").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    pos = F.element_at(F.array(*(F.lit(float(p)) for p in probs)), F.col("_i") + 1) * (F.col("_n") - 1)
+    c = counted.withColumn("_upto", upto).withColumn("_pos", pos)
+    holds = lambda k: (F.col("_upto") > k) & (F.col("_upto") - F.col("_c") <= k)
+    return c.groupBy(*keys, "_i").agg(
+        F.max(F.when(holds(F.floor("_pos")), F.col("_x"))).alias("_lo"),
+        F.max(F.when(holds(F.ceil("_pos")), F.col("_x"))).alias("_hi"),
+        F.max(F.col("_pos") - F.floor("_pos")).alias("_f"))
+
+
+def exact_percentiles(df: DataFrame, value: str, probs, group_cols=(), names=None) -> DataFrame:
     """Exact percentiles with linear interpolation (numpy's default,
-    DuckDB ``quantile_cont``); NULL and NaN are missing.  One row per group."""
+    DuckDB ``quantile_cont``); NULL and NaN are missing.  One row per group
+    (a null group is a group); without groups always one row."""
     g = list(group_cols)
+    probs = list(probs)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    base = df.select(*g, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = with_global_position(base, ["_v"], g, partitions, broadcast_offsets)
-    pos = [F.lit(float(p)) * (F.col("_gn") - 1) for p in probs]
-    los = [F.floor(x) for x in pos]
-    his = [F.ceil(x) for x in pos]
-    wanted = None
-    for lo, hi in zip(los, his):
-        cond = (F.col("_pos") == lo) | (F.col("_pos") == hi)
-        wanted = cond if wanted is None else (wanted | cond)
-    picked = ranked.where(wanted)
-    aggs = []
-    for x, lo, hi, nm in zip(pos, los, his, names):
-        v_lo = F.max(F.when(F.col("_pos") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_pos") == hi, F.col("_v")))
-        frac = F.max(x - lo)
-        aggs.append((v_lo + (v_hi - v_lo) * frac).alias(nm))
-    if g:
-        return picked.groupBy(*g).agg(*aggs)
-    return picked.agg(*aggs)
-
-
-def exact_median(df: DataFrame, value: str, group_cols=(), name="median", **kw) -> DataFrame:
-    return exact_percentiles(df, value, [0.5], group_cols, [name], **kw)
-
-
-def column_medians(df: DataFrame, cols, **kw) -> dict:
-    """Exact medians of several numeric columns in one sort.
-
-    The columns are stacked into (column, value) long form so the work
-    is one range-partitioned sort grouped by column name; the result is
-    one small row per column, returned as a dict (bounded by the number
-    of columns).
-    """
+    keys = [f"_g{i}" for i in range(len(g))]
+    base = df.select(*(F.col(c).alias(k) for c, k in zip(g, keys)), F.col(value).cast("double").alias("_v"))
+    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    n, low, high, marks = _brackets(F.col("_v"), probs)
+    sizes = base.groupBy(*(F.col(k).alias(f"{k}_") for k in keys)).agg(
+        n.alias("_n"), low.alias("_low"), high.alias("_high"), marks.alias("_marks"))
+    if keys:
+        same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
+        both = base.join(sizes, reduce(lambda a, b: a & b, same))
+    else:
+        both = base.crossJoin(F.broadcast(sizes))        # one row
+    parts = F.array_compact(F.array(*(_inside(F.col("_v"), F.col("_n"), F.col("_low"), F.col("_high"),
+                                              F.col("_marks"), i) for i in range(len(probs)))))
+    counted = (both.select(*keys, "_n", F.explode(parts).alias("_p"))
+               .groupBy(*keys, "_n", "_p._i", "_p._x").agg(F.count(F.lit(1)).alias("_c")))
+    got = _picked(counted, keys, probs)
+    at = [F.max(F.when(F.col("_i") == i, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))).alias(nm)
+          for i, nm in enumerate(names)]
+    out = got.groupBy(*keys).agg(*at)
+    return out.select(*(F.col(k).alias(c) for k, c in zip(keys, g)), *names)
+
+
+def exact_median(df: DataFrame, value: str, group_cols=(), name="median") -> DataFrame:
+    return exact_percentiles(df, value, [0.5], group_cols, [name])
+
+
+def column_medians(df: DataFrame, cols) -> dict:
+    """Exact medians of several numeric columns: one sketch pass for all
+    brackets, one pass over the values inside them.  The result is one value
+    per column (None where all are missing)."""
     cols = list(cols)
     if not cols:
         return {}
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in cols
-    ])).alias("_s")).select("_s._c", "_s._x")
-    med = exact_percentiles(stacked, "_x", [0.5], ["_c"], ["_m"], **kw)
-    got = {r["_c"]: r["_m"] for r in med.collect()}
-    return {c: got.get(c) for c in cols}
+
+    def clean(c):
+        v = F.col(c).cast("double")
+        return F.when(~F.isnan(v), v)
+    sizes = df.agg(*(a.alias(f"_{k}{i}") for i, c in enumerate(cols)
+                     for k, a in zip("nlhm", _brackets(clean(c), [0.5])))).first()
+    parts = []
+    for i, c in enumerate(cols):
+        n = sizes[f"_n{i}"]
+        if n:
+            lo, hi = (sizes[f"_l{i}"], sizes[f"_h{i}"]) if n <= ACCURACY else sizes[f"_m{i}"]
+            v = clean(c)
+            parts.append(F.when(v <= hi, F.struct(F.lit(i).alias("_k"), F.lit(n).cast("long").alias("_n"),
+                                                  F.lit(0).alias("_i"), F.when(v >= lo, v).alias("_x"))))
+    if not parts:
+        return dict.fromkeys(cols)
+    counted = (df.select(F.explode(F.array_compact(F.array(*parts))).alias("_p")).select("_p.*")
+               .groupBy("_k", "_n", "_i", "_x").agg(F.count(F.lit(1)).alias("_c")))
+    got = {r["_k"]: r["_lo"] + (r["_hi"] - r["_lo"]) * r["_f"] for r in _picked(counted, ["_k"], [0.5]).collect()}
+    return {c: got.get(i) for i, c in enumerate(cols)}

@@ -26,9 +26,8 @@ def significant(x, digits: int | None):
     """Round a fitted constant to ``digits`` significant digits.
 
     Floating sums depend on the order partial aggregates are merged,
-    which varies between runs and partitionings; storing the constants
-    to 10 significant digits makes a refit on the same data give the
-    same model, on any cluster and in any engine.
+    which varies between runs and partitionings; a caller that needs a refit
+    on the same data to give the same bits can store fewer digits.
     """
     if x is None or digits is None or x == 0 or x != x:
         return x
@@ -40,7 +39,7 @@ class StandardScaler:
     cols: list
     mean_: dict = field(default_factory=dict)
     scale_: dict = field(default_factory=dict)
-    sig_digits: int | None = 10
+    sig_digits: int | None = None
 
     def fit(self, df: DataFrame) -> "StandardScaler":
         row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in self.cols],
@@ -123,9 +122,9 @@ class MinMaxScaler:
                [(c, "min", self.min_[c]) for c in self.cols]
 
 
-def make_scaler(kind: str, cols):
+def make_scaler(kind: str, cols, sig_digits: int | None = None):
     if kind == "standard":
-        return StandardScaler(list(cols))
+        return StandardScaler(list(cols), sig_digits=sig_digits)
     if kind == "minmax":
         return MinMaxScaler(list(cols))
     raise ValueError(f"Unknown scaler type: {kind}")
@@ -144,6 +143,7 @@ class Preprocessor:
     handle_missing: str = "mean"
     remove_outliers: bool = False
     outlier_threshold: float = 3.0
+    sig_digits: int | None = None
     imputer_: clean.ImputerState | None = None
     scaler_: object = None
     n_outliers_: int = 0
@@ -159,14 +159,14 @@ class Preprocessor:
         d = self._missing(df, True)
         if self.remove_outliers:
             d, _ = clean.remove_outliers(d, self.cols, self.outlier_threshold)
-        self.scaler_ = make_scaler(self.scaler_type, self.cols).fit(d)
+        self.scaler_ = make_scaler(self.scaler_type, self.cols, self.sig_digits).fit(d)
         return self
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         d = self._missing(df, True)
         if self.remove_outliers:
             d, _ = clean.remove_outliers(d, self.cols, self.outlier_threshold)
-        self.scaler_ = make_scaler(self.scaler_type, self.cols).fit(d)
+        self.scaler_ = make_scaler(self.scaler_type, self.cols, self.sig_digits).fit(d)
         return self.scaler_.transform(d)
 
     def transform(self, df: DataFrame) -> DataFrame:

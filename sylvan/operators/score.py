@@ -11,6 +11,7 @@ matrix, so uncertainty costs no second prediction pass.
 
 from __future__ import annotations
 
+import uuid
 from statistics import NormalDist
 
 import numpy as np
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.functions import traverse
-from sylvan.functions.hashing import hash8, poisson1_weight
 from sylvan.operators.forest import ForestModel
 from sylvan.operators.split import bag_weight_array
 
@@ -61,50 +61,30 @@ def _sub_model(model: ForestModel, trees: list[int]) -> ForestModel:
 
 def _predict_chunked(df: DataFrame, model: ForestModel, uncertainty: bool, per_tree: bool,
                      oob: bool, key: str, limit: int) -> DataFrame:
-    """Scoring beyond one broadcast: tree groups of bounded size are
-    applied as chained passes that add per-group sums (and arrays), which
-    one projection then combines.  Rows still never move."""
-    chunks = _tree_chunks(model, limit)
-    nt = model.n_trees
-    d = df
-    sums, sqs, arrs, osums, ocnts = [], [], [], [], []
-    for i, trees in enumerate(chunks):
-        part = predict(d, _sub_model(model, trees), uncertainty=False, per_tree=True, oob=False,
-                       key=key, max_model_nodes=limit)
-        tp = F.col("tree_predictions")
-        cols = {f"_s{i}": F.aggregate(tp, F.lit(0.0), lambda a, v: a + v),
-                f"_q{i}": F.aggregate(tp, F.lit(0.0), lambda a, v: a + v * v)}
-        if per_tree:
-            cols[f"_a{i}"] = tp
-        if oob:
-            seed = model.params.seed
-            ws = [poisson1_weight(hash8(key, F.lit(str(seed)), F.lit(t))) if model.params.bootstrap
-                  else F.lit(1) for t in trees]
-            out = [F.when(w == 0, F.element_at(tp, j + 1)) for j, w in enumerate(ws)]
-            cols[f"_os{i}"] = sum((F.coalesce(o, F.lit(0.0)) for o in out), F.lit(0.0))
-            cols[f"_oc{i}"] = sum((F.when(w == 0, 1).otherwise(0) for w in ws), F.lit(0))
-            osums.append(f"_os{i}")
-            ocnts.append(f"_oc{i}")
-        d = part.drop("prediction").withColumns(cols).drop("tree_predictions")
-        sums.append(f"_s{i}")
-        sqs.append(f"_q{i}")
-        arrs.append(f"_a{i}")
-    total = sum((F.col(c) for c in sums), F.lit(0.0))
-    mean = total / nt
-    out = d.withColumn("prediction", mean)
-    if uncertainty:
-        ex2 = sum((F.col(c) for c in sqs), F.lit(0.0)) / nt
-        out = out.withColumn("uncertainty", F.sqrt(F.greatest(ex2 - F.col("prediction") ** 2, F.lit(0.0))))
+    """Scoring beyond one broadcast: tree groups of bounded size are applied
+    as chained passes, each adding its trees' predictions; one projection
+    combines them.  Rows still never move."""
+    tag = uuid.uuid4().hex[:8]                 # no column of the caller has such a name
+    d, arrays = df, []
+    for i, trees in enumerate(_tree_chunks(model, limit)):
+        arrays.append(f"_trees_{tag}_{i}")
+        d = (predict(d, _sub_model(model, trees), per_tree=True, key=key, max_model_nodes=limit)
+             .drop("prediction").withColumnRenamed("tree_predictions", arrays[-1]))
+    every, nt = f"_every_{tag}", model.n_trees
+    total = lambda col, f: F.aggregate(col, F.lit(0.0), lambda a, v: a + f(v))
+    out = d.withColumn(every, F.concat(*arrays)).withColumn("prediction", total(every, lambda v: v) / nt)
+    if uncertainty:       # squared deviations from the mean over all trees
+        out = out.withColumn("uncertainty", F.sqrt(
+            total(every, lambda v: (v - F.col("prediction")) * (v - F.col("prediction"))) / nt))
     if per_tree:
-        out = out.withColumn("tree_predictions", F.concat(*[F.col(c) for c in arrs]))
+        out = out.withColumn("tree_predictions", F.col(every))
     if oob:
-        cnt = sum((F.col(c) for c in ocnts), F.lit(0))
-        out = (out.withColumn("oob_count", cnt.cast("int"))
-                  .withColumn("oob_prediction", F.when(F.col("oob_count") > 0,
-                              sum((F.col(c) for c in osums), F.lit(0.0)) / F.col("oob_count"))))
-    helper = [c for c in out.columns if c.startswith(("_s", "_q", "_a", "_os", "_oc"))
-              and c[1:].lstrip("soqac").isdigit()]
-    return out.drop(*helper)
+        left_out = F.filter(F.arrays_zip(F.col(every).alias("p"), bag_weight_array(
+            key, model.params.seed, nt, model.params.bootstrap).alias("w")), lambda z: z["w"] == 0)
+        out = (out.withColumn(every, left_out).withColumn("oob_count", F.size(every))
+               .withColumn("oob_prediction", F.when(F.col("oob_count") > 0, total(
+                   every, lambda z: z["p"]) / F.col("oob_count"))))
+    return out.drop(every, *arrays)
 
 
 def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,

@@ -291,13 +291,10 @@ SQL_P16 = with_frames("select row_key, e as error_pct, case when e < 15 then 'go
 
 def _model_preds(spark, sf):
     """Predictions of four 'models' of rising error on one test set."""
-    pp = H.prediction_pairs(spark, sf)
-    out = None
-    for k in range(1, 5):
-        d = pp.select("row_key", "y", F.lit(f"model_{k}").alias("model"),
-                      (F.col("y") + (F.col("p") - F.col("y")) * (k * k * 4)).alias("p"))
-        out = d if out is None else out.unionByName(d)
-    return out
+    return H.prediction_pairs(spark, sf).select("row_key", "y", F.explode(F.array(*(
+        F.struct(F.lit(f"model_{k}").alias("model"),
+                 (F.col("y") + (F.col("p") - F.col("y")) * (k * k * 4)).alias("p")) for k in range(1, 5))))
+        .alias("m")).select("row_key", "y", "m.model", "m.p")
 
 
 SQL_MODEL_PREDS = ("mp as (select row_key, y, 'model_' || k as model, y + (p - y) * (k * k * 4) as p "
@@ -305,7 +302,7 @@ SQL_MODEL_PREDS = ("mp as (select row_key, y, 'model_' || k as model, y + (p - y
 
 
 def q_score_tiers(spark, sf):
-    m = M.regression_metrics(_model_preds(spark, sf), group_cols=["model"])
+    m = M.regression_metrics(_model_preds(spark, sf), group_cols=["model"], with_median=False)
     t = M.score_tiers(m)
     return rnd(t.select("model", "r2_score", "tier", "gap_pct", "meets_target"),
                {"r2_score": 9, "gap_pct": 7})
@@ -410,7 +407,7 @@ SQL_COMPLETE = "hc as (select row_key, " + ", ".join(TOT) + f", {Y} from h where
 
 def q_standard_scale(spark, sf):
     d = _complete_totals(spark, sf)
-    return rnd(C.StandardScaler(TOT).fit_transform(d).drop(Y), {c: 7 for c in TOT})
+    return rnd(C.StandardScaler(TOT, sig_digits=10).fit_transform(d).drop(Y), {c: 7 for c in TOT})
 
 
 def _sql_std():
@@ -420,7 +417,7 @@ def _sql_std():
 
 def q_standard_inverse(spark, sf):
     d = _complete_totals(spark, sf)
-    sc = C.StandardScaler(TOT)
+    sc = C.StandardScaler(TOT, sig_digits=10)
     return rnd(sc.inverse_transform(sc.fit_transform(d)).drop(Y), {c: 9 for c in TOT})
 
 
@@ -449,7 +446,8 @@ def q_minmax_inverse(spark, sf):
 
 def q_preprocess_fit_transform(spark, sf):
     h = H.housing_totals(spark, sf).select("row_key", *TOT, Y)
-    pp = C.Preprocessor(TOT, scaler_type="standard", handle_missing="mean", remove_outliers=True)
+    pp = C.Preprocessor(TOT, scaler_type="standard", handle_missing="mean", remove_outliers=True,
+                        sig_digits=10)
     return rnd(pp.fit_transform(h).drop(Y), {c: 7 for c in TOT})
 
 
@@ -527,17 +525,19 @@ def fitted(spark, sf, which: str = "forest"):
     per session and folder, because several queries score one model)."""
     key = (id(spark), sf, which)
     if key not in _MODELS:
-        params = ForestParams(**(FOREST if which == "forest" else STUMP))
+        params = ForestParams(**(STUMP if which == "stump" else FOREST))
         h = H.housing_totals(spark, sf)
+        if which == "train":
+            h = SP.train_test_split(h, seed=42).where(F.col("split") == "train").drop("split")
         _MODELS[key] = fit_forest(h, TOT, Y, params)
     return _MODELS[key]
 
 
-def _forest_sql(cfg: dict) -> list:
+def _forest_sql(cfg: dict, source: str = "h") -> list:
     m = SP.resolve_max_features(cfg.get("max_features", "sqrt"), len(TOT))
     splitter = cfg.get("splitter", "best")
     draws = cfg.get("max_candidates", 10) if splitter == "random" else cfg.get("max_attempts", 100)
-    return OF.forest_ctes(TOT, Y, "h", cfg["n_trees"], cfg["max_depth"], cfg.get("min_samples_split", 2),
+    return OF.forest_ctes(TOT, Y, source, cfg["n_trees"], cfg["max_depth"], cfg.get("min_samples_split", 2),
                           cfg.get("min_samples_leaf", 1), m, cfg["seed"], cfg.get("bootstrap", True),
                           splitter, draws, bins=cfg.get("max_bins"))
 
@@ -591,8 +591,9 @@ def q_forest_fit_missing(spark, sf):
 FOREST_MISSING = dict(n_trees=3, max_depth=4, min_samples_split=10, min_samples_leaf=5, max_features="sqrt", seed=5)
 
 
-def _fsql(body: str, cfg=FOREST, more: list = ()) -> str:
-    ctes = [f"h as ({HOUSING_SQL})"] + _forest_sql(cfg) + list(more)
+def _fsql(body: str, cfg=FOREST, more: list = (), train_only: bool = False) -> str:
+    side = [f"tr as (select * from h where not ({h8('row_key', repr('42'))} < {hexcut(0.2)}))"] if train_only else []
+    ctes = [f"h as ({HOUSING_SQL})"] + side + _forest_sql(cfg, "tr" if train_only else "h") + list(more)
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
@@ -1149,7 +1150,7 @@ def q_scale_except_codes(spark, sf):
     """Scale every feature except the categorical code."""
     h = H.housing_totals(spark, sf).select("row_key", *TOT, "ocean_proximity")
     h = clean.drop_missing(P.apply_label_encoder(h, P.fit_label_encoder(h, "ocean_proximity"), "ocean_proximity"))
-    out = C.StandardScaler(TOT).fit_transform(h).drop("ocean_proximity")
+    out = C.StandardScaler(TOT, sig_digits=10).fit_transform(h).drop("ocean_proximity")
     return rnd(out, {c: 7 for c in TOT})
 
 
@@ -1161,19 +1162,19 @@ def _sql_scale_codes():
 
 
 def q_model_score(spark, sf):
-    """R^2 of the fitted forest on the rows of the held-out split."""
+    """R^2 on the held-out split of a forest fitted on the train side."""
     te = SP.train_test_split(H.housing_totals(spark, sf), seed=42).where(F.col("split") == "test")
-    p = SC.predict(te.select("row_key", Y, *TOT), fitted(spark, sf))
-    return rnd(M.regression_metrics(p, Y, "prediction").select("n", "r2_score"), {"r2_score": 6})
+    p = SC.predict(te.select("row_key", Y, *TOT), fitted(spark, sf, "train"))
+    return rnd(M.regression_metrics(p, Y, "prediction", with_median=False).select("n", "r2_score"), {"r2_score": 6})
 
 
 _TEST_ROWS = ("select row_key, " + ", ".join(f"cast({c} as double) as x{i}" for i, c in enumerate(TOT))
               + f" from h where {h8('row_key', repr('42'))} < {hexcut(0.2)}")
 SQL_MODEL_SCORE = _fsql(
     "select count(*) as n, round(case when var_pop(y) > 0 then 1 - avg((y - pr) * (y - pr)) / var_pop(y) "
-    "else 0 end, 6) as r2_score from (select pt.row_key, avg(p) as pr, any_value(fx.y) as y from pt "
-    "join fx using (row_key) group by pt.row_key)", FOREST,
-    OF.predict_ctes(_TEST_ROWS, len(TOT), FOREST["n_trees"], FOREST["max_depth"]))
+    f"else 0 end, 6) as r2_score from (select pt.row_key, avg(p) as pr, any_value(h.{Y}) as y from pt "
+    "join h using (row_key) group by pt.row_key)", FOREST,
+    OF.predict_ctes(_TEST_ROWS, len(TOT), FOREST["n_trees"], FOREST["max_depth"]), train_only=True)
 
 
 def q_forest_stats(spark, sf):
@@ -1188,9 +1189,9 @@ SQL_FOREST_STATS = _fsql("select count(*) as n_trees, round(avg(depth), 6) as av
 
 
 def q_evaluate_holdout(spark, sf):
-    """All metrics of the forest on the held-out split."""
+    """All metrics on the held-out split of a forest fitted on the train side."""
     te = SP.train_test_split(H.housing_totals(spark, sf), seed=42).where(F.col("split") == "test")
-    p = SC.predict(te.select("row_key", Y, *TOT), fitted(spark, sf)).select(
+    p = SC.predict(te.select("row_key", Y, *TOT), fitted(spark, sf, "train")).select(
         F.col(Y).alias("y"), F.col("prediction").alias("p"))
     return rnd(M.regression_metrics(p), MET_COLS)
 
@@ -1198,8 +1199,39 @@ def q_evaluate_holdout(spark, sf):
 SQL_EVALUATE = _fsql(
     "select n, " + ", ".join(f"round({c}, {d}) as {c}" for c, d in MET_COLS.items()) + " from met", FOREST,
     OF.predict_ctes(_TEST_ROWS, len(TOT), FOREST["n_trees"], FOREST["max_depth"])
-    + ["ev as (select pt.row_key, avg(p) as p, any_value(fx.y) as y from pt join fx using (row_key) "
-       "group by pt.row_key)", _sql_metrics_body("ev", "")])
+    + [f"ev as (select pt.row_key, avg(p) as p, any_value(h.{Y}) as y from pt join h using (row_key) "
+       "group by pt.row_key)", _sql_metrics_body("ev", "")], train_only=True)
+
+
+def _load_csv(action: str):
+    """S1 end to end on a file with missing numbers, missing strings and tied modes."""
+    def q(spark, sf):
+        from sylvan.session import scratch_path
+        from sylvan.sources.io import load_csv, write_predictions
+
+        k = F.col("row_key")
+        raw = H.housing_totals(spark, sf).select(
+            "row_key", F.when(k % 7 != 0, F.col(TOT[2])).alias("a"), F.col(TOT[3]).alias("b"),
+            F.when(k % 100 == 1, F.concat(F.lit("t"), k.cast("string"))).alias("tag"), F.col(Y).alias("y"))
+        path = scratch_path(spark, "load-csv")
+        write_predictions(raw, path, "csv")
+        train, test, _ = load_csv(spark, path, "y", na_action=action, seed=42)
+        both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+        return rnd(both.withColumn("row_key", F.col("row_key").cast("long")), {"a": 6, "b": 6, "y": 6})
+    return q
+
+
+def _load_csv_sql(action: str) -> str:
+    kept = ("select * from raw where a is not null and tag is not null" if action == "drop" else
+            "select row_key, coalesce(a, (select quantile_cont(a, 0.5) from raw)) as a, b, coalesce(tag, (select tag "
+            "from raw where tag is not null group by tag order by count(*) desc, tag limit 1)) as tag, y from raw")
+    return f"""with h as ({HOUSING_SQL}),
+raw as (select row_key, cast(case when row_key % 7 <> 0 then {TOT[2]} end as double) as a,
+  cast({TOT[3]} as double) as b, case when row_key % 100 = 1 then 't' || row_key end as tag, cast({Y} as double) as y from h),
+kept as ({kept})
+select cast(row_key as bigint) as row_key, round(a, 6) as a, round(b, 6) as b,
+  cast(dense_rank() over (order by tag) - 1 as double) as tag, round(y, 6) as y,
+  case when {h8('row_key', repr('42'))} < {hexcut(0.2)} then 'test' else 'train' end as split from kept"""
 
 
 def _preset(name):
@@ -1337,6 +1369,8 @@ QUERIES = {
     "forest_fit": (q_forest_fit, SQL_FOREST_FIT),
     "forest_fit_levelwise": (q_forest_fit_levelwise, SQL_FOREST_DEEP),
     "forest_fit_bucketed": (q_forest_fit_bucketed, SQL_FOREST_BUCKETED),
+    "load_csv_fill": (_load_csv("fill"), _load_csv_sql("fill")),
+    "load_csv_drop": (_load_csv("drop"), _load_csv_sql("drop")),
     "forest_fit_binned": (q_forest_fit_binned, SQL_FOREST_BINNED),
     "forest_fit_missing": (q_forest_fit_missing, SQL_FOREST_MISSING),
     "oob_score": (q_oob_score, SQL_OOB),

@@ -67,7 +67,7 @@ def run_preset(spark: SparkSession, sf_dir: str, name: str, target_r2: float = 0
     frame = SP.train_test_split(frame, test_size=0.2, seed=42).persist(StorageLevel.MEMORY_AND_DISK)
     train = frame.where(F.col("split") == "train")
     test = frame.where(F.col("split") == "test")
-    scaler = C.StandardScaler(feats).fit(train)
+    scaler = C.StandardScaler(feats, sig_digits=10).fit(train)
     model = fit_forest(scaler.transform(train), feats, target, ForestParams(seed=42, **cfg))
     pred = SC.predict(scaler.transform(test).select("row_key", target, *feats), model)
     met = M.regression_metrics(pred, target, "prediction", n_features=len(feats))

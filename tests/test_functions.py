@@ -46,7 +46,7 @@ def test_exact_percentiles_match_numpy_with_hot_value_and_group(spark):
     df = spark.createDataFrame(pdf).repartition(5)
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
     for parts in (1, 7):
-        got = exact_percentiles(df, "v", probs, ["g"], partitions=parts).toPandas().set_index("g")
+        got = exact_percentiles(df, "v", probs, ["g"]).toPandas().set_index("g")
         for key, grp in pdf.groupby("g"):
             for p in probs:
                 assert abs(got.loc[key, f"p{int(p * 100)}"] - _np_pct(grp.v, p)) < 1e-12

@@ -19,7 +19,7 @@ def test_quantiles_match_numpy(spark, values, groups, parts):
     v = np.array(values, dtype=float) / 2
     g = np.arange(len(v)) % groups
     df = spark.createDataFrame(pd.DataFrame({"g": g, "v": v})).repartition(parts)
-    got = exact_percentiles(df, "v", [0.1, 0.5, 0.99], ["g"], partitions=parts).toPandas().set_index("g")
+    got = exact_percentiles(df, "v", [0.1, 0.5, 0.99], ["g"]).toPandas().set_index("g")
     for key in np.unique(g):
         vv = v[g == key]
         for p in (0.1, 0.5, 0.99):
