@@ -116,42 +116,33 @@ def forest_stats(nodes: DataFrame) -> DataFrame:
                   F.sum(2 * F.col("n_leaves") - 1).alias("total_nodes"))
 
 
-def tree_rules(nodes: DataFrame, feature_names=None, max_depth: int | None = None) -> DataFrame:
+def tree_rules(nodes: DataFrame, feature_names=None) -> DataFrame:
     """T19 re-aimed: one row per leaf with its path predicate.
 
-    Paths are built level by level with equi-joins of the node table on
-    the child ids (one join per depth, all trees at once).
+    With heap ids the ancestors of a node are its id shifted right, and the
+    bit shifted out says which side the path takes: each leaf lists its
+    ancestors, one equi-join fetches their tests, one grouped collect (at
+    most the depth) puts them in order.  The plan is the same at any depth.
     """
     names = list(feature_names or [])
-
-    def fname(c):
-        if not names:
-            return F.concat(F.lit("x"), F.col(c).cast("string"))
-        return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(c) + 1)
-
-    cur = nodes.where(F.col("depth") == 0).select("tree_id", "node_id", F.lit("").alias("path"))
-    paths = [cur]
-    depth = max_depth if max_depth is not None else nodes.agg(F.max("depth")).first()[0] or 0
-    inner = nodes.where(~F.col("is_leaf")).select(
-        "tree_id", "node_id", "left_id", "right_id", fname("feature").alias("fn"),
+    name = (F.element_at(F.array(*[F.lit(n) for n in names]), F.col("feature") + 1) if names
+            else F.concat(F.lit("x"), F.col("feature").cast("string")))
+    tests = nodes.where(~F.col("is_leaf")).select(
+        "tree_id", F.col("node_id").alias("up"), name.alias("fn"),
         F.format_string("%.9f", F.col("threshold")).alias("ts"))
-    for _ in range(depth):
-        j = cur.join(inner, ["tree_id", "node_id"], "inner")
-        sep = F.when(F.col("path") == "", F.lit("")).otherwise(F.lit(" AND "))
-        left = j.select("tree_id", F.col("left_id").alias("node_id"),
-                        F.concat(F.col("path"), sep, F.col("fn"), F.lit(" <= "), F.col("ts")).alias("path"))
-        right = j.select("tree_id", F.col("right_id").alias("node_id"),
-                         F.concat(F.col("path"), sep, F.col("fn"), F.lit(" > "), F.col("ts")).alias("path"))
-        cur = left.unionByName(right)
-        paths.append(cur)
-    allp = paths[0]
-    for p in paths[1:]:
-        allp = allp.unionByName(p)
     leaves = nodes.where(F.col("is_leaf")).select("tree_id", "node_id", "depth", "n", "value")
-    return leaves.join(allp, ["tree_id", "node_id"], "inner").select(
-        "tree_id", "node_id", "depth",
-        F.when(F.col("path") == "", F.lit("TRUE")).otherwise(F.col("path")).alias("rule"),
-        "n", "value")
+    steps = leaves.where(F.col("depth") > 0).select(
+        "tree_id", "node_id", "depth", F.explode(F.sequence(F.lit(1), F.col("depth"))).alias("k"))
+    steps = steps.select("tree_id", "node_id", (F.col("depth") - F.col("k")).alias("at"),
+                         F.expr("shiftright(node_id, k)").alias("up"),
+                         (F.expr("shiftright(node_id, k - 1)") % 2 == 1).alias("right"))
+    side = F.when(F.col("right"), F.lit(" > ")).otherwise(F.lit(" <= "))
+    paths = (steps.join(tests, ["tree_id", "up"])
+             .select("tree_id", "node_id", F.struct("at", F.concat("fn", side, "ts").alias("test")).alias("s"))
+             .groupBy("tree_id", "node_id").agg(F.sort_array(F.collect_list("s")).alias("s"))
+             .select("tree_id", "node_id", F.concat_ws(" AND ", F.col("s.test")).alias("rule")))
+    return leaves.join(paths, ["tree_id", "node_id"], "left").select(
+        "tree_id", "node_id", "depth", F.coalesce("rule", F.lit("TRUE")).alias("rule"), "n", "value")
 
 
 def get_tree(model: ForestModel, tree_id: int) -> ForestModel:
@@ -168,9 +159,10 @@ def get_tree(model: ForestModel, tree_id: int) -> ForestModel:
 # ---- S8: save / load ---------------------------------------------------------
 
 def save_model(spark: SparkSession, model: ForestModel, store: str, metadata: dict | None = None,
-               extra_state: dict | None = None) -> str:
-    """Write nodes / trees / models (and optional scaler or encoder state)
-    as parquet partitioned by model_id; metadata also as JSON."""
+               state=None) -> str:
+    """Write nodes / trees / models as parquet partitioned by model_id, the
+    metadata also as JSON, and the fitted preprocessing (``state``, see
+    :mod:`sylvan.operators.fitted_state`) beside them."""
     mid = model.model_id
     nodes = model.nodes_df(spark).withColumn("model_id", F.lit(mid))
     nodes.write.mode("append").partitionBy("model_id").parquet(f"{store}/nodes")
@@ -191,10 +183,9 @@ def save_model(spark: SparkSession, model: ForestModel, store: str, metadata: di
     mdf = mdf.withColumn("created_at", F.current_timestamp())
     mdf.write.mode("append").partitionBy("model_id").parquet(f"{store}/models")
     mdf.write.mode("append").partitionBy("model_id").json(f"{store}/models_json")
-    for name, rows in (extra_state or {}).items():
-        spark.createDataFrame(rows, "column string, stat string, value double").withColumn(
-            "model_id", F.lit(mid)).write.mode("append").partitionBy("model_id").parquet(
-            f"{store}/state_{name}")
+    if state is not None:
+        from sylvan.operators.fitted_state import save_state
+        save_state(spark, store, mid, state)
     return mid
 
 

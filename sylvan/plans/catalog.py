@@ -511,7 +511,7 @@ SQL_SP5 = f"select row_key, tree_id from ({SQL_SP4}) where w = 0"
 FOREST = dict(n_trees=4, max_depth=2, min_samples_split=10, min_samples_leaf=5, max_features="sqrt", seed=42)
 STUMP = dict(n_trees=1, max_depth=1, min_samples_split=2, min_samples_leaf=1, max_features=None,
              seed=7, bootstrap=False)
-DEEP_STEPS = {"value": 0.0141421356237, "mse": 141.421356237}
+NODE_STEPS = {"value": 0.0141421356237, "mse": 141.421356237}
 FOREST_DEEP = dict(n_trees=3, max_depth=8, min_samples_split=4, min_samples_leaf=2, max_features="sqrt", seed=3)
 FOREST_BINNED = dict(n_trees=3, max_depth=4, min_samples_split=10, min_samples_leaf=5, max_features="sqrt",
                      seed=42, max_bins=64)
@@ -555,18 +555,21 @@ def q_forest_fit(spark, sf):
     return _leaf_codes(rnd(fitted(spark, sf).nodes_df(spark), NODE_ROUND))
 
 
+def _stepped_nodes(spark, model) -> DataFrame:
+    """The node table with means and errors in steps that no mean of a few
+    prices is a half multiple of."""
+    grid = {c: F.floor(F.col(c) / step + 0.5) for c, step in NODE_STEPS.items()}
+    return _leaf_codes(rnd(model.nodes_df(spark).withColumns(grid), {"threshold": 6}))
+
+
 def q_forest_fit_levelwise(spark, sf):
     """T8 / T9 eight levels deep."""
-    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_DEEP))
-    # steps that no mean of a few prices is a half multiple of
-    grid = {c: F.floor(F.col(c) / step + 0.5) for c, step in DEEP_STEPS.items()}
-    return _leaf_codes(rnd(m.nodes_df(spark).withColumns(grid), {"threshold": 6}))
+    return _stepped_nodes(spark, fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_DEEP)))
 
 
 def q_forest_fit_bucketed(spark, sf):
     """T3 with every feature split into value buckets (the search of very large inputs)."""
-    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BUCKETED))
-    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
+    return _stepped_nodes(spark, fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BUCKETED)))
 
 
 def missing_values(spark, sf) -> DataFrame:
@@ -584,8 +587,7 @@ def missing_values(spark, sf) -> DataFrame:
 def q_forest_fit_missing(spark, sf):
     """T9 / P11 on rows with missing, NaN and infinite values: features
     without a value go right, rows without a target are left out."""
-    m = fit_forest(missing_values(spark, sf), TOT, Y, ForestParams(**FOREST_MISSING))
-    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
+    return _stepped_nodes(spark, fit_forest(missing_values(spark, sf), TOT, Y, ForestParams(**FOREST_MISSING)))
 
 
 FOREST_MISSING = dict(n_trees=3, max_depth=4, min_samples_split=10, min_samples_leaf=5, max_features="sqrt", seed=5)
@@ -602,11 +604,12 @@ SQL_NODES = ("select tree_id, node_id, depth, coalesce(feature, -1) as feature,
              "round(value, 4) as value, n, round(mse, 1) as mse, is_leaf from nodes")
 
 SQL_FOREST_FIT = _fsql(SQL_NODES)
-SQL_FOREST_DEEP = _fsql(SQL_NODES.replace("round(value, 4)", f"cast(floor(value / cast({DEEP_STEPS['value']} as double) + 0.5) as bigint)")
-                        .replace("round(mse, 1)", f"cast(floor(mse / cast({DEEP_STEPS['mse']} as double) + 0.5) as bigint)"), FOREST_DEEP)
-SQL_FOREST_BUCKETED = _fsql(SQL_NODES, FOREST_BUCKETED)
-SQL_FOREST_BINNED = _fsql(SQL_NODES, FOREST_BINNED)
-SQL_FOREST_MISSING = _fsql(SQL_NODES, FOREST_MISSING).replace(
+SQL_STEPPED = (SQL_NODES.replace("round(value, 4)", f"cast(floor(value / cast({NODE_STEPS['value']} as double) + 0.5) as bigint)")
+               .replace("round(mse, 1)", f"cast(floor(mse / cast({NODE_STEPS['mse']} as double) + 0.5) as bigint)"))
+SQL_FOREST_DEEP = _fsql(SQL_STEPPED, FOREST_DEEP)
+SQL_FOREST_BUCKETED = _fsql(SQL_STEPPED, FOREST_BUCKETED)
+SQL_FOREST_BINNED = _fsql(SQL_STEPPED, FOREST_BINNED)
+SQL_FOREST_MISSING = _fsql(SQL_STEPPED, FOREST_MISSING).replace(
     f"h as ({HOUSING_SQL})",
     f"h0 as ({HOUSING_SQL}), h as (select * replace ("
     f"case when row_key % 7 = 0 or row_key % 11 = 0 then null else {TOT[0]} end as {TOT[0]}, "
@@ -616,8 +619,7 @@ SQL_FOREST_MISSING = _fsql(SQL_NODES, FOREST_MISSING).replace(
 
 def q_forest_fit_binned(spark, sf):
     """T3 over global quantile bins (``max_bins``)."""
-    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BINNED))
-    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
+    return _stepped_nodes(spark, fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BINNED)))
 
 
 def q_best_split(spark, sf):
@@ -1035,7 +1037,7 @@ def _sql_grid():
 def q_stream_score(spark, sf):
     from sylvan.streaming.score_stream import stream_score_available_now
     return rnd(stream_score_available_now(spark, H.housing_totals(spark, sf).select("row_key", *TOT),
-                                          fitted(spark, sf)),
+                                          fitted(spark, sf)).select("row_key", "prediction", "uncertainty"),
                {"prediction": 4, "uncertainty": 4})
 
 
@@ -1203,6 +1205,69 @@ SQL_EVALUATE = _fsql(
        "group by pt.row_key)", _sql_metrics_body("ev", "")], train_only=True)
 
 
+PIPE = dict(n_trees=4, max_depth=3, min_samples_split=10, min_samples_leaf=5, max_features="sqrt", seed=21)
+
+
+def _raw_rows(spark, sf) -> DataFrame:
+    """Rows as they arrive: a missing feature here and there, a class as text."""
+    return H.housing_totals(spark, sf).withColumn(
+        TOT[3], F.when(F.col("row_key") % 7 != 0, F.col(TOT[3]).cast("double")))
+
+
+def _stored_pipeline(spark, sf):
+    """Train on raw rows, save model and fitted state, read both back."""
+    from sylvan.operators.fitted_state import fit_state, load_state
+    from sylvan.session import scratch_path
+
+    raw = _raw_rows(spark, sf)
+    state = fit_state(raw, TOT, ["ocean_proximity"], sig_digits=10)
+    model = fit_forest(state.transform(raw), TOT + ["ocean_proximity_code"], Y, ForestParams(**PIPE))
+    store = scratch_path(spark, "pipeline-store")
+    mid = MS.save_model(spark, model, store, state=state)
+    return raw, MS.load_model(spark, store, mid), load_state(spark, store, mid)
+
+
+def q_pipeline_roundtrip(spark, sf):
+    """Raw rows scored by a reloaded model with its reloaded fills, codes and scaling."""
+    raw, model, state = _stored_pipeline(spark, sf)
+    return rnd(SC.predict(state.transform(raw), model).select("row_key", "prediction"), {"prediction": 4})
+
+
+def q_stream_pipeline(spark, sf):
+    """ST1: a stream of raw rows -> features -> scaler -> prediction -> interval -> price."""
+    from sylvan.streaming.score_stream import stream_score_available_now
+
+    raw, model, state = _stored_pipeline(spark, sf)
+    out = stream_score_available_now(spark, raw, model, features=state.prepare, scaler=state.scaler,
+                                     confidence_level=0.9, price_adjust=True)
+    return rnd(out.select("row_key", F.col("interval.lower").alias("lower"), F.col("interval.upper").alias("upper"),
+                          "adjusted_price"), {"lower": 3, "upper": 3, "adjusted_price": 3})
+
+
+def _sql_pipeline(body: str) -> str:
+    raw = ", ".join(f"case when row_key % 7 <> 0 then cast({c} as double) end as {c}" if c == TOT[3] else c for c in TOT)
+    fill = ", ".join(f"coalesce(cast({c} as double), (select quantile_cont({c}, 0.5) from rw)) as {c}" for c in TOT)
+    scaled = ", ".join(f"({c} - m{i}) / s{i} as x{i}" for i, c in enumerate(TOT))
+    nf = len(TOT) + 1
+    xs = [f"x{i}" for i in range(nf)]
+    ctes = [f"h as ({HOUSING_SQL})",
+            f"rw as (select row_key, {raw}, dense_rank() over (order by ocean_proximity) - 1 as code, {Y} as y from h)",
+            f"fl as (select row_key, {fill}, code, y from rw)",
+            f"sst as materialized ({std_stats(TOT, 'fl', 'm', 's', True)})",
+            f"sc as materialized (select row_key, {scaled}, cast(code as double) as x{nf - 1}, y from fl cross join sst)"]
+    ctes += OF.forest_ctes(xs, "y", "sc", PIPE["n_trees"], PIPE["max_depth"], PIPE["min_samples_split"],
+                           PIPE["min_samples_leaf"], SP.resolve_max_features("sqrt", nf), PIPE["seed"], True)
+    ctes += OF.predict_ctes(f"select row_key, {', '.join(xs)} from sc", nf, PIPE["n_trees"], PIPE["max_depth"])
+    return "with " + ",\n".join(ctes) + "\n" + body
+
+
+SQL_PIPELINE = _sql_pipeline("select row_key, round(avg(p), 4) as prediction from pt group by row_key")
+SQL_STREAM_PIPELINE = _sql_pipeline(
+    f"select row_key, round(avg(p) - {SC.z_value(0.9)!r} * stddev_pop(p), 3) as lower, "
+    f"round(avg(p) + {SC.z_value(0.9)!r} * stddev_pop(p), 3) as upper, "
+    f"round(avg(p) * {P.INFLATION_FACTOR} * {P.MARKET_PREMIUM}, 3) as adjusted_price from pt group by row_key")
+
+
 def _load_csv(action: str):
     """S1 end to end on a file with missing numbers, missing strings and tied modes."""
     def q(spark, sf):
@@ -1369,6 +1434,8 @@ QUERIES = {
     "forest_fit": (q_forest_fit, SQL_FOREST_FIT),
     "forest_fit_levelwise": (q_forest_fit_levelwise, SQL_FOREST_DEEP),
     "forest_fit_bucketed": (q_forest_fit_bucketed, SQL_FOREST_BUCKETED),
+    "pipeline_roundtrip": (q_pipeline_roundtrip, SQL_PIPELINE),
+    "stream_pipeline": (q_stream_pipeline, SQL_STREAM_PIPELINE),
     "load_csv_fill": (_load_csv("fill"), _load_csv_sql("fill")),
     "load_csv_drop": (_load_csv("drop"), _load_csv_sql("drop")),
     "forest_fit_binned": (q_forest_fit_binned, SQL_FOREST_BINNED),

@@ -32,10 +32,12 @@ def scoring_stream(stream: DataFrame, model: ForestModel, uncertainty: bool = Tr
 
 
 def start_scoring(spark: SparkSession, source_dir: str, schema, model: ForestModel, sink_dir: str,
-                  checkpoint_dir: str, available_now: bool = True, processing_time: str | None = None):
-    """Start a parquet-to-parquet scoring query; returns the handle."""
+                  checkpoint_dir: str, available_now: bool = True, processing_time: str | None = None,
+                  **steps):
+    """Start a parquet-to-parquet scoring query; returns the handle.
+    ``steps``: the arguments of :func:`scoring_stream`."""
     src = spark.readStream.schema(schema).parquet(source_dir)
-    out = scoring_stream(src, model)
+    out = scoring_stream(src, model, **steps)
     w = out.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir) \
         .option("path", sink_dir).outputMode("append")
     if available_now:
@@ -45,13 +47,12 @@ def start_scoring(spark: SparkSession, source_dir: str, schema, model: ForestMod
     return w.start()
 
 
-def stream_score_available_now(spark: SparkSession, rows: DataFrame, model: ForestModel) -> DataFrame:
+def stream_score_available_now(spark: SparkSession, rows: DataFrame, model: ForestModel, **steps) -> DataFrame:
     """Land ``rows`` in a folder, run the stream to completion with an
-    ``availableNow`` trigger and read the sink back (row_key, prediction,
-    uncertainty)."""
+    ``availableNow`` trigger and read the sink back."""
     src = scratch_path(spark, "stream-src")
     rows.write.parquet(src)
     sink = scratch_path(spark, "stream-sink")
-    q = start_scoring(spark, src, rows.schema, model, sink, scratch_path(spark, "stream-ckpt"))
+    q = start_scoring(spark, src, rows.schema, model, sink, scratch_path(spark, "stream-ckpt"), **steps)
     q.awaitTermination()
-    return spark.read.parquet(sink).select("row_key", "prediction", "uncertainty")
+    return spark.read.parquet(sink)

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 
@@ -51,6 +53,28 @@ def test_cli_round_trip(spark, tmp_path, capsys):
     assert back.count() == 300 and set(back.columns) == {"row_key", "prediction", "uncertainty"}
 
 
+def test_cli_trains_on_a_csv_with_classes_and_gaps(spark, tmp_path, capsys):
+    import pandas as pd
+
+    from sylvan.cli import main
+    pdf = pd.DataFrame({"a": [float(i) if i % 5 else None for i in range(200)],
+                        "kind": [["x", "y", None][i % 3] for i in range(200)], "y": [float(i % 17) for i in range(200)]})
+    pdf.to_csv(tmp_path / "in.csv", index=False)
+    assert main(["train", "--data", str(tmp_path / "in.csv"), "--target", "y", "--store", str(tmp_path / "m"),
+                 "--n-trees", "2", "--max-depth", "3", "--na-action", "fill"]) == 0
+    assert "model_id" in json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+
+def test_checkpoint_folder_must_be_set_off_local(monkeypatch):
+    from types import SimpleNamespace
+
+    from sylvan.session import ensure_checkpoint_dir
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+                           conf=SimpleNamespace(get=lambda key, default: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)
+
+
 def test_load_csv_semantics(spark, tmp_path):
     import pandas as pd
 
