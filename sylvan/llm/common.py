@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.session import ensure_checkpoint_dir
+from sylvan.session import ensure_checkpoint_dir, ship
 
 #: Rows per Arrow batch.  Documents can be long, so batches are kept small.
 ARROW_ROWS = "1000"
@@ -17,6 +17,7 @@ _ARROW_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole table, by Spark's own reader."""
     small_batches(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
