@@ -77,17 +77,17 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class Sample:
-    """Training texts as lists of feature numbers."""
-
-    def __init__(self, found: list[list[str]], least: int = 3):
-        number: dict[str, int] = {}
-        ids = [np.array([number.setdefault(w, len(number)) for w in t], np.int64) for t in found]
-        self.names = np.array(list(number), dtype=object)
-        self.rows = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-        self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        often = np.bincount(self.ids, minlength=len(self.names)) >= least
-        keep = often[self.ids]
-        self.rows, self.ids, self.n = self.rows[keep], self.ids[keep], len(ids)
+    """Training texts as numbered features; those of fewer than ``least`` rows are left out."""
+
+    def __init__(self, found: pa.ListArray, least: int = 3):
+        coded = found.flatten().dictionary_encode()
+        ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.repeat(np.arange(len(found)), found.value_lengths().to_numpy(zero_copy_only=False))
+        often = np.bincount(ids, minlength=len(coded.dictionary)) >= least
+        number = np.cumsum(often) - 1
+        keep = often[ids]
+        self.names = np.array(coded.dictionary.filter(pa.array(often)).to_pylist(), dtype=object)
+        self.rows, self.ids, self.n = rows[keep], number[ids[keep]], len(found)
 
     def pick(self, y: np.ndarray, use: np.ndarray, k: int) -> np.ndarray:
         """Features with the largest chi-squared statistic on the rows in ``use``."""
@@ -127,19 +127,17 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12)
     return beta[:-1], float(beta[-1])
 
 
-def _link(sample: Sample, y: np.ndarray, use: np.ndarray, before: np.ndarray, picked: int) -> Link:
+def _link(sample: Sample, y: np.ndarray, use: np.ndarray, before: np.ndarray,
+          picked: int) -> tuple[Link, np.ndarray]:
+    """A category's model from the rows in ``use``, and its probabilities on all rows."""
     if not use.any() or y[use].min() == y[use].max():
         sure = 20.0 if use.any() and y[use].max() else -20.0
-        return Link({}, np.zeros(before.shape[1]), sure)
+        return Link({}, np.zeros(before.shape[1]), sure), np.full(sample.n, float(_sigmoid(np.array(sure))))
     best = sample.pick(y, use, picked)
-    x = np.hstack([sample.matrix(best), before])[use]
-    w, bias = logistic(x, y[use].astype(float))
+    x = np.hstack([sample.matrix(best), before])
+    w, bias = logistic(x[use], y[use].astype(float))
     names = sample.names[best].tolist()
-    return Link(dict(zip(names, w[:len(names)].tolist())), w[len(names):], bias)
-
-
-def _apply(sample_found: list[set[str]], link: Link, before: np.ndarray) -> np.ndarray:
-    return _sigmoid(link.logit(sample_found, before))
+    return Link(dict(zip(names, w[:len(names)].tolist())), w[len(names):], bias), _sigmoid(x @ w + bias)
 
 
 @dataclass(frozen=True)
@@ -151,23 +149,23 @@ class Chain:
     def predict(self, found: list[set[str]]) -> np.ndarray:
         p = np.zeros((len(found), 0))
         for link in self.links:
-            p = np.column_stack([p, _apply(found, link, p)])
+            p = np.column_stack([p, _sigmoid(link.logit(found, p))])
         return p
 
 
-def train_chain(found: list[list[str]], labels: np.ndarray, fold: np.ndarray, categories: Sequence[str],
+def train_chain(found: pa.ListArray, labels: np.ndarray, fold: np.ndarray, categories: Sequence[str],
                 picked: int = 200) -> Chain:
-    """``labels``: rows x categories of 0 and 1, in chain order; ``fold``: fold number of each row."""
-    sample, sets = Sample(found), [set(t) for t in found]
-    out_of_fold = np.zeros((len(found), 0))
+    """``found``: the features of each row; ``labels``: rows x categories of 0
+    and 1, in chain order; ``fold``: fold number of each row."""
+    sample = Sample(found)
+    out_of_fold = np.zeros((sample.n, 0))
     links, cuts = [], []
     for j in range(len(categories)):
-        y, held = labels[:, j], np.zeros(len(found))
+        y, held = labels[:, j], np.zeros(sample.n)
         for f in np.unique(fold):
             mine = fold == f
-            link = _link(sample, y, ~mine, out_of_fold, picked)
-            held[mine] = _apply([s for s, m in zip(sets, mine) if m], link, out_of_fold[mine])
-        links.append(_link(sample, y, np.ones(len(y), bool), out_of_fold, picked))
+            held[mine] = _link(sample, y, ~mine, out_of_fold, picked)[1][mine]
+        links.append(_link(sample, y, np.ones(len(y), bool), out_of_fold, picked)[0])
         cuts.append(_best_cut(held, y))
         out_of_fold = np.column_stack([out_of_fold, held])
     return Chain(list(categories), links, cuts)
@@ -210,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], per_group
         return None
     rows = rows.sort_by("id__")                                   # the same model whatever the row order
     y = np.column_stack([rows[f"y__{c}"].to_numpy() for c in categories])
-    return train_chain(rows["t"].to_pylist(), y, rows["fold"].to_numpy(), categories, picked)
+    return train_chain(rows["t"].combine_chunks(), y, rows["fold"].to_numpy(), categories, picked)
 
 
 def classify(docs: DataFrame, model: Chain | None, out: str = "chain") -> DataFrame:

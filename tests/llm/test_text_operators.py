@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,7 +181,7 @@ def toxic_rows(n, seed):
 
 def test_chain_learns_and_feeds_forward():
     texts, y = toxic_rows(700, 1)
-    model = toxicity.train_chain([sorted(toxicity.tokens_of(t)) for t in texts], y, np.arange(700) % 5, ["junk", "toxic"])
+    model = toxicity.train_chain(pa.array([sorted(toxicity.tokens_of(t)) for t in texts]), y, np.arange(700) % 5, ["junk", "toxic"])
     assert len(model.links[0].earlier) == 0 and len(model.links[1].earlier) == 1
     new, z = toxic_rows(400, 2)
     p = model.predict([toxicity.tokens_of(t) for t in new])
