@@ -181,11 +181,15 @@ def _best_of_key(front, min_leaf: float, binned: bool):
         below = np.column_stack([c.to_numpy(zero_copy_only=False) for c in (ow, os, oq)])
         after = nxt.to_numpy(zero_copy_only=False).astype(np.float64)
         out = np.full((len(slots), 5), np.nan)
-        for i, blobs in enumerate(sums):
-            m = np.frombuffer(b"".join(b.as_py() for b in blobs.values), np.float64).reshape(-1, 4)
+        flat = sums.flatten()                 # a key's blobs lie side by side in one buffer
+        ends = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset:flat.offset + len(flat) + 1]
+        raw = np.frombuffer(flat.buffers()[2] or b"", np.uint8)
+        blobs = sums.offsets.to_numpy() - (sums.offsets[0].as_py() if len(sums) else 0)
+        for i in range(len(slots)):
+            m = raw[ends[blobs[i]]:ends[blobs[i + 1]]].view(np.float64).reshape(-1, 4)
             if not len(m):
                 continue
-            if len(blobs.values) > 1:
+            if blobs[i + 1] - blobs[i] > 1:
                 m = m[np.argsort(m[:, 0], kind="stable")]
                 cell = _starts(m[:, 0])
                 m = np.column_stack([m[cell, 0], *(np.add.reduceat(m[:, c], cell) for c in (1, 2, 3))])
@@ -246,6 +250,19 @@ def best_splits(state: DataFrame, front, nf: int, nt: int, min_leaf: float,
         "slot", "ymin", "ymax", "best.feature", "best.threshold", "best.lw", "best.ls", "best.lq")
 
 
+def tree_sums(state: DataFrame, nt: int) -> DataFrame:
+    """T1 at the roots: ``tree_id, n, s, q`` of every tree's bag."""
+    def run(batches):
+        for rb in batches:
+            w = traverse.list_matrix(rb.column("w"), nt, np.int8).astype(np.float64)
+            y = rb.column("yc").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(nt, dtype=np.int32)), *(pa.array(v) for v in (w.sum(0), y @ w, (y * y) @ w))],
+                ["tree_id", "n", "s", "q"])
+    return (state.select("w", "yc").mapInArrow(run, "tree_id int, n double, s double, q double")
+            .groupBy("tree_id").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")))
+
+
 # ---- drawn thresholds -------------------------------------------------------
 
 def _ranges(front, nf: int, nt: int):

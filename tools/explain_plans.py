@@ -14,7 +14,9 @@ sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from sylvan.operators import clean, metrics as M, scale as C, split as SP, splitters  # noqa: E402
+from sylvan.operators import levels  # noqa: E402
+from sylvan.operators.forest import _Trees, subset_for  # noqa: E402
+from sylvan.operators import clean, metrics as M, scale as C, split as SP  # noqa: E402
 from sylvan.operators import score as SC  # noqa: E402
 from sylvan.operators.forest import ForestParams, fit_forest  # noqa: E402
 from sylvan.session import build_session  # noqa: E402
@@ -55,24 +57,14 @@ def main():
         "filter pushdown example: events outliers": clean.remove_outliers(
             H.event_values(spark, sf).where(F.col("value") > 0), ["value"])[0],
     }
-    # one level of the exact search over a small state, as the fit builds it
+    # the roots of four trees over a small state, as the fit searches them
     st = h.select(F.array(*[F.col(c).cast("double") for c in H.HOUSING_TOTALS]).alias("x"),
                   (F.col(H.HOUSING_TARGET) - 200000).alias("yc"),
-                  F.array_repeat(F.lit(1).cast("tinyint"), 4).alias("w"),
-                  F.array_repeat(F.lit(1).cast("bigint"), 4).alias("nid"))
-    fr = SP.feature_subsets(spark.createDataFrame([(t, 1) for t in range(4)], "tree_id int, node_id bigint"),
-                            8, 2, 42)
-    tot = spark.createDataFrame([(t, 1, 1.0, 0.0, 1.0) for t in range(4)],
-                                "tree_id int, node_id bigint, n double, s double, q double")
-    ex = (st.select("x", "yc", F.posexplode(F.arrays_zip("nid", "w")).alias("tree_id", "z"))
-            .where(F.col("z.w") > 0)
-            .select("x", "yc", "tree_id", F.col("z.nid").alias("node_id"), F.col("z.w").alias("w"))
-            .join(F.broadcast(fr), ["tree_id", "node_id"])
-            .select("tree_id", "node_id", "w", "yc", "x", F.explode("features").alias("feature"))
-            .select("tree_id", "node_id", "feature", "w", "yc", F.col("x")[F.col("feature")].alias("v"),
-                    F.lit(0).alias("b")))
-    jobs["split search level (exact, one level, all trees)"] = splitters.best_splits_exact(
-        ex, tot, 1.0, bucketed=False)
+                  F.array_repeat(F.lit(1).cast("tinyint"), 4).alias("w"))
+    trees = _Trees(4)
+    open_ = [(t, trees.add(t), subset_for(42, t, 1, 8, 2), 1.0, 0.0, 1.0, 1) for t in range(4)]
+    front = spark.sparkContext.broadcast(trees.frontier(list(range(4)), open_, 8, 0))
+    jobs["split search level (exact, one level, all trees)"] = levels.best_splits(st, front, 8, 4, 1.0)
     print("# Physical plans of the main jobs\n")
     print(f"Generated by `tools/explain_plans.py` on `{sf}` (AQE on; final plans may coalesce further).\n")
     for name, df in jobs.items():
