@@ -23,7 +23,7 @@ class ForestRegressor:
                  criterion: str = "mse", n_jobs: int | None = None, verbose: int = 0, **engine):
         # n_jobs is accepted for compatibility: Spark schedules the work
         if criterion != "mse":
-            raise ValueError(f"Unknown criterion: {criterion}")
+            raise ValueError(f"criterion {criterion!r} is not offered")
         engine.setdefault("verbose", bool(verbose))
         self.params = ForestParams(n_trees=n_trees, max_depth=max_depth,
                                    min_samples_split=min_samples_split,
@@ -43,7 +43,7 @@ class ForestRegressor:
 
     def _fitted(self) -> ForestModel:
         if self.model_ is None:
-            raise ValueError("Forest must be fitted before making predictions")
+            raise ValueError("call fit on this estimator first")
         return self.model_
 
     # -- scoring -----------------------------------------------------------

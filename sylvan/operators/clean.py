@@ -97,7 +97,7 @@ def fit_imputer(df: DataFrame, cols, strategy: str = "median",
     fill only for columns that have missing values at fit time.
     """
     if strategy not in ("mean", "median"):
-        raise ValueError(f"Unknown missing value strategy: {strategy}")
+        raise ValueError(f"no fill rule named {strategy!r}; use 'mean' or 'median'")
     d = normalize_missing(df, cols)
     cols = list(cols)
     if only_missing:

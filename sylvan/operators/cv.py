@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,22 +48,47 @@ def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
     return spark.createDataFrame(rows, ddl)
 
 
+def _prefix_scores(valid: DataFrame, model, target: str, counts, depths) -> list[tuple]:
+    """(trees, depth, R^2) of every tree prefix and depth cut of a forest, in
+    one job: one scoring pass per depth, all prefixes from its predictions."""
+    d = valid.withColumn("_y", F.col(target).cast("double"))
+    errors = []
+    for depth in depths:
+        col = f"_trees{depth}"
+        d = (SC.predict(d, model.truncated(max(counts), depth), per_tree=True).drop("prediction")
+             .withColumnRenamed("tree_predictions", col))
+        for n in counts:
+            p = F.aggregate(F.slice(col, 1, n), F.lit(0.0), lambda a, v: a + v) / n
+            errors.append(F.avg((F.col("_y") - p) * (F.col("_y") - p)).alias(f"e{n}_{depth}"))
+    row = d.agg(F.var_pop("_y").alias("v"), *errors).first()
+
+    def r2(mse: float) -> float:
+        if row["v"] is not None and row["v"] > 0:
+            return 1.0 - mse / row["v"]
+        return 1.0 if mse == 0 else 0.0
+    return [(n, depth, float(r2(row[f"e{n}_{depth}"]))) for depth in depths for n in counts]
+
+
 def grid_search(train: DataFrame, valid: DataFrame, feature_cols, target: str, grid: dict,
                 seed=42, key: str = "row_key", max_features="sqrt") -> DataFrame:
     """Validation R^2 of every setting, best first; one fit per
-    (min_samples_split, min_samples_leaf) pair."""
+    (min_samples_split, min_samples_leaf) pair and one scoring job per fit."""
     spark = train.sparkSession
     ntr, dep = max(grid["n_trees"]), max(grid["max_depth"])
+    counts, depths = sorted(grid["n_trees"]), sorted(grid["max_depth"])
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    valid = valid.select(key, target, *feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
     results = []
-    for mss, msl in itertools.product(sorted(grid["min_samples_split"]), sorted(grid["min_samples_leaf"])):
-        big = fit_forest(train, feature_cols, target,
-                         ForestParams(n_trees=ntr, max_depth=dep, min_samples_split=mss,
-                                      min_samples_leaf=msl, max_features=max_features, seed=seed), key=key)
-        for n, d in itertools.product(sorted(grid["n_trees"]), sorted(grid["max_depth"])):
-            sub = big.truncated(n, d)
-            p = SC.predict(valid.select(key, target, *feature_cols), sub)
-            r2 = M.regression_metrics(p, target, "prediction", with_median=False).first()["r2_score"]
-            results.append((n, d, mss, msl, float(r2)))
+    try:
+        for mss, msl in itertools.product(sorted(grid["min_samples_split"]), sorted(grid["min_samples_leaf"])):
+            big = fit_forest(train, feature_cols, target,
+                             ForestParams(n_trees=ntr, max_depth=dep, min_samples_split=mss,
+                                          min_samples_leaf=msl, max_features=max_features, seed=seed), key=key)
+            for n, d, r2 in _prefix_scores(valid, big, target, counts, depths):
+                results.append((n, d, mss, msl, r2))
+    finally:
+        train.unpersist()
+        valid.unpersist()
     out = spark.createDataFrame(results, "n_trees int, max_depth int, min_samples_split int, "
                                          "min_samples_leaf int, r2_score double")
     return out.orderBy(F.desc("r2_score"), "n_trees", "max_depth", "min_samples_split", "min_samples_leaf")

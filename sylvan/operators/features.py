@@ -20,13 +20,13 @@ def select_features(df: DataFrame, target: str, features=None, keep=("row_key",)
     """P1 + P2: pick features (default: every column but the target and
     kept keys) and the target, cast to double; unknown names raise."""
     if target not in df.columns:
-        raise KeyError(f"Target column '{target}' not found")
+        raise KeyError(f"the frame has no target column {target!r}")
     keep = [k for k in keep if k in df.columns]
     if features is None:
         features = [c for c in df.columns if c != target and c not in keep]
     missing = sorted(set(features) - set(df.columns))
     if missing:
-        raise KeyError(f"Feature columns not found: {missing}")
+        raise KeyError(f"the frame lacks the features {missing}")
     return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in features],
                      F.col(target).cast("double").alias(target))
 
@@ -137,7 +137,7 @@ def feature_vector(df: DataFrame, feature_names, name: str = "features") -> Data
     """P10: ordered ARRAY<DOUBLE> of the model's features."""
     missing = [c for c in feature_names if c not in df.columns]
     if missing:
-        raise KeyError(f"Feature columns not found: {missing}")
+        raise KeyError(f"the frame lacks the features {missing}")
     return df.withColumn(name, F.array(*[F.col(c).cast("double") for c in feature_names]))
 
 

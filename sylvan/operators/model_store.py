@@ -148,7 +148,7 @@ def tree_rules(nodes: DataFrame, feature_names=None) -> DataFrame:
 def get_tree(model: ForestModel, tree_id: int) -> ForestModel:
     """One tree of the forest as a one-tree model."""
     if tree_id < 0 or tree_id >= model.n_trees:
-        raise IndexError(f"Tree index {tree_id} out of range [0, {model.n_trees})")
+        raise IndexError(f"the forest has {model.n_trees} trees; there is no tree {tree_id}")
     nd = model.nodes[model.nodes["tree_id"] == tree_id].copy()
     nd["tree_id"] = 0
     p = ForestParams(**{**model.params.as_dict(), "n_trees": 1})

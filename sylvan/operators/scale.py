@@ -51,7 +51,7 @@ class StandardScaler:
 
     def _check(self, df: DataFrame):
         if not self.mean_:
-            raise NotFittedError("StandardScaler must be fitted before transform")
+            raise NotFittedError("call fit on this StandardScaler first")
         missing = [c for c in self.cols if c not in df.columns]
         if missing:
             raise ValueError(f"Expected features {self.cols}, missing {missing}")
@@ -86,7 +86,7 @@ class MinMaxScaler:
     def fit(self, df: DataFrame) -> "MinMaxScaler":
         lo, hi = self.feature_range
         if lo >= hi:
-            raise ValueError("feature_range minimum must be smaller than maximum")
+            raise ValueError(f"empty feature_range {self.feature_range}")
         row = df.agg(*[F.min(c).alias(f"lo_{c}") for c in self.cols],
                      *[F.max(c).alias(f"hi_{c}") for c in self.cols]).first()
         for c in self.cols:
@@ -99,7 +99,7 @@ class MinMaxScaler:
 
     def _check(self, df: DataFrame):
         if not self.scale_:
-            raise NotFittedError("MinMaxScaler must be fitted before transform")
+            raise NotFittedError("call fit on this MinMaxScaler first")
         missing = [c for c in self.cols if c not in df.columns]
         if missing:
             raise ValueError(f"Expected features {self.cols}, missing {missing}")
@@ -127,7 +127,7 @@ def make_scaler(kind: str, cols, sig_digits: int | None = None):
         return StandardScaler(list(cols), sig_digits=sig_digits)
     if kind == "minmax":
         return MinMaxScaler(list(cols))
-    raise ValueError(f"Unknown scaler type: {kind}")
+    raise ValueError(f"no scaler named {kind!r}; use 'standard' or 'minmax'")
 
 
 @dataclass
@@ -171,10 +171,10 @@ class Preprocessor:
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.scaler_ is None:
-            raise NotFittedError("Preprocessor must be fitted before transform")
+            raise NotFittedError("call fit on this Preprocessor first")
         return self.scaler_.transform(self._missing(df, False))
 
     def inverse_transform(self, df: DataFrame) -> DataFrame:
         if self.scaler_ is None:
-            raise NotFittedError("Preprocessor must be fitted before inverse_transform")
+            raise NotFittedError("call fit on this Preprocessor first")
         return self.scaler_.inverse_transform(df)

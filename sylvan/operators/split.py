@@ -96,7 +96,7 @@ def resolve_max_features(max_features, n_features: int) -> int:
     if max_features is None:
         return n_features
     if isinstance(max_features, bool):
-        raise ValueError(f"Invalid max_features: {max_features}")
+        raise ValueError(f"cannot read max_features={max_features!r} as a count, a share or a rule")
     if isinstance(max_features, int):
         return min(max_features, n_features)
     if isinstance(max_features, float):
@@ -105,7 +105,7 @@ def resolve_max_features(max_features, n_features: int) -> int:
         return max(1, int(math.sqrt(n_features)))
     if max_features == "log2":
         return max(1, int(math.log2(n_features)))
-    raise ValueError(f"Invalid max_features: {max_features}")
+    raise ValueError(f"cannot read max_features={max_features!r} as a count, a share or a rule")
 
 
 def feature_subset_expr(seed, tree: F.Column, node: F.Column, n_features: int, m: int) -> F.Column:

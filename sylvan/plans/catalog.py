@@ -999,11 +999,11 @@ def _sql_cv():
             "unpivot (value for metric in (r2_score, rmse, mae))")
 
 
-GRID_SMALL = {"n_trees": [3, 6], "max_depth": [2, 4], "min_samples_split": [10], "min_samples_leaf": [5]}
+GRID_SMALL = {"n_trees": [3, 6], "max_depth": [2, 4], "min_samples_split": [10, 40], "min_samples_leaf": [5, 15]}
 
 
 def q_grid_search(spark, sf):
-    """G1: validation R^2 of a 2 x 2 x 1 x 1 grid; one fit per
+    """G1: validation R^2 of a 2 x 2 x 2 x 2 grid; one fit per
     (min_split, min_leaf), smaller settings scored as prefixes / cuts."""
     from sylvan.operators.cv import grid_search
     h = SP.three_way_split(H.housing_totals(spark, sf), seed=42)
@@ -1013,12 +1013,18 @@ def q_grid_search(spark, sf):
 
 
 def _sql_grid():
+    """One nested query per (min_split, min_leaf) pair."""
+    return " union all ".join(f"select * from ({_sql_grid_pair(a, b)})" for a in GRID_SMALL["min_samples_split"]
+                              for b in GRID_SMALL["min_samples_leaf"])
+
+
+def _sql_grid_pair(mss: int, msl: int):
     hh = h8("row_key", repr("42"))
     split = (f"case when {hh} < {hexcut(0.15)} then 'test' when {hh} < {hexcut(0.15 + 0.85 * 0.176)} "
              f"then 'val' else 'train' end")
     src = f"(select * from (select *, {split} as split from h) where split = 'train')"
     ntr, dep = max(GRID_SMALL["n_trees"]), max(GRID_SMALL["max_depth"])
-    ctes = [f"h as ({HOUSING_SQL})"] + OF.forest_ctes(TOT, Y, src, ntr, dep, 10, 5, 2, 42, True)
+    ctes = [f"h as ({HOUSING_SQL})"] + OF.forest_ctes(TOT, Y, src, ntr, dep, mss, msl, 2, 42, True)
     val = ("select row_key, " + ", ".join(f"cast({c} as double) as x{i}" for i, c in enumerate(TOT))
            + f", cast({Y} as double) as y from (select *, {split} as split from h) where split = 'val'")
     parts = []
@@ -1027,7 +1033,7 @@ def _sql_grid():
             pre = f"g{n}_{d}_"
             ctes += OF.predict_ctes(val, len(TOT), n, d, prefix=pre)
             parts.append(
-                f"select {n} as n_trees, {d} as max_depth, 10 as min_samples_split, 5 as min_samples_leaf, "
+                f"select {n} as n_trees, {d} as max_depth, {mss} as min_samples_split, {msl} as min_samples_leaf, "
                 f"round(case when var_pop(y) > 0 then 1 - avg((y - pr) * (y - pr)) / var_pop(y) else 0 end, 6) "
                 f"as r2_score from (select v.row_key, any_value(v.y) as y, avg(t.p) as pr from {pre}pt t "
                 f"join ({val}) v using (row_key) group by v.row_key)")

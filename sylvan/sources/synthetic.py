@@ -53,7 +53,7 @@ def nonlinear_set(keys: DataFrame, n_features: int = 5, noise: float = 0.1, comp
     """Gaussian features and a simple / medium / complex nonlinear
     target (unknown level raises)."""
     if complexity not in ("simple", "medium", "complex"):
-        raise ValueError(f"Unknown complexity level: {complexity}")
+        raise ValueError(f"no target formula named {complexity!r}")
     d = keys.select(key, *[_normal_col(key, seed, "x", i).alias(f"feature_{i}") for i in range(n_features)],
                     _normal_col(key, seed, "noise").alias("_eps"))
     x = [F.col(f"feature_{i}") for i in range(n_features)]
