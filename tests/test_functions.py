@@ -10,7 +10,8 @@ from sylvan.operators.ranking import column_medians, exact_percentiles
 
 def test_poisson_cut_points_follow_the_rule():
     # fixed values: floor(2^32 * P(Poisson(1) <= k)) for k = 0..6, in hex
-    assert poisson1_thresholds() == ["5e2d58d8", "bc5ab1b1", "eb715e1d", "fb239797",
+    assert len(poisson1_thresholds()) == 12
+    assert poisson1_thresholds()[:7] == ["5e2d58d8", "bc5ab1b1", "eb715e1d", "fb239797",
                                      "ff1025f5", "ffd90f3b", "fffa8b71"]
     assert hex_threshold(0.2) == "33333333"
 
