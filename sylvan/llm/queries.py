@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm import (langid, lines, packing, pii, quality, sharding, simhash, sql, tiling, tokens,
-                        toxicity)
+from sylvan.llm import (audit, ftrl, langid, lines, packing, phrases, pii, quality, sharding, simhash, sql,
+                        tiling, tokens, toxicity)
 from sylvan.llm.common import read
 
 BYTE_IDS = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,6 +76,25 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of two to five words."""
+    return phrases.collocations(read(spark, sf, "documents").select("text", "lang"), min_count=100, top=2000)
+
+
+def op12_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's quality score; one quarter is kept from learning."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    got = ftrl.score(docs, ftrl.fit(docs, read(spark, sf, "labels")), "score")
+    return got.select("doc_id", ftrl.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Losses of five filters in all their orders, by source."""
+    labels = read(spark, sf, "labels")
+    return audit.audit(spark, f"{sf}/documents.parquet", labels)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_personal_data": (op1_personal_data, None),
     "op2_quality_rules": (op2_quality_rules, None),
@@ -87,4 +106,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_sharding": (op8_sharding, sql.SHARDING),
     "op9_decontamination": (op9_decontamination, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_collocations": (op11_collocations, sql.COLLOCATIONS),
+    "op12_quality_classifier": (op12_quality_classifier, None),
+    "op13_filter_audit": (op13_filter_audit, sql.FILTER_AUDIT),
 }

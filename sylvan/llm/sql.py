@@ -52,3 +52,76 @@ select d.doc_id, d.size::bigint as size, c.text_crc32::bigint as text_crc32, 'ke
        g.shard::int as grown_shard
 from d join crcs c using (r) join ends s on s.k0 = d.k0 and s.n = 16 join ends g on g.k0 = d.k0 and g.n = 17
 """
+
+#: All phrases of one to five words per language; a phrase goes if a one-word extension has its count
+#: (a longer one of the same count would make every extension between them have it too).
+COLLOCATIONS = r"""
+with recursive p as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) as piece
+  from documents
+), w as (select lang, regexp_extract_all(piece, '[^ \t]+') as ws from p),
+total as (select lang, sum(len(ws))::hugeint as n from w group by lang),
+g as (
+  select lang, ws[i:i + k - 1] as ph, k
+  from (select lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as i from w, range(1, 6) as t(k) where len(ws) >= k)
+), f as (select lang, ph, k, count(*)::hugeint as a from g group by all having count(*) >= 100),
+gone as (
+  select lang, ph[:k - 1] as ph, a from f where k > 2 union all select lang, ph[2:] as ph, a from f where k > 2
+), c as (
+  select f.lang, f.ph, f.k, f.a, total.n from f join total using (lang)
+  where f.k >= 2 and not exists (select 1 from gone where gone.lang = f.lang and gone.ph = f.ph and gone.a >= f.a)
+), cuts as (
+  select c.*, t.j, x.a as l, y.a as r, 1000::hugeint * c.a * c.n // (x.a * y.a) as score
+  from (select c.*, unnest(range(1, c.k)) as j from c) as t
+  join c on c.lang = t.lang and c.ph = t.ph
+  join f x on x.lang = t.lang and x.ph = t.ph[:t.j]
+  join f y on y.lang = t.lang and y.ph = t.ph[t.j + 1:]
+), weakest as (
+  select *, row_number() over (partition by lang, ph order by score, j) as place from cuts
+), ranked as (
+  select *, array_to_string(ph, ' ') as phrase from weakest where place = 1
+)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score from (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from ranked
+) where rank <= 2000
+"""
+
+FILTER_AUDIT = r"""
+with recursive d as (
+  select coalesce(source, '') as part, doc_id, coalesce(text, '') as body from documents
+), w as (select *, regexp_extract_all(body, '[^ \t-\r]+') as ws from d),
+m as (
+  select part, doc_id, [
+    len(ws) < 50, 100 * len(list_distinct(ws)) < 65 * len(ws),
+    100 * (length(body) - length(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 5 * length(body),
+    regexp_matches(body, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) over (partition by body), false)] as fails from w
+), l as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id
+), c as (
+  select part, fails, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, count(*) as n from m left join l using (doc_id) group by all
+), orders(o) as (
+  select '' union all select o || x from orders, (values ('A'), ('B'), ('C'), ('D'), ('E')) as t(x) where not contains(o, x)
+), steps as (
+  select o as filter_order, step::int as step, substr(o, step, 1) as f,
+         list_transform(string_split(left(o, (step - 1)::bigint), ''), lambda x: ascii(x) - 64) as earlier
+  from orders, range(1, 6) as t(step) where length(o) = 5
+), states as (select distinct f, earlier from (select f, list_sort(earlier) as earlier from steps)),
+sums as (
+  select part, f, earlier,
+    coalesce(sum(n) filter (where not early and not now), 0) as kept, coalesce(sum(n) filter (where now and not early), 0) as removed,
+    coalesce(sum(n) filter (where now and early), 0) as redundant,
+    coalesce(sum(n) filter (where now and len(list_filter(fails, lambda x: x)) = 1), 0) as unique_fails,
+    coalesce(sum(n) filter (where now and not early and good = 1), 0) as good_lost,
+    coalesce(sum(n) filter (where now and not early and toxic = 1), 0) as toxic_lost
+  from (select c.*, f, earlier, fails[ascii(f) - 64] as now,
+               len(list_filter(earlier, lambda i: i > 0 and fails[i])) > 0 as early from c, states)
+  group by all
+)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+  unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, s.f))::bigint as shapley
+from steps s join sums on sums.f = s.f and sums.earlier = list_sort(s.earlier)
+"""
