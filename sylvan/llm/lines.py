@@ -7,19 +7,21 @@ are repeated: ``keep="none"`` drops all their lines, ``keep="first"``
 all but the first occurrence in the order of (document, position).
 
 Plan: each document emits one row per distinct key (128-bit hash, first
-position, all positions).  These small rows are written once, dealt out
-by range of (hash, document, position) and sorted within partitions, so
-a hot key spreads over many partitions.  Each partition is read as a
-stream that holds back at most ``min_docs`` rows of the current key.  A
-key that touches a partition's first or last row may go on in its
+position, all positions).  These small rows are kept on the executors'
+disks, dealt out by range of (hash, document, position) and sorted within
+partitions, so a hot key spreads over many partitions.  Each partition is
+read as a stream that holds back at most ``min_docs`` rows of the current
+key.  A key that touches a partition's first or last row may go on in its
 neighbours: its held-back rows and its capped count come out as boundary
-records, which a join over those few records settles.  The result is one
+records, which a join over those few records settles.  The rows of repeated
+keys are written once, in files of ``FOUND_ROWS`` rows.  The result is one
 compressed bitmap per document that loses lines; no text is shuffled to
 find it.
 
-Documents are told apart by (doc_id, text): rows equal in both count as
-one document, and all of them get the same result.  A null doc_id is an
-ordinary value; a null text is one empty line.
+Every row is a document: rows equal in doc_id and text count one by one, and
+all of them get the same result (with ``keep="first"``, all keep the first
+occurrence that one of them has).  A null doc_id is an ordinary value; a
+null text is one empty line.
 """
 
 from __future__ import annotations
@@ -30,12 +32,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import columns, fresh, materialize, quoted, utf8
 
 SPACE = b" \t\n\x0b\x0c\r"
+#: Rows of a file of repeated keys.
+FOUND_ROWS = 1_000_000
 
 ROWS = "h1 long, h2 long, doc long, doc2 long, n_lines int, first int, places binary"
 FOUND = ("doc long, doc2 long, n_lines int, places binary, h1 long, h2 long, part int, "
@@ -87,11 +92,12 @@ def _stream(min_docs: int):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        key, count, held, opening = None, 0, [], True
+        key, count, held, opening, leader = None, 0, [], True, None
 
-        def record(settled: bool, rows: list[tuple], lead: bool) -> list[tuple]:
-            return [(*r, *key, part, min(count, min_docs), settled, lead and i == 0)
-                    for i, r in enumerate(rows)]
+        def record(rows: list[tuple], settled: bool) -> list[tuple]:
+            """Found rows; those of the key's first document lead, which an opening key settles at the boundary."""
+            return [(*r, *key, part, min(count, min_docs), settled and not (opening and r[:2] == leader), r[:2] == leader)
+                    for r in rows]
 
         def summary() -> tuple:
             """A boundary record that stands for no line, only for a count."""
@@ -108,31 +114,25 @@ def _stream(min_docs: int):
                 now = (int(h1[a]), int(h2[a]))
                 if now != key:
                     if opening and key is not None:   # the partition's first key ends here
-                        out += record(False, held, True) + [summary()]
+                        out += record(held, False) + [summary()]
                         opening = False
                     key, count, held = now, 0, []
                     if b - a < min_docs and b < n and not (opening and a == 0):
                         count = int(b - a)            # rare key, wholly inside: nothing to report
                         continue
+                    leader = tuple(batch.column(i)[int(a)].as_py() for i in (2, 3))
                 rows = list(zip(*(batch.column(i).slice(a, b - a).to_pylist() for i in (2, 3, 4, 6))))
-                before, count = count, count + len(rows)
+                count += len(rows)
                 if count < min_docs:
                     held += rows
                     continue
-                if before < min_docs:
-                    rows, held = held + rows, []
-                    if opening:                       # who leads is known only at the boundary
-                        held, rows = rows[:1], rows[1:]
-                        out += record(True, rows, False)
-                    else:
-                        out += record(True, rows, True)
-                else:
-                    out += record(True, rows, False)
+                out += record(held + rows, True)
+                held = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)],
                                                  schema=schema)
         if key is not None:
-            out = record(False, held, True) + [summary()]
+            out = record(held, False) + [summary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)],
                                              schema=schema)
     return run
@@ -160,36 +160,31 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
         raise ValueError(f"keep must be 'none' or 'first', not {keep!r}")
     if min_docs < 1 or min_chars < 0:
         raise ValueError("min_docs must be at least 1 and min_chars at least 0")
-    rows = materialize(docs.select(utf8(quoted(text)).alias("text"), *document_key(docs, text, doc_id))
-                       .mapInArrow(_line_rows(min_chars), ROWS)
-                       .select("h1", "h2", "doc", "doc2", "n_lines", "first", "places"))
-    spread = (rows.dropDuplicates(["h1", "h2", "doc", "doc2"]) if _repeats(docs, doc_id) else rows)
-    spread = (spread.repartitionByRange("h1", "h2", "doc", "doc2")
+    rows = (docs.select(utf8(quoted(text)).alias("text"), *document_key(docs, text, doc_id))
+            .mapInArrow(_line_rows(min_chars), ROWS)
+            .select("h1", "h2", "doc", "doc2", "n_lines", "first", "places").persist(StorageLevel.DISK_ONLY))
+    spread = (rows.repartitionByRange("h1", "h2", "doc", "doc2")
               .sortWithinPartitions("h1", "h2", "doc", "doc2", "first"))
-    found = materialize(spread.mapInArrow(_stream(min_docs), FOUND))
+    streamed = spread.mapInArrow(_stream(min_docs), FOUND).persist(StorageLevel.DISK_ONLY)
+    found = materialize(streamed.coalesce(streamed.count() // FOUND_ROWS + 1))
+    streamed.unpersist()
+    rows.unpersist()
     open_ = found.filter(~F.col("settled"))
     # at most two keys a partition: a few records, whatever the input's size
     edges = (open_.filter(F.col("doc").isNull()).groupBy("h1", "h2")
              .agg(F.sum("docs").alias("total"), F.min("part").alias("home")))
-    late = (open_.filter(F.col("doc").isNotNull()).join(edges, ["h1", "h2"])
-            .filter((F.col("total") >= min_docs)
-                    & ~(F.lit(keep == "first") & F.col("leads") & (F.col("part") == F.col("home")))))
+    late = (open_.filter(F.col("doc").isNotNull()).join(edges, ["h1", "h2"]).filter(F.col("total") >= min_docs)
+            .withColumn("leads", F.col("leads") & (F.col("part") == F.col("home"))))
     take = ["doc", "doc2", "n_lines", "places", "leads"]
-    sure = found.filter(F.col("settled")).select(*take)
-    late = late.select(*take[:4], F.lit(False).alias("leads"))
-    lost = sure.unionByName(late)
+    lost = found.filter(F.col("settled")).select(*take).unionByName(late.select(*take))
     if keep == "first":      # the leader keeps its first line and loses its later ones
         lost = (lost.withColumn("places", F.when(F.col("leads"), F.expr("substring(places, 5)"))
-                                .otherwise(F.col("places"))))
-    return (lost.groupBy("doc", "doc2", "n_lines").agg(F.collect_list("places").alias("places"))
+                                .otherwise(F.col("places"))).filter(F.length("places") > 0))
+    # equal rows lose the same lines: a document has at most one list for each of its keys
+    return (lost.groupBy("doc", "doc2", "n_lines").agg(F.collect_set("places").alias("places"))
             .select("doc", "doc2", "n_lines", F.arrow_udf(_bitmap, "binary")(F.col("places"), F.col("n_lines")).alias("bitmap")))
 
 
-def _repeats(docs: DataFrame, doc_id: str) -> bool:
-    """Whether some doc_id comes twice (then equal rows must count once)."""
-    return bool(docs.groupBy(quoted(doc_id).alias("k")).count().filter("count > 1").limit(1).count())
-
-
 def document_key(docs: DataFrame, text: str, doc_id: str):
     body, ident = F.coalesce(quoted(text), F.lit("")), quoted(doc_id)
     return (F.xxhash64(ident, body).alias("doc"), F.xxhash64(body, ident, F.lit(7)).alias("doc2"))

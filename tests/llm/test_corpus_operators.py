@@ -5,13 +5,14 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sylvan.llm import components, lines, packing, sharding, simhash, tokens
+from sylvan.llm import components, lines, packing, queries, sharding, simhash, sql, tokens
 
 from .conftest import CLASHING, clash
 
@@ -25,9 +26,9 @@ def brute_lines(rows, min_docs, min_chars, keep):
     key = lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s.strip(" \t\n\x0b\x0c\r"))
     docs = sorted({(d, t or "") for d, t in rows}, key=repr)
     where = defaultdict(set)
-    for d in docs:
-        for line in d[1].split("\n"):
-            where[key(line)].add(d)
+    for i, (_, t) in enumerate(rows):                          # every row is a document
+        for line in (t or "").split("\n"):
+            where[key(line)].add(i)
     often = {k for k, v in where.items() if len(v) >= min_docs and len(k) >= min_chars}
     return {d: [(line, key(line) in often) for line in d[1].split("\n")] for d in docs}, often
 
@@ -81,6 +82,33 @@ def test_first_occurrence_stays(spark, make_docs, parts):
     assert often and all(left[k] == 1 for k in often), {k: left[k] for k in often}
 
 
+@pytest.mark.parametrize("parts", ["1", "9", "50"])
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_equal_rows_are_documents_of_their_own(spark, make_docs, parts, keep):
+    rows = [(7, "hot\nmine\nhot")] * 10 + [(8, "hot\nrare"), (9, "rare")] + [(10, "a\nb\na")] * 30
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = Counter((r["doc_id"], r["text"]) for r in lines.line_dedup(make_docs(rows), keep=keep).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    if keep == "none":
+        assert got == Counter({(7, ""): 10, (8, "rare"): 1, (9, "rare"): 1, (10, ""): 30})
+    else:       # the leading document keeps the first occurrence, in all its equal rows
+        assert got[7, "hot\nmine"] + got[7, "mine"] == 10 and got[10, "a\nb"] == 30
+        assert got[8, "hot\nrare"] + got[8, "rare"] == 1 and (got[8, "hot\nrare"] == 1) != (got[7, "hot\nmine"] == 10)
+
+
+def test_line_query_counts_equal_rows_as_its_sql(spark, make_docs, tmp_path):
+    rows = [(7, "hot\nmine")] * 10 + [(i, f"hot {i % 3}\n\nx{i}") for i in range(40)] + [(None, None)] * 11
+    make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = Counter(con.execute(sql.LINE_DEDUP).fetchall())
+    got = queries.op7_line_dedup(spark, str(tmp_path)).select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()
+    assert Counter(map(tuple, got)) == want and want[7, 2, 2, hashlib.sha256(b"").hexdigest()] == 10
+
+
 def test_line_edges(spark, make_docs):
     rows = [(i, "same\nsame") for i in range(12)] + [(50, None), (51, "")]
     out = lines.line_dedup(clash(make_docs(rows)))
