@@ -9,9 +9,9 @@ counts ``l`` and ``r`` of its two parts and the language's word count
 
 Counting.  Every word position gives one window: the longest phrase of at
 most ``ORDER`` words from there on that may still be frequent.  Two passes
-fill tables of ``2 ** filter_bits`` saturating counters by hash (orders 1
-and 2, then 3 to 5); a phrase whose counter stays below ``min_count`` can't
-reach it, so the windows stop there.  The tables' size is a parameter, not
+fill ``TABLES`` tables of ``2 ** filter_bits`` saturating counters by hash
+(orders 1 and 2, then 3 to 5); a phrase with a counter that stays below
+``min_count`` can't reach it, so the windows stop there.  The tables' size is a parameter, not
 a function of the data, and any size gives the same result: it only decides
 how many rare windows are sorted in vain.  Windows are combined within a
 task before they leave it.
@@ -55,6 +55,8 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 SPACES = b" \t"
 #: Bytes of text worked on at once.
 SEGMENT = 1 << 22
+#: Tables of counters, each with a hash of its own.
+TABLES = 2
 #: Counters per shuffled blob of the filter table.
 CHUNK = 1 << 16
 #: Windows a task combines before it lets them go.
@@ -74,6 +76,7 @@ _KIND[list(BREAKS)] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_OWN = [np.uint64(m) for m in (1, 0xC2B2AE3D27D4EB4F)]          # odd multipliers, one a table
 
 
 class Segment:
@@ -178,23 +181,24 @@ def _segments_of(batches: Iterable[pa.RecordBatch], langs: Languages) -> Iterato
 
 
 def _possible(seg: Segment, langs: Languages, heavy: dict[int, np.ndarray], bits: int,
-              upto: int = ORDER) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order: which positions may begin a frequent phrase, and the counter of each position.
+              upto: int = ORDER) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """For each order: which positions may begin a frequent phrase, and the counters of each position.
 
-    All shorter phrases inside must be possible; where the order's table is
-    known (``heavy``), the phrase's own counter must have reached the limit.
+    All shorter phrases inside must be possible; where the order's tables are
+    known (``heavy``), the phrase's own counters must all have reached the limit.
     """
     ok = None
     for k, h in enumerate(seg.phrase_hashes(langs.seed), 1):
         if k > upto:
             return
-        bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+        buckets = [((h * own) >> np.uint64(64 - bits)).astype(np.int64) for own in _OWN]
         now = seg.inside(k)
         if ok is not None:
             now &= ok[:-1] & ok[1:]
         if k in heavy:
-            now &= heavy[k][bucket]
-        yield k, now, bucket
+            for table, bucket in zip(heavy[k], buckets):
+                now &= table[bucket]
+        yield k, now, buckets
         ok = now
 
 
@@ -209,26 +213,29 @@ def _counters(orders: tuple[int, ...], known: Callable[[], dict[int, np.ndarray]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        langs, table, heavy = Languages(), np.zeros(1 << bits, _kind_of(limit)), known()
-        waiting: list[np.ndarray] = []
+        langs, table, heavy = Languages(), np.zeros((TABLES, 1 << bits), _kind_of(limit)), known()
+        waiting: list[list[np.ndarray]] = []
 
         def settle() -> None:
-            if waiting:
-                more = np.bincount(np.concatenate(waiting), minlength=1 << bits)
-                np.minimum(more + table, limit, out=more)
-                table[:] = more
-                waiting.clear()
+            for sums, found in zip(table, zip(*waiting)):
+                more = np.bincount(np.concatenate(found), minlength=1 << bits)
+                more += sums
+                np.minimum(more, limit, out=more)
+                sums[:] = more
+            waiting.clear()
 
         for seg in _segments_of(batches, langs):
-            for k, ok, bucket in _possible(seg, langs, heavy, bits, max(orders)):
+            for k, ok, buckets in _possible(seg, langs, heavy, bits, max(orders)):
                 if k in orders:
-                    waiting.append(bucket[:seg.starts][ok[:seg.starts]])
-            if sum(map(len, waiting)) > SEGMENT:
+                    at = np.flatnonzero(ok[:seg.starts])
+                    waiting.append([b[at].astype(np.uint32) for b in buckets])
+            if sum(len(w[0]) for w in waiting) > SEGMENT:
                 settle()
         settle()
         salt = TaskContext.get().partitionId() % 16
-        for c in range(0, 1 << bits, CHUNK):
-            part = table[c:c + CHUNK]
+        flat = table.reshape(-1)
+        for c in range(0, len(flat), CHUNK):
+            part = flat[c:c + CHUNK]
             if part.any():
                 yield _record([[c // CHUNK], [salt], [zlib.compress(part.tobytes(), 1)]], _BLOB)
     return run
@@ -259,12 +266,12 @@ def _add_blobs(limit: int, last: bool):
 
 def _reached(texts: DataFrame, orders: tuple[int, ...], known: Callable[[], dict[int, np.ndarray]], bits: int,
              limit: int) -> np.ndarray:
-    """Which of the ``2 ** bits`` counters reach the limit (one bit each comes to the driver)."""
+    """Which counters reach the limit (one bit each comes to the driver)."""
     sums = (texts.mapInArrow(_counters(orders, known, bits, limit), _BLOB_DDL)
             .repartition("chunk", "salt").mapInArrow(_add_blobs(limit, False), _BLOB_DDL)
             .repartition("chunk").mapInArrow(_add_blobs(limit, True), _BLOB_DDL))
-    out = np.zeros((1 << bits) // 8, np.uint8)
-    wide = min(CHUNK, 1 << bits) // 8
+    out = np.zeros((TABLES << bits) // 8, np.uint8)
+    wide = min(CHUNK, TABLES << bits) // 8
     for row in sums.select("chunk", "counters").collect():
         out[row["chunk"] * wide:(row["chunk"] + 1) * wide] = np.frombuffer(row["counters"], np.uint8)
     return out
@@ -333,7 +340,7 @@ def _windows(heavy: Callable[[], dict[int, np.ndarray]], bits: int):
 
         for seg in _segments_of(batches, langs):
             length = np.zeros(len(seg.code), np.int64)
-            for k, ok, _bucket in _possible(seg, langs, tables, bits):
+            for k, ok, _buckets in _possible(seg, langs, tables, bits):
                 length[:len(ok)] += ok
             length = length[:seg.starts]
             number = np.zeros(len(seg.names), np.int64)
@@ -604,7 +611,7 @@ def scored_phrases(docs: DataFrame, min_count: int = 100, filter_bits: int = 23,
     spark = docs.sparkSession
     texts = docs.select(utf8(quoted(text)).alias("text"),
                         F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"))
-    # each broadcast is 2 ** filter_bits bits
+    # each broadcast is TABLES * 2 ** filter_bits bits
     short = spark.sparkContext.broadcast(_reached(texts, SHORT, dict, filter_bits, min_count))
     long = spark.sparkContext.broadcast(_reached(texts, LONG, lambda: _table(short, SHORT), filter_bits, min_count))
     windows = texts.mapInArrow(_windows(lambda: _table(short, SHORT) | _table(long, LONG), filter_bits), _WINDOW_DDL).persist(StorageLevel.DISK_ONLY)
@@ -612,20 +619,19 @@ def scored_phrases(docs: DataFrame, min_count: int = 100, filter_bits: int = 23,
     nodes = ordered.select(*KEY, "n").mapInArrow(_add_up(min_count), _NODE_DDL).persist(StorageLevel.DISK_ONLY)
     found = _settle(nodes, min_count)
     parts = found.count() // PHRASES_PER_PARTITION + spark.sparkContext.defaultParallelism
-    windows.unpersist()
     from_end = [f"r{j}" for j in range(1, ORDER + 1)]
     backwards = found.withColumns({r: F.when(F.col("k") >= j, F.element_at(F.array(*WORDS), F.greatest(F.col("k") - (j - 1), F.lit(1))))
                                    .otherwise(F.lit(b"")) for j, r in enumerate(from_end, 1)})
     by_suffix = _in_order(backwards, parts, ["lang", *from_end])
     suffixes = by_suffix.select(*KEY, "k", "n", "ext").mapInArrow(_suffix_counts(_entering(by_suffix)), _SUFFIX_DDL)
     by_prefix = _in_order(suffixes, parts, KEY, ["kind"])
-    return by_prefix.mapInArrow(_score(_entering(by_prefix)), _SCORED_DDL), [nodes, by_suffix, by_prefix]
+    return by_prefix.mapInArrow(_score(_entering(by_prefix)), _SCORED_DDL), [windows, nodes, by_suffix, by_prefix]
 
 
 def _table(bits, orders: tuple[int, ...]) -> dict[int, np.ndarray]:
-    """The broadcast bits as one table that all ``orders`` share."""
-    table = np.unpackbits(bits.value).astype(bool)
-    return {k: table for k in orders}
+    """The broadcast bits as the tables that all ``orders`` share."""
+    tables = np.unpackbits(bits.value).view(bool).reshape(TABLES, -1)
+    return {k: tables for k in orders}
 
 
 def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, filter_bits: int = 23,
