@@ -32,3 +32,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     otherwise leave the join strategy to Spark/AQE."""
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def unused(df, *names: str) -> list:
+    """Column names made from ``names`` that ``df`` does not have (case aside)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

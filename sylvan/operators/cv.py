@@ -17,15 +17,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sylvan.functions.exprs import unused
 from sylvan.operators import metrics as M
 from sylvan.operators import score as SC
 from sylvan.operators.forest import ForestParams, fit_forest
+from sylvan.operators.protocol import Estimator
 from sylvan.operators.split import kfold
 
 
-def cross_validate(df: DataFrame, feature_cols, target: str, params: ForestParams, k: int = 5,
+def cross_validate(df: DataFrame, feature_cols, target: str, params: ForestParams | Estimator, k: int = 5,
                    seed=42, key: str = "row_key", metrics=("r2_score", "rmse", "mae")) -> DataFrame:
-    """(fold, metric, value) for K folds (one fit for all folds)."""
+    """(fold, metric, value) for K folds: one fit for all folds of a
+    ``ForestParams``, one fit a fold of any other estimator."""
+    if not isinstance(params, ForestParams):
+        return _cross_validate_any(df, list(feature_cols), target, params, k, seed, key, metrics)
     t = params.n_trees
     d = kfold(df, key, k, seed, "fold")
     p = ForestParams(**{**params.as_dict(), "n_trees": t * k})
@@ -39,6 +44,22 @@ def cross_validate(df: DataFrame, feature_cols, target: str, params: ForestParam
     return M.metrics_long(m, ["fold"], list(metrics))
 
 
+def _cross_validate_any(df: DataFrame, feature_cols: list, target: str, estimator: Estimator, k: int, seed,
+                        key: str, metrics) -> DataFrame:
+    """Folds one after the other; each is predicted by a fit on all others."""
+    if not isinstance(estimator, Estimator):
+        raise ValueError(f"{type(estimator).__name__} has no fit method")
+    (fold,) = unused(df, "fold")
+    d = kfold(df, key, k, seed, fold)
+    scored = None
+    for i in range(k):
+        fitted = estimator.fit(d.where(F.col(fold) != i).drop(fold), feature_cols, target)
+        one = (fitted.predict(d.where(F.col(fold) == i).drop(fold))
+               .select(F.lit(i).alias("fold"), F.col(target), "prediction"))
+        scored = one if scored is None else scored.unionByName(one)
+    return M.metrics_long(M.regression_metrics(scored, target, "prediction", ["fold"]), ["fold"], list(metrics))
+
+
 def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
     """G1 settings: the cross product of a few short parameter lists
     (built on the driver: it is parameter metadata, a handful of rows)."""
@@ -51,16 +72,16 @@ def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
 def _prefix_scores(valid: DataFrame, model, target: str, counts, depths) -> list[tuple]:
     """(trees, depth, R^2) of every tree prefix and depth cut of a forest, in
     one job: one scoring pass per depth, all prefixes from its predictions."""
-    d = valid.withColumn("_y", F.col(target).cast("double"))
+    y, *per_depth = unused(valid, "_y", *(f"_trees{depth}" for depth in depths))
+    d = valid.withColumn(y, F.col(target).cast("double"))
     errors = []
-    for depth in depths:
-        col = f"_trees{depth}"
+    for depth, col in zip(depths, per_depth):
         d = (SC.predict(d, model.truncated(max(counts), depth), per_tree=True).drop("prediction")
              .withColumnRenamed("tree_predictions", col))
         for n in counts:
             p = F.aggregate(F.slice(col, 1, n), F.lit(0.0), lambda a, v: a + v) / n
-            errors.append(F.avg((F.col("_y") - p) * (F.col("_y") - p)).alias(f"e{n}_{depth}"))
-    row = d.agg(F.var_pop("_y").alias("v"), *errors).first()
+            errors.append(F.avg((F.col(y) - p) * (F.col(y) - p)).alias(f"e{n}_{depth}"))
+    row = d.agg(F.var_pop(y).alias("v"), *errors).first()
 
     def r2(mse: float) -> float:
         if row["v"] is not None and row["v"] > 0:

@@ -47,8 +47,8 @@ def fit_state(df: DataFrame, numeric, strings=(), strategy: str = "median", scal
     return state
 
 
-def save_state(spark: SparkSession, store: str, model_id: str, state: FittedState) -> None:
-    """Write the state under ``store/state``, partitioned by model."""
+def save_state(spark: SparkSession, folder: str, state: FittedState) -> None:
+    """Write the state as one table."""
     rows = []
     if state.imputer is not None:
         rows += [("imputer", c, state.imputer.strategy, float(v), None) for c, v in state.imputer.fills.items()]
@@ -60,14 +60,15 @@ def save_state(spark: SparkSession, store: str, model_id: str, state: FittedStat
         table = table.unionByName(state.encoders.select(
             F.lit("encoder").alias("part"), "column", F.lit("code").alias("stat"),
             F.col("code").cast("double").alias("number"), F.col("class").cast("string").alias("label")))
-    (table.withColumn("model_id", F.lit(model_id)).write.mode("append").partitionBy("model_id")
-     .parquet(f"{store}/state"))
+    table.write.parquet(folder)
 
 
 def load_state(spark: SparkSession, store: str, model_id: str) -> FittedState:
     """Read a model's state back.  Class tables stay tables; the constants of
     the imputer and the scaler are one row a column."""
-    table = spark.read.parquet(f"{store}/state").where(F.col("model_id") == model_id)
+    from sylvan.operators.model_store import committed
+    _commit, home = committed(spark, store, model_id)
+    table = spark.read.parquet(f"{home}/state")
     by: dict[str, dict] = {}
     strategy = "median"
     for r in table.where("part <> 'encoder'").collect():

@@ -326,3 +326,24 @@ def left_sums(state: DataFrame, front, draws, nf: int, nt: int) -> DataFrame:
     return (state.select("x", "w", "yc")
             .mapInArrow(_left_sums(front, draws, nf, nt), "slot int, cand int, lw double, ls double, lq double")
             .groupBy("slot", "cand").agg(F.sum("lw").alias("lw"), F.sum("ls").alias("ls"), F.sum("lq").alias("lq")))
+
+
+# ---- rows of open nodes, for splitters from outside ----------------------------
+
+def _rows_of(front, nf: int, nt: int):
+    def run(batches):
+        fr = front.value
+        for rb in batches:
+            x, w, y = _columns(rb, nf, nt)
+            for at, slot, ww in fr.open_rows(x, w):
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(slot, pa.int32()), pa.array(ww), pa.array(y[at] - fr.mean[slot]),
+                         rb.column("x").take(pa.array(at))], ["slot", "w", "yc", "x"])
+    return run
+
+
+def open_rows(state: DataFrame, front, nf: int, nt: int) -> DataFrame:
+    """``slot, w, yc, x``: every training row in every open node it belongs to."""
+    return state.select("x", "w", "yc").mapInArrow(_rows_of(front, nf, nt),
+                                                   "slot int, w double, yc double, x array<double>")

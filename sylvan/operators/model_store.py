@@ -1,8 +1,7 @@
 """Models as plain tables.
 
-A model is a ``nodes`` table (one row per node), a ``trees`` table and a
-one-row ``models`` table, all written as parquet partitioned by
-``model_id`` under one store folder -- no pickles.  Node-table
+A model is a ``nodes`` table (one row per node) and a one-row commit record
+with its metadata, parquet under one store folder -- no pickles.  Node-table
 operators (importances, depth/leaf statistics, rules) are joins and
 aggregations over that table.
 """
@@ -10,12 +9,16 @@ aggregations over that table.
 from __future__ import annotations
 
 import json
+import time
+import uuid
+from datetime import datetime
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvan.operators.forest import NODE_SCHEMA, ForestModel, ForestParams
+from sylvan.operators.protocol import splitter_name
 
 
 # ---- T15 / T16: importances ------------------------------------------------
@@ -157,45 +160,63 @@ def get_tree(model: ForestModel, tree_id: int) -> ForestModel:
 
 
 # ---- S8: save / load ---------------------------------------------------------
+#
+# A save writes everything of one version into folders of its own
+# (``versions/<model>/<version>/nodes`` and ``state``) and then one row, with
+# the metadata, into ``commits``.  Readers look for the newest commit first,
+# so a save that failed, or one still going on, is never seen in part.
+
+_COMMIT = ("model_id string, version string, created_at timestamp, params string, feature_names array<string>, "
+           "n_features int, n_samples bigint, y_mean double, importances array<double>, oob_score double, "
+           "training_score double, metadata string, n_trees bigint, avg_depth double, avg_leaves double, "
+           "total_nodes bigint, has_state boolean")
+
+
+def _version_folder(store: str, model_id: str, version: str) -> str:
+    return f"{store}/versions/{model_id}/{version}"
+
 
 def save_model(spark: SparkSession, model: ForestModel, store: str, metadata: dict | None = None,
                state=None) -> str:
-    """Write nodes / trees / models as parquet partitioned by model_id, the
-    metadata also as JSON, and the fitted preprocessing (``state``, see
-    :mod:`sylvan.operators.fitted_state`) beside them."""
+    """Write a new version of the model: its nodes and the fitted preprocessing
+    (``state``, see :mod:`sylvan.operators.fitted_state`), then the commit
+    record.  Saving a model again replaces what readers see."""
     mid = model.model_id
-    nodes = model.nodes_df(spark).withColumn("model_id", F.lit(mid))
-    nodes.write.mode("append").partitionBy("model_id").parquet(f"{store}/nodes")
-    ts = tree_stats(model.nodes_df(spark)).withColumn("model_id", F.lit(mid))
-    ts.write.mode("append").partitionBy("model_id").parquet(f"{store}/trees")
-    meta = {
-        "model_id": mid, "params": json.dumps(model.params.as_dict()),
-        "feature_names": list(model.feature_names), "n_features": model.n_features,
-        "n_samples": int(model.n_samples), "y_mean": float(model.y_mean),
-        "importances": [float(v) for v in (model.importances or [])],
-        "oob_score": model.oob_score, "training_score": model.training_score,
-        "metadata": json.dumps(metadata or {}),
-    }
-    mdf = spark.createDataFrame([meta], "model_id string, params string, feature_names array<string>, "
-                                        "n_features int, n_samples bigint, y_mean double, "
-                                        "importances array<double>, oob_score double, "
-                                        "training_score double, metadata string")
-    mdf = mdf.withColumn("created_at", F.current_timestamp())
-    mdf.write.mode("append").partitionBy("model_id").parquet(f"{store}/models")
-    mdf.write.mode("append").partitionBy("model_id").json(f"{store}/models_json")
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    home = _version_folder(store, mid, version)
+    model.nodes_df(spark).write.parquet(f"{home}/nodes")
     if state is not None:
         from sylvan.operators.fitted_state import save_state
-        save_state(spark, store, mid, state)
+        save_state(spark, f"{home}/state", state)
+    size = tree_stats(model.nodes_df(spark)).agg(
+        F.count(F.lit(1)), F.avg("depth"), F.avg("n_leaves"), F.sum(2 * F.col("n_leaves") - 1)).first()
+    commit = (mid, version, datetime.now(), json.dumps(model.params.as_dict(), default=splitter_name), list(model.feature_names), model.n_features,
+              int(model.n_samples), float(model.y_mean), [float(v) for v in (model.importances or [])],
+              model.oob_score, model.training_score, json.dumps(metadata or {}), *size, state is not None)
+    spark.createDataFrame([commit], _COMMIT).coalesce(1).write.mode("append").parquet(f"{store}/commits")
     return mid
 
 
-def load_model(spark: SparkSession, store: str, model_id: str) -> ForestModel:
-    """Read a model back; the node table (model-sized) comes to the driver."""
-    m = spark.read.parquet(f"{store}/models").where(F.col("model_id") == model_id).first()
-    if m is None:
+def _commits(spark: SparkSession, store: str) -> DataFrame:
+    """The newest commit of every model."""
+    rows = spark.read.schema(_COMMIT).parquet(f"{store}/commits")
+    newest = rows.groupBy("model_id").agg(F.max("version").alias("version"))
+    return rows.join(newest, ["model_id", "version"], "left_semi")
+
+
+def committed(spark: SparkSession, store: str, model_id: str):
+    """The newest commit record of a model and its folder."""
+    rows = (spark.read.schema(_COMMIT).parquet(f"{store}/commits").where(F.col("model_id") == model_id)
+            .orderBy(F.desc("version")).limit(1).collect())
+    if not rows:
         raise KeyError(f"model {model_id} not found")
-    nd = (spark.read.parquet(f"{store}/nodes").where(F.col("model_id") == model_id)
-               .select(*[f.name for f in NODE_SCHEMA.fields]).toPandas())
+    return rows[0], _version_folder(store, model_id, rows[0]["version"])
+
+
+def load_model(spark: SparkSession, store: str, model_id: str) -> ForestModel:
+    """Read a model's newest version back; the node table (model-sized) comes to the driver."""
+    m, home = committed(spark, store, model_id)
+    nd = spark.read.schema(NODE_SCHEMA).parquet(f"{home}/nodes").toPandas()
     nd = nd.astype({"feature": "Int64", "left_id": "Int64", "right_id": "Int64"})
     params = ForestParams(**json.loads(m["params"]))
     return ForestModel(params=params, feature_names=list(m["feature_names"]), nodes=nd,
@@ -206,11 +227,6 @@ def load_model(spark: SparkSession, store: str, model_id: str) -> ForestModel:
 
 def list_models(spark: SparkSession, store: str) -> DataFrame:
     """Model inventory with tree counts and average depth/leaves."""
-    models = spark.read.parquet(f"{store}/models")
-    trees = spark.read.parquet(f"{store}/trees").groupBy("model_id").agg(
-        F.count(F.lit(1)).alias("n_trees"), F.avg("depth").alias("avg_depth"),
-        F.avg("n_leaves").alias("avg_leaves"), F.sum(2 * F.col("n_leaves") - 1).alias("total_nodes"))
-    return models.join(trees, "model_id", "left").select(
+    return _commits(spark, store).select(
         "model_id", "created_at", "n_features", "n_samples", "n_trees", "avg_depth",
         "avg_leaves", "total_nodes", "oob_score", "training_score")
-

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.functions import traverse
+from sylvan.functions.exprs import unused
 from sylvan.operators.forest import ForestModel
 from sylvan.operators.split import bag_weight_array
+from sylvan.session import ship
 
 MAX_MODEL_NODES = 50_000_000
 
@@ -96,7 +98,9 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     ``oob`` adds ``oob_prediction`` / ``oob_count`` (T14): the mean over
     the trees whose bootstrap sample left the row out, with the same
     hash weights as the fit (needs the fit's row key).  Features are
-    read by name, in the model's order; a missing name raises.
+    read by name, in the model's order; a missing name raises.  All
+    columns of ``df`` stay, but for those named like an added one, which
+    are replaced.
     """
     missing = [c for c in model.feature_names if c not in df.columns] if not features_col else []
     if missing:
@@ -104,15 +108,17 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     if len(model.nodes) > max_model_nodes and not features_col:
         return _predict_chunked(df, model, uncertainty, per_tree, oob, key, max_model_nodes)
     spark = df.sparkSession
+    ship(spark)
     bc = _model_broadcast(spark, model, max_model_nodes)
     nf, nt = model.n_features, model.n_trees
     x = F.col(features_col) if features_col else F.array(*[F.col(c).cast("double")
                                                           for c in model.feature_names])
-    d = df.withColumn("_x", x)
+    x_name, w_name = unused(df, "_x", "_w")
+    d = df.withColumn(x_name, x)
     if oob:
         seed = model.params.seed
         # the fit's bag weights (same hash rule)
-        d = d.withColumn("_w", bag_weight_array(key, seed, nt, model.params.bootstrap))
+        d = d.withColumn(w_name, bag_weight_array(key, seed, nt, model.params.bootstrap))
     extra = [T.StructField("prediction", T.DoubleType())]
     if uncertainty:
         extra.append(T.StructField("uncertainty", T.DoubleType()))
@@ -121,6 +127,7 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     if oob:
         extra += [T.StructField("oob_prediction", T.DoubleType()),
                   T.StructField("oob_count", T.IntegerType())]
+    d = d.drop(*(f.name for f in extra))
     schema = T.StructType(d.schema.fields + extra)
     arrow_extra = [pa.field(f.name, {"double": pa.float64(), "integer": pa.int32()}.get(
         f.dataType.typeName(), pa.list_(pa.float64()))) for f in extra]
@@ -128,7 +135,7 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     def fn(batches):
         fm = bc.value
         for rb in batches:
-            xm = traverse.list_matrix(rb.column("_x"), nf, np.float64)
+            xm = traverse.list_matrix(rb.column(x_name), nf, np.float64)
             p = traverse.predict_trees(xm, fm) if nt else np.zeros((len(xm), 0))
             mean = p.mean(axis=1) if nt else np.full(len(xm), np.nan)
             cols = list(rb.columns) + [pa.array(mean, pa.float64())]
@@ -137,7 +144,7 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
             if per_tree:
                 cols.append(traverse.matrix_list(p, pa.float64()))
             if oob:
-                wm = traverse.list_matrix(rb.column("_w"), nt, np.int32)
+                wm = traverse.list_matrix(rb.column(w_name), nt, np.int32)
                 out = wm == 0
                 cnt = out.sum(axis=1)
                 tot = np.where(out, p, 0.0).sum(axis=1)
@@ -148,8 +155,7 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
             yield pa.RecordBatch.from_arrays(
                 cols, schema=pa.schema(list(rb.schema) + arrow_extra))
 
-    out = d.mapInArrow(fn, schema).drop("_x")
-    return out.drop("_w") if oob else out
+    return d.mapInArrow(fn, schema).drop(x_name, *([w_name] if oob else []))
 
 
 def predict_tree(df: DataFrame, model: ForestModel, tree_id: int, **kw) -> DataFrame:

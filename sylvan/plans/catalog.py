@@ -948,6 +948,7 @@ def q_model_roundtrip(spark, sf):
     store = scratch_path(spark, "roundtrip")
     m = fitted(spark, sf)
     MS.save_model(spark, m, store)
+    MS.save_model(spark, m, store)                    # a second save replaces the first
     back = MS.load_model(spark, store, m.model_id)
     p = SC.predict(H.housing_totals(spark, sf).select("row_key", *TOT), back)
     return rnd(p.select("row_key", "prediction"), {"prediction": 4})
@@ -971,6 +972,65 @@ def q_extra_random_split(spark, sf):
     return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
 
 
+class MeanSplitter:
+    """A splitter written against the protocol alone: in each node the feature that
+    correlates best with the target, cut at its mean (down to three decimals)."""
+
+    def best_splits(self, level):
+        w, v, y = F.col("w"), F.col("v"), F.col("yc")
+        moments = level.long().groupBy("slot", "feature").agg(
+            F.sum(w).alias("n"), F.sum(w * v).alias("sx"), F.sum(w * y).alias("sy"), F.sum(w * v * v).alias("xx"),
+            F.sum(w * v * y).alias("xy"), F.min("v").alias("low"), F.max("v").alias("high")).where("low < high")
+        rank = -F.pow(F.expr("xy - sx * sy / n"), 2) / F.expr("xx - sx * sx / n")
+        best = moments.withColumn("rank", rank).groupBy("slot").agg(F.min(F.struct(
+            "rank", "feature", F.expr("floor(sx / n * 1000) / 1000").alias("threshold"))).alias("b"))
+        return best.select("slot", "b.feature", "b.threshold")
+
+
+CUSTOM = dict(n_trees=4, max_depth=4, min_samples_leaf=5, seed=42)
+
+
+def q_custom_splitter(spark, sf):
+    """Section 2.13: a forest grown by a splitter from outside the library."""
+    m = fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**CUSTOM, splitter=MeanSplitter()))
+    return _leaf_codes(rnd(m.nodes_df(spark), NODE_ROUND))
+
+
+class LineEstimator:
+    """An estimator written against the protocol alone: least squares on the first feature."""
+
+    def fit(self, df, feature_cols, target):
+        x, y = F.col(feature_cols[0]).cast("double"), F.col(target).cast("double")
+        a, mx, my = df.select(x.alias("x"), y.alias("y")).dropna().agg(
+            F.covar_pop("x", "y") / F.var_pop("x"), F.avg("x"), F.avg("y")).first()
+        return FittedLine(feature_cols[0], a, my - a * mx)
+
+
+class FittedLine:
+    def __init__(self, feature, slope, start):
+        self.feature, self.slope, self.start = feature, slope, start
+
+    def predict(self, df):
+        return df.withColumn("prediction", F.col(self.feature).cast("double") * self.slope + self.start)
+
+
+def q_cross_validate_estimator(spark, sf):
+    """Section 2.13 / M18: 4-fold CV of an estimator from outside the library."""
+    from sylvan.operators.cv import cross_validate
+    return rnd(cross_validate(H.housing_totals(spark, sf), TOT, Y, LineEstimator(), k=4), {"value": 4})
+
+
+def _sql_cv_line():
+    fold = f"cast(least(floor({uni(h8('row_key', repr('42')))} * 4), 3) as integer)"
+    ctes = [f"h as (select *, {fold} as fold from ({HOUSING_SQL}))",
+            f"line as (select f.range as fold, regr_slope({Y}, {TOT[0]}) as a, regr_intercept({Y}, {TOT[0]}) as b "
+            f"from h join range(4) f on h.fold <> f.range group by all)",
+            f"cvp as (select h.row_key, cast(h.{Y} as double) as y, h.{TOT[0]} * a + b as p, h.fold from h join line using (fold))",
+            _sql_metrics_body("cvp", "fold")]
+    return ("with " + ",\n".join(ctes) + "\nselect fold, metric, round(value, 4) as value from met "
+            "unpivot (value for metric in (r2_score, rmse, mae))")
+
+
 CV_K, CV_T, CV_DEPTH = 3, 5, 4
 
 
@@ -1414,6 +1474,8 @@ QUERIES = {
     "node_stats": (q_node_stats, SQL_NODE_STATS),
     "best_split": (q_best_split, SQL_BEST_SPLIT),
     "best_split_bootstrap": (q_best_split_bootstrap, SQL_BEST_SPLIT_BOOT),
+    "custom_splitter": (q_custom_splitter, _fsql(SQL_NODES, {**CUSTOM, "splitter": "mean"})),
+    "cross_validate_estimator": (q_cross_validate_estimator, _sql_cv_line()),
     "random_split": (q_random_split, _fsql(SQL_NODES, RANDOM)),
     "extra_random_split": (q_extra_random_split, _fsql(SQL_NODES, EXTRA)),
     "stump_predict": (q_stump_predict, SQL_STUMP_PREDICT),

@@ -120,6 +120,23 @@ def _random_search(d: int, nf: int, min_leaf: int, seed, splitter: str, n_draws:
     ]
 
 
+def _mean_search(d: int, nf: int, min_leaf: int) -> list:
+    """The splitter of the query ``custom_splitter``: in each node the feature that
+    correlates best with the target, cut at its mean (down to three decimals)."""
+    exact = _best_search(d, nf, min_leaf)[0]
+    return [
+        exact,
+        f"mo{d} as (select tree_id, node_id, feature, floor(sum(w * v) / sum(w) * 1000) / 1000 as threshold, "
+        f"-power(sum(w * v * yc) - sum(w * v) * sum(w * yc) / sum(w), 2) / "
+        f"(sum(w * v * v) - sum(w * v) * sum(w * v) / sum(w)) as rk from lg{d} group by all having min(v) < max(v))",
+        f"ca{d} as (select * from mo{d})",
+        f"be{d} as ({_settle(d, 'rk, feature', False)})",
+        f"bs{d} as (select b.* from be{d} b join r{d} r using (tree_id, node_id) group by all "
+        f"having sum(case when {_xcase(nf, 'b.feature')} <= b.threshold then r.w else 0 end) >= {min_leaf} "
+        f"and sum(case when {_xcase(nf, 'b.feature')} <= b.threshold then 0 else r.w end) >= {min_leaf})",
+    ]
+
+
 CHILD = ("(greatest(lq - ls * ls / lw, 0.0) + "
          "greatest((tq - lq) - (ts - ls) * (ts - ls) / (tw - lw), 0.0))")
 PARENT = "greatest(tq - ts * ts / tw, 0.0)"
@@ -170,7 +187,9 @@ def forest_ctes(feature_exprs: list, target_expr: str, source: str, n_trees: int
             f"ac{d} as (select st{d}.* from st{d} where n >= {min_split} "
             f"and n >= {2 * min_leaf} and not pure)")
         ctes.append(f"sb{d} as ({subset_sql(f'select tree_id, node_id from ac{d}', nf, m, seed)})")
-        if splitter != "best":
+        if splitter == "mean":
+            ctes.extend(_mean_search(d, nf, min_leaf))
+        elif splitter != "best":
             ctes.extend(_random_search(d, nf, min_leaf, seed, splitter, n_draws))
         else:
             ctes.extend((_binned_search if bins else _best_search)(d, nf, min_leaf))
