@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from sylvan.functions.exprs import finite_or_null
+from sylvan.functions.exprs import finite_or_null, unused
 from sylvan.operators.ranking import column_medians
 
 
@@ -192,10 +192,17 @@ def validate(df: DataFrame, **kw) -> DataFrame:
     return wide.select(stacked.alias("_s")).select("_s.rule", "_s.n_violations")
 
 
-def quarantine(df: DataFrame, **kw):
-    """split rows into (valid, rejected) by the same rules."""
-    rules = validation_rules(df, **kw)
-    bad = F.lit(False)
-    for c in rules.values():
-        bad = bad | F.coalesce(c, F.lit(True))
-    return df.where(~bad), df.where(bad)
+def with_reasons(df: DataFrame, out: str = "reasons", **kw) -> DataFrame:
+    """``df`` plus the names of the rules each row breaks.  A rule is undecided only on a
+    missing value, which the rule for missing values or empty arrays names."""
+    named = F.array(*(F.when(c, F.lit(n)) for n, c in validation_rules(df, **kw).items()))
+    return df.withColumn(out, F.array_compact(named))
+
+
+def quarantine(df: DataFrame, reasons: str | None = None, **kw):
+    """split rows into (valid, rejected) by the same rules; ``reasons``
+    names a column of the rejected rows that lists the rules they break."""
+    (col,) = unused(df, reasons or "reasons")
+    told = with_reasons(df, col, **kw)
+    bad = told.where(F.size(col) > 0)
+    return told.where(F.size(col) == 0).drop(col), bad if reasons else bad.drop(col)

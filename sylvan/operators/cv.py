@@ -2,8 +2,8 @@
 
 K-fold CV grows all folds in ONE level-wise fit: fold k owns trees
 [k*T, (k+1)*T) and its rows get weight 0 in those trees, so every level
-is a single pass for all folds; each row is then scored by the trees of
-its own fold only.  Grid search grows one forest per
+is a single pass for all folds; each row then walks the trees of its own
+fold only.  Grid search grows one forest per
 (min_samples_split, min_samples_leaf) pair at the largest depth and tree
 count and scores smaller settings as tree prefixes and depth cuts --
 exact, because every tree's randomness is a hash of (seed, tree, node).
@@ -37,10 +37,8 @@ def cross_validate(df: DataFrame, feature_cols, target: str, params: ForestParam
     model = fit_forest(d, feature_cols, target, p, key=key,
                        tree_mask=lambda tree: F.when((tree / t).cast("int") == F.col("fold"), 0)
                        .otherwise(1), mask_cols=["fold"])
-    pred = SC.predict(d.select(key, target, "fold", *feature_cols), model, per_tree=True)
-    own = F.slice("tree_predictions", F.col("fold") * t + 1, t)
-    pred = pred.withColumn("p_fold", F.aggregate(own, F.lit(0.0), lambda a, v: a + v) / t)
-    m = M.regression_metrics(pred, target, "p_fold", ["fold"])
+    pred = SC.predict_blocks(d.select(key, target, "fold", *feature_cols), model, "fold", t)
+    m = M.regression_metrics(pred, target, "prediction", ["fold"])
     return M.metrics_long(m, ["fold"], list(metrics))
 
 

@@ -125,7 +125,10 @@ def exact_percentiles(df: DataFrame, value: str, probs, group_cols=(), names=Non
     got = _picked(counted, keys, probs)
     at = [F.max(F.when(F.col("_i") == i, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))).alias(nm)
           for i, nm in enumerate(names)]
-    out = got.groupBy(*keys).agg(*at)
+    # the sketch's error bound makes every bracket hold its rank; a rank outside one must not pass for a missing value
+    outside = F.max(F.col("_lo").isNull() | F.col("_hi").isNull())
+    out = got.groupBy(*keys).agg(*(F.when(outside, F.raise_error(F.lit(
+        "a quantile lies outside its sketch bracket"))).otherwise(a).alias(nm) for a, nm in zip(at, names)))
     return out.select(*(F.col(k).alias(c) for k, c in zip(keys, g)), *names)
 
 
@@ -133,10 +136,12 @@ def exact_median(df: DataFrame, value: str, group_cols=(), name="median") -> Dat
     return exact_percentiles(df, value, [0.5], group_cols, [name])
 
 
-def column_medians(df: DataFrame, cols) -> dict:
+def column_medians(df: DataFrame, cols, widen: bool = True) -> dict:
     """Exact medians of several numeric columns: one sketch pass for all
     brackets, one pass over the values inside them.  The result is one value
-    per column (None where all are missing)."""
+    per column (None where all are missing).  ``widen``: a bracket that does
+    not hold its rank is replaced by the column's whole range (False: start
+    with that)."""
     cols = list(cols)
     if not cols:
         return {}
@@ -150,7 +155,7 @@ def column_medians(df: DataFrame, cols) -> dict:
     for i, c in enumerate(cols):
         n = sizes[f"_n{i}"]
         if n:
-            lo, hi = (sizes[f"_l{i}"], sizes[f"_h{i}"]) if n <= ACCURACY else sizes[f"_m{i}"]
+            lo, hi = (sizes[f"_l{i}"], sizes[f"_h{i}"]) if n <= ACCURACY or not widen else sizes[f"_m{i}"]
             v = clean(c)
             parts.append(F.when(v <= hi, F.struct(F.lit(i).alias("_k"), F.lit(n).cast("long").alias("_n"),
                                                   F.lit(0).alias("_i"), F.when(v >= lo, v).alias("_x"))))
@@ -158,5 +163,15 @@ def column_medians(df: DataFrame, cols) -> dict:
         return dict.fromkeys(cols)
     counted = (df.select(F.explode(F.array_compact(F.array(*parts))).alias("_p")).select("_p.*")
                .groupBy("_k", "_n", "_i", "_x").agg(F.count(F.lit(1)).alias("_c")))
-    got = {r["_k"]: r["_lo"] + (r["_hi"] - r["_lo"]) * r["_f"] for r in _picked(counted, ["_k"], [0.5]).collect()}
+    got, outside = {}, []
+    for r in _picked(counted, ["_k"], [0.5]).collect():
+        if r["_lo"] is None or r["_hi"] is None:
+            outside.append(cols[r["_k"]])               # the bracket missed the rank: take the whole range
+        else:
+            got[r["_k"]] = r["_lo"] + (r["_hi"] - r["_lo"]) * r["_f"]
+    if outside and widen:
+        again = column_medians(df, outside, widen=False)
+        return {c: again[c] if c in again else got.get(i) for i, c in enumerate(cols)}
+    if outside:
+        raise RuntimeError(f"no median found for {outside}")
     return {c: got.get(i) for i, c in enumerate(cols)}

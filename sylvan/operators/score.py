@@ -158,6 +158,41 @@ def predict(df: DataFrame, model: ForestModel, uncertainty: bool = False,
     return d.mapInArrow(fn, schema).drop(x_name, *([w_name] if oob else []))
 
 
+def predict_blocks(df: DataFrame, model: ForestModel, block: str, size: int, out: str = "prediction",
+                   max_model_nodes: int = MAX_MODEL_NODES) -> DataFrame:
+    """Each row scored by its own block of trees: the mean of the trees
+    ``block * size`` to ``block * size + size - 1`` of the forest.
+
+    A batch's rows are sorted by block and walk that block's trees only.  A
+    null block, or one the forest does not have, gives a null prediction.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    bc = _model_broadcast(spark, model, max_model_nodes)
+    nf, blocks = model.n_features, model.n_trees // size
+    x_name, b_name = unused(df, "_x", "_block")
+    d = df.drop(out) if out not in (block, *model.feature_names) else df
+    d = d.withColumns({x_name: F.array(*[F.col(c).cast("double") for c in model.feature_names]),
+                       b_name: F.coalesce(F.col(block).cast("int"), F.lit(-1))})
+    schema = T.StructType(d.schema.fields + [T.StructField(out, T.DoubleType())])
+
+    def fn(batches):
+        fm = bc.value
+        for rb in batches:
+            x = traverse.list_matrix(rb.column(x_name), nf, np.float64)
+            own = rb.column(b_name).to_numpy(zero_copy_only=False)
+            got = np.full(len(own), np.nan)
+            for b in np.unique(own[(own >= 0) & (own < blocks)]):
+                at = np.flatnonzero(own == b)
+                some = slice(b * size, (b + 1) * size)
+                trees = {**fm, "off": fm["off"][some], "depth": fm["depth"][some]}
+                got[at] = traverse.predict_trees(x[at], trees).mean(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [*rb.columns, pa.array(got, mask=(own < 0) | (own >= blocks))],
+                schema=pa.schema([*rb.schema, pa.field(out, pa.float64())]))
+    return d.mapInArrow(fn, schema).drop(x_name, b_name)
+
+
 def predict_tree(df: DataFrame, model: ForestModel, tree_id: int, **kw) -> DataFrame:
     """Prediction of one tree (IndexError outside the forest)."""
     from sylvan.operators.model_store import get_tree

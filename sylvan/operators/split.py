@@ -8,8 +8,9 @@ re-execution after executor loss, and reproducible in DuckDB.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.functions.hashing import hash8, hex_threshold, poisson1_weight, uniform
@@ -45,6 +46,111 @@ def kfold(df: DataFrame, key: str = "row_key", k: int = 5, seed=42, label: str =
     return df.withColumn(label, F.least(F.floor(u * k), F.lit(k - 1)).cast("int"))
 
 
+# ---- exact sizes ---------------------------------------------------------------
+#
+# Rows are ordered by (hash, key).  A part of exactly m rows is the rows up to
+# the m-th of that order, which two counting passes find without a sort: counts
+# by the hash's first four digits name the bracket, counts by whole hash inside
+# the brackets name the hash, and only among rows of that very hash does the
+# key decide.  The driver sees at most 65,536 counts a pass and a bracket.
+
+_PREFIX = 4
+
+
+def _cuts(df: DataFrame, key: str, seed, ranks_of) -> tuple[list[int], list[tuple | None]]:
+    """``ranks_of(n)``: ascending ranks; for each the ``(hash, key)`` of the row
+    of that rank (key ``...``: all rows of the hash; None for rank 0)."""
+    h = split_hash(key, seed)
+    rows = df.select(F.col(key).alias("k"), h.alias("h"))
+    by_prefix = sorted((r["p"], r["n"]) for r in rows.groupBy(F.substring("h", 1, _PREFIX).alias("p"))
+                       .agg(F.count(F.lit(1)).alias("n")).collect())
+    ranks = ranks_of(sum(n for _, n in by_prefix))
+
+    def place(counts: list, rank: int) -> tuple | None:
+        """The entry that holds ``rank`` and the rank within it."""
+        for value, n in counts:
+            if rank <= n:
+                return value, rank
+            rank -= n
+        return None
+
+    found = [place(by_prefix, r) if r > 0 else None for r in ranks]
+    needed = sorted({f[0] for f in found if f})
+    by_hash: dict[str, list] = {}
+    if needed:
+        for r in (rows.where(F.substring("h", 1, _PREFIX).isin(needed)).groupBy("h")
+                  .agg(F.count(F.lit(1)).alias("n")).collect()):
+            by_hash.setdefault(r["h"][:_PREFIX], []).append((r["h"], r["n"]))
+    cuts: list[tuple | None] = []
+    for f in found:
+        if f is None:
+            cuts.append(None)
+            continue
+        here = sorted(by_hash[f[0]])
+        value, rank = place(here, f[1])
+        if rank == dict(here)[value]:
+            cuts.append((value, ...))
+        else:       # a tie of hashes: the key decides
+            order = Window.partitionBy("h").orderBy(F.col("k").asc_nulls_first())
+            tied = (rows.where(F.col("h") == value).withColumn("i", F.row_number().over(order))
+                    .where(F.col("i") == rank).first())
+            cuts.append((value, tied["k"]))
+    return ranks, cuts
+
+
+def _up_to(h, key: str, cut: tuple | None):
+    """Whether a row comes no later than the cut in the order of (hash, key)."""
+    if cut is None:
+        return F.lit(False)
+    value, k = cut
+    if k is ...:
+        return h <= F.lit(value)
+    same = F.col(key).isNull() if k is None else F.col(key).isNull() | (F.col(key) <= F.lit(k))
+    return (h < F.lit(value)) | ((h == F.lit(value)) & same)
+
+
+def _labelled(df: DataFrame, key: str, seed, names: list, ranks_of, label: str) -> DataFrame:
+    """``names[i]`` for the rows up to the i-th cut, the last name for the rest."""
+    h = split_hash(key, seed)
+    _, cuts = _cuts(df, key, seed, ranks_of)
+    out = F.lit(names[-1])
+    for name, cut in reversed(list(zip(names, cuts))):
+        out = F.when(_up_to(h, key, cut), F.lit(name)).otherwise(out)
+    return df.withColumn(label, out)
+
+
+def exact_train_test_split(df: DataFrame, key: str = "row_key", test_size: float = 0.2,
+                           seed=42, label: str = "split") -> DataFrame:
+    """SP1 with exact sizes: the test part has ceil(test_size * n) rows.
+
+    Sizes are exact and the same for any partitioning where keys are
+    distinct; rows of equal key share a side."""
+    return _labelled(df, key, seed, ["test", "train"], lambda n: [_part(test_size, n)], label)
+
+
+def exact_three_way_split(df: DataFrame, key: str = "row_key", test_size: float = 0.15,
+                          val_size: float = 0.176, seed=42, label: str = "split") -> DataFrame:
+    """SP2 with exact sizes: ceil(test_size * n) test rows, then
+    ceil(val_size * rest) validation rows."""
+    def ranks(n: int) -> list[int]:
+        test = _part(test_size, n)
+        return [test, test + _part(val_size, n - test)]
+    return _labelled(df, key, seed, ["test", "val", "train"], ranks, label)
+
+
+def exact_kfold(df: DataFrame, key: str = "row_key", k: int = 5, seed=42, label: str = "fold") -> DataFrame:
+    """SP3 with exact sizes: n // k rows a fold, one more in the first n % k."""
+    if k < 2:
+        raise ValueError("k must be >= 2")
+    return _labelled(df, key, seed, list(range(k)),
+                     lambda n: [(i + 1) * (n // k) + min(i + 1, n % k) for i in range(k - 1)], label)
+
+
+def _part(share: float, n: int) -> int:
+    """ceil(share * n) of the share as written (0.1 of 30 rows are 3, not 4)."""
+    return math.ceil(Fraction(str(share)) * n)
+
+
 def tree_seed(seed, tree_id) -> str:
     return f"{seed}:{tree_id}"
 

@@ -487,6 +487,59 @@ def q_kfold(spark, sf):
 SQL_SP3 = (f"select o_orderkey as row_key, cast(least(floor({uni(h8('o_orderkey', repr('42')))} * 5), 4) as integer) "
            "as fold from orders join customer on o_custkey = c_custkey")
 
+
+
+def q_split_exact(spark, sf):
+    """SP1 with exact sizes: ceil(0.2 n) test rows."""
+    return SP.exact_train_test_split(H.housing_totals(spark, sf).select("row_key"), test_size=0.2, seed=42)
+
+
+def q_split_three_way_exact(spark, sf):
+    """SP2 with exact sizes: ceil(0.15 n) test rows, ceil(0.176 of the rest) validation rows."""
+    return SP.exact_three_way_split(H.housing_totals(spark, sf).select("row_key"), seed=42)
+
+
+def q_kfold_exact(spark, sf):
+    """SP3 with exact sizes: seven folds that differ by at most one row."""
+    return SP.exact_kfold(H.housing_totals(spark, sf).select("row_key"), k=7, seed=42)
+
+
+_RANKED = (f"with r as (select o_orderkey as row_key, count(*) over () as n, "
+           f"row_number() over (order by {h8('o_orderkey', repr('42'))}, o_orderkey) as i "
+           f"from orders join customer on o_custkey = c_custkey)")
+SQL_SP1_EXACT = _RANKED + " select row_key, case when i <= ceil(n * 2 / 10.0) then 'test' else 'train' end as split from r"
+SQL_SP2_EXACT = (_RANKED + ", s as (select *, cast(ceil(n * 15 / 100.0) as bigint) as t from r) select row_key, "
+                 "case when i <= t then 'test' when i <= t + ceil((n - t) * 176 / 1000.0) then 'val' else 'train' end as split from s")
+SQL_SP3_EXACT = (_RANKED + " select row_key, cast(case when i <= (n % 7) * (n // 7 + 1) then (i - 1) // (n // 7 + 1) "
+                 "else (i - 1 - n % 7) // (n // 7) end as integer) as fold from r")
+
+
+def q_csv_quarantine(spark, sf):
+    """A CSV with ragged lines, words for numbers and missing values, split into valid and rejected rows."""
+    from sylvan.session import scratch_path
+    from sylvan.sources.io import read_csv_checked
+    path = scratch_path(spark, "dirty-csv")
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    k, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("double").cast("string")
+    line = (F.when(F.col("o_orderkey") % 50 == 1, k)
+            .when(F.col("o_orderkey") % 51 == 2, F.concat_ws(",", k, price, F.col("o_custkey"), F.lit("more")))
+            .when(F.col("o_orderkey") % 53 == 3, F.concat_ws(",", k, F.lit("abc"), F.col("o_custkey")))
+            .when(F.col("o_orderkey") % 59 == 4, F.concat_ws(",", k, F.lit(""), F.col("o_custkey")))
+            .when(F.col("o_orderkey") % 61 == 5, F.concat_ws(",", k, price, F.lit("")))
+            .otherwise(F.concat_ws(",", k, price, F.col("o_custkey"))))
+    orders.select(line.alias("row_key,price,customer")).write.option("header", True).option(
+        "quote", "").option("sep", "\x01").csv(path)
+    good, bad = read_csv_checked(spark, path, "row_key long, price double, customer double",
+                                 feature_cols=["price"], target="customer")
+    key = F.coalesce(F.split("line", ",").getItem(0).cast("long"), "row_key")
+    return good.select("row_key", F.lit("").alias("reasons")).unionByName(
+        bad.select(key.alias("row_key"), F.concat_ws("+", "reasons").alias("reasons")))
+
+
+SQL_CSV_QUARANTINE = ("select o_orderkey as row_key, case when o_orderkey % 50 = 1 or o_orderkey % 51 = 2 or o_orderkey % 53 = 3 "
+                      "then 'unreadable' when o_orderkey % 59 = 4 then 'missing_price' when o_orderkey % 61 = 5 "
+                      "then 'missing_target' else '' end as reasons from orders")
+
 N_BAG = 5
 
 
@@ -1468,6 +1521,10 @@ QUERIES = {
     "split_train_test": (q_split_train_test, SQL_SP1),
     "split_three_way": (q_split_three_way, SQL_SP2),
     "kfold": (q_kfold, SQL_SP3),
+    "split_exact": (q_split_exact, SQL_SP1_EXACT),
+    "split_three_way_exact": (q_split_three_way_exact, SQL_SP2_EXACT),
+    "kfold_exact": (q_kfold_exact, SQL_SP3_EXACT),
+    "csv_quarantine": (q_csv_quarantine, SQL_CSV_QUARANTINE),
     "bootstrap_weights": (q_bootstrap_weights, SQL_SP4),
     "oob_rows": (q_oob_rows, SQL_SP5),
     "feature_subset": (q_feature_subset, SQL_FEATURE_SUBSET),
