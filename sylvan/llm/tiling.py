@@ -2,16 +2,28 @@
 
 Texts and items become words: lower-cased runs of letters and digits.  A
 document and an item are compared if they share a seed, ``min_match``
-consecutive words.  Running Karp-Rabin then marks, again and again, the
-longest matches that overlap no marked word, in either text, down to
-``min_match`` words.  Coverage is the marked share of the item's words; a
-document is contaminated by an item at ``threshold`` or more.  Matches may stand in any order, so reordered passages are caught.
-An item shorter than ``min_match`` words is matched as a whole.
-
-The benchmark is taken in blocks of at most ``block_words`` words: a block
-and its seeds are broadcast, bounded by that size, and all documents pass
-by it; a benchmark of any size takes more blocks, and no seed is dropped.
-Nothing is shuffled.
+consecutive words (an item shorter than that is one seed as a whole).
+Greedy tiling then marks, again and again, the longest common run of words
+that are unmarked on both sides, down to the seed's length; among runs of
+one length the first in the item, then the first in the document comes
+first.  Coverage is the marked share of the item's words; a document is
+contaminated by an item at ``threshold`` or more.  Matches may stand in any
+order, so reordered passages are caught.
+
+Search.  Seeds are Karp-Rabin hashes.  The benchmark's seeds set bits of a
+bitmap of ``2 ** filter_bits`` bits, the only thing that is broadcast, of a
+size that no input changes.  One pass over the documents keeps, of those
+with a window whose bit is set, the seeds and the runs of words around them
+(a small extract on the executors' disks).  Spark joins extract and benchmark on the
+seeds' hashes, which leaves pairs of documents and items that share one; each
+pair's words meet in a second join, and the tiling runs pair by pair.  Wrong
+bits cost time and no result; a seed that many documents or items share is
+a skewed join key, which Spark splits.
+
+Tiling.  The longest common run is found by halving its length, each step
+one comparison of the hashes of all unmarked windows; all runs of that
+length are then marked in one sweep.  No pairs of equal windows are listed,
+so a text of one word repeated costs no more than any other.
 
 A null or empty text or item matches nothing.  Repeated rows are judged
 alike; repeated items are separate items.  No items: no document matches.
@@ -21,16 +33,22 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import columns, fresh, quoted
+from sylvan.llm.lines import document_key
+from sylvan.session import scratch_path
 
+#: Bits of the filter over the benchmark's seeds.
+FILTER_BITS = 22
+#: Files of the table of contaminated documents.
+HIT_FILES = 16
 _WORDS = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,153 +66,223 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class _Windows:
+    """Hashes of the windows of any length over ids, from prefix sums."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = ids
+        with np.errstate(over="ignore"):
+            self.power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(ids), _BASE, np.uint64))), dtype=np.uint64)
+            self.sums = np.concatenate(([np.uint64(0)], np.cumsum(ids * self.power[:-1], dtype=np.uint64)))
+
+    def of(self, n: int, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the unmarked windows of ``n`` ids."""
+        if n > len(self.ids):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        taken = np.concatenate(([0], np.cumsum(~free)))
+        at = np.flatnonzero(taken[n:] == taken[:-n])
+        with np.errstate(over="ignore"):      # brought to one common power, so equal windows have equal hashes
+            return at, (self.sums[at + n] - self.sums[at]) * self.power[len(self.ids) - at]
+
+
 def tile(doc: np.ndarray, item: np.ndarray, min_match: int) -> int:
-    """Words of ``item`` marked by greedy tiling against ``doc`` (arrays of word ids).
-
-    Rounds of falling search length: all unmarked windows of that length
-    are hashed, equal ones extended, and the longest marked first; a round
-    that meets a match over twice its length starts again at that length.
-    """
-    d_free, t_free = np.ones(len(doc), bool), np.ones(len(item), bool)
-    length = max(min_match, min(len(item), 20))
+    """Words of ``item`` marked by greedy tiling against ``doc`` (arrays of word hashes or numbers)."""
+    # one array for both, so that one set of powers hashes both sides
+    both = _Windows(np.concatenate((doc, item)).astype(np.uint64))
+    free = np.ones(len(doc) + len(item), bool)
+    split = len(doc)
+
+    def sides(n: int):
+        at, h = both.of(n, free)
+        left, right = at + n <= split, at >= split
+        return at[left], h[left], at[right], h[right]
+
+    longest = min(len(doc), len(item))
     while True:
-        longest, found = 0, []
-        h = _free_windows(item, t_free, length)
-        where = defaultdict(list)
-        for j, key in h:
-            where[key].append(j)
-        for i, key in _free_windows(doc, d_free, length) if where else ():
-            for j in where.get(key, ()):
-                n = 0
-                while (i + n < len(doc) and j + n < len(item) and d_free[i + n] and t_free[j + n]
-                       and doc[i + n] == item[j + n]):
-                    n += 1
-                if n >= length:
-                    longest = max(longest, n)
-                    found.append((-n, j, i))
-        if longest > 2 * length:
-            length = longest
-            continue
-        for n, j, i in sorted(found):
-            if d_free[i:i - n].all() and t_free[j:j - n].all():
-                d_free[i:i - n] = t_free[j:j - n] = False
-        if any(d_free[i:i + length].all() and t_free[j:j + length].all() for _, j, i in found):
-            continue
-        if length == min_match:
-            return int((~t_free).sum())
-        length = max(min_match, length // 2)
-
-
-def _free_windows(ids: np.ndarray, free: np.ndarray, n: int) -> list[tuple[int, int]]:
-    h = rolling(ids, n)
-    if not len(h):
-        return []
-    taken = np.concatenate(([0], np.cumsum(~free)))
-    ok = np.flatnonzero(taken[n:] == taken[:-n])
-    return list(zip(ok.tolist(), h[ok].tolist()))
-
-
-@dataclass
-class Block:
-    """Some benchmark items with their vocabulary and sorted seeds."""
-
-    min_match: int
-    vocabulary: dict[str, int] = field(default_factory=dict)
-    items: list[tuple[str, np.ndarray]] = field(default_factory=list)
-    by_length: dict[int, tuple[np.ndarray, dict[int, list[int]]]] = field(default_factory=dict)
-
-    @classmethod
-    def of(cls, rows: list[tuple[str, list[str]]], min_match: int) -> "Block":
-        b = cls(min_match)
-        for name, words in rows:
-            ids = np.array([b.vocabulary.setdefault(w, len(b.vocabulary) + 1) for w in words], np.uint64)
-            b.items.append((name, ids))
-        seeds: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for k, (_, ids) in enumerate(b.items):
-            n = min(min_match, len(ids))
-            for h in set(rolling(ids, n).tolist()) if n else ():
-                seeds[n][h].append(k)
-        b.by_length = {n: (np.array(sorted(s), np.uint64), dict(s)) for n, s in seeds.items()}
-        return b
-
-    def coverage(self, words: list[str]) -> dict[int, float]:
-        """Item number -> covered share, for the items that share a seed."""
-        get = self.vocabulary.get
-        ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
-        known = np.concatenate(([0], np.cumsum(ids == 0)))
-        out: dict[int, float] = {}
-        for n, (keys, items) in self.by_length.items():
-            if len(ids) < n:
-                continue
-            starts = np.flatnonzero(known[n:] == known[:-n])         # windows of known words only
-            if not len(starts):
+        low, high = min_match - 1, longest       # a common run of ``low`` words exists, or is not looked for
+        while low < high:
+            n = (low + high + 1) // 2
+            _, d, _, t = sides(n)
+            if len(d) and len(t) and np.isin(t, d).any():
+                low = n
+            else:
+                high = n - 1
+        if low < max(min_match, 1):
+            return int((~free[split:]).sum())
+        longest = low
+        at_d, d, at_t, t = sides(longest)
+        shared = np.isin(t, d)
+        places: dict[int, list[int]] = defaultdict(list)
+        wanted = np.isin(d, t[shared])
+        for i, h in zip(at_d[wanted].tolist()[::-1], d[wanted].tolist()[::-1]):
+            places[h].append(i)                  # the first place last: taken from the end
+        for j, h in zip(at_t[shared].tolist(), t[shared].tolist()):
+            if not free[j:j + longest].all():
                 continue
-            h = rolling(ids, n)[starts]
-            at = np.searchsorted(keys, h)
-            hit = keys[np.minimum(at, len(keys) - 1)] == h
-            near: dict[int, set[int]] = defaultdict(set)
-            for s, key in zip(starts[hit].tolist(), h[hit].tolist()):
-                for k in items[key]:
-                    near[k].add(s)
-            for k, places in near.items():
-                item = self.items[k][1]
-                keep = np.zeros(len(ids), bool)
-                for s in places:
-                    keep[s:s + n] = True
-                # every match lies in runs of seeds; an id that no item has keeps the runs apart
-                at = np.flatnonzero(keep)
-                runs = np.insert(ids[at], np.flatnonzero(np.diff(at) > 1) + 1, 0)
-                out[k] = tile(runs, item, n) / len(item)
-        return out
-
-
-def _blocks(bench: DataFrame, min_match: int, block_words: int) -> Iterator[list[tuple[str, list[str]]]]:
-    """The benchmark in parts of at most ``block_words`` words (one item at least)."""
-    rows, held = [], 0
-    for r in bench.select(F.col("item_id").cast("string").alias("i"), "text").sort("i", "text").toLocalIterator():
-        words = words_of(r["text"] or "")
-        if not words:
-            continue
-        if rows and held + len(words) > block_words:
-            yield rows
-            rows, held = [], 0
-        rows.append((r["i"], words))
-        held += len(words)
-    if rows:
-        yield rows
+            here = places[h]
+            while here:
+                i = here.pop()
+                if free[i:i + longest].all():
+                    free[i:i + longest] = free[j:j + longest] = False
+                    break
 
 
-def matches(docs: DataFrame, bench: DataFrame, min_match: int = 5, threshold: float = 0.8,
-            block_words: int = 500_000, out: str = "hits") -> DataFrame:
-    """``docs`` plus ``out``: an array of (item, coverage) at or above ``threshold``, best first."""
-    if min_match < 1:
-        raise ValueError("min_match must be at least 1")
-    empty = F.expr("cast(array() as array<struct<coverage: double, item: string>>)")
-    (got,) = fresh(docs, out)
-    marked = docs.withColumn(got, empty)
-    sc = docs.sparkSession.sparkContext
-    for rows in _blocks(bench, min_match, block_words):
-        shared = sc.broadcast(Block.of(rows, min_match))
-        marked = marked.withColumn(got, F.concat(quoted(got), _hits(shared, threshold)(quoted("text"))))
-    return marked.withColumn(got, F.sort_array(quoted(got), asc=False))
-
-
-def _hits(shared, threshold: float):
-    @F.arrow_udf("array<struct<coverage: double, item: string>>")
+# ---- seeds --------------------------------------------------------------------
+
+class _Coder:
+    """Hashes of words; those met before are remembered."""
+
+    def __init__(self, remembered: int = 400_000):
+        self.remembered, self.known = remembered, {}
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        if len(known) > self.remembered:
+            known.clear()
+        for w in set(words).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def _seeds(code: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all windows of ``n`` words; windows of another length hash apart."""
+    h = (rolling(code, n) + np.uint64(n)) * _BASE
+    return h ^ (h >> np.uint64(32))
+
+
+_SEEDED = "struct<n: int, words: array<string>, seeds: array<long>>"
+
+
+def _item_seeds(min_match: int):
+    def run(text: pa.Array) -> pa.Array:
+        coder, out = _Coder(), []
+        for t in text.to_pylist():
+            words = words_of(t) if t else []
+            n = min(min_match, len(words))
+            seeds = np.unique(_seeds(coder(words), n)).view(np.int64).tolist() if n else []
+            out.append({"n": n, "words": words, "seeds": seeds})
+        return pa.array(out, pa.struct([("n", pa.int32()), ("words", pa.list_(pa.string())), ("seeds", pa.list_(pa.int64()))]))
+    return F.arrow_udf(run, _SEEDED)
+
+
+def _bit(seed: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(seed, 64 - bits)
+
+
+def _filter(items: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of ``2 ** bits`` bits, set at the benchmark's seeds."""
+    at = items.select(F.explode("seeds").alias("seed")).select(_bit(F.col("seed"), bits).alias("bit"))
+    # Spark's bitmaps number positions from 1, in blocks of 32,768 bits
+    rows = (at.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("block"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bitmap")).collect())
+    out = np.zeros(max((1 << bits) // 8, 4096), np.uint8)
+    for r in rows:
+        out[(r["block"] - 1) * 4096:r["block"] * 4096] = np.frombuffer(r["bitmap"], np.uint8)
+    return out
+
+
+_EXTRACT = "struct<seeds: array<long>, body: string>"
+
+
+def _extract(shared, lengths: list[int], bits: int):
+    """Of a text with a possible seed: its seeds, and the runs of words they cover (``\\n`` between runs)."""
     def run(text: pa.Array) -> pa.Array:
-        block, out = shared.value, []
+        table, coder, out = np.unpackbits(shared.value, bitorder="little").astype(bool), _Coder(), []
         for t in text.to_pylist():
-            found = block.coverage(words_of(t)) if t else {}
-            out.append([{"coverage": c, "item": block.items[k][0]} for k, c in found.items() if c >= threshold])
-        return pa.array(out, pa.list_(pa.struct([("coverage", pa.float64()), ("item", pa.string())])))
-    return run
+            words = words_of(t) if t else []
+            code, hits, keep = coder(words), [], None
+            for n in lengths:
+                if len(code) < n:
+                    continue
+                h = _seeds(code, n)
+                at = np.flatnonzero(table[(h >> np.uint64(64 - bits)).astype(np.int64)])
+                if len(at):
+                    hits.append(np.unique(h[at]))
+                    keep = np.zeros(len(code) + 1, np.int64) if keep is None else keep
+                    np.add.at(keep, at, 1)
+                    np.add.at(keep, at + n, -1)
+            if keep is None:
+                out.append(None)
+                continue
+            kept = np.flatnonzero(np.cumsum(keep[:-1]) > 0)
+            ends = set((np.flatnonzero(np.diff(kept) > 1)).tolist())
+            body = "".join(words[k] + ("\n" if i in ends else " ") for i, k in enumerate(kept.tolist()))
+            out.append({"seeds": np.concatenate(hits).view(np.int64).tolist(), "body": body})
+        return pa.array(out, pa.struct([("seeds", pa.list_(pa.int64())), ("body", pa.string())]))
+    return F.arrow_udf(run, _EXTRACT)
+
+
+def _coverage(body: pa.Array, words: pa.Array, n: pa.Array) -> pa.Array:
+    """Share of each item's words that its document's runs tile."""
+    coder, out = _Coder(), []
+    for text, item, least in zip(body.to_pylist(), words.to_pylist(), n.to_pylist()):
+        parts = [coder(run.split(" ") if run else []) for run in text.replace(" \n", "\n").rstrip(" ").split("\n")]
+        gap = np.zeros(1, np.uint64)             # stands for no word
+        doc = np.concatenate([x for p in parts for x in (p, gap)])
+        out.append(tile(doc, coder(item), least) / len(item))
+    return pa.array(out, pa.float64())
+
+
+# ---- the operator ---------------------------------------------------------------
+
+def _hits(docs: DataFrame, bench: DataFrame, min_match: int, threshold: float,
+          filter_bits: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``(doc, doc2, item, coverage)`` of every contaminated document and item, ``doc`` and ``doc2``
+    hashing (doc_id, text); and the persisted tables it is read from."""
+    if min_match < 1:
+        raise ValueError("min_match must be at least 1")
+    if not 3 <= filter_bits <= 30:
+        raise ValueError("filter_bits must be between 3 and 30")
+    spark = docs.sparkSession
+    seeded = _item_seeds(min_match)(F.col("text").cast("string"))
+    items = (bench.select(F.col("item_id").cast("string").alias("item"), seeded.alias("s"))
+             .select(F.monotonically_increasing_id().alias("number"), "item", "s.*")
+             .filter("n > 0").persist(StorageLevel.DISK_ONLY))
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())          # at most min_match
+    shared = spark.sparkContext.broadcast(_filter(items, filter_bits))
+    found = _extract(shared, lengths, filter_bits)(quoted("text").cast("string"))
+    # equal rows are one document here; each gets the result back at the end
+    extract = (docs.select(*document_key(docs, "text", "doc_id"), found.alias("f")).filter("f is not null")
+               .select("doc", "doc2", "f.seeds", "f.body").persist(StorageLevel.DISK_ONLY))
+    seeds = extract.select("doc", "doc2", F.explode("seeds").alias("seed")).distinct()
+    pairs = (seeds.join(items.select("number", F.explode("seeds").alias("seed")), "seed")
+             .select("doc", "doc2", "number").distinct())
+    bodies = extract.dropDuplicates(["doc", "doc2"]).select("doc", "doc2", "body")
+    hits = (pairs.join(items.select("number", "item", "words", "n"), "number").join(bodies, ["doc", "doc2"])
+            .select("doc", "doc2", "item", F.arrow_udf(_coverage, "double")("body", "words", "n").alias("coverage"))
+            .filter(F.col("coverage") >= threshold))
+    return hits, [items, extract]
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, **limits) -> DataFrame:
+def matches(docs: DataFrame, bench: DataFrame, min_match: int = 5, threshold: float = 0.8,
+            filter_bits: int = FILTER_BITS, out: str = "hits") -> DataFrame:
+    """``docs`` plus ``out``: an array of (coverage, item) at or above ``threshold``, best first."""
+    k1, k2, got = fresh(docs, "doc", "doc2", out)
+    hits, held = _hits(docs, bench, min_match, threshold, filter_bits)
+    lists = hits.groupBy("doc", "doc2").agg(F.sort_array(F.collect_list(F.struct("coverage", "item")), asc=False).alias(got))
+    lists = _written(lists.select(F.col("doc").alias(k1), F.col("doc2").alias(k2), quoted(got)))
+    for table in held:
+        table.unpersist()
+    key1, key2 = document_key(docs, "text", "doc_id")
+    none = F.expr("cast(array() as array<struct<coverage: double, item: string>>)")
+    return (docs.withColumns({k1: key1, k2: key2}).join(lists, [k1, k2], "left")
+            .withColumn(got, F.coalesce(quoted(got), none)).select(*columns(docs.columns), quoted(got)))
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """Rows written and read again: Spark knows their size and broadcasts them only below its own bound."""
+    spark: SparkSession = rows.sparkSession
+    path = scratch_path(spark, "tiling-hits")
+    rows.coalesce(HIT_FILES).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def contaminated(docs: DataFrame, bench: DataFrame, min_match: int = 5, threshold: float = 0.8,
+                 filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per contaminated document: doc_id, contaminated (true), coverage, item (the best)."""
+    docs = docs.select("doc_id", "text")
     (got,) = fresh(docs, "hits")
-    hits = matches(docs.select("doc_id", "text"), bench, out=got, **limits).select("doc_id", got)
-    return (hits.filter(F.size(got) > 0)
+    return (matches(docs, bench, min_match, threshold, filter_bits, got).filter(F.size(got) > 0)
             .select("doc_id", F.lit(True).alias("contaminated"),
                     F.col(got)[0]["coverage"].alias("coverage"), F.col(got)[0]["item"].alias("item")))
 
