@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from heapq import merge
 
 import numpy as np
 import pyarrow as pa
@@ -110,19 +111,32 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def wide_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Further candidates that overlap neither a base span nor each other."""
-    taken = sorted((a, b) for _, a, b in base)
+    """Further candidates that overlap neither a base span nor each other.
+
+    Taken spans are disjoint and in order, as are a pattern's matches: one
+    sweep per pattern tells them apart, one merge adds the new ones.
+    """
+    taken: list[tuple[int, int]] = []
+    for span in sorted((a, b) for _, a, b in base):          # kinds may overlap: join them
+        if taken and span[0] < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(taken[-1][1], span[1]))
+        else:
+            taken.append(span)
     out = []
     for kind, pattern in _WIDE:
         if kind == "email" and not _WIDE_MARK.search(text):
             continue
         if kind == "ip" and ":" not in text:
             continue
+        new, k = [], 0
         for m in pattern.finditer(text):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in taken):
-                taken.append((a, b))
-                out.append((kind, a, b))
+            while k < len(taken) and taken[k][1] <= a:
+                k += 1
+            if a < b and (k == len(taken) or b <= taken[k][0]):
+                new.append((a, b))
+        out += [(kind, a, b) for a, b in new]
+        taken = list(merge(taken, new))
     return out
 
 
