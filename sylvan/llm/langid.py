@@ -4,11 +4,13 @@ A softmax model over hashed byte n-grams (two and three bytes, lower case)
 predicts the language family; within a family of several languages, linear
 support vector machines, one for each pair, vote.  All models are trained
 here, on a sample of at most about ``per_lang`` documents of each language
-(a documented bound; the sample is drawn by a hash of doc_id and covers
-every document of a rare language).  Prediction reads whole texts and
+and ``SAMPLE`` in all (documented bounds; the sample is drawn by a hash of
+doc_id and covers every document of a rare language); the ``LANGUAGES`` most
+frequent values of lang can be learned.  Prediction reads whole texts and
 nothing but the text.
 
-A null text, or one without a letter, is ``und`` with score 0.  Documents
+A letter is a character of a Unicode letter category; numerals such as a
+raised 2 or a Roman twelve are none.  A null text, or one without a letter, is ``und`` with score 0.  Documents
 without a language are never learned from.  If nothing can be learned,
 every text is ``und``.  Repeated rows are predicted alike.
 """
@@ -30,7 +32,10 @@ from sylvan.llm.common import fresh, quoted
 UND = "und"
 DIMS = 1 << 12
 _PIECE = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+#: Training documents in all, and languages that can be learned.
+SAMPLE = 6400
+LANGUAGES = 400
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
 
 #: Language families by ISO 639-1 code; other codes form one family of their own.
 FAMILIES = {
@@ -46,6 +51,11 @@ FAMILIES = {
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of a letter category (word characters also hold raised and Roman numerals)."""
+    return any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
 def family(lang: str) -> str:
     return _FAMILY.get(lang.lower().split("-")[0], "other")
 
@@ -142,9 +152,11 @@ def _vectors(text: pa.Array) -> pa.Array:
 def fit(train: DataFrame, per_lang: int = 800) -> Model | None:
     """Models from ``train(doc_id, text, lang)``; None without a language to learn."""
     train = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
+    often = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = {r["lang"]: r["count"] for r in often}
     if not sizes:
         return None
+    per_lang = min(per_lang, SAMPLE // len(sizes))
     share = F.coalesce(*(F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n)))
                          for lang, n in sorted(sizes.items())))
     span = 1 << 32
@@ -179,7 +191,7 @@ def predict(model: Model | None, col: Column) -> Column:
     def run(text: pa.Array) -> pa.Array:
         texts = text.to_pylist()
         langs, score = [UND] * len(texts), np.zeros(len(texts))
-        known = [i for i, t in enumerate(texts) if t and model is not None and _LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if t and model is not None and has_letter(t)]
         for a in range(0, len(known), 256):
             at = known[a:a + 256]
             got, s = model.predict(np.array([vector(texts[i]) for i in at]))
