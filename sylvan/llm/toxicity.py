@@ -15,7 +15,9 @@ reads whole texts in one pass.
 
 A null or empty text has no word and gets the models' base rates.  Rows
 without a label are not trained on; a category with one value only is
-predicted as that constant.  Repeated rows are predicted alike.
+predicted as that constant.  Without any labelled row (or document) the
+chain gives every probability as 0.5 and no decision.  Repeated rows are
+predicted alike.
 """
 
 from __future__ import annotations
@@ -171,6 +173,11 @@ def train_chain(found: pa.ListArray, labels: np.ndarray, fold: np.ndarray, categ
     return Chain(list(categories), links, cuts)
 
 
+def untaught(categories: Sequence[str]) -> Chain:
+    """The chain of no labelled row."""
+    return Chain(list(categories), [Link({}, np.zeros(j), 0.0) for j in range(len(categories))], [1.1] * len(categories))
+
+
 def _best_cut(p: np.ndarray, y: np.ndarray) -> float:
     """The threshold of the best F1 on out-of-fold probabilities, in the middle of its gap."""
     if not y.any():
@@ -189,13 +196,13 @@ def _tokens(text: pa.Array) -> pa.Array:
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], per_group: int = 1500,
-        picked: int = 200) -> Chain | None:
+        picked: int = 200) -> Chain:
     """A chain from ``docs(doc_id, text)`` and ``labels(doc_id, *categories)`` of 0 and 1."""
     labels = labels.dropna(subset=["doc_id", *categories]).groupBy("doc_id").agg(
         *(F.max(c).cast("int").alias(c) for c in categories))
     sizes = labels.groupBy(*categories).count().collect()       # at most 2^categories rows
     if not sizes:
-        return None
+        return untaught(categories)
     share = F.coalesce(*(F.when(F.expr(" and ".join(f"`{c}` = {r[c]}" for c in categories)),
                                 F.lit(min(1.0, per_group / r["count"]))) for r in sizes))
     span = 1 << 32
@@ -205,27 +212,24 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], per_group
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id__"))
             .select("id__", "fold", *(f"y__{c}" for c in categories), F.arrow_udf(_tokens, "array<string>")("text").alias("t")).toArrow())
     if not rows.num_rows:
-        return None
+        return untaught(categories)
     rows = rows.sort_by("id__")                                   # the same model whatever the row order
     y = np.column_stack([rows[f"y__{c}"].to_numpy() for c in categories])
     return train_chain(rows["t"].combine_chunks(), y, rows["fold"].to_numpy(), categories, picked)
 
 
-def classify(docs: DataFrame, model: Chain | None, out: str = "chain") -> DataFrame:
+def classify(docs: DataFrame, model: Chain, out: str = "chain") -> DataFrame:
     """``docs`` plus a struct ``out``: for each category its probability ``p_*`` and decision ``is_*``."""
     (out,) = fresh(docs, out)
-    names = model.categories if model is not None else []
-    kind = ", ".join(f"`p_{c}`: double, `is_{c}`: boolean" for c in names) or "none: boolean"
+    kind = ", ".join(f"`p_{c}`: double, `is_{c}`: boolean" for c in model.categories)
 
     @F.arrow_udf(f"struct<{kind}>")
     def run(text: pa.Array) -> pa.Array:
-        if model is None:
-            return pa.StructArray.from_arrays([pa.array([False] * len(text))], ["none"])
         among = vocabulary_of(model.links)
         found = [tokens_of(t, among) if t else set() for t in text.to_pylist()]
         p = model.predict(found)
         cols, titles = [], []
-        for j, c in enumerate(names):
+        for j, c in enumerate(model.categories):
             cols += [pa.array(p[:, j]), pa.array(p[:, j] >= model.thresholds[j])]
             titles += [f"p_{c}", f"is_{c}"]
         return pa.StructArray.from_arrays(cols, titles)
