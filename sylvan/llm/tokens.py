@@ -25,8 +25,9 @@ from sylvan.llm.common import fresh, quoted
 
 #: Bytes of text handled by one call into the tokenizer library.
 GROUP_BYTES = 1 << 20
-#: Parts remembered per Python worker (cleared when full).
+#: Parts remembered per Python worker (cleared when full), and the longest part worth it.
 REMEMBERED = 600_000
+LONGEST_REMEMBERED = 64
 #: A text above this many characters is split before its parts are gathered.
 LONG_TEXT = 1 << 18
 _PART = re.compile(" *[^ ]+| +")
@@ -38,15 +39,20 @@ def groups_by_bytes(texts: Iterable[str | None], size: int = GROUP_BYTES) -> Ite
     group, held = [], 0
     for t in texts:
         t = t or ""
-        if group and held + len(t) > size:
+        n = utf8_size(t)
+        if group and held + n > size:
             yield group
             group, held = [], 0
         group.append(t)
-        held += len(t)
+        held += n
     if group:
         yield group
 
 
+def utf8_size(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 class PieceCounter:
     """Counts tokens of a sentencepiece model over parts between safe boundaries."""
 
@@ -98,6 +104,9 @@ class PieceCounter:
                     new = [*set(parts)]
                 self.known.update(zip(new, map(len, self.model.encode(new, num_threads=1))))
                 out[i] += sum(map(self.known.__getitem__, parts)) + lone
+                for part in new:                     # so REMEMBERED bounds the bytes too
+                    if len(part) > LONGEST_REMEMBERED:
+                        del self.known[part]
         return out
 
 
