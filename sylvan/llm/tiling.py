@@ -241,9 +241,11 @@ def _hits(docs: DataFrame, bench: DataFrame, min_match: int, threshold: float,
     lengths = sorted(r["n"] for r in items.select("n").distinct().collect())          # at most min_match
     shared = spark.sparkContext.broadcast(_filter(items, filter_bits))
     found = _extract(shared, lengths, filter_bits)(quoted("text").cast("string"))
-    # equal rows are one document here; each gets the result back at the end
+    # equal rows are one document here; each gets the result back at the end.  Counting fills the
+    # kept table once: the two joins below read it side by side
     extract = (docs.select(*document_key(docs, "text", "doc_id"), found.alias("f")).filter("f is not null")
                .select("doc", "doc2", "f.seeds", "f.body").persist(StorageLevel.DISK_ONLY))
+    extract.count()
     seeds = extract.select("doc", "doc2", F.explode("seeds").alias("seed")).distinct()
     pairs = (seeds.join(items.select("number", F.explode("seeds").alias("seed")), "seed")
              .select("doc", "doc2", "number").distinct())
