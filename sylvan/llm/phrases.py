@@ -617,6 +617,7 @@ def scored_phrases(docs: DataFrame, min_count: int = 100, filter_bits: int = 23,
     windows = texts.mapInArrow(_windows(lambda: _table(short, SHORT) | _table(long, LONG), filter_bits), _WINDOW_DDL).persist(StorageLevel.DISK_ONLY)
     ordered = windows.repartitionByRange(*KEY, "part").sortWithinPartitions(*KEY)
     nodes = ordered.select(*KEY, "n").mapInArrow(_add_up(min_count), _NODE_DDL).persist(StorageLevel.DISK_ONLY)
+    nodes.count()                       # fills the kept table once: two branches read it side by side
     found = _settle(nodes, min_count)
     parts = found.count() // PHRASES_PER_PARTITION + spark.sparkContext.defaultParallelism
     from_end = [f"r{j}" for j in range(1, ORDER + 1)]
