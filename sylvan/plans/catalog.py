@@ -609,10 +609,14 @@ def q_forest_fit(spark, sf):
 
 
 def _stepped_nodes(spark, model) -> DataFrame:
+    return _stepped(model.nodes_df(spark))
+
+
+def _stepped(nodes: DataFrame) -> DataFrame:
     """The node table with means and errors in steps that no mean of a few
     prices is a half multiple of."""
     grid = {c: F.floor(F.col(c) / step + 0.5) for c, step in NODE_STEPS.items()}
-    return _leaf_codes(rnd(model.nodes_df(spark).withColumns(grid), {"threshold": 6}))
+    return _leaf_codes(rnd(nodes.withColumns(grid), {"threshold": 6}))
 
 
 def q_forest_fit_levelwise(spark, sf):
@@ -620,6 +624,13 @@ def q_forest_fit_levelwise(spark, sf):
     return _stepped_nodes(spark, fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_DEEP)))
 
 
+def q_forest_fit_node_table(spark, sf):
+    """T8 / T9 with the nodes kept as a table: upper levels together, small nodes finished in groups."""
+    from sylvan.operators.node_table import fit_node_table
+    table = fit_node_table(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_DEEP), local_rows=2000)
+    return _stepped(table.nodes)
+
+
 def q_forest_fit_bucketed(spark, sf):
     """T3 with every feature split into value buckets (the search of very large inputs)."""
     return _stepped_nodes(spark, fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BUCKETED)))
@@ -1558,6 +1569,7 @@ QUERIES = {
     "grid": (q_grid, SQL_GRID),
     "forest_fit": (q_forest_fit, SQL_FOREST_FIT),
     "forest_fit_levelwise": (q_forest_fit_levelwise, SQL_FOREST_DEEP),
+    "forest_fit_node_table": (q_forest_fit_node_table, SQL_FOREST_DEEP),
     "forest_fit_bucketed": (q_forest_fit_bucketed, SQL_FOREST_BUCKETED),
     "pipeline_roundtrip": (q_pipeline_roundtrip, SQL_PIPELINE),
     "stream_pipeline": (q_stream_pipeline, SQL_STREAM_PIPELINE),
