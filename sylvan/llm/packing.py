@@ -46,7 +46,7 @@ def _tokenize(path: str, ranks: str | None, closing: int):
                 some = batch.slice(i, _GROUP)
                 ids, n, local = [], [], []
                 for text in some.column(1).to_pylist():
-                    a = np.array([*coder.ids(text or ""), closing], kind)
+                    a = np.append(coder.array(text or "", kind), np.array([closing], kind))
                     ids.append(a.tobytes())
                     n.append(len(a))
                     local.append(at)

@@ -13,10 +13,12 @@ Nulls count as empty texts; an empty text has no token.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,6 +180,7 @@ class ByteIds:
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.fast = None
+        self.splits = plain_byte_level(path)
         if ranks:
             import base64
 
@@ -186,8 +189,14 @@ class ByteIds:
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-            self.fast = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=table,
-                                          special_tokens=special)
+            if same_vocabulary(path, table):
+                self.fast = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=table,
+                                              special_tokens=special)
+
+    def array(self, text: str, kind: str) -> np.ndarray:
+        """The ids of a whole text as an array; a long text is encoded part by part."""
+        parts = [np.array(self.ids(some), kind) for some in (safe_parts(text) if self.splits else (text,))]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
     def ids(self, text: str) -> list[int]:
         if self.fast is not None and not _BEYOND_LATIN.search(text):
@@ -195,6 +204,56 @@ class ByteIds:
         return self.library.encode(text, add_special_tokens=False).ids
 
 
+def safe_parts(text: str, size: int = LONG_TEXT) -> Iterator[str]:
+    """A long text in parts of about ``size`` characters, cut where the split rule always cuts:
+    before a space that follows a letter and precedes one."""
+    a = 0
+    while len(text) - a > size:
+        cut = _LETTERS.search(text, a + size - 1)
+        if not cut:
+            break
+        yield text[a:cut.start() + 1]
+        a = cut.start() + 1
+    yield text[a:]
+
+
+_LETTERS = re.compile("[A-Za-z] (?=[A-Za-z])")
+
+
+def plain_byte_level(path: str) -> bool:
+    """Whether a tokenizer file splits by the byte-level rule alone, with added tokens that hold no space."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    split = spec["pre_tokenizer"] or {}
+    return (split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+            and spec["normalizer"] is None and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+            and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]
+                        for t in spec["added_tokens"]))
+
+
+def byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in such files: printable bytes for themselves, the others from U+0100 on."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = (b for b in range(256) if b not in printable)
+    return {**{chr(b): b for b in printable}, **{chr(256 + i): b for i, b in enumerate(others)}}
+
+
+def same_vocabulary(path: str, ranks: dict[bytes, int]) -> bool:
+    """Whether a tokenizer file and a rank table hold the same tokens, ids and order of merges."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    letters, model = byte_letters(), spec["model"]
+    added = {t["content"] for t in spec["added_tokens"]}
+    tokens = {t: i for t, i in model["vocab"].items() if t not in added}
+    if not plain_byte_level(path) or any(c not in letters for t in tokens for c in t):
+        return False
+    if {bytes(letters[c] for c in t): i for t, i in tokens.items()} != ranks:
+        return False
+    pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+    merged = [tokens.get("".join(pair)) for pair in pairs]
+    return None not in merged and all(a < b for a, b in zip(merged, merged[1:])) and not model.get("ignore_merges")
+
+
 #: Fixed value: the split pattern of byte-level vocabularies, in possessive form.
 _PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 

@@ -382,3 +382,39 @@ def test_remembered_parts_are_short():
     assert counter.counts(texts) == [len(counter.model.encode(t)) for t in texts]
     assert max(map(len, counter.known)) <= tokens.LONGEST_REMEMBERED
     assert [len(g) for g in tokens.groups_by_bytes(["é" * 600, "a" * 500, None, "b" * 900], 1500)] == [1, 3]
+
+
+def test_vocabularies_are_compared_when_loaded(tmp_path):
+    import base64
+    import json
+    from sylvan.llm.queries import BYTE_IDS, BYTE_RANKS
+    with open(BYTE_RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    assert tokens.same_vocabulary(BYTE_IDS, ranks) and tokens.ByteIds(BYTE_IDS, BYTE_RANKS).fast is not None
+    assert sorted(tokens.byte_letters().values()) == list(range(256))
+    swapped = {**ranks, b"the": ranks[b" the"], b" the": ranks[b"the"]}
+    assert not tokens.same_vocabulary(BYTE_IDS, swapped)
+    with open(BYTE_IDS, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in (lambda s: s["model"]["merges"].reverse(), lambda s: s["pre_tokenizer"].update(add_prefix_space=True),
+                   lambda s: s["added_tokens"][0].update(lstrip=True)):
+        other = json.loads(json.dumps(spec))
+        change(other)
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(other), encoding="utf-8")
+        assert not tokens.same_vocabulary(str(path), ranks)
+
+
+def test_long_texts_are_encoded_in_parts():
+    from tokenizers import Tokenizer
+    from sylvan.llm.queries import BYTE_IDS, BYTE_RANKS
+    r, lib = random.Random(3), Tokenizer.from_file(BYTE_IDS)
+    bits = [" a", "b c", "  ", "\n", " x's", "'ll go", "1 2", " é", "日 本", "<|endoftext|>", " the end", "\t q", " \u2028 z"]
+    for _ in range(60):
+        text = "".join(r.choice(bits) for _ in range(r.randint(0, 120)))
+        parts = list(tokens.safe_parts(text, 10))
+        assert "".join(parts) == text
+        assert [i for p in parts for i in lib.encode(p, add_special_tokens=False).ids] == lib.encode(text, add_special_tokens=False).ids
+    text = "some words " * 60_000
+    coder = tokens.ByteIds(BYTE_IDS, BYTE_RANKS)
+    assert len(list(tokens.safe_parts(text))) > 2 and coder.array(text, "<u4").tolist() == coder.ids(text)
