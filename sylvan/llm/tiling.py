@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ from sylvan.session import scratch_path
 FILTER_BITS = 22
 #: Files of the table of contaminated documents.
 HIT_FILES = 16
+#: Characters of texts whose words are hashed together.
+GROUP = 1 << 19
 _WORDS = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,19 +132,25 @@ def tile(doc: np.ndarray, item: np.ndarray, min_match: int) -> int:
 
 # ---- seeds --------------------------------------------------------------------
 
-class _Coder:
-    """Hashes of words; those met before are remembered."""
+def word_hashes(words: list[str]) -> np.ndarray:
+    """A 64-bit hash of each word; equal words are hashed once."""
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()),
+                      np.uint64, len(coded.dictionary))
+    return own[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.uint64)
 
-    def __init__(self, remembered: int = 400_000):
-        self.remembered, self.known = remembered, {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def _groups(texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Words of consecutive texts, about ``GROUP`` characters at a time, and each word's text."""
+    words, sizes, held, first = [], [], 0, 0
+    for i, t in enumerate(texts):
+        found = words_of(t) if t else []
+        words += found
+        sizes.append(len(found))
+        held += len(t or "")
+        if held >= GROUP or i + 1 == len(texts):
+            yield words, np.repeat(np.arange(first, i + 1), sizes)
+            words, sizes, held, first = [], [], 0, i + 1
 
 
 def _seeds(code: np.ndarray, n: int) -> np.ndarray:
@@ -155,11 +164,11 @@ _SEEDED = "struct<n: int, words: array<string>, seeds: array<long>>"
 
 def _item_seeds(min_match: int):
     def run(text: pa.Array) -> pa.Array:
-        coder, out = _Coder(), []
+        out = []
         for t in text.to_pylist():
             words = words_of(t) if t else []
             n = min(min_match, len(words))
-            seeds = np.unique(_seeds(coder(words), n)).view(np.int64).tolist() if n else []
+            seeds = np.unique(_seeds(word_hashes(words), n)).view(np.int64).tolist() if n else []
             out.append({"n": n, "words": words, "seeds": seeds})
         return pa.array(out, pa.struct([("n", pa.int32()), ("words", pa.list_(pa.string())), ("seeds", pa.list_(pa.int64()))]))
     return F.arrow_udf(run, _SEEDED)
@@ -187,39 +196,45 @@ _EXTRACT = "struct<seeds: array<long>, body: string>"
 def _extract(shared, lengths: list[int], bits: int):
     """Of a text with a possible seed: its seeds, and the runs of words they cover (``\\n`` between runs)."""
     def run(text: pa.Array) -> pa.Array:
-        table, coder, out = np.unpackbits(shared.value, bitorder="little").astype(bool), _Coder(), []
-        for t in text.to_pylist():
-            words = words_of(t) if t else []
-            code, hits, keep = coder(words), [], None
+        table = np.unpackbits(shared.value, bitorder="little").view(bool)
+        out: list[dict | None] = [None] * len(text)
+        for words, owner in _groups(text.to_pylist()):
+            code = word_hashes(words)
+            places, seeds, widths = [], [], []
             for n in lengths:
                 if len(code) < n:
                     continue
                 h = _seeds(code, n)
-                at = np.flatnonzero(table[(h >> np.uint64(64 - bits)).astype(np.int64)])
-                if len(at):
-                    hits.append(np.unique(h[at]))
-                    keep = np.zeros(len(code) + 1, np.int64) if keep is None else keep
-                    np.add.at(keep, at, 1)
-                    np.add.at(keep, at + n, -1)
-            if keep is None:
-                out.append(None)
+                at = np.flatnonzero(table[(h >> np.uint64(64 - bits)).astype(np.int64)] & (owner[:len(h)] == owner[n - 1:]))
+                places.append(at)
+                seeds.append(h[at])
+                widths.append(np.full(len(at), n))
+            if not places or not sum(map(len, places)):
                 continue
-            kept = np.flatnonzero(np.cumsum(keep[:-1]) > 0)
-            ends = set((np.flatnonzero(np.diff(kept) > 1)).tolist())
-            body = "".join(words[k] + ("\n" if i in ends else " ") for i, k in enumerate(kept.tolist()))
-            out.append({"seeds": np.concatenate(hits).view(np.int64).tolist(), "body": body})
+            at, seed, n = (np.concatenate(x) for x in (places, seeds, widths))
+            order = np.argsort(at, kind="stable")
+            at, seed, n = at[order], seed[order], n[order]
+            starts = np.flatnonzero(np.concatenate(([True], owner[at[1:]] != owner[at[:-1]])))
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(at)]):
+                low, high = int(at[a]), int((at[a:b] + n[a:b]).max())
+                keep = np.zeros(high - low + 1, np.int64)
+                np.add.at(keep, at[a:b] - low, 1)
+                np.add.at(keep, at[a:b] + n[a:b] - low, -1)
+                kept = np.flatnonzero(np.cumsum(keep[:-1]) > 0) + low
+                ends = set(np.flatnonzero(np.diff(kept) > 1).tolist())
+                body = "".join(words[k] + ("\n" if i in ends else " ") for i, k in enumerate(kept.tolist()))
+                out[int(owner[low])] = {"seeds": np.unique(seed[a:b]).view(np.int64).tolist(), "body": body}
         return pa.array(out, pa.struct([("seeds", pa.list_(pa.int64())), ("body", pa.string())]))
     return F.arrow_udf(run, _EXTRACT)
 
 
 def _coverage(body: pa.Array, words: pa.Array, n: pa.Array) -> pa.Array:
     """Share of each item's words that its document's runs tile."""
-    coder, out = _Coder(), []
+    out = []
     for text, item, least in zip(body.to_pylist(), words.to_pylist(), n.to_pylist()):
-        parts = [coder(run.split(" ") if run else []) for run in text.replace(" \n", "\n").rstrip(" ").split("\n")]
-        gap = np.zeros(1, np.uint64)             # stands for no word
-        doc = np.concatenate([x for p in parts for x in (p, gap)])
-        out.append(tile(doc, coder(item), least) / len(item))
+        words = text.replace("\n", " \n ").split(" ")
+        doc = word_hashes(words)                 # a gap is a word that no item has
+        out.append(tile(doc, word_hashes(item), least) / len(item))
     return pa.array(out, pa.float64())
 
 
