@@ -15,8 +15,13 @@ totals (a small table) supply what lies below each bucket.
 Open nodes are numbered by ``slot``.  Equal values are merged before a
 threshold is scored; rows whose value is missing belong to the node totals
 and go right.  A score is the children's SSE over the node's; scores within
-``TIE`` of the best differ by no more than the order of floating-point sums
-can make, and among those the smaller feature, then the smaller threshold wins.
+``TIE`` of the best count as equal, and among those the smaller feature, then
+the smaller threshold wins.
+
+Sums do not depend on the order of their terms: each term is first rounded to
+a whole multiple of a power of two (:func:`quantum`), chosen per node so that
+all sums fit 64-bit integers.  Trees are therefore equal to the last bit for
+any partitioning and batch size.
 """
 
 from __future__ import annotations
@@ -43,7 +48,8 @@ class Frontier:
     (-1: not split) and ``slot`` (-1: not open).  Per slot: ``subset``
     (which features are tried), the weight ``n``, the mean target ``mean``
     and the sum of squared deviations ``sse``.  All sums of a node are taken
-    of the target less the node's mean, which keeps their digits.
+    of the target less the node's mean, which keeps their digits, in multiples
+    of ``us`` (weighted targets) and ``uq`` (their squares).
     """
 
     trees: np.ndarray
@@ -57,6 +63,16 @@ class Frontier:
     n: np.ndarray
     mean: np.ndarray
     sse: np.ndarray
+    us: np.ndarray
+    uq: np.ndarray
+
+    def sums_of(self, slot: np.ndarray, w: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of both sums for rows of the given slots (``y``: target less the node's mean)."""
+        return fixed(w * y, self.us[slot]), fixed(w * y * y, self.uq[slot])
+
+    def floats(self, slot, sums: np.ndarray) -> np.ndarray:
+        """Columns weight, sum and squared sum of the given slots as doubles."""
+        return sums * np.column_stack([np.ones_like(self.us[slot]), self.us[slot], self.uq[slot]])
 
     def open_rows(self, x: np.ndarray, w: np.ndarray):
         """Yield (row numbers, slots, weights) of each tree's rows in open nodes."""
@@ -80,6 +96,29 @@ class Frontier:
             yield rows[at[keep]], s[keep], w[at[keep], tree].astype(np.float64)
 
 
+def quantum(bound):
+    """The power of two of which 2**60 to 2**61 make up ``bound`` (1 for 0): sums of its multiples
+    that stay below four times the bound fit 64 bits.  (Deviations whose squares underflow count as 0.)"""
+    exponent = np.frexp(bound)[1]
+    return np.where(np.asarray(bound) > 0, np.ldexp(1.0, np.maximum(exponent - 61, -1000)), 1.0)
+
+
+def quanta(n, room):
+    """``(us, uq)`` of a node with weight ``n`` and squared deviations of at most ``room`` in all."""
+    return quantum(np.sqrt(n * room)), quantum(room)
+
+
+def fixed(v, unit) -> np.ndarray:
+    """``v`` as whole multiples of ``unit``."""
+    return np.rint(v / unit).astype(np.int64)
+
+
+def room_below(n: float, room: float, sse: float) -> float:
+    """Bound on a child's squared deviations: its computed ``sse`` and what rounding in
+    its parent (weight ``n``, bound ``room``) can have hidden."""
+    return sse + room * max(2.0 ** -40, n * 2.0 ** -58)
+
+
 def sse(n, s, q):
     return np.maximum(q - s * s / n, 0.0)
 
@@ -107,9 +146,9 @@ def _columns(rb: pa.RecordBatch, nf: int, nt: int):
 
 
 _SUMS = pa.schema([("slot", pa.int32()), ("feature", pa.int32()), ("b", pa.int32()), ("ymin", pa.float64()),
-                   ("ymax", pa.float64()), ("bw", pa.float64()), ("bs", pa.float64()), ("bq", pa.float64()),
+                   ("ymax", pa.float64()), ("bw", pa.int64()), ("bs", pa.int64()), ("bq", pa.int64()),
                    ("bmin", pa.float64()), ("sums", pa.binary())])
-SUMS = ("slot int, feature int, b int, ymin double, ymax double, bw double, bs double, bq double, "
+SUMS = ("slot int, feature int, b int, ymin double, ymax double, bw long, bs long, bq long, "
         "bmin double, sums binary")
 
 
@@ -126,15 +165,16 @@ def _partial_sums(front, nf: int, nt: int, bucketed: bool, binned: bool):
             narrow = np.int16 if len(fr.n) < 1 << 15 else np.int64
             for at, slot, ww in fr.open_rows(x, w):
                 yy = y[at] - fr.mean[slot]
+                terms = (ww.astype(np.int64), *fr.sums_of(slot, ww, yy))
                 order = np.argsort(slot, kind="stable")
                 first = _starts(slot[order])
                 if not len(first):
                     continue
                 k = len(first)               # the node's target range, beside any feature
-                nothing = np.zeros(k)
+                nothing = np.zeros(k, np.int64)
                 parts.append((slot[order][first], np.full(k, -1), np.full(k, -1),
                               np.minimum.reduceat(yy[order], first), np.maximum.reduceat(yy[order], first),
-                              nothing, nothing, nothing, nothing, np.zeros(k, np.int64), np.zeros((0, 4))))
+                              nothing, nothing, nothing, np.zeros(k), nothing, np.zeros((0, 4), np.int64)))
                 where = np.full(len(x), -1)
                 where[at] = np.arange(len(at))
                 for f in range(nf):
@@ -147,12 +187,12 @@ def _partial_sums(front, nf: int, nt: int, bucketed: bool, binned: bool):
                     mine = where[r]
                     o = np.argsort(slot[mine].astype(narrow), kind="stable")
                     r, mine = r[o], mine[o]
-                    sl, ws, ys = slot[mine], ww[mine], yy[mine]
+                    sl = slot[mine]
                     v = xb[r, f].astype(np.float64) if binned else x[r, f]
                     b = xb[r, f] if bucketed else np.zeros(len(r), np.int32)     # monotone in the value
                     cell = _starts(sl, b, v)
-                    sums = np.column_stack([v[cell], *(np.add.reduceat(c, cell)
-                                                       for c in (ws, ws * ys, ws * ys * ys))])
+                    sums = np.column_stack([v[cell].view(np.int64),
+                                            *(np.add.reduceat(c[mine], cell) for c in terms)])
                     group = _starts(sl[cell], b[cell])
                     size = np.diff(np.append(group, len(cell)))
                     k, g = len(group), cell[group]
@@ -164,7 +204,7 @@ def _partial_sums(front, nf: int, nt: int, bucketed: bool, binned: bool):
             ends = np.concatenate(([0], np.cumsum(cols[9]))).astype(np.int64) * 32
             blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cols[0]),
                                                     [None, pa.py_buffer(ends), pa.py_buffer(
-                                                        np.ascontiguousarray(cols[10], np.float64))])
+                                                        np.ascontiguousarray(cols[10], np.int64))])
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, f.type) for c, f in zip(cols[:9], _SUMS)), blob.cast(pa.binary())], schema=_SUMS)
     return run
@@ -186,21 +226,23 @@ def _best_of_key(front, min_leaf: float, binned: bool):
         raw = np.frombuffer(flat.buffers()[2] or b"", np.uint8)
         blobs = sums.offsets.to_numpy() - (sums.offsets[0].as_py() if len(sums) else 0)
         for i in range(len(slots)):
-            m = raw[ends[blobs[i]]:ends[blobs[i + 1]]].view(np.float64).reshape(-1, 4)
+            m = raw[ends[blobs[i]]:ends[blobs[i + 1]]].view(np.int64).reshape(-1, 4)
             if not len(m):
                 continue
+            v, m = np.ascontiguousarray(m[:, 0]).view(np.float64), m[:, 1:]
             if blobs[i + 1] - blobs[i] > 1:
-                m = m[np.argsort(m[:, 0], kind="stable")]
-                cell = _starts(m[:, 0])
-                m = np.column_stack([m[cell, 0], *(np.add.reduceat(m[:, c], cell) for c in (1, 2, 3))])
-            v, following = m[:, 0], np.append(m[1:, 0], after[i])
+                order = np.argsort(v, kind="stable")
+                v = v[order]
+                cell = _starts(v)
+                v, m = v[cell], np.add.reduceat(m[order], cell)
+            following = np.append(v[1:], after[i])
             if binned:
                 cut = v
             else:        # adjacent doubles: their midpoint may be the next value, so stay below it
                 with np.errstate(over="ignore"):
                     mid = v / 2 + following / 2
                 cut = np.where((mid >= v) & (mid < following), mid, v)
-            left = below[i] + np.cumsum(m[:, 1:], axis=0)
+            left = fr.floats(slots[i:i + 1], below[i] + np.cumsum(m, axis=0))
             tw, total = fr.n[slots[i]], fr.sse[slots[i]]
             ok = np.flatnonzero(~np.isnan(following) & (left[:, 0] >= min_leaf) & (tw - left[:, 0] >= min_leaf))
             if not len(ok):
@@ -226,20 +268,20 @@ def best_splits(state: DataFrame, front, nf: int, nt: int, min_leaf: float,
     keys = ["slot", "feature", "b"]
     merged = part.groupBy(*keys).agg(F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"),
                                      F.collect_list("sums").alias("sums"))
-    nothing = [F.lit(0.0).alias(c) for c in ("ow", "os", "oq")]
+    nothing = [F.lit(0).cast("long").alias(c) for c in ("ow", "os", "oq")]
     if bucketed:
         totals = part.where("feature >= 0").groupBy(*keys).agg(
             F.sum("bw").alias("bw"), F.sum("bs").alias("bs"), F.sum("bq").alias("bq"), F.min("bmin").alias("bmin"))
         by = Window.partitionBy("slot", "feature").orderBy("b")
         lower = by.rowsBetween(Window.unboundedPreceding, -1)
-        below = totals.select(*keys, *(F.coalesce(F.sum(c).over(lower), F.lit(0.0)).alias(o)
+        below = totals.select(*keys, *(F.coalesce(F.sum(c).over(lower), F.lit(0).cast("long")).alias(o)
                                        for c, o in (("bw", "ow"), ("bs", "os"), ("bq", "oq"))),
                               F.lead("bmin").over(by).alias("nxt"))
         merged = merged.join(below, keys, "left")
     else:
         merged = merged.select("*", *nothing, F.lit(None).cast("double").alias("nxt"))
     best = F.arrow_udf(_best_of_key(front, float(min_leaf), binned), _SPLIT)
-    scored = merged.withColumn("c", best("slot", "sums", *(F.coalesce(c, F.lit(0.0)) for c in ("ow", "os", "oq")),
+    scored = merged.withColumn("c", best("slot", "sums", *(F.coalesce(c, F.lit(0).cast("long")) for c in ("ow", "os", "oq")),
                                          "nxt"))
     keys_best = (scored.groupBy("slot").agg(
         F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"), F.min("c.score").alias("least"),
@@ -250,17 +292,45 @@ def best_splits(state: DataFrame, front, nf: int, nt: int, min_leaf: float,
         "slot", "ymin", "ymax", "best.feature", "best.threshold", "best.lw", "best.ls", "best.lq")
 
 
-def tree_sums(state: DataFrame, nt: int) -> DataFrame:
-    """T1 at the roots: ``tree_id, n, s, q`` of every tree's bag."""
-    def run(batches):
+def exact_mean(df: DataFrame, y: str) -> tuple[int, float]:
+    """Rows and mean of a column without nulls, the same for any partitioning."""
+    g = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col(y))).alias("top")).first()
+    n, unit = int(g["n"]), float(quantum(float(g["n"]) * float(g["top"] or 0.0)))
+    if not n:
+        return n, 0.0
+    total = df.agg(F.sum(F.rint(F.col(y) / F.lit(unit)).cast("long")).alias("s")).first()["s"]
+    return n, total * unit / n
+
+
+def tree_sums(state: DataFrame, nt: int) -> list[tuple]:
+    """T1 at the roots: ``(tree_id, n, s, q, room)`` of every tree's bag, in two passes
+    (weights and the largest target, which fix the rounding; then the sums)."""
+    def arrays(rb: pa.RecordBatch):
+        return (traverse.list_matrix(rb.column("w"), nt, np.int8).astype(np.float64),
+                rb.column("yc").to_numpy(zero_copy_only=False))
+    ids = pa.array(np.arange(nt, dtype=np.int32))
+
+    def weights(batches):
         for rb in batches:
-            w = traverse.list_matrix(rb.column("w"), nt, np.int8).astype(np.float64)
-            y = rb.column("yc").to_numpy(zero_copy_only=False)
+            w, y = arrays(rb)
+            top = np.abs(np.where(w > 0, y[:, None], 0.0)).max(0, initial=0.0)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(w.sum(0)), pa.array(top)], ["tree_id", "n", "top"])
+    n, room = np.zeros(nt), np.zeros(nt)
+    for r in (state.select("w", "yc").mapInArrow(weights, "tree_id int, n double, top double").groupBy("tree_id")
+              .agg(F.sum("n").alias("n"), F.max("top").alias("top")).collect()):
+        n[r["tree_id"]], room[r["tree_id"]] = r["n"], r["n"] * r["top"] ** 2
+    us, uq = quanta(n, room)
+
+    def sums(batches):
+        for rb in batches:
+            w, y = arrays(rb)
+            terms = w * y[:, None]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(nt, dtype=np.int32)), *(pa.array(v) for v in (w.sum(0), y @ w, (y * y) @ w))],
-                ["tree_id", "n", "s", "q"])
-    return (state.select("w", "yc").mapInArrow(run, "tree_id int, n double, s double, q double")
-            .groupBy("tree_id").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")))
+                [ids, *(pa.array(v.sum(0)) for v in (fixed(terms, us), fixed(terms * y[:, None], uq)))],
+                ["tree_id", "s", "q"])
+    return [(t, float(n[t]), s * float(us[t]), q * float(uq[t]), float(room[t])) for t, s, q in
+            (state.select("w", "yc").mapInArrow(sums, "tree_id int, s long, q long").groupBy("tree_id")
+             .agg(F.sum("s").alias("s"), F.sum("q").alias("q")).collect())]
 
 
 # ---- drawn thresholds -------------------------------------------------------
@@ -302,14 +372,15 @@ def _left_sums(front, draws, nf: int, nt: int):
         width = feature.shape[1]
         for rb in batches:
             x, w, y = _columns(rb, nf, nt)
-            total = np.zeros((3, len(feature) * width))
+            total = np.zeros((3, len(feature) * width), np.int64)
             for at, slot, ww in fr.open_rows(x, w):
+                terms = (ww.astype(np.int64), *fr.sums_of(slot, ww, y[at] - fr.mean[slot]))
                 for c in range(width):
                     f = feature[slot, c]
                     go = np.flatnonzero((f >= 0) & (x[at, np.maximum(f, 0)] <= cut[slot, c]))
-                    k, wg, yg = slot[go] * width + c, ww[go], y[at[go]] - fr.mean[slot[go]]
-                    for i, v in enumerate((wg, wg * yg, wg * yg * yg)):
-                        total[i] += np.bincount(k, v, total.shape[1])
+                    k = slot[go] * width + c
+                    for i, v in enumerate(terms):
+                        np.add.at(total[i], k, v[go])
             k = np.flatnonzero(total[0] > 0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k // width, pa.int32()), pa.array(k % width, pa.int32()), *(pa.array(t[k]) for t in total)],
@@ -317,15 +388,17 @@ def _left_sums(front, draws, nf: int, nt: int):
     return run
 
 
-def left_sums(state: DataFrame, front, draws, nf: int, nt: int) -> DataFrame:
-    """``slot, cand, lw, ls, lq``: sums left of each drawn threshold.
+def left_sums(state: DataFrame, front, draws, nf: int, nt: int) -> list[tuple]:
+    """``(slot, cand, lw, ls, lq)``: sums left of each drawn threshold.
 
     ``draws``: broadcast (feature, threshold) matrices, slots x draws, with
     feature -1 where there is no draw.
     """
-    return (state.select("x", "w", "yc")
-            .mapInArrow(_left_sums(front, draws, nf, nt), "slot int, cand int, lw double, ls double, lq double")
-            .groupBy("slot", "cand").agg(F.sum("lw").alias("lw"), F.sum("ls").alias("ls"), F.sum("lq").alias("lq")))
+    us, uq = front.value.us, front.value.uq
+    return [(slot, cand, float(w), s * float(us[slot]), q * float(uq[slot])) for slot, cand, w, s, q in
+            state.select("x", "w", "yc")
+            .mapInArrow(_left_sums(front, draws, nf, nt), "slot int, cand int, lw long, ls long, lq long")
+            .groupBy("slot", "cand").agg(F.sum("lw"), F.sum("ls"), F.sum("lq")).collect()]
 
 
 # ---- rows of open nodes, for splitters from outside ----------------------------

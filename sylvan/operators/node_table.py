@@ -16,7 +16,7 @@ routed again from the state.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -55,19 +55,19 @@ class NodeTable:
         return ForestModel(self.params, self.feature_names, pdf, self.n_samples, self.y_mean)
 
 
-def best_cut(v: np.ndarray, w: np.ndarray, y: np.ndarray, n: float, sse: float, least: float) -> tuple | None:
+def best_cut(v: np.ndarray, terms: tuple, units: tuple, n: float, sse: float, least: float) -> tuple | None:
     """(score, threshold, left weight, left sum, left squares) of one feature's best midpoint.
 
-    ``y``: target less the node's mean.  Missing values go right and bound no interval.
+    ``terms``: weight and terms of both sums per row, in multiples of ``units``.  Missing values go right and bound no interval.
     """
     known = np.flatnonzero(~np.isnan(v))
     order = known[np.argsort(v[known], kind="stable")]
-    v, w, y = v[order], w[order], y[order]
+    v = v[order]
     if not len(v) or v[0] == v[-1]:
         return None
     first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
     value = v[first]
-    left = np.cumsum([np.add.reduceat(c, first) for c in (w, w * y, w * y * y)], axis=1)[:, :-1]
+    left = np.array([np.cumsum(np.add.reduceat(c[order], first))[:-1] * u for c, u in zip(terms, units)])
     with np.errstate(over="ignore"):
         mid = value[:-1] / 2 + value[1:] / 2
     cut = np.where((mid >= value[:-1]) & (mid < value[1:]), mid, value[:-1])
@@ -81,14 +81,14 @@ def best_cut(v: np.ndarray, w: np.ndarray, y: np.ndarray, n: float, sse: float,
 
 
 def grow_subtree(x: np.ndarray, w: np.ndarray, y: np.ndarray, root: tuple, params: ForestParams, m: int) -> list[tuple]:
-    """Node rows of the subtree of ``root`` (tree, node id, depth, n, mean, sse); ``y``: target less the root's mean."""
-    tree, node, depth, n, mean, sse = root
+    """Node rows of the subtree of ``root`` (tree, node id, depth, n, mean, sse, room), by the sums of the level search."""
+    tree, node, depth, n, mean, sse, room = root
     nf, least = x.shape[1], params.min_samples_leaf
     limit = params.max_depth if params.max_depth is not None else MAX_HEAP_DEPTH + 1
-    out, open_ = [], [(np.arange(len(y)), node, depth, n, mean, sse, 0.0)]
+    out, open_ = [], [(np.arange(len(y)), node, depth, n, mean, sse, room)]
     while open_:
-        rows, node, depth, n, mean, sse, shift = open_.pop()
-        dev = y[rows] - shift                     # target less this node's mean
+        rows, node, depth, n, mean, sse, room = open_.pop()
+        dev = y[rows] - mean
         found = None
         can = depth < limit and n >= params.min_samples_split and n >= 2 * least
         equal = can and dev.min() == dev.max()
@@ -96,8 +96,10 @@ def grow_subtree(x: np.ndarray, w: np.ndarray, y: np.ndarray, root: tuple, param
             if depth >= MAX_HEAP_DEPTH:
                 raise ValueError(f"a tree would need more than {MAX_HEAP_DEPTH} levels; set max_depth or "
                                  "min_samples_leaf")
+            us, uq = levels.quanta(n, room)
+            terms = (w[rows], levels.fixed(w[rows] * dev, us), levels.fixed(w[rows] * dev * dev, uq))
             cuts = {f: c for f in subset_for(params.seed, tree, node, nf, m)
-                    if (c := best_cut(x[rows, f], w[rows], dev, n, sse, least)) is not None}
+                    if (c := best_cut(x[rows, f], terms, (1.0, us, uq), n, sse, least)) is not None}
             if cuts:
                 lowest = min(c[0] for c in cuts.values())
                 found = min((f, *c[1:]) for f, c in cuts.items() if c[0] <= lowest + levels.TIE)
@@ -108,9 +110,9 @@ def grow_subtree(x: np.ndarray, w: np.ndarray, y: np.ndarray, root: tuple, param
         out.append((tree, node, depth, f, cut, 2 * node, 2 * node + 1, mean, n, sse / n, False))
         left = x[rows, f] <= cut
         rw = n - lw
-        open_.append((rows[left], 2 * node, depth + 1, lw, mean + ls / lw, max(lq - ls * ls / lw, 0.0), shift + ls / lw))
-        open_.append((rows[~left], 2 * node + 1, depth + 1, rw, mean - ls / rw, max(sse - lq - ls * ls / rw, 0.0),
-                      shift - ls / rw))
+        lsse, rsse = max(lq - ls * ls / lw, 0.0), max(sse - lq - ls * ls / rw, 0.0)
+        open_.append((rows[left], 2 * node, depth + 1, lw, mean + ls / lw, lsse, levels.room_below(n, room, lsse)))
+        open_.append((rows[~left], 2 * node + 1, depth + 1, rw, mean - ls / rw, rsse, levels.room_below(n, room, rsse)))
     return out
 
 
@@ -145,8 +147,8 @@ def fit_node_table(df: DataFrame, feature_cols, target: str, params: ForestParam
     with training_state(df, feature_cols, target, params, key) as ready:
         def finish(front, some: list, depth: int) -> str:
             roots = spark.sparkContext.broadcast(
-                [(t, node, depth, n, mean, sse) for t, _place, _subset, n, mean, sse, node in some])
-            shared = spark.sparkContext.broadcast(front)
+                [(t, node, depth, n, mean, sse, room) for t, _place, _subset, n, mean, sse, node, room in some])
+            shared = spark.sparkContext.broadcast(replace(front, mean=np.zeros(len(some))))    # targets as they are
             rows = levels.open_rows(ready.state, shared, nf, params.n_trees)
             path = f"{home}/level-{depth}-from-{some[0][0]}"
             (rows.groupBy("slot").applyInArrow(_finish_groups(roots, params, m, nf, ready.y_mean), NODE_SCHEMA)

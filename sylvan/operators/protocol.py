@@ -79,7 +79,7 @@ class LevelRows:
     @cached_property
     def nodes(self) -> DataFrame:
         rows = [(slot, tree, node, self.depth, n, sse, list(subset))
-                for slot, (tree, _place, subset, n, _mean, sse, node) in enumerate(self.open_nodes)]
+                for slot, (tree, _place, subset, n, _mean, sse, node, _room) in enumerate(self.open_nodes)]
         return self.spark.createDataFrame(
             rows, "slot int, tree_id int, node_id long, depth int, n double, sse double, features array<int>")
 

@@ -631,6 +631,12 @@ def q_forest_fit_node_table(spark, sf):
     return _stepped(table.nodes)
 
 
+def q_forest_fit_streamed(spark, sf):
+    """T3 over sorted streams: prefix sums carried from partition to partition, no key's values in one cell."""
+    params = ForestParams(**FOREST_DEEP, streamed=True)
+    return _stepped_nodes(spark, fit_forest(H.housing_totals(spark, sf), TOT, Y, params))
+
+
 def q_forest_fit_bucketed(spark, sf):
     """T3 with every feature split into value buckets (the search of very large inputs)."""
     return _stepped_nodes(spark, fit_forest(H.housing_totals(spark, sf), TOT, Y, ForestParams(**FOREST_BUCKETED)))
@@ -1570,6 +1576,7 @@ QUERIES = {
     "forest_fit": (q_forest_fit, SQL_FOREST_FIT),
     "forest_fit_levelwise": (q_forest_fit_levelwise, SQL_FOREST_DEEP),
     "forest_fit_node_table": (q_forest_fit_node_table, SQL_FOREST_DEEP),
+    "forest_fit_streamed": (q_forest_fit_streamed, SQL_FOREST_DEEP),
     "forest_fit_bucketed": (q_forest_fit_bucketed, SQL_FOREST_BUCKETED),
     "pipeline_roundtrip": (q_pipeline_roundtrip, SQL_PIPELINE),
     "stream_pipeline": (q_stream_pipeline, SQL_STREAM_PIPELINE),

@@ -15,7 +15,7 @@ FAST = ["ratio_features_totals", "safe_ratio_scoring", "label_encode", "missing_
         "impute_median_mode", "standard_scale", "preprocess_fit_transform", "split_three_way",
         "bootstrap_weights", "metrics_all", "residual_stats", "compare_models", "forest_fit",
         "best_split", "forest_predict", "predict_interval", "feature_importance", "tree_rules",
-        "oob_score", "grid", "forest_fit_levelwise", "forest_fit_missing", "forest_fit_bucketed",
+        "oob_score", "grid", "forest_fit_levelwise", "forest_fit_missing", "forest_fit_bucketed", "forest_fit_streamed",
         "forest_fit_binned", "random_split", "extra_random_split", "cross_validate", "model_score",
         "evaluate_holdout", "load_csv_fill", "load_csv_drop", "pipeline_roundtrip", "stream_pipeline",
         "median_fill", "score_tiers", "predict_uncertainty"]
