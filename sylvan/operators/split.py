@@ -191,6 +191,40 @@ def bootstrap_weights(df: DataFrame, n_trees: int, key: str = "row_key", seed=42
     return d.withColumn("w", w)
 
 
+_DRAW_DIGITS = 13
+
+
+def exact_bootstrap_weights(df: DataFrame, n_trees: int, key: str = "row_key", seed=42) -> DataFrame:
+    """SP4 with exactly n draws of n rows a tree: one row per (row, tree) with weight ``w``.
+
+    Rows are numbered in the order of (hash, key), in 65,536 ranges of the
+    hash; draw j of a tree takes the row whose number is the hash of (seed,
+    tree, j) scaled to n.  Draws are counted per row before they are joined
+    on, so a row meets one record however often it was drawn.  The weights of
+    a tree add up to n.  Rows of equal key are drawn apart; which of them is
+    numbered first is open.  An empty frame gives no row.
+    """
+    spark, n = df.sparkSession, df.count()
+    b, h, rank = "__range", "__hash", "__rank"
+    rows = df.withColumn(h, split_hash(key, seed)).withColumn(b, F.substring(h, 1, _PREFIX))
+    # numbers before each range: a table of at most 16 ** _PREFIX rows
+    before = rows.groupBy(b).agg(F.count(F.lit(1)).alias("__n")).select(
+        b, (F.sum("__n").over(Window.orderBy(b)) - F.col("__n")).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy(b).orderBy(h, F.col(key).asc_nulls_first()))
+    ranked = (rows.withColumn(rank, inside).join(F.broadcast(before), b)
+              .withColumn(rank, F.col("__before") + F.col(rank) - 1).drop(b, h, "__before"))
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("draw"), "__tree", "id")), 1, _DRAW_DIGITS)
+    share = F.conv(digits, 16, 10).cast("bigint") / F.lit(2.0 ** (4 * _DRAW_DIGITS))
+    drawn = (spark.range(n).withColumn("__tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+             .select("__tree", F.floor(share * F.lit(float(n))).alias(rank))
+             .groupBy(rank, "__tree").agg(F.count(F.lit(1)).cast("int").alias("__w"))
+             .groupBy(rank).agg(F.map_from_entries(F.collect_list(F.struct("__tree", "__w"))).alias("__drawn")))
+    return (ranked.join(drawn, rank, "left")
+            .withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+            .withColumn("w", F.coalesce(F.try_element_at("__drawn", F.col("tree_id")), F.lit(0)))
+            .drop(rank, "__drawn"))
+
+
 def oob_rows(df: DataFrame, n_trees: int, key: str = "row_key", seed=42) -> DataFrame:
     """SP5: (row, tree) pairs left out of the tree's bootstrap sample."""
     return bootstrap_weights(df, n_trees, key, seed).where(F.col("w") == 0)

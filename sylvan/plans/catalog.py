@@ -557,6 +557,21 @@ def q_oob_rows(spark, sf):
     return SP.oob_rows(H.housing_totals(spark, sf).select("row_key"), N_BAG, seed=42).select("row_key", "tree_id")
 
 
+
+
+def q_bootstrap_exact(spark, sf):
+    """SP4: n draws of n rows for every tree."""
+    return SP.exact_bootstrap_weights(H.housing_totals(spark, sf).select("row_key"), N_BAG, seed=42)
+
+
+SQL_SP4_EXACT = f"""with h as ({HOUSING_SQL}),
+r as (select row_key, row_number() over (order by {h8('row_key', repr('42'))}, row_key) - 1 as k from h),
+t as (select cast(unnest(range({N_BAG})) as integer) as tree_id),
+d as (select tree_id, cast(floor(cast(concat('0x', substr(md5(concat_ws('|', '42', 'draw', cast(tree_id as varchar),
+      cast(k as varchar))), 1, 13)) as bigint) / {2.0 ** 52!r} * cast((select count(*) from h) as double)) as bigint) as k
+      from r cross join t),
+c as (select tree_id, k, cast(count(*) as integer) as w from d group by tree_id, k)
+select row_key, t.tree_id, coalesce(w, 0) as w from r cross join t left join c on c.tree_id = t.tree_id and c.k = r.k"""
 SQL_SP5 = f"select row_key, tree_id from ({SQL_SP4}) where w = 0"
 
 # ---- the learner -----------------------------------------------------------------
@@ -1543,6 +1558,7 @@ QUERIES = {
     "kfold_exact": (q_kfold_exact, SQL_SP3_EXACT),
     "csv_quarantine": (q_csv_quarantine, SQL_CSV_QUARANTINE),
     "bootstrap_weights": (q_bootstrap_weights, SQL_SP4),
+    "bootstrap_exact": (q_bootstrap_exact, SQL_SP4_EXACT),
     "oob_rows": (q_oob_rows, SQL_SP5),
     "feature_subset": (q_feature_subset, SQL_FEATURE_SUBSET),
     "node_stats": (q_node_stats, SQL_NODE_STATS),
