@@ -57,9 +57,3 @@ def columns(names: Sequence[str]) -> list[Column]:
 def utf8(col: Column) -> Column:
     """Text as its UTF-8 bytes, null as no bytes."""
     return F.coalesce(col.cast("string"), F.lit("")).cast("binary")
-
-
-def fraction_below(col: Column, share: float) -> Column:
-    """True for about ``share`` of the distinct keys, the same ones in every run."""
-    span = 1 << 32
-    return F.pmod(F.xxhash64(col, F.lit("sample")), F.lit(span)) < F.lit(int(min(1.0, share) * span))

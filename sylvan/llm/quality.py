@@ -7,15 +7,17 @@ All other texts are judged by a forest of random splits over rule
 statistics: the path from the root to a text's leaf is short where few
 accepted texts lie, and a short mean path means an anomaly.
 
-The forest and its threshold are fitted on a sample of about
-``sample_rows`` labelled rows, drawn by a hash of doc_id (the bound is a
-parameter; every labelled row is used while there are fewer).  Trees grow
-on accepted rows; all sampled rows set the range a split is drawn from, so
-that statistics which accepted rows never vary in can still be split on;
-a statistic is picked the more often the better it separates the labels.
-The threshold is the largest score that keeps ``keep_share`` of the
-accepted sample and separates best.  Every text is then scored whole, in
-one pass over the table.
+The forest and its threshold are fitted on every labelled row that the base
+rule passes; these rows stay distributed.  A tree grows on all accepted rows,
+level by level: one pass over the rows counts the accepted ones of each open
+node and finds the range of each statistic in it, the driver draws the splits.
+All labelled rows set the range a split is drawn from, so that statistics
+which accepted rows never vary in can still be split on; a statistic is picked
+the more often the better it separates the labels (its exact AUC).  The
+threshold is the largest score that keeps ``keep_share`` of all accepted rows
+and separates best.  Every text is then scored whole, in one pass over the
+table.  Draws are hashes of tree and node: the model does not depend on the
+order or the partitions of the rows.
 
 A null text has no words and fails the base rule.  Without labelled rows
 of both kinds the base rule alone decides.  Repeated rows are judged alike.
@@ -24,15 +26,17 @@ of both kinds the base rule alone decides.  Repeated rows are judged alike.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
-from math import log
+from dataclasses import dataclass, replace
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import columns, fraction_below, fresh, quoted, utf8
+from sylvan.functions.traverse import list_matrix
+from sylvan.llm.common import columns, fresh, quoted, utf8
 
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -41,6 +45,10 @@ _KEEP_UPPER = bytes(set(range(256)) - set(range(65, 91)))
 _KEEP_DIGIT = bytes(set(range(256)) - set(range(48, 58)))
 _KEEP_MARKS = bytes(set(range(256)) - set(b"!?;:\"'()[]{}=+/\\_~^@`"))
 _CONTINUED = bytes(range(0x80, 0xC0))
+#: Labelled rows of a partition, at most about.
+ROWS_PER_PARTITION = 200_000
+#: Numbers per row that :func:`features` gives.
+N_FEATURES = 9
 
 
 def rule_counts(text: bytes) -> tuple[int, int, int, int, int]:
@@ -82,9 +90,8 @@ class Forest:
     scale: float
     threshold: float
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        """Anomaly score in 0 to 1 per row; larger is more anomalous."""
-        total = np.zeros(len(x))
+    def places(self, x: np.ndarray):
+        """Yield the rows' last nodes, tree by tree."""
         rows = np.arange(len(x))
         for root in self.roots:
             at = np.full(len(x), root)
@@ -95,6 +102,12 @@ class Forest:
                     break
                 right = x[rows, np.maximum(f, 0)] >= self.cut[at]
                 at = np.where(go, self.left[at] + right, at)
+            yield at
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """Anomaly score in 0 to 1 per row; larger is more anomalous."""
+        total = np.zeros(len(x))
+        for at in self.places(x):
             total += self.cut[at]
         return np.exp2(-total / len(self.roots) / self.scale)
 
@@ -104,67 +117,165 @@ def _mean_path(n: float) -> float:
     return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
-def separation(x: np.ndarray, good: np.ndarray) -> np.ndarray:
-    """How often a random split should look at each statistic: the square of
-    its rank separation (2 AUC - 1) of accepted and rejected rows, sum 1."""
-    n, m = good.sum(), (~good).sum()
-    out = np.zeros(x.shape[1])
-    for f in range(x.shape[1]):
-        values, place, size = np.unique(x[:, f], return_inverse=True, return_counts=True)
-        rank = (np.cumsum(size) - (size - 1) / 2)[place]
-        auc = (rank[good].sum() - n * (n + 1) / 2) / (n * m)
-        out[f] = (2 * auc - 1) ** 2
+def _parts(batches):
+    """A partition's rows as one Arrow table (its counts are bounded by the range partitioning)."""
+    got = [b for b in batches if b.num_rows]
+    return pa.Table.from_batches(got) if got else None
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """``f, v, good, bad``: rows per value of each statistic, in order over the partitions."""
+    return (rows.groupBy("f", "v").agg(F.sum(F.col("good").cast("long")).alias("good"),
+                                       F.sum((~F.col("good")).cast("long")).alias("bad"))
+            .repartitionByRange("f", "v").sortWithinPartitions("f", "v"))
+
+
+def _pieces(batches):
+    """``(f, values, good, bad)`` of each statistic in a sorted partition."""
+    t = _parts(batches)
+    if t is None:
+        return
+    f, v, good, bad = (t.column(c).to_numpy() for c in ("f", "v", "good", "bad"))
+    for k in np.unique(f):
+        at = slice(*np.searchsorted(f, [k, k + 1]))
+        yield int(k), v[at], good[at], bad[at]
+
+
+def separation(rows: DataFrame) -> np.ndarray:
+    """How often a random split should look at each statistic: the square of its rank
+    separation (2 AUC - 1) of accepted and rejected rows, sum 1; exact, from all ``rows``."""
+    def run(batches):
+        for k, v, good, bad in _pieces(batches):
+            twice = good * (2 * np.cumsum(bad) - bad)          # pairs won, ties half, both times two
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k], pa.int32()), pa.array([v[0]]), *(pa.array([int(c.sum())]) for c in (good, bad, twice))],
+                ["f", "first", "good", "bad", "twice"])
+    long = rows.select("good", F.posexplode("x").alias("f", "v"))
+    found = (_counted(long).mapInArrow(run, "f int, first double, good long, bad long, twice long").collect())
+    out = np.zeros(N_FEATURES)
+    for f in range(N_FEATURES):
+        won = below = n = 0
+        for r in sorted((r for r in found if r["f"] == f), key=lambda r: r["first"]):
+            won += r["twice"] + 2 * r["good"] * below
+            below += r["bad"]
+            n += r["good"]
+        out[f] = (won / (n * below) - 1) ** 2
     return (out + 1e-6) / (out + 1e-6).sum()
 
 
-def grow_forest(good: np.ndarray, every: np.ndarray, often: np.ndarray, trees: int = 100, points: int = 256,
-                depth: int = 14, seed: int = 7) -> Forest:
-    """Random trees over ``points`` accepted rows each, split within the range of
-    ``every`` row; ``often``: the share of splits on each statistic."""
-    rng = np.random.default_rng(seed)
-    feature, cut, left, roots = [], [], [], []
-
-    def node() -> int:
-        feature.append(-1), cut.append(0.0), left.append(0)
-        return len(feature) - 1
-
-    for _ in range(trees):
-        a = good[rng.choice(len(good), min(points, len(good)), replace=False)]
-        b = every[rng.choice(len(every), min(points, len(every)), replace=False)]
-        roots.append(node())
-        todo = [(roots[-1], a, b, 0)]
-        while todo:
-            at, a, b, d = todo.pop()
-            both = np.concatenate([a, b])
-            low, high = both.min(axis=0), both.max(axis=0)
-            open_ = np.flatnonzero(high > low)
-            if len(a) <= 1 or d >= depth or not len(open_):
-                cut[at] = d + _mean_path(len(a))
+def _node_ranges(rows: DataFrame, forest: Forest, slot: np.ndarray, slots: int) -> tuple[np.ndarray, ...]:
+    """Per slot: accepted rows, and the least and largest value of each statistic among all ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast((forest, slot))
+
+    def run(batches):
+        trees, number = shared.value
+        n, low, high = (np.zeros(slots, np.int64), np.full((slots, N_FEATURES), np.inf),
+                        np.full((slots, N_FEATURES), -np.inf))
+        for rb in batches:
+            x = list_matrix(rb.column("x"), N_FEATURES, np.float64)
+            good = rb.column("good").to_numpy(zero_copy_only=False).astype(np.int64)
+            for at in trees.places(x):
+                s = number[at]
+                use = np.flatnonzero(s >= 0)
+                if not len(use):
+                    continue
+                use = use[np.argsort(s[use], kind="stable")]
+                first = np.flatnonzero(np.diff(s[use], prepend=-1))
+                here, xs = s[use[first]], x[use]
+                n[here] += np.add.reduceat(good[use], first)
+                low[here] = np.minimum(low[here], np.minimum.reduceat(xs, first))
+                high[here] = np.maximum(high[here], np.maximum.reduceat(xs, first))
+        seen = np.flatnonzero(low[:, 0] < np.inf)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen, pa.int32()), pa.array(n[seen]),
+             *(pa.array(np.ascontiguousarray(m[seen, f])) for m in (low, high) for f in range(N_FEATURES))],
+            ["slot", "n", *lows, *highs])
+    lows, highs = ([f"{c}{f}" for f in range(N_FEATURES)] for c in ("low", "high"))
+    doubles = ", ".join(f"{c} double" for c in lows + highs)
+    got = (rows.mapInArrow(run, f"slot int, n long, {doubles}").groupBy("slot")
+           .agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in lows), *(F.max(c).alias(c) for c in highs))
+           .toArrow())
+    shared.destroy()
+    n, low, high = np.zeros(slots, np.int64), np.zeros((slots, N_FEATURES)), np.zeros((slots, N_FEATURES))
+    at = got["slot"].to_numpy()
+    n[at] = got["n"].to_numpy()
+    for f in range(N_FEATURES):
+        low[at, f], high[at, f] = got[lows[f]].to_numpy(), got[highs[f]].to_numpy()
+    return n, low, high
+
+
+def grow_forest(rows: DataFrame, n_good: int, often: np.ndarray, trees: int = 100, depth: int = 10,
+                seed: int = 7) -> Forest:
+    """Random trees over all accepted ``rows``, split within the range of every row of a
+    node; ``often``: the share of splits on each statistic."""
+    feature, cut, left = [-1] * trees, [0.0] * trees, [0] * trees
+    ids = [(t, 1) for t in range(trees)]                      # tree and heap id of each node
+    open_ = list(range(trees))
+
+    def forest(levels: int) -> Forest:
+        return Forest(np.array(feature), np.array(cut), np.array(left), np.arange(trees), levels,
+                      max(_mean_path(n_good), 1.0), 1.0)
+    for d in range(depth + 1):
+        if not open_:
+            break
+        slot = np.full(len(feature), -1)
+        slot[open_] = np.arange(len(open_))
+        n, low, high = _node_ranges(rows, forest(d), slot, len(open_))
+        below = []
+        for i, at in enumerate(open_):
+            some = np.flatnonzero(high[i] > low[i])
+            if n[i] <= 1 or d >= depth or not len(some):
+                cut[at] = d + _mean_path(float(n[i]))
                 continue
-            f = int(rng.choice(open_, p=often[open_] / often[open_].sum()))
-            t = float(rng.uniform(low[f], high[f]))
-            feature[at], cut[at] = f, t
-            left[at] = node()
-            node()
-            for k, ga, gb in ((0, a[:, f] < t, b[:, f] < t), (1, a[:, f] >= t, b[:, f] >= t)):
-                todo.append((left[at] + k, a[ga], b[gb] if gb.any() else b[:0], d + 1)
-                            if ga.any() or gb.any() else (left[at] + k, a[:0], both[:1], d + 1))
-    return Forest(np.array(feature), np.array(cut), np.array(left), np.array(roots), depth + 1,
-                  _mean_path(min(points, len(good))), 1.0)
-
-
-def calibrate(forest: Forest, x: np.ndarray, good: np.ndarray, keep_share: float) -> Forest:
-    """Place the threshold where accepted and rejected rows part best, keeping ``keep_share``."""
-    s = forest.scores(x)
-    order = np.argsort(s, kind="stable")
-    ok = np.cumsum(good[order]) / max(good.sum(), 1)
-    bad = 1 - np.cumsum(~good[order]) / max((~good).sum(), 1)
-    last = np.append(s[order][1:] > s[order][:-1], True)        # only between distinct scores
-    allowed = np.flatnonzero(last & (ok >= keep_share))
-    best = allowed[np.argmax(ok[allowed] + bad[allowed])]
-    upper = s[order][best + 1] if best + 1 < len(s) else 1.0
-    return Forest(forest.feature, forest.cut, forest.left, forest.roots, forest.depth, forest.scale,
-                  float((s[order][best] + upper) / 2))
+            tree, node = ids[at]
+            rng = np.random.default_rng([seed, tree, node])
+            f = int(rng.choice(some, p=often[some] / often[some].sum()))
+            feature[at], cut[at], left[at] = f, float(rng.uniform(low[i, f], high[i, f])), len(feature)
+            for k in (0, 1):
+                below.append(len(feature))
+                feature.append(-1), cut.append(0.0), left.append(0), ids.append((tree, 2 * node + k))
+        open_ = below
+    return forest(depth + 1)
+
+
+def calibrate(rows: DataFrame, forest: Forest, n_good: int, n_bad: int, keep_share: float) -> Forest:
+    """Place the threshold where accepted and rejected rows part best, keeping ``keep_share``
+    of the accepted; exact, from the scores of all ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast(forest)
+
+    @F.arrow_udf("double")
+    def scored(x: pa.Array) -> pa.Array:
+        return pa.array(shared.value.scores(list_matrix(x, N_FEATURES, np.float64)), pa.float64())
+
+    def ends(batches):
+        for _, v, good, bad in _pieces(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([v[0]]), pa.array([int(good.sum())]), pa.array([int(bad.sum())])],
+                                             ["first", "good", "bad"])
+    counted = _counted(rows.select("good", F.lit(0).alias("f"), scored("x").alias("v"))).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    parts = sorted(counted.mapInArrow(ends, "first double, good long, bad long").collect())
+    before, after, g, b = {}, {}, 0, 0
+    for i, r in enumerate(parts):
+        before[r["first"]] = (g, b)
+        after[r["first"]] = parts[i + 1]["first"] if i + 1 < len(parts) else 1.0
+        g, b = g + r["good"], b + r["bad"]
+
+    def best(batches):
+        for _, v, good, bad in _pieces(batches):
+            g0, b0 = before[v[0]]
+            kept, passed = g0 + np.cumsum(good), b0 + np.cumsum(bad)
+            allowed = np.flatnonzero(kept / n_good >= keep_share)
+            if len(allowed):
+                gain = kept[allowed] / n_good + (1 - passed[allowed] / n_bad)
+                j = allowed[np.argmax(gain)]
+                upper = v[j + 1] if j + 1 < len(v) else after[v[0]]
+                yield pa.RecordBatch.from_arrays([pa.array([float(c)]) for c in (gain.max(), v[j], upper)],
+                                                 ["gain", "score", "upper"])
+    found = counted.mapInArrow(best, "gain double, score double, upper double").collect()
+    counted.unpersist()
+    shared.destroy()
+    top = min(found, key=lambda r: (-r["gain"], r["score"]))
+    return replace(forest, threshold=(top["score"] + top["upper"]) / 2)
 
 
 _STATS = "struct<" + ", ".join(f"{c}: long" for c in COUNTS) + ", score: double>"
@@ -189,43 +300,51 @@ def base_fails(q: Column, min_words: int, max_repeat: int) -> Column:
             | (100 * q.getField("n_repeat_words") > max_repeat * q.getField("n_words")))
 
 
-def labelled_sample(labels: DataFrame, rows: int, keep: list[str], key: str = "doc_id") -> DataFrame:
-    """About ``rows`` labelled doc_ids (all, while there are fewer), one row each."""
-    n = labels.count()
-    return (labels.filter(quoted(key).isNotNull() & fraction_below(quoted(key), rows / max(n, 1)))
-            .groupBy(key).agg(*(F.min(c).alias(c) for c in keep)))
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, keep_share: float = 0.995,
+def labelled_rows(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: int = 50) -> DataFrame:
+    """``good, x`` of every labelled row that the base rule passes."""
+    marks = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
+             .agg((F.min("quality") > 0).alias("good")))
+
+    def stats(batches):
+        for rb in batches:
+            ids, got = [], []
+            for i, t in zip(rb.column("id__").to_pylist(), rb.column("text").to_pylist()):
+                c = rule_counts(t)
+                if c[0] >= min_words and 100 * c[4] <= max_repeat * c[0]:
+                    ids.append(i)
+                    got.append(features(t, c))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, rb.schema.field("id__").type),
+                                              pa.array(got, pa.list_(pa.float64()))], ["id__", "x"])
+    key = docs.schema["doc_id"].dataType.simpleString()
+    judged = (docs.filter("doc_id is not null").select(F.col("doc_id").alias("id__"), utf8(F.col("text")).alias("text"))
+              .mapInArrow(stats, f"id__ {key}, x array<double>"))
+    return judged.join(marks, F.col("id__") == F.col("doc_id")).select("good", "x")
+
+
+def fit(docs: DataFrame, labels: DataFrame, keep_share: float = 0.995,
         min_words: int = 50, max_repeat: int = 50) -> Forest | None:
-    """Forest and threshold from a bounded sample of labelled rows."""
-    chosen = labelled_sample(labels.filter("quality is not null"), sample_rows, ["quality"])
-    chosen = chosen.select(F.col("doc_id").alias("id__"), "quality")
-
-    @F.arrow_udf("array<double>")
-    def stats(text: pa.Array) -> pa.Array:
-        return pa.array([[float(c[0]), float(c[4]), *features(t, c)]
-                         for t in text.to_pylist() for c in [rule_counts(t)]], pa.list_(pa.float64()))
-
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id__"))
-            .select("quality", stats(utf8(F.col("text"))).alias("x")).toArrow())
-    if not rows.num_rows:
-        return None
-    x = np.array(rows["x"].to_pylist(), dtype=float)
-    good = np.array(rows["quality"].to_pylist()) > 0
-    judged = ~((x[:, 0] < min_words) | (100 * x[:, 1] > max_repeat * x[:, 0]))
-    x, good = x[judged, 2:], good[judged]
-    if not good.any() or good.all():
+    """Forest and threshold from all labelled rows."""
+    sc = docs.sparkSession.sparkContext
+    found = labelled_rows(docs, labels, min_words, max_repeat).persist(StorageLevel.MEMORY_AND_DISK)
+    n = found.groupBy("good").count().collect()
+    n_good, n_bad = (sum(r["count"] for r in n if r["good"] == k) for k in (True, False))
+    if not n_good or not n_bad:
+        found.unpersist()
         return None
-    order = np.lexsort(np.column_stack([x, good]).T)           # the same forest whatever the row order
-    x, good = x[order], good[order]
-    return calibrate(grow_forest(x[good], x, separation(x, good)), x, good, keep_share)
+    parts = max(min(sc.defaultParallelism, ceil((n_good + n_bad) / 1000)), ceil((n_good + n_bad) / ROWS_PER_PARTITION))
+    rows = found.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        forest = grow_forest(rows, n_good, separation(rows))
+        return calibrate(rows, forest, n_good, n_bad, keep_share)
+    finally:
+        rows.unpersist()
+        found.unpersist()
 
 
 def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: int = 50,
-          sample_rows: int = 6000, keep_share: float = 0.995, out: str = "rules") -> DataFrame:
+          keep_share: float = 0.995, out: str = "rules") -> DataFrame:
     """``docs`` plus a struct ``out``: the counts, score, base_failed and kept."""
-    forest = fit(docs, labels, sample_rows, keep_share, min_words, max_repeat)
+    forest = fit(docs, labels, keep_share, min_words, max_repeat)
     (got,) = fresh(docs, "stats")
     limit = forest.threshold if forest is not None else 2.0
     q = quoted(got)

@@ -120,6 +120,38 @@ def test_forest_rejects_what_the_labels_reject(spark, make_docs):
     assert left.columns == docs.columns and left.count() == sum(g["kept"] for g in got)
 
 
+def test_forest_and_threshold_come_from_every_labelled_row(spark, make_docs):
+    """With ``keep_share`` 1 no accepted row may be lost, however many there are and wherever the odd ones lie."""
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(500)]
+    odd = {i * 600 + 7: i + 1 for i in range(20)}                 # accepted, each odder than the one before
+    rows = [(i, " ".join(w + ("#" if i in odd and j < 2 * odd[i] or i % 10 == 0 else "")
+                         for j, w in enumerate(r.choices(words, k=60)))) for i in range(12000)]
+    lab = spark.createDataFrame([(i, int(i % 10 != 0), 0) for i in range(12000)], "doc_id long, quality int, toxic int")
+    docs = make_docs(rows)
+    kept = {g["doc_id"] for g in quality.judge(docs, lab, keep_share=1.0).filter("rules.kept").collect()}
+    assert not [i for i in range(12000) if i % 10 and i not in kept]
+    one, other = quality.fit(docs, lab), quality.fit(docs.repartition(11), lab.repartition(5))
+    assert one.threshold == other.threshold and (one.cut == other.cut).all() and (one.feature == other.feature).all()
+
+
+def test_separation_and_ranges_by_brute_force(spark):
+    r = np.random.default_rng(4)
+    x, good = np.round(r.normal(size=(900, quality.N_FEATURES)), 1), r.random(900) < 0.7
+    x[:, 0] += good
+    rows = spark.createDataFrame([(bool(g), v.tolist()) for g, v in zip(good, x)],
+                                 "good boolean, x array<double>").repartition(7)
+    auc = np.array([np.mean((a := x[good, f][:, None] - x[~good, f][None]) > 0) + np.mean(a == 0) / 2
+                    for f in range(quality.N_FEATURES)])
+    want = (2 * auc - 1) ** 2 + 1e-6
+    assert np.allclose(quality.separation(rows), want / want.sum(), rtol=1e-9)
+    cut = float(x[5, 0])
+    forest = quality.Forest(np.array([0, -1, -1]), np.array([cut, 0, 0]), np.array([1, 0, 0]), np.array([0]), 1, 1.0, 1.0)
+    n, low, high = quality._node_ranges(rows, forest, np.array([-1, 0, 1]), 2)
+    for k, at in enumerate((x[:, 0] < cut, x[:, 0] >= cut)):
+        assert n[k] == (good & at).sum() and (low[k] == x[at].min(0)).all() and (high[k] == x[at].max(0)).all()
+
+
 def test_quality_without_labels_or_rows(spark, make_docs):
     lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     long = " ".join(f"w{i}" for i in range(60))
