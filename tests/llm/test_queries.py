@@ -55,6 +55,19 @@ def plain_coverage(doc, item):
         d[i:i + n], t[j:j + n] = [False] * n, [False] * n
 
 
+def test_pipeline_rules_learn_from_every_labelled_row(spark, make_docs, tmp_path):
+    """The share of accepted rows to keep holds over all labelled rows, also if the odd ones are 100 of 12,000."""
+    share = "pmod(xxhash64(id, 'sample'), 4294967296) / 4294967296"
+    odd = {r["id"] for r in spark.range(12000).filter(f"{share} > 0.5 and id % 10 > 0").limit(100).collect()}
+    rows = [(i, " ".join(f"w{j}{'x' * ((i * j) % 7)}" + ("###" if i in odd else "#" if i % 10 == 0 and j < 30 else "")
+                         for j in range(60))) for i in range(12000)]
+    spark.createDataFrame([(i, int(i % 10 > 0), 0) for i in range(12000)], "doc_id long, quality int, toxic int"
+                          ).write.parquet(str(tmp_path / "labels.parquet"))
+    left = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, make_docs(rows), str(tmp_path)).collect()}
+    good = [i for i in range(12000) if i % 10]
+    assert sum(i in left for i in good) >= 0.995 * len(good)
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = read(spark, SF001, "documents")
     shape = docs.columns
