@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sylvan.functions.hashing import hash8, hex_threshold, poisson1_weight, uniform
+from sylvan.functions.hashing import hash8, hex_threshold, poisson1_thresholds, poisson1_weight, uniform
+from sylvan.functions.traverse import list_matrix, matrix_list
 
 
 def split_hash(key: str, seed) -> F.Column:
@@ -161,25 +165,35 @@ def bag_weight(key: str, seed, tree_col: str = "tree_id") -> F.Column:
     return poisson1_weight(hash8(key, F.lit(str(seed)), tree_col))
 
 
-UNROLL_TREES = 24
-
-
 def bag_weight_array(key: str, seed, n_trees: int, bootstrap: bool = True, tree_mask=None) -> F.Column:
     """ARRAY<TINYINT> of per-tree bag weights for a row (SP4 for all trees).
 
-    Up to ``UNROLL_TREES`` trees the hashes are unrolled (whole-stage
-    codegen); beyond that a ``transform`` over the tree ids builds the same
-    values without growing one generated method past the JVM's 64 KB limit.
-    ``tree_mask(tree Column) -> Column`` multiplies the weight per tree.
+    The values are those of :func:`bootstrap_weights`; an Arrow function hashes
+    a row's key and seed once per batch row and tree, for Spark's ``md5`` takes
+    several times as long.  ``tree_mask(tree Column) -> Column`` multiplies the
+    weight per tree.
     """
-    def one(t):
-        w = poisson1_weight(hash8(key, F.lit(str(seed)), t)) if bootstrap else F.lit(1)
-        if tree_mask is not None:
-            w = w * tree_mask(t)
-        return w.cast("tinyint")
-    if n_trees <= UNROLL_TREES:
-        return F.array(*[one(F.lit(t)) for t in range(n_trees)])
-    return F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), one)
+    trees = [F.lit(t) for t in range(n_trees)]
+    if not bootstrap:
+        return F.array(*[(F.lit(1) if tree_mask is None else tree_mask(t)).cast("tinyint") for t in trees])
+    cuts = np.array([int(c, 16) for c in poisson1_thresholds()], np.int64)
+    ends = [f"|{t}".encode() for t in range(n_trees)]
+
+    def drawn(start: pa.Array) -> np.ndarray:
+        hashes = b"".join(md5(s + e).digest()[:4] for s in start.cast(pa.binary()).to_pylist() for e in ends)
+        return np.searchsorted(cuts, np.frombuffer(hashes, ">u4").astype(np.int64), side="right").reshape(-1, n_trees)
+
+    @F.arrow_udf("array<tinyint>")
+    def bag(start: pa.Array) -> pa.Array:
+        return matrix_list(drawn(start), pa.int8())
+
+    @F.arrow_udf("array<tinyint>")
+    def masked_bag(start: pa.Array, mask: pa.Array) -> pa.Array:
+        return matrix_list(drawn(start) * list_matrix(mask, n_trees, np.int8), pa.int8())
+    start = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))
+    if tree_mask is None:
+        return bag(start)
+    return masked_bag(start, F.array(*[tree_mask(t).cast("tinyint") for t in trees]))
 
 
 def bootstrap_weights(df: DataFrame, n_trees: int, key: str = "row_key", seed=42,

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sylvan.operators import levels
 from sylvan.operators.forest import ForestParams, fit_forest
@@ -96,3 +97,12 @@ def test_streamed_search_refuses_what_it_does_not_do():
     for more in ({"max_bins": 8}, {"splitter": "random"}, {"prefix_buckets": 4}, {"stream_partitions": 0}):
         with pytest.raises(ValueError):
             ForestParams(streamed=True, **more).validate()
+
+
+def test_bag_weights_equal_the_hash_rule(spark):
+    from sylvan.operators import split
+    keys = spark.createDataFrame([(1,), (None,), (10 ** 12,)], "row_key long")
+    rule = {(r["row_key"], r["tree_id"]): r["w"] for r in split.bootstrap_weights(keys, 30).collect()}
+    for r in keys.select("row_key", split.bag_weight_array("row_key", 42, 30).alias("w"), split.bag_weight_array(
+            "row_key", 42, 30, tree_mask=lambda t: F.when(t < 10, 0).otherwise(1)).alias("m")).collect():
+        assert r["w"] == [rule[r["row_key"], t] for t in range(30)] and r["m"] == [0] * 10 + r["w"][10:]
