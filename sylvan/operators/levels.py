@@ -3,14 +3,13 @@
 ``mapInArrow`` walks each batch of rows down the trees grown so far and
 adds up, for every open node and every feature of its subset, the weight,
 target and squared-target sums of each distinct value (or bin) the batch
-holds.  These partial sums travel as packed blobs, one per (node, feature,
-bucket) and batch, so the shuffle moves few rows; a grouped collect brings
+holds.  These partial sums travel as packed blobs, one per (node, feature)
+and batch, so the shuffle moves few rows; a grouped collect brings
 a key's blobs together, an Arrow function merges them and scores every
 threshold, and a grouped minimum leaves one split per node.
 
-With ``buckets`` above 1 a key also holds a value range of the feature, so
-no task sees a whole feature of a large node; running sums over the bucket
-totals (a small table) supply what lies below each bucket.
+A key is a whole feature of a node, so this is for nodes of bounded size (or
+for bins); :mod:`sylvan.operators.screened` searches large ones.
 
 Open nodes are numbered by ``slot``.  Equal values are merged before a
 threshold is scored; rows whose value is missing belong to the node totals
@@ -30,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions import traverse
@@ -145,19 +144,17 @@ def _columns(rb: pa.RecordBatch, nf: int, nt: int):
             rb.column("yc").to_numpy(zero_copy_only=False))
 
 
-_SUMS = pa.schema([("slot", pa.int32()), ("feature", pa.int32()), ("b", pa.int32()), ("ymin", pa.float64()),
-                   ("ymax", pa.float64()), ("bw", pa.int64()), ("bs", pa.int64()), ("bq", pa.int64()),
-                   ("bmin", pa.float64()), ("sums", pa.binary())])
-SUMS = ("slot int, feature int, b int, ymin double, ymax double, bw long, bs long, bq long, "
-        "bmin double, sums binary")
+_SUMS = pa.schema([("slot", pa.int32()), ("feature", pa.int32()), ("ymin", pa.float64()),
+                   ("ymax", pa.float64()), ("sums", pa.binary())])
+SUMS = "slot int, feature int, ymin double, ymax double, sums binary"
 
 
-def _partial_sums(front, nf: int, nt: int, bucketed: bool, binned: bool):
+def _partial_sums(front, nf: int, nt: int, binned: bool):
     def run(batches):
         fr = front.value
         for rb in batches:
             x, w, y = _columns(rb, nf, nt)
-            xb = traverse.list_matrix(rb.column("xb"), nf, np.int32) if bucketed or binned else None
+            xb = traverse.list_matrix(rb.column("xb"), nf, np.int32) if binned else None
             parts = []
             # rows in value order, once per feature: a tree then only needs a stable sort by slot
             ordered = [np.argsort(x[:, f], kind="stable") for f in range(nf)]
@@ -171,10 +168,9 @@ def _partial_sums(front, nf: int, nt: int, bucketed: bool, binned: bool):
                 if not len(first):
                     continue
                 k = len(first)               # the node's target range, beside any feature
-                nothing = np.zeros(k, np.int64)
-                parts.append((slot[order][first], np.full(k, -1), np.full(k, -1),
+                parts.append((slot[order][first], np.full(k, -1),
                               np.minimum.reduceat(yy[order], first), np.maximum.reduceat(yy[order], first),
-                              nothing, nothing, nothing, np.zeros(k), nothing, np.zeros((0, 4), np.int64)))
+                              np.zeros(k, np.int64), np.zeros((0, 4), np.int64)))
                 where = np.full(len(x), -1)
                 where[at] = np.arange(len(at))
                 for f in range(nf):
@@ -189,24 +185,22 @@ def _partial_sums(front, nf: int, nt: int, bucketed: bool, binned: bool):
                     r, mine = r[o], mine[o]
                     sl = slot[mine]
                     v = xb[r, f].astype(np.float64) if binned else x[r, f]
-                    b = xb[r, f] if bucketed else np.zeros(len(r), np.int32)     # monotone in the value
-                    cell = _starts(sl, b, v)
+                    cell = _starts(sl, v)
                     sums = np.column_stack([v[cell].view(np.int64),
                                             *(np.add.reduceat(c[mine], cell) for c in terms)])
-                    group = _starts(sl[cell], b[cell])
+                    group = _starts(sl[cell])
                     size = np.diff(np.append(group, len(cell)))
-                    k, g = len(group), cell[group]
-                    parts.append((sl[g], np.full(k, f), b[g], np.full(k, np.inf), np.full(k, -np.inf),
-                                  *(np.add.reduceat(sums[:, c], group) for c in (1, 2, 3)), v[g], size, sums))
+                    k = len(group)
+                    parts.append((sl[cell[group]], np.full(k, f), np.full(k, np.inf), np.full(k, -np.inf), size, sums))
             if not parts:
                 continue
             cols = [np.concatenate(c) for c in zip(*parts)]
-            ends = np.concatenate(([0], np.cumsum(cols[9]))).astype(np.int64) * 32
+            ends = np.concatenate(([0], np.cumsum(cols[4]))).astype(np.int64) * 32
             blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cols[0]),
                                                     [None, pa.py_buffer(ends), pa.py_buffer(
-                                                        np.ascontiguousarray(cols[10], np.int64))])
+                                                        np.ascontiguousarray(cols[5], np.int64))])
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, f.type) for c, f in zip(cols[:9], _SUMS)), blob.cast(pa.binary())], schema=_SUMS)
+                [*(pa.array(c, f.type) for c, f in zip(cols[:4], _SUMS)), blob.cast(pa.binary())], schema=_SUMS)
     return run
 
 
@@ -215,11 +209,9 @@ _SPLIT = "struct<score: double, threshold: double, lw: double, ls: double, lq: d
 
 def _best_of_key(front, min_leaf: float, binned: bool):
     """Arrow function: the best threshold among a key's merged sums."""
-    def run(slot: pa.Array, sums: pa.Array, ow: pa.Array, os: pa.Array, oq: pa.Array, nxt: pa.Array) -> pa.Array:
+    def run(slot: pa.Array, sums: pa.Array) -> pa.Array:
         fr = front.value
         slots = slot.to_numpy(zero_copy_only=False)
-        below = np.column_stack([c.to_numpy(zero_copy_only=False) for c in (ow, os, oq)])
-        after = nxt.to_numpy(zero_copy_only=False).astype(np.float64)
         out = np.full((len(slots), 5), np.nan)
         flat = sums.flatten()                 # a key's blobs lie side by side in one buffer
         ends = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset:flat.offset + len(flat) + 1]
@@ -235,14 +227,14 @@ def _best_of_key(front, min_leaf: float, binned: bool):
                 v = v[order]
                 cell = _starts(v)
                 v, m = v[cell], np.add.reduceat(m[order], cell)
-            following = np.append(v[1:], after[i])
+            following = np.append(v[1:], np.nan)
             if binned:
                 cut = v
             else:        # adjacent doubles: their midpoint may be the next value, so stay below it
                 with np.errstate(over="ignore"):
                     mid = v / 2 + following / 2
                 cut = np.where((mid >= v) & (mid < following), mid, v)
-            left = fr.floats(slots[i:i + 1], below[i] + np.cumsum(m, axis=0))
+            left = fr.floats(slots[i:i + 1], np.cumsum(m, axis=0))
             tw, total = fr.n[slots[i]], fr.sse[slots[i]]
             ok = np.flatnonzero(~np.isnan(following) & (left[:, 0] >= min_leaf) & (tw - left[:, 0] >= min_leaf))
             if not len(ok):
@@ -257,36 +249,21 @@ def _best_of_key(front, min_leaf: float, binned: bool):
     return run
 
 
-def best_splits(state: DataFrame, front, nf: int, nt: int, min_leaf: float,
-                bucketed: bool = False, binned: bool = False) -> DataFrame:
+def best_splits(state: DataFrame, front, nf: int, nt: int, min_leaf: float, binned: bool = False) -> DataFrame:
     """``slot, ymin, ymax, feature, threshold, lw, ls, lq`` of every open node.
 
     ``feature`` is null where no threshold leaves ``min_leaf`` on both sides.
     """
-    cols = ["x", "w", "yc"] + (["xb"] if bucketed or binned else [])
-    part = state.select(*cols).mapInArrow(_partial_sums(front, nf, nt, bucketed, binned), SUMS)
-    keys = ["slot", "feature", "b"]
-    merged = part.groupBy(*keys).agg(F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"),
-                                     F.collect_list("sums").alias("sums"))
-    nothing = [F.lit(0).cast("long").alias(c) for c in ("ow", "os", "oq")]
-    if bucketed:
-        totals = part.where("feature >= 0").groupBy(*keys).agg(
-            F.sum("bw").alias("bw"), F.sum("bs").alias("bs"), F.sum("bq").alias("bq"), F.min("bmin").alias("bmin"))
-        by = Window.partitionBy("slot", "feature").orderBy("b")
-        lower = by.rowsBetween(Window.unboundedPreceding, -1)
-        below = totals.select(*keys, *(F.coalesce(F.sum(c).over(lower), F.lit(0).cast("long")).alias(o)
-                                       for c, o in (("bw", "ow"), ("bs", "os"), ("bq", "oq"))),
-                              F.lead("bmin").over(by).alias("nxt"))
-        merged = merged.join(below, keys, "left")
-    else:
-        merged = merged.select("*", *nothing, F.lit(None).cast("double").alias("nxt"))
+    cols = ["x", "w", "yc"] + (["xb"] if binned else [])
+    part = state.select(*cols).mapInArrow(_partial_sums(front, nf, nt, binned), SUMS)
+    merged = part.groupBy("slot", "feature").agg(F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"),
+                                                 F.collect_list("sums").alias("sums"))
     best = F.arrow_udf(_best_of_key(front, float(min_leaf), binned), _SPLIT)
-    scored = merged.withColumn("c", best("slot", "sums", *(F.coalesce(c, F.lit(0).cast("long")) for c in ("ow", "os", "oq")),
-                                         "nxt"))
+    scored = merged.withColumn("c", best("slot", "sums"))
     keys_best = (scored.groupBy("slot").agg(
         F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"), F.min("c.score").alias("least"),
         F.collect_list(F.when(F.col("c").isNotNull(), F.struct(
-            "feature", "c.threshold", "c.lw", "c.ls", "c.lq", "c.score"))).alias("all")))   # features x buckets
+            "feature", "c.threshold", "c.lw", "c.ls", "c.lq", "c.score"))).alias("all")))
     best_of = F.array_min(F.filter("all", lambda c: c["score"] <= F.col("least") + F.lit(TIE)))
     return keys_best.select("slot", "ymin", "ymax", best_of.alias("best")).select(
         "slot", "ymin", "ymax", "best.feature", "best.threshold", "best.lw", "best.ls", "best.lq")

@@ -156,7 +156,7 @@ def fit_node_table(df: DataFrame, feature_cols, target: str, params: ForestParam
             for b in (roots, shared):
                 b.destroy()
             return path
-        top, paths = _grow(ready.state, params, nf, m, ready.y_mean, ready.bucketed, ready.bin_edges, local_rows, finish)
+        top, paths = _grow(ready.state, params, nf, m, ready.y_mean, ready.buckets, ready.bin_edges, local_rows, finish)
     upper = [tuple(r[f.name] for f in NODE_SCHEMA.fields) for r in top]
     nodes = spark.createDataFrame(upper, NODE_SCHEMA)
     if paths:
