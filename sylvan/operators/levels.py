@@ -312,14 +312,14 @@ def tree_sums(state: DataFrame, nt: int) -> list[tuple]:
 
 # ---- drawn thresholds -------------------------------------------------------
 
-def _ranges(front, nf: int, nt: int):
+def _ranges(front, nf: int, nt: int, target_only: bool):
     def run(batches):
         fr = front.value
         for rb in batches:
             x, w, y = _columns(rb, nf, nt)
             parts = []
             for at, slot, _ in fr.open_rows(x, w):
-                for f in (-1, *range(nf)):
+                for f in (-1,) if target_only else (-1, *range(nf)):
                     v = y[at] if f < 0 else x[at, f]
                     use = np.ones(len(at), bool) if f < 0 else fr.subset[slot, f] & ~np.isnan(v)
                     o = np.argsort(slot[use], kind="stable")
@@ -336,10 +336,10 @@ def _ranges(front, nf: int, nt: int):
     return run
 
 
-def value_ranges(state: DataFrame, front, nf: int, nt: int) -> DataFrame:
+def value_ranges(state: DataFrame, front, nf: int, nt: int, target_only: bool = False) -> DataFrame:
     """``slot, feature, vmin, vmax`` over each open node; feature -1 stands for the target."""
     return (state.select("x", "w", "yc")
-            .mapInArrow(_ranges(front, nf, nt), "slot int, feature int, vmin double, vmax double")
+            .mapInArrow(_ranges(front, nf, nt, target_only), "slot int, feature int, vmin double, vmax double")
             .groupBy("slot", "feature").agg(F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax")))
 
 
@@ -397,3 +397,26 @@ def open_rows(state: DataFrame, front, nf: int, nt: int) -> DataFrame:
     """``slot, w, yc, x``: every training row in every open node it belongs to."""
     return state.select("x", "w", "yc").mapInArrow(_rows_of(front, nf, nt),
                                                    "slot int, w double, yc double, x array<double>")
+
+
+def _values_of(front, nf: int, nt: int):
+    def run(batches):
+        fr = front.value
+        for rb in batches:
+            x, w, y = _columns(rb, nf, nt)
+            known = ~np.isnan(x)
+            for at, slot, ww in fr.open_rows(x, w):
+                yc = y[at] - fr.mean[slot]
+                for f in range(nf):
+                    k = np.flatnonzero(known[at, f] & fr.subset[slot, f])
+                    if len(k):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(slot[k], pa.int32()), pa.array(np.full(len(k), f, np.int32)), pa.array(ww[k]),
+                             pa.array(yc[k]), pa.array(x[at[k], f])], ["slot", "feature", "w", "yc", "v"])
+    return run
+
+
+def open_values(state: DataFrame, front, nf: int, nt: int) -> DataFrame:
+    """``slot, feature, w, yc, v``: every training row's value of every feature that its open nodes may use."""
+    return state.select("x", "w", "yc").mapInArrow(_values_of(front, nf, nt),
+                                                   "slot int, feature int, w double, yc double, v double")

@@ -85,9 +85,7 @@ class LevelRows:
 
     def long(self) -> DataFrame:
         """``slot, feature, v, w, yc``: a row per training row and feature its node may use, missing values left out."""
-        allowed = F.broadcast(self.nodes.select("slot", F.explode("features").alias("feature")))
-        tall = self.rows.select("slot", "w", "yc", F.posexplode("x").alias("feature", "v")).where("v is not null")
-        return tall.join(allowed, ["slot", "feature"])
+        return levels.open_values(self.state, self.shared, self.n_features, self.n_trees)
 
 
 def chosen_splits(splitter: Splitter, level: LevelRows) -> dict[int, tuple[int, float]]:
