@@ -7,6 +7,8 @@ fold only.  Grid search grows one forest per
 (min_samples_split, min_samples_leaf) pair at the largest depth and tree
 count and scores smaller settings as tree prefixes and depth cuts --
 exact, because every tree's randomness is a hash of (seed, tree, node).
+These forests share one prepared state, and a node that two of them have is
+searched once.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from sylvan.functions.exprs import unused
 from sylvan.operators import metrics as M
 from sylvan.operators import score as SC
-from sylvan.operators.forest import ForestParams, fit_forest
+from sylvan.operators.forest import ForestParams, fit_forest, fit_forests
 from sylvan.operators.protocol import Estimator
 from sylvan.operators.split import kfold
 
@@ -90,23 +92,21 @@ def _prefix_scores(valid: DataFrame, model, target: str, counts, depths) -> list
 
 def grid_search(train: DataFrame, valid: DataFrame, feature_cols, target: str, grid: dict,
                 seed=42, key: str = "row_key", max_features="sqrt") -> DataFrame:
-    """Validation R^2 of every setting, best first; one fit per
-    (min_samples_split, min_samples_leaf) pair and one scoring job per fit."""
+    """Validation R^2 of every setting, best first; one forest per (min_samples_split,
+    min_samples_leaf) pair, all from one prepared state, and one scoring job per forest."""
     spark = train.sparkSession
     ntr, dep = max(grid["n_trees"]), max(grid["max_depth"])
     counts, depths = sorted(grid["n_trees"]), sorted(grid["max_depth"])
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     valid = valid.select(key, target, *feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
     results = []
     try:
-        for mss, msl in itertools.product(sorted(grid["min_samples_split"]), sorted(grid["min_samples_leaf"])):
-            big = fit_forest(train, feature_cols, target,
-                             ForestParams(n_trees=ntr, max_depth=dep, min_samples_split=mss,
-                                          min_samples_leaf=msl, max_features=max_features, seed=seed), key=key)
+        settings = [ForestParams(n_trees=ntr, max_depth=dep, min_samples_split=mss, min_samples_leaf=msl,
+                                 max_features=max_features, seed=seed)
+                    for mss, msl in itertools.product(sorted(grid["min_samples_split"]), sorted(grid["min_samples_leaf"]))]
+        for big in fit_forests(train, feature_cols, target, settings, key=key):
             for n, d, r2 in _prefix_scores(valid, big, target, counts, depths):
-                results.append((n, d, mss, msl, r2))
+                results.append((n, d, big.params.min_samples_split, big.params.min_samples_leaf, r2))
     finally:
-        train.unpersist()
         valid.unpersist()
     out = spark.createDataFrame(results, "n_trees int, max_depth int, min_samples_split int, "
                                          "min_samples_leaf int, r2_score double")
