@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,12 +39,22 @@ class FittedState:
 
 def fit_state(df: DataFrame, numeric, strings=(), strategy: str = "median", scaler: str = "standard",
               sig_digits: int | None = None) -> FittedState:
-    """Learn fills and scaling of ``numeric`` and codes of ``strings`` from ``df``."""
-    state = FittedState(imputer=clean.fit_imputer(df, numeric, strategy), encoded=list(strings))
-    for c in strings:
-        enc = P.fit_label_encoder(df, c)
-        state.encoders = enc if state.encoders is None else state.encoders.unionByName(enc)
-    state.scaler = C.make_scaler(scaler, numeric, sig_digits).fit(clean.apply_imputer(df, state.imputer))
+    """Learn fills and scaling of ``numeric`` and codes of ``strings`` from ``df``.
+
+    Its rows are computed once and kept for the passes over them; of the codes
+    the class tables stay cached, so that no later use reads the rows again."""
+    rows = df.select(*dict.fromkeys([*numeric, *strings])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        state = FittedState(imputer=clean.fit_imputer(rows, numeric, strategy), encoded=list(strings))
+        for c in strings:
+            enc = P.fit_label_encoder(rows, c)
+            state.encoders = enc if state.encoders is None else state.encoders.unionByName(enc)
+        if state.encoders is not None:
+            state.encoders = state.encoders.persist(StorageLevel.MEMORY_AND_DISK)
+            state.encoders.count()
+        state.scaler = C.make_scaler(scaler, numeric, sig_digits).fit(clean.apply_imputer(rows, state.imputer))
+    finally:
+        rows.unpersist()
     return state
 
 
