@@ -14,7 +14,10 @@ fill ``TABLES`` tables of ``2 ** filter_bits`` saturating counters by hash
 ``min_count`` can't reach it, so the windows stop there.  The tables' size is a parameter, not
 a function of the data, and any size gives the same result: it only decides
 how many rare windows are sorted in vain.  Windows are combined within a
-task before they leave it.
+task before they leave it.  A frequent window occurs in nearly every task, so
+rows and blobs follow the number of tasks: the text is read by as many tasks
+as there are cores (``readers``), not by one a split.  A task whose windows
+outgrow ``HELD_WINDOWS`` lets the rare ones go and goes on adding to the others.
 
 Estimation uses sorted streams and no hash table.  The windows are range
 partitioned and sorted in prefix order; one pass adds up every phrase's
@@ -326,17 +329,26 @@ def _windows(heavy: Callable[[], dict[int, np.ndarray]], bits: int):
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         part = TaskContext.get().partitionId()
 
-        def out() -> Iterator[pa.RecordBatch]:
-            names = pa.array([b"", *known], pa.binary())
+        def out(keep: int) -> Iterator[pa.RecordBatch]:
+            """Let all windows go but the ``keep`` most frequent ones."""
+            lang, words, counts = held.pop()
+            order = np.argsort(-counts, kind="stable")
+            go, stay = np.sort(order[keep:]), np.sort(order[:keep])
+            spelled = [b"", *known]
+            names = pa.array(spelled, pa.binary())
             titles = pa.array(list(langs.number), pa.string())
-            for lang, words, counts in held:
-                for a in range(0, len(lang), STREAM_ROWS):
-                    b = slice(a, a + STREAM_ROWS)
-                    yield pa.RecordBatch.from_arrays(
-                        [titles.take(pa.array(lang[b])), *(names.take(pa.array(words[b, j])) for j in range(ORDER)),
-                         pa.array(np.full(len(lang[b]), part, np.int32)), pa.array(counts[b])], schema=_WINDOW)
-            held.clear()
+            for a in range(0, len(go), STREAM_ROWS):
+                b = go[a:a + STREAM_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [titles.take(pa.array(lang[b])), *(names.take(pa.array(words[b, j])) for j in range(ORDER)),
+                     pa.array(np.full(len(b), part, np.int32)), pa.array(counts[b])], schema=_WINDOW)
+            used = np.unique(words[stay])
+            used = used[used > 0]
+            anew = np.zeros(len(spelled), np.int32)
+            anew[used] = np.arange(1, len(used) + 1)
             known.clear()
+            known.update((spelled[u], i) for i, u in enumerate(used.tolist(), 1))
+            held.append((lang[stay], anew[words[stay]], counts[stay]))
 
         for seg in _segments_of(batches, langs):
             length = np.zeros(len(seg.code), np.int64)
@@ -345,7 +357,7 @@ def _windows(heavy: Callable[[], dict[int, np.ndarray]], bits: int):
             length = length[:seg.starts]
             number = np.zeros(len(seg.names), np.int64)
             for k, lang, example, counts in _segment_windows(seg, length):
-                words = np.zeros((len(lang), ORDER), np.int64)
+                words = np.zeros((len(lang), ORDER), np.int32)
                 for j in range(k):
                     code = seg.code[example + j]
                     for c in np.unique(code[number[code] == 0]):
@@ -355,10 +367,10 @@ def _windows(heavy: Callable[[], dict[int, np.ndarray]], bits: int):
             if sum(len(h[0]) for h in held) > HELD_WINDOWS:
                 held[:] = [_distinct(*(np.concatenate(x) for x in zip(*held)))]
                 if len(held[0][0]) > HELD_WINDOWS // 2:
-                    yield from out()
+                    yield from out(HELD_WINDOWS // 4)
         if held:
             held[:] = [_distinct(*(np.concatenate(x) for x in zip(*held)))]
-            yield from out()
+            yield from out(0)
     return run
 
 
@@ -606,11 +618,12 @@ def _score(entering: dict[int, list[int]]):
 # --- the operator ------------------------------------------------------------------------------
 
 def scored_phrases(docs: DataFrame, min_count: int = 100, filter_bits: int = 23,
-                   text: str = "text", lang: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
+                   text: str = "text", lang: str = "lang", readers: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """All collocations ``(lang, phrase, a, l, r, n, score)``, and the persisted tables they are read from."""
     spark = docs.sparkSession
-    texts = docs.select(utf8(quoted(text)).alias("text"),
-                        F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"))
+    texts = (docs.select(utf8(quoted(text)).alias("text"),
+                         F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"))
+             .coalesce(readers or spark.sparkContext.defaultParallelism))
     # each broadcast is TABLES * 2 ** filter_bits bits
     short = spark.sparkContext.broadcast(_reached(texts, SHORT, dict, filter_bits, min_count))
     long = spark.sparkContext.broadcast(_reached(texts, LONG, lambda: _table(short, SHORT), filter_bits, min_count))
@@ -636,11 +649,14 @@ def _table(bits, orders: tuple[int, ...]) -> dict[int, np.ndarray]:
 
 
 def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, filter_bits: int = 23,
-                 text: str = "text", lang: str = "lang") -> DataFrame:
-    """Each language's first ``top`` collocations: ``(lang, rank, phrase, a, l, r, n, score)``."""
+                 text: str = "text", lang: str = "lang", readers: int | None = None) -> DataFrame:
+    """Each language's first ``top`` collocations: ``(lang, rank, phrase, a, l, r, n, score)``.
+
+    ``readers`` tasks at most read the text (the session's cores, if not given).
+    """
     if min_count < 1 or top < 1 or not 3 <= filter_bits <= 32:
         raise ValueError("min_count and top must be positive, filter_bits between 3 and 32")
-    scored, held = scored_phrases(docs, min_count, filter_bits, text, lang)
+    scored, held = scored_phrases(docs, min_count, filter_bits, text, lang, readers)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # a language may hold most rows: rank within 64 shares first
     share = F.pmod(F.xxhash64("phrase"), F.lit(64))

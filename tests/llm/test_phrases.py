@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -127,3 +128,43 @@ def test_empty_table_and_bad_parameters(spark):
     assert P.collocations(spark.createDataFrame([(None, None)], "text string, lang string"), 1, 10, 8).count() == 0
     with pytest.raises(ValueError):
         P.collocations(empty, 0)
+
+
+def test_windows_follow_the_readers_not_the_splits(spark):
+    """The same text in ten times as many splits makes no more windows, and the same phrases."""
+    def run(parts):
+        docs = spark.createDataFrame(make(5), "text string, lang string").repartition(parts)
+        scored, held = P.scored_phrases(docs, 3, 16, readers=4)
+        found = sorted(map(tuple, scored.collect()))
+        count = held[0].count()
+        for table in held:
+            table.unpersist()
+        return found, count
+    (few, rows), (many, more) = run(4), run(40)
+    assert many == few and few
+    assert more <= 1.3 * rows
+
+
+def test_a_full_task_lets_rare_windows_go_and_keeps_frequent_ones(monkeypatch):
+    rnd = random.Random(8)
+    texts = [". ".join(["new york city hall"] * 5 + [f"w{rnd.randrange(500)} v{rnd.randrange(500)}" for _ in range(20)])
+             for _ in range(60)]
+    schema = pa.schema([("text", pa.binary()), ("lang", pa.string())])
+    batches = [P._record([[t.encode()], [lang]], schema) for t, lang in zip(texts, ["en", "de"] * 30)]
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+
+    def run(room):
+        monkeypatch.setattr(P, "HELD_WINDOWS", room)
+        every = {k: np.ones((P.TABLES, 16), bool) for k in range(1, P.ORDER + 1)}
+        got = [r for b in P._windows(lambda: every, 4)(iter(batches)) for r in b.to_pylist()]
+        total, rows = Counter(), Counter()
+        for r in got:
+            key = tuple(r[c] for c in P.KEY)
+            total[key] += r["n"]
+            rows[key] += 1
+        return total, rows
+    (whole, once), (same, rows) = run(1_000_000), run(120)
+    assert same == whole and set(once.values()) == {1}
+    assert max(rows.values()) > 1                                   # rare windows left the task in parts
+    assert {rows[k] for k, n in whole.items() if n == 150} == {1}   # the frequent ones never did
+    assert sum(n == 150 for n in whole.values()) == 8
