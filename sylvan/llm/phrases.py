@@ -11,9 +11,11 @@ Counting.  Every word position gives one window: the longest phrase of at
 most ``ORDER`` words from there on that may still be frequent.  Two passes
 fill ``TABLES`` tables of ``2 ** filter_bits`` saturating counters by hash
 (orders 1 and 2, then 3 to 5); a phrase with a counter that stays below
-``min_count`` can't reach it, so the windows stop there.  The tables' size is a parameter, not
-a function of the data, and any size gives the same result: it only decides
-how many rare windows are sorted in vain.  Windows are combined within a
+``min_count`` can't reach it, so the windows stop there.  Any table size
+gives the same result: it only decides how many rare windows are sorted in
+vain.  Tables that don't grow fill up with the input until nothing is rare to
+them, so their size follows the bytes of text (``table_bits``) up to a bound
+that a task can hold.  Windows are combined within a
 task before they leave it.  A frequent window occurs in nearly every task, so
 rows and blobs follow the number of tasks: the text is read by as many tasks
 as there are cores (``readers``), not by one a split.  A task whose windows
@@ -60,6 +62,8 @@ SPACES = b" \t"
 SEGMENT = 1 << 22
 #: Tables of counters, each with a hash of its own.
 TABLES = 2
+#: Table size: bytes of text per counter, the fewest and the most bits of a counter's number.
+TEXT_PER_COUNTER, LEAST_BITS, MOST_BITS = 128, 23, 27
 #: Counters per shuffled blob of the filter table.
 CHUNK = 1 << 16
 #: Windows a task combines before it lets them go.
@@ -200,13 +204,18 @@ def _possible(seg: Segment, langs: Languages, heavy: dict[int, np.ndarray], bits
             now &= ok[:-1] & ok[1:]
         if k in heavy:
             for table, bucket in zip(heavy[k], buckets):
-                now &= table[bucket]
+                now &= (table[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1).view(bool)
         yield k, now, buckets
         ok = now
 
 
 # --- the filter tables -------------------------------------------------------------------------
 
+def table_bits(text_bytes: int) -> int:
+    """Bits of a counter's number for this much text: a table's load stays about the same up to ``MOST_BITS``."""
+    return min(max(LEAST_BITS, (text_bytes // TEXT_PER_COUNTER - 1).bit_length()), MOST_BITS)
+
+
 def _kind_of(limit: int):
     return np.uint8 if limit <= 255 else np.uint16 if limit < 1 << 16 else np.uint32
 
@@ -221,10 +230,8 @@ def _counters(orders: tuple[int, ...], known: Callable[[], dict[int, np.ndarray]
 
         def settle() -> None:
             for sums, found in zip(table, zip(*waiting)):
-                more = np.bincount(np.concatenate(found), minlength=1 << bits)
-                more += sums
-                np.minimum(more, limit, out=more)
-                sums[:] = more
+                at, more = np.unique(np.concatenate(found), return_counts=True)
+                sums[at] = np.minimum(more + sums[at], limit)
             waiting.clear()
 
         for seg in _segments_of(batches, langs):
@@ -262,7 +269,7 @@ def _add_blobs(limit: int, last: bool):
                 more = np.frombuffer(zlib.decompress(blob), kind).astype(np.int64)
                 total[chunk] = np.minimum(total[chunk] + more, limit).astype(kind) if chunk in total else more.astype(kind)
         for chunk, sums in total.items():
-            body = np.packbits(sums >= limit).tobytes() if last else zlib.compress(sums.tobytes(), 1)
+            body = np.packbits(sums >= limit, bitorder="little").tobytes() if last else zlib.compress(sums.tobytes(), 1)
             yield _record([[chunk], [0], [body]], _BLOB)
     return run
 
@@ -617,13 +624,15 @@ def _score(entering: dict[int, list[int]]):
 
 # --- the operator ------------------------------------------------------------------------------
 
-def scored_phrases(docs: DataFrame, min_count: int = 100, filter_bits: int = 23,
+def scored_phrases(docs: DataFrame, min_count: int = 100, filter_bits: int | None = None,
                    text: str = "text", lang: str = "lang", readers: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """All collocations ``(lang, phrase, a, l, r, n, score)``, and the persisted tables they are read from."""
     spark = docs.sparkSession
-    texts = (docs.select(utf8(quoted(text)).alias("text"),
-                         F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"))
-             .coalesce(readers or spark.sparkContext.defaultParallelism))
+    texts = docs.select(utf8(quoted(text)).alias("text"),
+                        F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"))
+    if filter_bits is None:
+        filter_bits = table_bits(texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
+    texts = texts.coalesce(readers or spark.sparkContext.defaultParallelism)
     # each broadcast is TABLES * 2 ** filter_bits bits
     short = spark.sparkContext.broadcast(_reached(texts, SHORT, dict, filter_bits, min_count))
     long = spark.sparkContext.broadcast(_reached(texts, LONG, lambda: _table(short, SHORT), filter_bits, min_count))
@@ -643,18 +652,19 @@ def scored_phrases(docs: DataFrame, min_count: int = 100, filter_bits: int = 23,
 
 
 def _table(bits, orders: tuple[int, ...]) -> dict[int, np.ndarray]:
-    """The broadcast bits as the tables that all ``orders`` share."""
-    tables = np.unpackbits(bits.value).view(bool).reshape(TABLES, -1)
+    """The broadcast bits, eight counters a byte, as the tables that all ``orders`` share."""
+    tables = bits.value.reshape(TABLES, -1)
     return {k: tables for k in orders}
 
 
-def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, filter_bits: int = 23,
+def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, filter_bits: int | None = None,
                  text: str = "text", lang: str = "lang", readers: int | None = None) -> DataFrame:
     """Each language's first ``top`` collocations: ``(lang, rank, phrase, a, l, r, n, score)``.
 
-    ``readers`` tasks at most read the text (the session's cores, if not given).
+    ``readers`` tasks at most read the text (the session's cores, if not given);
+    ``filter_bits`` follows the bytes of text, if not given.
     """
-    if min_count < 1 or top < 1 or not 3 <= filter_bits <= 32:
+    if min_count < 1 or top < 1 or filter_bits is not None and not 3 <= filter_bits <= 32:
         raise ValueError("min_count and top must be positive, filter_bits between 3 and 32")
     scored, held = scored_phrases(docs, min_count, filter_bits, text, lang, readers)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

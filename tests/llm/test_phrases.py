@@ -155,7 +155,7 @@ def test_a_full_task_lets_rare_windows_go_and_keeps_frequent_ones(monkeypatch):
 
     def run(room):
         monkeypatch.setattr(P, "HELD_WINDOWS", room)
-        every = {k: np.ones((P.TABLES, 16), bool) for k in range(1, P.ORDER + 1)}
+        every = {k: np.full((P.TABLES, 2), 255, np.uint8) for k in range(1, P.ORDER + 1)}
         got = [r for b in P._windows(lambda: every, 4)(iter(batches)) for r in b.to_pylist()]
         total, rows = Counter(), Counter()
         for r in got:
@@ -168,3 +168,24 @@ def test_a_full_task_lets_rare_windows_go_and_keeps_frequent_ones(monkeypatch):
     assert max(rows.values()) > 1                                   # rare windows left the task in parts
     assert {rows[k] for k, n in whole.items() if n == 150} == {1}   # the frequent ones never did
     assert sum(n == 150 for n in whole.values()) == 8
+
+
+def test_tables_grow_with_the_text_up_to_a_bound(spark, monkeypatch):
+    """Eight times the text with as many more phrases: no larger share of the windows is rare ones."""
+    assert [P.table_bits(n) for n in (0, 1 << 30, (1 << 30) + 128, 1 << 32, 1 << 60)] == [23, 23, 24, 25, P.MOST_BITS]
+    monkeypatch.setattr(P, "LEAST_BITS", 11)
+    monkeypatch.setattr(P, "TEXT_PER_COUNTER", 16)
+
+    def run(rows):
+        rnd = random.Random(rows)
+        docs = [(" ".join(f"w{rnd.randrange(40 * rows)}" for _ in range(200)) + ". " + "the of " * 5, "en") for _ in range(rows)]
+        frame = spark.createDataFrame(docs, "text string, lang string").repartition(2)
+        scored, held = P.scored_phrases(frame, 20, readers=2)
+        scored.count()
+        count = held[0].count()
+        for table in held:
+            table.unpersist()
+        return count, frame, docs
+    (few, *_), (many, frame, docs) = run(25), run(200)
+    assert many <= 8 * few
+    assert sorted(map(tuple, P.collocations(frame, 20, 50).collect())) == plain(docs, 20, 50)
