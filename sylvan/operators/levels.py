@@ -37,6 +37,8 @@ from sylvan.functions import traverse
 #: Scores closer than this are equal: far above rounding noise, far below
 #: the step between neighbouring thresholds of a large node.
 TIE = 1e-11
+#: Heap ids (root 1, children 2k and 2k+1) hold so many levels.
+MAX_HEAP_DEPTH = 62
 
 
 @dataclass
@@ -75,24 +77,26 @@ class Frontier:
 
     def open_rows(self, x: np.ndarray, w: np.ndarray):
         """Yield (row numbers, slots, weights) of each tree's rows in open nodes."""
-        rows = np.arange(len(x))
+        flat, width = np.ascontiguousarray(x).ravel(), x.shape[1]
+        bags = np.ascontiguousarray(w.T)
         for k, tree in enumerate(self.trees):
             a, b = self.off[k], self.off[k + 1]
             f, t, left, slot = self.f[a:b], self.t[a:b], self.left[a:b], self.slot[a:b]
             if not (slot >= 0).any():
                 continue
-            at = np.flatnonzero(w[:, tree] > 0)
-            node = np.zeros(len(at), np.int64)
+            at = np.flatnonzero(bags[tree] > 0)
+            node, begin = np.zeros(len(at), np.int64), at * width
             for _ in range(self.depth):
-                child = left[node]
+                child = left.take(node)
                 go = child >= 0
                 if not go.any():
                     break
-                right = ~(x[at, f[node]] <= t[node])          # a missing value goes right
+                right = ~(flat.take(begin + f.take(node)) <= t.take(node))          # a missing value goes right
                 node = np.where(go, child + right, node)
-            s = slot[node]
+            s = slot.take(node)
             keep = s >= 0
-            yield rows[at[keep]], s[keep], w[at[keep], tree].astype(np.float64)
+            at = at[keep]
+            yield at, s[keep], bags[tree].take(at).astype(np.float64)
 
 
 def quantum(bound):
@@ -112,10 +116,10 @@ def fixed(v, unit) -> np.ndarray:
     return np.rint(v / unit).astype(np.int64)
 
 
-def room_below(n: float, room: float, sse: float) -> float:
+def room_below(n, room, sse):
     """Bound on a child's squared deviations: its computed ``sse`` and what rounding in
     its parent (weight ``n``, bound ``room``) can have hidden."""
-    return sse + room * max(2.0 ** -40, n * 2.0 ** -58)
+    return sse + room * np.maximum(2.0 ** -40, n * 2.0 ** -58)
 
 
 def sse(n, s, q):

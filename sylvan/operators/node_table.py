@@ -9,32 +9,22 @@ whole subtree is grown at once by the same rules (feature subsets by hash,
 midpoints, size limits, ties).  Its nodes come out as rows of a table in the
 shared folder and never meet the driver.
 
-A group holds at most ``local_rows`` rows, for a bag weight is 1 or more.
-Groups of one depth are shuffled together; a lost executor's groups are
-routed again from the state.
+A group holds at most ``local_rows`` rows, for a bag weight is 1 or more
+(:mod:`sylvan.operators.subtree`).  A lost executor's groups are routed again
+from the state.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from sylvan.functions import traverse
-from sylvan.operators import levels
-from sylvan.operators.forest import (MAX_HEAP_DEPTH, NODE_SCHEMA, ForestModel, ForestParams, _grow, subset_for,
-                                     training_state)
+from sylvan.operators import subtree
+from sylvan.operators.forest import NODE_SCHEMA, ForestModel, ForestParams, _grow, training_state
 from sylvan.operators.split import resolve_max_features
 from sylvan.session import scratch_path
 
-_NODES = pa.schema([("tree_id", pa.int32()), ("node_id", pa.int64()), ("depth", pa.int32()), ("feature", pa.int32()),
-                    ("threshold", pa.float64()), ("left_id", pa.int64()), ("right_id", pa.int64()), ("value", pa.float64()),
-                    ("n", pa.float64()), ("mse", pa.float64()), ("is_leaf", pa.bool_())])
-
-
 @dataclass
 class NodeTable:
     """A fitted forest whose nodes stay a table."""
@@ -55,79 +45,6 @@ class NodeTable:
         return ForestModel(self.params, self.feature_names, pdf, self.n_samples, self.y_mean)
 
 
-def best_cut(v: np.ndarray, terms: tuple, units: tuple, n: float, sse: float, least: float) -> tuple | None:
-    """(score, threshold, left weight, left sum, left squares) of one feature's best midpoint.
-
-    ``terms``: weight and terms of both sums per row, in multiples of ``units``.  Missing values go right and bound no interval.
-    """
-    known = np.flatnonzero(~np.isnan(v))
-    order = known[np.argsort(v[known], kind="stable")]
-    v = v[order]
-    if not len(v) or v[0] == v[-1]:
-        return None
-    first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-    value = v[first]
-    left = np.array([np.cumsum(np.add.reduceat(c[order], first))[:-1] * u for c, u in zip(terms, units)])
-    with np.errstate(over="ignore"):
-        mid = value[:-1] / 2 + value[1:] / 2
-    cut = np.where((mid >= value[:-1]) & (mid < value[1:]), mid, value[:-1])
-    ok = np.flatnonzero((left[0] >= least) & (n - left[0] >= least))
-    if not len(ok):
-        return None
-    lw, ls, lq = left[:, ok]
-    r = levels.score(lw, ls, lq, n, sse)
-    j = int(np.argmax(r <= r.min() + levels.TIE))
-    return float(r.min()), float(cut[ok][j]), float(lw[j]), float(ls[j]), float(lq[j])
-
-
-def grow_subtree(x: np.ndarray, w: np.ndarray, y: np.ndarray, root: tuple, params: ForestParams, m: int) -> list[tuple]:
-    """Node rows of the subtree of ``root`` (tree, node id, depth, n, mean, sse, room), by the sums of the level search."""
-    tree, node, depth, n, mean, sse, room = root
-    nf, least = x.shape[1], params.min_samples_leaf
-    limit = params.max_depth if params.max_depth is not None else MAX_HEAP_DEPTH + 1
-    out, open_ = [], [(np.arange(len(y)), node, depth, n, mean, sse, room)]
-    while open_:
-        rows, node, depth, n, mean, sse, room = open_.pop()
-        dev = y[rows] - mean
-        found = None
-        can = depth < limit and n >= params.min_samples_split and n >= 2 * least
-        equal = can and dev.min() == dev.max()
-        if can and not equal:
-            if depth >= MAX_HEAP_DEPTH:
-                raise ValueError(f"a tree would need more than {MAX_HEAP_DEPTH} levels; set max_depth or "
-                                 "min_samples_leaf")
-            us, uq = levels.quanta(n, room)
-            terms = (w[rows], levels.fixed(w[rows] * dev, us), levels.fixed(w[rows] * dev * dev, uq))
-            cuts = {f: c for f in subset_for(params.seed, tree, node, nf, m)
-                    if (c := best_cut(x[rows, f], terms, (1.0, us, uq), n, sse, least)) is not None}
-            if cuts:
-                lowest = min(c[0] for c in cuts.values())
-                found = min((f, *c[1:]) for f, c in cuts.items() if c[0] <= lowest + levels.TIE)
-        if found is None:
-            out.append((tree, node, depth, None, None, None, None, mean, n, 0.0 if equal or n <= 0 else sse / n, True))
-            continue
-        f, cut, lw, ls, lq = found
-        out.append((tree, node, depth, f, cut, 2 * node, 2 * node + 1, mean, n, sse / n, False))
-        left = x[rows, f] <= cut
-        rw = n - lw
-        lsse, rsse = max(lq - ls * ls / lw, 0.0), max(sse - lq - ls * ls / rw, 0.0)
-        open_.append((rows[left], 2 * node, depth + 1, lw, mean + ls / lw, lsse, levels.room_below(n, room, lsse)))
-        open_.append((rows[~left], 2 * node + 1, depth + 1, rw, mean - ls / rw, rsse, levels.room_below(n, room, rsse)))
-    return out
-
-
-def _finish_groups(roots, params: ForestParams, m: int, nf: int, ybar: float):
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        slot = group.column("slot")[0].as_py()
-        x = traverse.list_matrix(group.column("x").chunk(0), nf, np.float64)
-        rows = grow_subtree(x, group.column("w").to_numpy(), group.column("yc").to_numpy(), roots.value[slot], params, m)
-        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _NODES)], schema=_NODES)
-        at = _NODES.get_field_index("value")
-        return table.set_column(at, "value", pc.add(table.column("value"), ybar))
-    return run
-
-
 def fit_node_table(df: DataFrame, feature_cols, target: str, params: ForestParams | None = None,
                    key: str = "row_key", local_rows: int = 50_000) -> NodeTable:
     """As :func:`sylvan.operators.forest.fit_forest`, with nodes of at most ``local_rows``
@@ -145,15 +62,11 @@ def fit_node_table(df: DataFrame, feature_cols, target: str, params: ForestParam
     m = resolve_max_features(params.max_features, nf)
     home = scratch_path(spark, "node-table")
     with training_state(df, feature_cols, target, params, key) as ready:
-        def finish(front, some: list, depth: int) -> str:
-            roots = spark.sparkContext.broadcast(
-                [(t, node, depth, n, mean, sse, room) for t, _place, _subset, n, mean, sse, node, room in some])
-            shared = spark.sparkContext.broadcast(replace(front, mean=np.zeros(len(some))))    # targets as they are
-            rows = levels.open_rows(ready.state, shared, nf, params.n_trees)
-            path = f"{home}/level-{depth}-from-{some[0][0]}"
-            (rows.groupBy("slot").applyInArrow(_finish_groups(roots, params, m, nf, ready.y_mean), NODE_SCHEMA)
-             .write.parquet(path))
-            for b in (roots, shared):
+        def finish(front, some: list) -> str:
+            path = f"{home}/from-{some[0][0]}"
+            nodes, held = subtree.grown(ready.state, front, some, params, nf, m, ready.y_mean, NODE_SCHEMA)
+            nodes.write.parquet(path)
+            for b in held:
                 b.destroy()
             return path
         top, paths = _grow(ready.state, params, nf, m, ready.y_mean, ready.buckets, ready.bin_edges, local_rows, finish)

@@ -70,10 +70,14 @@ def with_global_position(df: DataFrame, order_cols, group_cols=(),
 ACCURACY = 50_000
 
 
-def _brackets(v, probs) -> list:
+#: The same for medians of several columns, whose sketches are all merged at once.
+MEDIAN_ACCURACY = 10_000
+
+
+def _brackets(v, probs, accuracy: int = ACCURACY) -> list:
     """Aggregates of one column: its size, extremes and bracket values."""
-    around = [min(max(p + d / ACCURACY, 0.0), 1.0) for p in probs for d in (-3, 3)]
-    return [F.count(v), F.min(v), F.max(v), F.percentile_approx(v, around, ACCURACY)]
+    around = [min(max(p + d / accuracy, 0.0), 1.0) for p in probs for d in (-3, 3)]
+    return [F.count(v), F.min(v), F.max(v), F.percentile_approx(v, around, accuracy)]
 
 
 def _inside(v, n, low, high, marks, i: int):
@@ -149,13 +153,16 @@ def column_medians(df: DataFrame, cols, widen: bool = True) -> dict:
     def clean(c):
         v = F.col(c).cast("double")
         return F.when(~F.isnan(v), v)
-    sizes = df.agg(*(a.alias(f"_{k}{i}") for i, c in enumerate(cols)
-                     for k, a in zip("nlhm", _brackets(clean(c), [0.5])))).first()
+    # a line per column and row, so that each column's sketches are merged in a group of their own
+    n, low, high, marks = _brackets(F.col("_p._v"), [0.5], MEDIAN_ACCURACY)
+    sizes = {r["_k"]: r for r in df.select(F.explode(F.array(*(
+        F.struct(F.lit(i).alias("_k"), clean(c).alias("_v")) for i, c in enumerate(cols)))).alias("_p"))
+        .groupBy("_p._k").agg(n.alias("n"), low.alias("low"), high.alias("high"), marks.alias("marks")).collect()}
     parts = []
     for i, c in enumerate(cols):
-        n = sizes[f"_n{i}"]
+        n = sizes[i]["n"] if i in sizes else 0
         if n:
-            lo, hi = (sizes[f"_l{i}"], sizes[f"_h{i}"]) if n <= ACCURACY or not widen else sizes[f"_m{i}"]
+            lo, hi = (sizes[i]["low"], sizes[i]["high"]) if n <= MEDIAN_ACCURACY or not widen else sizes[i]["marks"]
             v = clean(c)
             parts.append(F.when(v <= hi, F.struct(F.lit(i).alias("_k"), F.lit(n).cast("long").alias("_n"),
                                                   F.lit(0).alias("_i"), F.when(v >= lo, v).alias("_x"))))
