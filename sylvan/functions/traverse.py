@@ -17,9 +17,15 @@ import pyarrow as pa
 
 
 def list_matrix(arr: pa.Array, width: int, dtype) -> np.ndarray:
-    """Fixed-width list column -> (rows, width) matrix (NULL -> NaN/0)."""
+    """Fixed-width list column -> (rows, width) matrix (NULL -> NaN/0).
+
+    Also of a column of :func:`matrix_bytes`, whose numbers are of ``dtype``."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
+    if pa.types.is_binary(arr.type) or pa.types.is_large_binary(arr.type):
+        arr = arr.cast(pa.large_binary())
+        first = np.frombuffer(arr.buffers()[1], np.int64)[arr.offset] if len(arr) else 0
+        return np.frombuffer(arr.buffers()[2] or b"", dtype, len(arr) * width, first).reshape(len(arr), width)
     flat = arr.flatten()
     if pa.types.is_floating(flat.type):
         vals = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
@@ -36,6 +42,13 @@ def matrix_list(mat: np.ndarray, pa_type) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(mat.ravel(), type=pa_type))
 
 
+def matrix_bytes(mat: np.ndarray) -> pa.Array:
+    """A row's numbers as one binary value, which Spark moves at once and not number by number."""
+    n, width = mat.shape
+    ends = np.arange(n + 1, dtype=np.int32) * (width * mat.itemsize)
+    return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(mat))])
+
+
 def route_level(nid: np.ndarray, x: np.ndarray, lv: dict) -> np.ndarray:
     """One level of routing for all trees (heap node ids).
 

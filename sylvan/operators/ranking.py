@@ -154,22 +154,34 @@ def column_medians(df: DataFrame, cols, widen: bool = True) -> dict:
         v = F.col(c).cast("double")
         return F.when(~F.isnan(v), v)
     # a line per column and row, so that each column's sketches are merged in a group of their own
-    n, low, high, marks = _brackets(F.col("_p._v"), [0.5], MEDIAN_ACCURACY)
-    sizes = {r["_k"]: r for r in df.select(F.explode(F.array(*(
-        F.struct(F.lit(i).alias("_k"), clean(c).alias("_v")) for i, c in enumerate(cols)))).alias("_p"))
-        .groupBy("_p._k").agg(n.alias("n"), low.alias("low"), high.alias("high"), marks.alias("marks")).collect()}
-    parts = []
+    lines = df.select(F.explode(F.array(*(F.struct(F.lit(i).alias("_k"), clean(c).alias("_x"))
+                                          for i, c in enumerate(cols)))).alias("_p")).select("_p.*")
+    n, low, high, marks = _brackets(F.col("_x"), [0.5], MEDIAN_ACCURACY)
+    sizes = [None] * len(cols)
+    for r in lines.groupBy("_k").agg(n.alias("n"), low.alias("low"), high.alias("high"), marks.alias("marks")).collect():
+        if r["n"]:
+            whole = r["n"] <= MEDIAN_ACCURACY or not widen
+            sizes[r["_k"]] = (r["n"], *((r["low"], r["high"]) if whole else r["marks"]))
+    if not any(sizes):
+        return dict.fromkeys(cols)
+    # rows below a bracket and at its ends are counted, those between (few) are grouped by value
+    ends, counts = [], []
     for i, c in enumerate(cols):
-        n = sizes[i]["n"] if i in sizes else 0
-        if n:
-            lo, hi = (sizes[i]["low"], sizes[i]["high"]) if n <= MEDIAN_ACCURACY or not widen else sizes[i]["marks"]
+        if sizes[i]:
+            n, lo, hi = sizes[i]
             v = clean(c)
-            parts.append(F.when(v <= hi, F.struct(F.lit(i).alias("_k"), F.lit(n).cast("long").alias("_n"),
-                                                  F.lit(0).alias("_i"), F.when(v >= lo, v).alias("_x"))))
-    if not parts:
-        return dict.fromkeys(cols)
-    counted = (df.select(F.explode(F.array_compact(F.array(*parts))).alias("_p")).select("_p.*")
-               .groupBy("_k", "_n", "_i", "_x").agg(F.count(F.lit(1)).alias("_c")))
+            for x, at in ((None, v < lo), (lo, v == lo), (hi, v == hi))[:2 if lo == hi else 3]:
+                ends.append((i, n, 0, x))
+                counts.append(F.count(F.when(at, 1)))
+    counted = df.agg(*(c.alias(f"_{j}") for j, c in enumerate(counts))).first()
+    known = df.sparkSession.createDataFrame([(*end, c) for end, c in zip(ends, counted) if c],
+                                            "_k int, _n long, _i int, _x double, _c long")
+
+    def of(j, kind):
+        return F.get(F.array(*(F.lit(s and s[j]).cast(kind) for s in sizes)), F.col("_k"))
+    between = lines.where((F.col("_x") > of(1, "double")) & (F.col("_x") < of(2, "double")))
+    counted = (between.select("_k", of(0, "long").alias("_n"), F.lit(0).alias("_i"), "_x").groupBy("_k", "_n", "_i", "_x")
+               .agg(F.count(F.lit(1)).alias("_c")).unionByName(known))
     got, outside = {}, []
     for r in _picked(counted, ["_k"], [0.5]).collect():
         if r["_lo"] is None or r["_hi"] is None:

@@ -20,7 +20,7 @@ splits do not depend on bins, partitions or batches.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +57,10 @@ class Layout:
         return self.features.shape[1]
 
     def cells(self, slot: np.ndarray, j: int, xb: np.ndarray) -> np.ndarray:
-        bins = self.bins[slot]
-        return self.base[slot] + j * bins + xb * bins // self.fine
+        bins = self.bins.take(slot)
+        shift = self.fine.bit_length() - 1
+        part = xb * bins
+        return self.base.take(slot) + j * bins + (part >> shift if self.fine == 1 << shift else part // self.fine)
 
 
 def layout(front: levels.Frontier, fine: int, cells: int = CELLS) -> Layout:
@@ -72,22 +74,25 @@ def layout(front: levels.Frontier, fine: int, cells: int = CELLS) -> Layout:
 
 
 def _placed(fr, la: Layout, rb: pa.RecordBatch, nf: int, nt: int):
-    """Per tree: slots, targets and terms of its rows, and for each tried feature
+    """Per tree: slots, weights and targets of its rows, and for each tried feature
     (which rows have a value, the values, their cells)."""
     x, w, y = levels._columns(rb, nf, nt)
-    xb = traverse.list_matrix(rb.column("xb"), nf, np.int64)
-    known = ~np.isnan(x)
+    values, bins = np.ascontiguousarray(x).ravel(), traverse.list_matrix(rb.column("xb"), nf, np.int32).ravel()
     for at, slot, ww in fr.open_rows(x, w):
         if not len(at):
             continue
-        yy = y[at] - fr.mean[slot]
         places = []
         for j in range(la.tried):
-            f = la.features[slot, j]
-            use = np.flatnonzero((f >= 0) & known[at, f])
-            row, f = at[use], f[use]
-            places.append((use, x[row, f], la.cells(slot[use], j, xb[row, f])))
-        yield slot, yy, (ww.astype(np.int64), *fr.sums_of(slot, ww, yy)), places
+            f = la.features[:, j].take(slot)
+            tried = np.flatnonzero(f >= 0)
+            place = at * nf + f if len(tried) == len(at) else at[tried] * nf + f[tried]
+            v = values.take(place)
+            known = np.flatnonzero(~np.isnan(v))
+            if len(known) < len(v):
+                tried, place, v = tried[known], place[known], v[known]
+            if len(tried):
+                places.append((tried, v, la.cells(slot[tried], j, bins.take(place).astype(np.int64))))
+        yield slot, ww, y[at] - fr.mean.take(slot), places
 
 
 _BINS = pa.schema([("cell", pa.int32()), *((c, pa.int64()) for c in ("w", "s", "q", "up")),
@@ -102,13 +107,14 @@ def _bin_sums(front, plan, nf: int, nt: int):
         sums = np.zeros((4, cells), np.int64)
         low, high = np.full(cells, np.inf), np.full(cells, -np.inf)
         for rb in batches:
-            for slot, yy, terms, places in _placed(fr, la, rb, nf, nt):
+            for slot, ww, yy, places in _placed(fr, la, rb, nf, nt):
+                terms = (ww.astype(np.int64), *fr.sums_of(slot, ww, yy))
                 np.minimum.at(low, la.size + slot, yy)
                 np.maximum.at(high, la.size + slot, yy)
                 parts = (*terms, np.maximum(terms[1], 0))
                 for use, v, cell in places:
                     for total, part in zip(sums, parts):
-                        np.add.at(total, cell, part[use])
+                        np.add.at(total, cell, part if len(use) == len(part) else part[use])
                     np.minimum.at(low, cell, v)
                     np.maximum.at(high, cell, v)
         seen = np.flatnonzero(low < np.inf)
@@ -192,12 +198,17 @@ def _kept_rows(front, plan, group, nf: int, nt: int):
 
     def run(batches):
         fr, la, held, n = front.value, plan.value, [], 0
+        # features of a node without a kept bin are not tried again
+        begin = (la.base[:, None] + np.arange(la.tried) * la.bins[:, None]).ravel()
+        kept = np.logical_or.reduceat(group.value >= 0, begin).reshape(-1, la.tried)
+        la = replace(la, features=np.where(kept, la.features, -1))
         for rb in batches:
-            for _, _, terms, places in _placed(fr, la, rb, nf, nt):
+            for slot, ww, yy, places in _placed(fr, la, rb, nf, nt):
                 for use, v, cell in places:
-                    k = np.flatnonzero(group.value[cell] >= 0)
+                    k = np.flatnonzero(group.value.take(cell) >= 0)
                     if len(k):
-                        held.append((cell[k], v[k], *(t[use[k]] for t in terms)))
+                        use = use[k]
+                        held.append((cell[k], v[k], ww[use].astype(np.int64), *fr.sums_of(slot[use], ww[use], yy[use])))
                         n += len(k)
             if n >= HELD_ROWS:
                 yield merged(held)

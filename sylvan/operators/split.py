@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.functions.hashing import hash8, hash_numbers, hex_threshold, poisson1_thresholds, poisson1_weight, uniform
-from sylvan.functions.traverse import list_matrix, matrix_list
+from sylvan.functions.traverse import list_matrix, matrix_bytes, matrix_list
 
 
 def split_hash(key: str, seed) -> F.Column:
@@ -164,12 +164,14 @@ def bag_weight(key: str, seed, tree_col: str = "tree_id") -> F.Column:
     return poisson1_weight(hash8(key, F.lit(str(seed)), tree_col))
 
 
-def bag_weight_array(key: str, seed, n_trees: int, bootstrap: bool = True, tree_mask=None) -> F.Column:
+def bag_weight_array(key: str, seed, n_trees: int, bootstrap: bool = True, tree_mask=None,
+                     packed: bool = False) -> F.Column:
     """ARRAY<TINYINT> of per-tree bag weights for a row (SP4 for all trees).
 
     The values are those of :func:`bootstrap_weights`; an Arrow function hashes
     the keys of a batch together, for Spark's ``md5`` takes
-    several times as long.  ``tree_mask(tree Column) -> Column`` multiplies the
+    several times as long.  ``packed``: drawn weights as one binary value of a
+    byte per tree, for Arrow functions.  ``tree_mask(tree Column) -> Column`` multiplies the
     weight per tree.
     """
     trees = [F.lit(t) for t in range(n_trees)]
@@ -185,13 +187,18 @@ def bag_weight_array(key: str, seed, n_trees: int, bootstrap: bool = True, tree_
             w += hashes >= cut
         return np.ascontiguousarray(w.T)
 
-    @F.arrow_udf("array<tinyint>")
+    kind = "binary" if packed else "array<tinyint>"
+
+    def column(w: np.ndarray) -> pa.Array:
+        return matrix_bytes(w) if packed else matrix_list(w, pa.int8())
+
+    @F.arrow_udf(kind)
     def bag(start: pa.Array) -> pa.Array:
-        return matrix_list(drawn(start), pa.int8())
+        return column(drawn(start))
 
-    @F.arrow_udf("array<tinyint>")
+    @F.arrow_udf(kind)
     def masked_bag(start: pa.Array, mask: pa.Array) -> pa.Array:
-        return matrix_list(drawn(start) * list_matrix(mask, n_trees, np.int8), pa.int8())
+        return column(drawn(start) * list_matrix(mask, n_trees, np.int8))
     start = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))
     if tree_mask is None:
         return bag(start)

@@ -34,6 +34,11 @@ NODES = pa.schema([("tree_id", pa.int32()), ("node_id", pa.int64()), ("depth", p
                    ("n", pa.float64()), ("mse", pa.float64()), ("is_leaf", pa.bool_())])
 
 
+def row_bytes(nf: int) -> int:
+    """Bytes of a packed row: features, target and weight."""
+    return 8 * nf + 9
+
+
 def _pack(front, nf: int, nt: int):
     """The rows of the open nodes, packed per node: features one after the other, targets and bag weights."""
     def packed(slot, row, w, x, y):
@@ -216,7 +221,7 @@ def grown(state: DataFrame, front: levels.Frontier, open_: list, params, nf: int
     roots = sc.broadcast([(t, node, node.bit_length() - 1, n, mean, sse, room)
                           for t, _place, _subset, n, mean, sse, node, room in open_])
     shared = sc.broadcast(replace(front, mean=np.zeros(len(open_))))          # targets as they are
-    size = float(front.n.sum()) * (8 * nf + 9)
+    size = float(front.n.sum()) * row_bytes(nf)
     parts = max(2 * sc.defaultParallelism, math.ceil(size / TASK_BYTES))
     rows = state.select("x", "w", "yc").mapInArrow(_pack(shared, nf, params.n_trees), PACKED)
     nodes = (rows.repartition(parts, "slot").groupBy("slot")

@@ -68,3 +68,27 @@ def test_hashes_of_a_batch():
     want = [[int(hashlib.md5(s.encode() + e).hexdigest()[:8], 16) for s in starts] for e in ends]
     assert hashing.hash_numbers(pa.array(["-", *starts])[1:], ends).tolist() == want
     assert hashing.hash_numbers(pa.array([], pa.string()), ends).shape == (4, 0)
+
+
+def test_screened_levels_end_where_groups_begin(rows, monkeypatch):
+    """A large table: few of a tree's levels are searched by passes over all rows."""
+    calls = []
+    real = forest.screened.best_splits
+    monkeypatch.setattr(forest, "SMALL_NODE", 50)
+    monkeypatch.setattr(forest.screened, "best_splits", lambda *a: calls.append(1) or real(*a))
+    params = ForestParams(n_trees=16, max_depth=8, min_samples_leaf=3, max_features=2, seed=3)
+    want = fit_forest(rows, FEATS, "y", params).nodes
+    assert not calls
+    got = fit_forest(rows, FEATS, "y", ForestParams(**{**params.as_dict(), "bucket_rows": 1000})).nodes
+    pd.testing.assert_frame_equal(want, got, check_exact=True)
+    assert 2 <= len(calls) <= 6
+
+
+def test_medians_of_hot_and_spread_columns(spark):
+    from sylvan.operators.ranking import column_medians
+    rng = np.random.default_rng(4)
+    n = 30_001                                         # beyond MEDIAN_ACCURACY: brackets come from the sketch
+    d = pd.DataFrame({"spread": rng.standard_t(1, n), "hot": rng.integers(0, 3, n) * 1.0, "one": 7.0, "none": np.nan,
+                      "gaps": np.where(rng.random(n) < 0.5, np.nan, rng.normal(size=n))})
+    got, want = column_medians(spark.createDataFrame(d).repartition(5), list(d.columns)), d.median()
+    assert got.pop("none") is None and got == want.drop("none").to_dict()
